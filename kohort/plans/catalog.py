@@ -46,5 +46,6 @@ def register(name: str, survey_id: str, sql: str | None = None):
 def load_all() -> None:
     """Import every query module so the registry is complete."""
     from . import (  # noqa: F401
+        aggregate_queries,
         cohort_queries,
     )
