@@ -47,5 +47,6 @@ def load_all() -> None:
     """Import every query module so the registry is complete."""
     from . import (  # noqa: F401
         aggregate_queries,
+        profile_queries,
         cohort_queries,
     )
