@@ -23,10 +23,11 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame to every row of ``df``.
 
     The one-row side is broadcast (its size is one row by construction) on
-    a constant key, so ``df`` is not shuffled.
+    a constant key, so ``df`` is not shuffled.  An empty one-row side gives
+    nulls.
     """
     return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one")
+            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one", "left")
             .drop("__one"))
 
 
@@ -85,31 +86,28 @@ STAT_NAMES = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
 def describe(df: DataFrame, columns: list[str], by: str | None = None,
-             digits: int = 4) -> DataFrame:
+             digits: int = 4, method: str = "auto") -> DataFrame:
     """Count, mean, std (sample), min, exact quartiles, max.
 
-    One aggregate over all columns; the result is long: one row per
-    (group, column).  Quartiles are exact (linear interpolation), so per
-    group the aggregate keeps a value->count map; pass data of bounded
-    cardinality per group, or use ``approx_describe`` for huge groups.
+    Moments come from one aggregate over all columns; quartiles from one
+    exact-quantile pass over the long form (group = column [and ``by``]),
+    see :mod:`kohort.operators.quantiles`.  Result: one row per
+    (group, column).
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"),
-                 F.round(F.avg(x), digits).alias(f"{c}__mean"),
-                 F.round(F.stddev_samp(x), digits).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"),
-                 F.max(x).alias(f"{c}__max")]
+    from .quantiles import quantile_array
+
     ids = [by] if by else []
-    wide = df.groupBy(*ids).agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, "
-        f"round(`{c}__q`[0], {digits}), round(`{c}__q`[1], {digits}), round(`{c}__q`[2], {digits}), `{c}__max`"
-        for c in columns)
-    return wide.select(*ids, F.expr(
-        f"stack({len(columns)}, {parts}) AS (column_name, count, mean, std, min, p25, p50, p75, max)"))
+    long = unpivot(df, ids, columns).where(F.col("value").isNotNull())
+    moments = long.groupBy(*ids, "column_name").agg(
+        F.count("value").alias("count"),
+        F.round(F.avg("value"), digits).alias("mean"),
+        F.round(F.stddev_samp("value"), digits).alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    quart = quantile_array(long, "value", [0.25, 0.5, 0.75], ids + ["column_name"], method, name="q")
+    out = moments.join(quart, ids + ["column_name"], "left")
+    return out.select(*ids, "column_name", "count", "mean", "std", "min",
+                      *[F.round(F.col("q")[i], digits).alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
+                      "max")
 
 
 # ------------------------------------------------------------------ A11
@@ -169,18 +167,18 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = Non
 
 # ------------------------------------------------------------------ A25
 def boxplot_stats(df: DataFrame, column: str, whisker: float = 1.5,
-                  digits: int = 6) -> DataFrame:
+                  digits: int = 6, method: str = "auto") -> DataFrame:
     """Quartiles, whiskers (most extreme values within ``whisker`` x
     IQR of the quartiles) and the number of points outside them."""
-    x = F.col(column).cast("double")
-    quart = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    quart = quart.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                         F.col("q")[2].alias("q3"))
+    from .quantiles import quantile_array
+
+    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+    quart = quantile_array(x, "x", [0.25, 0.5, 0.75], method=method, name="q").select(
+        F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - whisker * F.col("iqr")
     hi = F.col("q3") + whisker * F.col("iqr")
-    with_q = attach_scalars(df.select(x.alias("x")).where(F.col("x").isNotNull()), quart)
-    stats = with_q.groupBy("q1", "median", "q3", "iqr").agg(
+    stats = attach_scalars(x, quart).groupBy("q1", "median", "q3", "iqr").agg(
         F.min(F.when(F.col("x") >= lo, F.col("x"))).alias("lower_whisker"),
         F.max(F.when(F.col("x") <= hi, F.col("x"))).alias("upper_whisker"),
         F.count_if((F.col("x") < lo) | (F.col("x") > hi)).alias("outliers"),

@@ -8,32 +8,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from .aggregates import count_by_month
+from .aggregates import attach_scalars, count_by_month
+from .quantiles import median_table
 from .revenue import customer_ltv
 
 DEC_SUM = "decimal(28,2)"
 
 
 # ------------------------------------------------------------------ A1, A26
-def churn_distribution(customers: DataFrame) -> DataFrame:
+def churn_distribution(customers: DataFrame, method: str = "auto") -> DataFrame:
     """A1: per (subscription_type, churn): customers, mean and median
     support calls (median = continuous 0.5 percentile, nulls ignored)."""
+    keys = ["subscription_type", "churn"]
     x = F.col("support_calls").cast("double")
-    return (customers.groupBy("subscription_type", "churn")
-            .agg(F.count(F.lit(1)).alias("total_customers"),
-                 F.avg(x).alias("avg_support_calls"),
-                 F.median(x).alias("median_support_calls")))
+    base = customers.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_customers"),
+                                        F.avg(x).alias("avg_support_calls"))
+    med = median_table(customers, "support_calls", keys, method, name="median_support_calls")
+    # null-safe key match: SQL groups a null plan too
+    return (base.join(med, [base[k].eqNullSafe(med[k]) for k in keys], "left")
+            .select(*[base[k] for k in keys], "total_customers", "avg_support_calls",
+                    "median_support_calls"))
 
 
-def churn_by_plan_series(customers: DataFrame, labels: tuple[int, ...] = (0, 1)) -> DataFrame:
+def churn_by_plan_series(customers: DataFrame, labels: tuple[int, ...] = (0, 1),
+                         method: str = "auto") -> DataFrame:
     """A1 as bar-chart series: one row per plan, one column per
-    (statistic, churn label), e.g. ``total_customers_1``."""
-    x = F.col("support_calls").cast("double")
-    wide = (customers.groupBy("subscription_type")
-            .pivot("churn", list(labels))
-            .agg(F.count(F.lit(1)).alias("total_customers"),
-                 F.avg(x).alias("avg_support_calls"),
-                 F.median(x).alias("median_support_calls")))
+    (statistic, churn label), e.g. ``total_customers_1``.  The pivot runs
+    on A1's small result."""
+    dist = churn_distribution(customers, method)
+    stats = ["total_customers", "avg_support_calls", "median_support_calls"]
+    wide = (dist.groupBy("subscription_type").pivot("churn", list(labels))
+            .agg(*[F.first(c).alias(c) for c in stats]))
     names = ["subscription_type"]
     for c in wide.columns[1:]:
         label, stat = c.split("_", 1)
@@ -51,8 +56,9 @@ def subscriptions_per_customer(subscriptions: DataFrame) -> DataFrame:
 def subscriptions_per_customer_summary(subscriptions: DataFrame) -> DataFrame:
     """A5: mean and median number of subscriptions per customer."""
     per = subscriptions_per_customer(subscriptions)
-    return per.agg(F.avg("subscriptions").alias("avg_subscriptions"),
-                   F.median(F.col("subscriptions").cast("double")).alias("median_subscriptions"))
+    mean = per.agg(F.avg("subscriptions").alias("avg_subscriptions"))
+    med = median_table(per, "subscriptions", name="median_subscriptions")
+    return attach_scalars(mean, med)
 
 
 def count_of_counts(subscriptions: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import parse_date
 from ..functions.names import normalise_columns, rename_columns
-from .aggregates import attach_scalars
+from .aggregates import attach_scalars, unpivot
+from .quantiles import median_table
 
 __all__ = ["normalise_columns", "rename_columns", "to_nullable_long", "parse_dates",
            "select_present", "drop_duplicates", "null_rows", "split_features_target",
@@ -58,9 +59,16 @@ def split_features_target(df: DataFrame, target: str = config.TARGET_COLUMN):
     return df.drop(target), df.select(*keep, target)
 
 
-def fit_medians(df: DataFrame, numeric: list[str]) -> DataFrame:
-    """Exact median of each numeric column -> one row ``<col>__median``."""
-    return df.agg(*[F.median(F.col(_q(c)).cast("double")).alias(f"{c}__median") for c in numeric])
+def fit_medians(df: DataFrame, numeric: list[str], method: str = "auto") -> DataFrame:
+    """Exact median of each numeric column -> one row ``<col>__median``.
+
+    One exact-quantile pass over the long form (group = column); the small
+    result is pivoted to one row with explicit column values.
+    """
+    long = unpivot(df, [], numeric).where(F.col("value").isNotNull())
+    med = median_table(long, "value", ["column_name"], method)
+    wide = med.groupBy().pivot("column_name", numeric).agg(F.first("median"))
+    return wide.select(*[F.col(_q(c)).cast("double").alias(f"{c}__median") for c in numeric])
 
 
 def apply_medians(df: DataFrame, medians: DataFrame, numeric: list[str]) -> DataFrame:

@@ -16,12 +16,13 @@ per column are ever joined.  No window runs over raw values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from .aggregates import attach_scalars, unpivot
 from .cleaning import clean, select_present
+from .quantiles import quantile_array
 
 
 def _q(name: str) -> str:
@@ -44,78 +45,64 @@ def snapshot(customers: DataFrame, columns: list[str] | None = None,
 
 
 # ------------------------------------------------------------------ D2
-def _quantiles(df: DataFrame, columns: list[str], grid: list[float], approx: bool,
-               accuracy: int) -> DataFrame:
-    probs = F.array(*[F.lit(p) for p in grid])
-    aggs = []
-    for c in columns:
-        x = F.col(_q(c)).cast("double")
-        q = F.percentile_approx(x, probs, accuracy) if approx else F.percentile(x, probs)
-        aggs.append(q.alias(f"{c}__q"))
-    return df.agg(*aggs)
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    return unpivot(df, [], columns).where(F.col("value").isNotNull())
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
                   threshold: float = config.DRIFT_THRESHOLD, points: int = config.QUANTILE_GRID,
-                  approx: bool = False, accuracy: int = 100000, digits: int = 6) -> DataFrame:
+                  method: str = "auto", digits: int = 6) -> DataFrame:
     """Normalised Wasserstein distance per numeric column.
 
-    -> column_name, stat_test, drift_score, drift_detected.  Exact
-    quantiles by default (value->count map per column in the final task);
-    ``approx=True`` uses a bounded-memory sketch for huge inputs.
+    Both sides go to long form (column_name, value); one exact-quantile
+    pass per side yields a ``points``-element quantile array per column,
+    and only those arrays meet.  -> column_name, stat_test, drift_score,
+    drift_detected.
     """
     columns = [c for c in (columns or config.MONITORING_COLUMNS)
                if c in reference.columns and c in current.columns]
     grid = quantile_grid(points)
-    ref = _quantiles(reference, columns, grid, approx, accuracy)
-    ref_std = reference.agg(*[F.stddev_pop(F.col(_q(c)).cast("double")).alias(f"{c}__std")
-                              for c in columns])
-    cur = _quantiles(current, columns, grid, approx, accuracy).toDF(*[f"{c}__c" for c in columns])
-    one = attach_scalars(attach_scalars(ref, ref_std), cur)
-    scores = {}
-    for c in columns:
-        gaps = F.zip_with(F.col(f"{c}__q"), F.col(f"{c}__c"), lambda a, b: F.abs(a - b))
-        w1 = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g) / F.size(gaps)
-        std = F.col(f"{c}__std")
-        # a constant reference: any shift is total drift, none is none
-        scores[c] = F.when(std == 0, F.when(w1 == 0, 0.0).otherwise(F.lit(float("inf")))) \
-            .otherwise(w1 / std)
-    wide = one.select(*[F.round(v, digits).alias(k) for k, v in scores.items()])
-    long = unpivot(wide, [], columns, "column_name", "drift_score")
-    return long.select("column_name", F.lit("wasserstein_norm").alias("stat_test"), "drift_score",
-                       (F.col("drift_score") >= threshold).alias("drift_detected"))
+    ref_long, cur_long = _long(reference, columns), _long(current, columns)
+    ref_q = quantile_array(ref_long, "value", grid, ["column_name"], method, name="rq")
+    cur_q = quantile_array(cur_long, "value", grid, ["column_name"], method, name="cq")
+    ref_std = ref_long.groupBy("column_name").agg(F.stddev_pop("value").alias("std"))
+    # one row per column on each side
+    both = ref_q.join(cur_q, "column_name").join(ref_std, "column_name")
+    gaps = F.zip_with("rq", "cq", lambda a, b: F.abs(a - b))
+    w1 = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g) / F.size(gaps)
+    std = F.col("std")
+    # a constant reference: any shift is total drift, none is none
+    score = F.when(std == 0, F.when(w1 == 0, 0.0).otherwise(F.lit(float("inf")))).otherwise(w1 / std)
+    return both.select("column_name", F.lit("wasserstein_norm").alias("stat_test"),
+                       F.round(score, digits).alias("drift_score")) \
+        .withColumn("drift_detected", F.col("drift_score") >= threshold)
 
 
 def binned_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
-                 bins: int = 10, eps: float = 1e-4, digits: int = 6) -> DataFrame:
+                 bins: int = 10, eps: float = 1e-4, digits: int = 6, method: str = "auto") -> DataFrame:
     """D2 (also reported): KS statistic and PSI over reference-quantile bins.
 
     Bin edges are the reference quantiles at 1/bins .. (bins-1)/bins; a value
     falls in bin ``#edges < value``.  Shares below ``eps`` are clipped for
-    PSI.  -> column_name, ks, psi.
+    PSI.  The running sums run over the binned table (bins rows per
+    column).  -> column_name, ks, psi.
     """
     columns = [c for c in (columns or config.MONITORING_COLUMNS)
                if c in reference.columns and c in current.columns]
-    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    edges = reference.agg(*[F.percentile(F.col(_q(c)).cast("double"), probs).alias(f"{c}__e")
-                            for c in columns])
-
-    def counts(df: DataFrame, side: str) -> DataFrame:
-        long = unpivot(df, [], columns).where(F.col("value").isNotNull())
-        e_long = unpivot(edges, [], [f"{c}__e" for c in columns], "column_name", "edges",
-                         cast="ARRAY<DOUBLE>").withColumn(
-            "column_name", F.regexp_replace("column_name", "__e$", ""))
+    ref_long, cur_long = _long(reference, columns), _long(current, columns)
+    edges = quantile_array(ref_long, "value", [i / bins for i in range(1, bins)], ["column_name"],
+                           method, name="edges")
+
+    def counts(long: DataFrame, side: str) -> DataFrame:
         # one row per column: broadcast
-        j = long.join(F.broadcast(e_long), "column_name")
+        j = long.join(F.broadcast(edges), "column_name")
         b = F.size(F.filter(F.col("edges"), lambda e: e < F.col("value")))
-        return (j.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias(side)))
+        return j.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias(side))
 
-    ref_c, cur_c = counts(reference, "r"), counts(current, "c")
-    grid = (ref_c.select("column_name").distinct()
-            .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))))
+    ref_c, cur_c = counts(ref_long, "r"), counts(cur_long, "c")
+    grid = edges.select("column_name", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     table = (grid.join(ref_c, ["column_name", "bin"], "left")
              .join(cur_c, ["column_name", "bin"], "left").fillna(0, ["r", "c"]))
-    from pyspark.sql import Window
     w_all = Window.partitionBy("column_name")
     w_cum = w_all.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     table = (table

@@ -92,19 +92,22 @@ def data_summary(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Q4
 def feature_summary(df: DataFrame, numeric: list[str], categorical: list[str],
-                    digits: int = 6) -> DataFrame:
+                    digits: int = 6, method: str = "auto") -> DataFrame:
     """Q4: numeric columns: mean, median, std, min, max, missing;
     categorical columns: number of distinct values and missing.
 
-    One aggregate for all columns.  -> feature, kind, mean, median, std,
-    min, max, unique_values, missing.  Top values: :func:`top_values`.
+    One aggregate for all moments and counts, one exact-quantile pass for
+    all medians.  -> feature, kind, mean, median, std, min, max,
+    unique_values, missing.  Top values: :func:`top_values`.
     """
+    from .quantiles import median_table
+
     numeric = [c for c in numeric if c in df.columns]
     categorical = [c for c in categorical if c in df.columns]
     aggs = []
     for i, c in enumerate(numeric):
         x = F.col(_q(c)).cast("double")
-        aggs += [F.avg(x).alias(f"n{i}_mean"), F.median(x).alias(f"n{i}_median"),
+        aggs += [F.avg(x).alias(f"n{i}_mean"),
                  F.stddev_samp(x).alias(f"n{i}_std"), F.min(x).alias(f"n{i}_min"),
                  F.max(x).alias(f"n{i}_max"), F.count_if(x.isNull()).alias(f"n{i}_missing")]
     for i, c in enumerate(categorical):
@@ -112,14 +115,23 @@ def feature_summary(df: DataFrame, numeric: list[str], categorical: list[str],
         aggs += [F.count_distinct(x).alias(f"c{i}_unique"), F.count_if(x.isNull()).alias(f"c{i}_missing")]
     wide = df.agg(*aggs)
     r = lambda col: f"round({col}, {digits})"
-    rows = [f"'{c}', 'numerical', {r(f'n{i}_mean')}, {r(f'n{i}_median')}, {r(f'n{i}_std')}, "
+    rows = [f"'{c}', 'numerical', {r(f'n{i}_mean')}, {r(f'n{i}_std')}, "
             f"n{i}_min, n{i}_max, CAST(NULL AS BIGINT), n{i}_missing" for i, c in enumerate(numeric)]
-    rows += [f"'{c}', 'categorical', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
+    rows += [f"'{c}', 'categorical', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), "
              f"CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), c{i}_unique, c{i}_missing"
              for i, c in enumerate(categorical)]
-    return wide.select(F.expr(
+    long = wide.select(F.expr(
         f"stack({len(rows)}, {', '.join(rows)}) AS "
-        "(feature, kind, mean, median, std, min, max, unique_values, missing)"))
+        "(feature, kind, mean, std, min, max, unique_values, missing)"))
+    if numeric:
+        values = unpivot(df, [], numeric, "feature").where(F.col("value").isNotNull())
+        med = median_table(values, "value", ["feature"], method).withColumn(
+            "median", F.round("median", digits))
+        long = long.join(F.broadcast(med), "feature", "left")
+    else:
+        long = long.withColumn("median", F.lit(None).cast("double"))
+    return long.select("feature", "kind", "mean", "median", "std", "min", "max",
+                       "unique_values", "missing")
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:

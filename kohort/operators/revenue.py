@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import month_start
 from ..functions.numeric import money_sum
 from .aggregates import attach_scalars
+from .quantiles import median_table, quantile_array
 
 MONEY = "decimal(18,2)"
 DEC_SUM = "decimal(28,2)"
@@ -42,14 +43,15 @@ def revenue_per_subscription(invoices: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A8
-def invoice_totals(invoices: DataFrame) -> DataFrame:
+def invoice_totals(invoices: DataFrame, method: str = "auto") -> DataFrame:
     """Total, mean and median invoice amount -> one row."""
     x = F.col("amount")
-    agg = invoices.agg(_exact_sum("amount").alias("s"), F.count(x).alias("n"),
-                       F.median(x.cast("double")).alias("median_amount"))
-    return agg.select(F.col("s").cast("double").alias("total_revenue"),
-                      _mean("s", "n").alias("avg_amount"),
-                      F.round("median_amount", 6).alias("median_amount"))
+    agg = invoices.agg(_exact_sum("amount").alias("s"), F.count(x).alias("n"))
+    med = median_table(invoices, "amount", method=method, name="median_amount")
+    return attach_scalars(agg, med).select(
+        F.col("s").cast("double").alias("total_revenue"),
+        _mean("s", "n").alias("avg_amount"),
+        F.round("median_amount", 6).alias("median_amount"))
 
 
 # ------------------------------------------------------------------ A12, A13
@@ -104,24 +106,20 @@ def customer_ltv(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
             .select("customer_id", F.col("ltv").cast("double").alias("lifetime_value")))
 
 
-def ltv_summary(ltv: DataFrame, quantile: float = 0.9, approx: bool = False,
-                accuracy: int = 100000) -> DataFrame:
+def ltv_summary(ltv: DataFrame, quantile: float = 0.9, method: str = "auto") -> DataFrame:
     """Mean, median, ``quantile`` (linear interpolation) and maximum.
 
-    The exact quantile keeps a value->count map in one final task; for very
-    many customers pass ``approx=True`` (bounded-memory sketch).
+    Quantiles are exact without gathering all customers in one task (see
+    :mod:`kohort.operators.quantiles`); ``method="approx"`` for a sketch.
     """
     x = F.col("lifetime_value")
-    if approx:
-        q = F.percentile_approx(x, [0.5, quantile], accuracy)
-    else:
-        q = F.percentile(x, F.array(F.lit(0.5), F.lit(quantile)))
-    agg = ltv.agg(F.sum(x.cast(DEC_SUM)).alias("s"), F.count(x).alias("n"), q.alias("q"),
-                  F.max(x).alias("max_ltv"))
-    return agg.select(_mean("s", "n").alias("avg_ltv"),
-                      F.round(F.col("q")[0], 6).alias("median_ltv"),
-                      F.round(F.col("q")[1], 6).alias("p90_ltv"),
-                      "max_ltv")
+    agg = ltv.agg(F.sum(x.cast(DEC_SUM)).alias("s"), F.count(x).alias("n"), F.max(x).alias("max_ltv"))
+    q = quantile_array(ltv, "lifetime_value", [0.5, quantile], method=method, name="q")
+    return attach_scalars(agg, q).select(
+        _mean("s", "n").alias("avg_ltv"),
+        F.round(F.col("q")[0], 6).alias("median_ltv"),
+        F.round(F.col("q")[1], 6).alias("p90_ltv"),
+        "max_ltv")
 
 
 def top_customers(ltv: DataFrame, k: int = 20) -> DataFrame:
