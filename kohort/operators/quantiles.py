@@ -39,8 +39,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+BROADCAST_LIMIT = 64 * 1024 * 1024  # bytes of per-group bracket state we broadcast
+
+
 def exact_quantiles(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                    accuracy: int = DEFAULT_ACCURACY, broadcast_stats: bool = True) -> DataFrame:
     """Exact quantiles of ``value`` per ``by`` group (nulls ignored).
 
     Groups of at most ``accuracy`` rows rank all their distinct values
@@ -76,7 +79,12 @@ def exact_quantiles(df: DataFrame, value, probs: list[float], by: list[str] | tu
                                  .otherwise(b)).alias("__b")))
 
     def with_stats(frame: DataFrame) -> DataFrame:
-        return frame.join(stats, by) if by else attach_scalars(frame, stats)
+        # rows meet their group's brackets without being shuffled by group
+        # key (a few groups would mean a few tasks): the bracket table is
+        # broadcast when its size is known to be small
+        if not by:
+            return attach_scalars(frame, stats)
+        return frame.join(F.broadcast(stats) if broadcast_stats else stats, by)
 
     # step 2: one pass, folding everything outside the brackets
     v = F.col("__v")
@@ -154,14 +162,15 @@ def _map_quantiles(df: DataFrame, value, probs: list[float], by: list[str]) -> D
             .select(*by, "q_index", "p", "quantile"))
 
 
-def largest_group(df: DataFrame, value, by: list[str] | tuple = ()) -> int:
-    """Non-null count of the largest group (one small aggregate job)."""
+def group_sizes(df: DataFrame, value, by: list[str] | tuple = ()) -> tuple[int, int]:
+    """(number of groups, non-null count of the largest group): one small
+    aggregate job whose result is a single row."""
     x = df.where(_col(value).isNotNull())
     if by:
-        row = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    else:
-        row = x.agg(F.count(F.lit(1))).first()
-    return int(row[0] or 0)
+        row = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.count(F.lit(1)), F.max("n")).first()
+        return int(row[0] or 0), int(row[1] or 0)
+    return 1, int(x.agg(F.count(F.lit(1))).first()[0] or 0)
 
 
 def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
@@ -175,12 +184,17 @@ def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tup
     by one count job), else ``distributed``.
     """
     by = list(by)
+    groups = None
     if method == "auto":
-        method = "map" if largest_group(df, value, by) <= accuracy else "distributed"
+        groups, largest = group_sizes(df, value, by)
+        method = "map" if largest <= accuracy else "distributed"
     if method == "map":
         return _map_quantiles(df, value, probs, by)
     if method == "distributed":
-        return exact_quantiles(df, value, probs, by, accuracy).drop("valid")
+        if groups is None and by:
+            groups = group_sizes(df, value, by)[0]
+        small_table = (groups or 1) * (2 * len(probs) + 4) * 8 <= BROADCAST_LIMIT
+        return exact_quantiles(df, value, probs, by, accuracy, small_table).drop("valid")
     if method == "approx":
         x = df.select(*by, _col(value).cast("double").alias("__v"))
         return (x.groupBy(*by).agg(F.percentile_approx("__v", [float(p) for p in probs], accuracy).alias("__q"))

@@ -455,3 +455,16 @@ def boxplot_stats(t: Tables):
 def boxplot_ltv(t: Tables):
     """Box-plot statistics of customer lifetime value."""
     return A.boxplot_stats(R.customer_ltv(_inv(t), _subs(t)), "lifetime_value")
+
+
+# ---------------------------------------------------------------- O4
+PREVIEW_ROWS = 5
+
+
+@register("invoice_preview", "O4", f"""WITH {INV}
+SELECT invoice_id, subscription_id, invoice_date, CAST(amount AS DOUBLE) AS amount, status
+FROM invoices ORDER BY invoice_id LIMIT {PREVIEW_ROWS}""")
+def invoice_preview(t: Tables):
+    """The first invoices by id (a preview: the limit is the feature)."""
+    inv = _inv(t).withColumn("amount", F.col("amount").cast("double"))
+    return inv.orderBy("invoice_id").limit(PREVIEW_ROWS)

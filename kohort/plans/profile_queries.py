@@ -345,3 +345,25 @@ def drift_counters(t: Tables):
     """Drifted columns and size of the current snapshot."""
     ref, cur = _snapshots(t)
     return D.dataset_counters(D.drift_report(ref, cur), cur)
+
+
+# ---------------------------------------------------------------- P9, D1, M12
+@register("dedup_customers", "P9", f"WITH {CUST}\nSELECT DISTINCT * FROM customers")
+def dedup_customers(t: Tables):
+    """Full-row distinct customers."""
+    return CL.drop_duplicates(mart.customers(t))
+
+
+@register("drift_snapshot", "D1", f"""WITH {CUST},
+{_clean_sql('customers', 'clean')}
+SELECT {', '.join(config.MONITORING_COLUMNS)}, churn FROM clean""")
+def drift_snapshot(t: Tables):
+    """Cleaned current snapshot restricted to the monitored columns."""
+    return D.snapshot(mart.customers(t))
+
+
+@register("logreg_recall_f1", "M12")
+def logreg_recall_f1(t: Tables):
+    """The declared logistic regression (C = 1) on the same split."""
+    train, test = _model_frames(t)
+    return M.recall_f1(M.score(M.fit(train, M.build_estimator("logistic_regression")), test))
