@@ -18,7 +18,7 @@ from .quantiles import median_table
 
 __all__ = ["normalise_columns", "rename_columns", "to_nullable_long", "parse_dates",
            "select_present", "drop_duplicates", "null_rows", "split_features_target",
-           "clean", "fit_medians", "apply_medians"]
+           "clean", "fit_medians", "apply_medians", "materialise"]
 
 
 def _q(name: str) -> str:
@@ -79,22 +79,40 @@ def apply_medians(df: DataFrame, medians: DataFrame, numeric: list[str]) -> Data
     return joined.withColumns(filled).drop(*[f"{c}__median" for c in numeric])
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the session's checkpoint folder
+    (``spark.checkpoint.dir``, shared storage on a cluster) and continue
+    from the files.  Later jobs (null checks, fits, quantile passes) read the
+    result instead of recomputing its joins, and a lost executor recomputes
+    from the checkpoint."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def clean(df: DataFrame, numeric: list[str] | None = None,
-          categorical: list[str] | None = None, fill: str = config.CATEGORY_FILL) -> DataFrame:
+          categorical: list[str] | None = None, fill: str = config.CATEGORY_FILL,
+          checkpoint: bool = True) -> DataFrame:
     """M1: drop duplicate rows, then fill missing numeric values with the
     column median (only if any numeric value is missing) and missing
     categories with ``fill``.
 
     When anything is missing, all listed numeric columns are returned as
-    DOUBLE; otherwise types are unchanged.
+    DOUBLE; otherwise types are unchanged.  With ``checkpoint`` the
+    deduplicated rows are materialised once (:func:`materialise`) before the
+    null check and the median pass read them.
     """
     numeric = [c for c in (numeric or config.NUMERICAL_FEATURES) if c in df.columns]
     categorical = [c for c in (categorical or config.ORDINAL_FEATURES) if c in df.columns]
     out = df.dropDuplicates()
+    if checkpoint:
+        out = materialise(out)
+        df = out
     if numeric:
         # one-row aggregate read on the driver: which columns have nulls.
         # Deduplication keeps a copy of every distinct row, so the answer
-        # is the same before it; the scan needs no shuffle.
+        # is the same before it.
         counts = df.agg(*[F.count_if(F.col(_q(c)).isNull()).alias(c) for c in numeric]).first()
         needs = [c for c in numeric if counts[c] > 0]
         if needs:

@@ -165,7 +165,7 @@ def recall_f1(t: Tables):
 # ---------------------------------------------------------------- model (rows-only)
 def _model_frames(t: Tables):
     """Deduplicated customers, split by key; medians fitted on train only."""
-    cust = mart.customers(t).dropDuplicates()
+    cust = CL.materialise(mart.customers(t).dropDuplicates())
     train, test = FE.train_test_split(cust)
     meds = CL.fit_medians(train, NUM)
     train = CL.apply_medians(train, meds, NUM).fillna(config.CATEGORY_FILL, CAT)

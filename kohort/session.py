@@ -66,6 +66,8 @@ def get_session(master: str | None = None, app: str = "kohort",
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
+    # checkpoint files of DataFrames that are no longer referenced are removed
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in RUNTIME_CONF.items():
