@@ -2,14 +2,18 @@
 
 Plan shape, chosen for very large invoice tables with hot keys:
 
-* the first invoice month per customer is an *aggregate* (partial
-  aggregation folds a hot customer map-side), never a window over raw
-  invoice rows, which would put a hot customer's rows in one task;
-* the big join (invoices x subscription cohort) is on ``subscription_id``
-  with at most one row per key on the right side: sort-merge with AQE skew
-  splitting, or broadcast when AQE measures the right side small;
-* distinct-customer counts dedupe ``(cohort, index, customer)`` map-side;
-* cohort sizes come from the index-1 counts of the (tiny) count table
+* retention counts (C4-C6) join invoices to subscriptions once, then
+  aggregate per customer the set of its invoice months: partial
+  aggregation folds a hot customer map-side and the set is bounded by the
+  number of calendar months.  Cohort month and indexes come from array
+  functions on that set, so there is no join back and no window over
+  invoice rows: two data shuffles in all;
+* the first invoice month per customer (C2) is an aggregate over
+  invoices folded per subscription, never a window over raw rows;
+* the per-invoice index rows (C3) need every invoice: a sort-merge join
+  on ``subscription_id`` (AQE splits a hot subscription) with a table of
+  one row per subscription;
+* cohort sizes come from the index-1 counts of the (small) count table
   through a window, not from a second pass over invoices: every cohort
   member has an invoice in its cohort month.
 """
@@ -86,22 +90,42 @@ def cohort_index_rows(invoices: DataFrame, subscriptions: DataFrame,
 
 
 # ---------------------------------------------------------------- C4, C5
+def customer_months(invoices: DataFrame, subscriptions: DataFrame,
+                    with_plan: bool = False) -> DataFrame:
+    """Distinct invoice months of each customer (with the plan if asked).
+
+    -> customer_id, items: array of months (or of (subscription_type, m)
+    structs).  One join on ``subscription_id`` and one aggregate by
+    customer; the partial aggregate folds a hot customer's invoices
+    map-side, and a customer's set holds at most one entry per calendar
+    month (per plan) — a bound that does not grow with the invoice count.
+    """
+    inv = invoices.select("subscription_id", month_start("invoice_date").alias("m"))
+    j = inv.join(_plan_customers(subscriptions, with_plan), "subscription_id")
+    item = F.struct("subscription_type", "m") if with_plan else F.col("m")
+    return j.groupBy("customer_id").agg(F.collect_set(item).alias("items"))
+
+
 def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
                      mode: str = "linear") -> DataFrame:
     """C4: distinct customers per (cohort_month, cohort_index).
 
-    ``mode="age"`` wraps the index every 12 months (the interval months
-    part); a customer active in months 0 and 12 counts once at index 1.
-    -> cohort_month, cohort_index, num_customers.
+    The cohort is the customer's first invoice month; each customer counts
+    once per index (``array_distinct``: in ``age`` mode months 0 and 12 are
+    both index 1).  -> cohort_month, cohort_index, num_customers.
     """
-    rows = cohort_index_rows(invoices, subscriptions, mode)
+    per = customer_months(invoices, subscriptions)
+    cohort = F.array_min("items")
+    indexes = F.array_distinct(F.transform("items", lambda m: cohort_index(m, cohort, mode)))
+    rows = per.select(cohort.alias("cohort_month"), F.explode(indexes).alias("cohort_index"))
     return (rows.groupBy("cohort_month", "cohort_index")
-            .agg(F.count_distinct("customer_id").alias("num_customers")))
+            .agg(F.count(F.lit(1)).alias("num_customers")))
 
 
 def _with_size(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Attach the index-1 count of each cohort as its size; cohorts without
-    an index-1 row are dropped (inner-join semantics)."""
+    an index-1 row are dropped (inner-join semantics).  The window runs
+    over the count table (cohorts x indexes)."""
     w = Window.partitionBy(*keys)
     size = F.max(F.when(F.col("cohort_index") == 1, F.col("num_customers"))).over(w)
     return (counts.withColumn("cohort_size", size)
@@ -113,6 +137,8 @@ def retention_rates(invoices: DataFrame, subscriptions: DataFrame,
                     mode: str = "linear") -> DataFrame:
     """Counts with cohort size and ``round(count / size, 3)``.
 
+    Every cohort member has an invoice in its cohort month, so the size is
+    the index-1 count: no second pass over invoices.
     -> cohort_month, cohort_index, num_customers, cohort_size, retention_rate.
     """
     counts = retention_counts(invoices, subscriptions, mode)
@@ -129,11 +155,16 @@ def retention_rates_by_plan(invoices: DataFrame, subscriptions: DataFrame,
     size counts the plan's customers at index 1 only, so a rate can exceed
     1 and a plan/cohort pair without index-1 customers is dropped.
     """
-    rows = _invoice_months(invoices, subscription_cohorts(invoices, subscriptions, with_plan=True))
-    counts = (rows
-              .withColumn("cohort_index", cohort_index("invoice_month", "cohort_month", mode))
-              .groupBy("subscription_type", "cohort_month", "cohort_index")
-              .agg(F.count_distinct("customer_id").alias("num_customers")))
+    per = customer_months(invoices, subscriptions, with_plan=True)
+    cohort = F.array_min(F.transform("items", lambda s: s["m"]))
+    pairs = F.array_distinct(F.transform(
+        "items", lambda s: F.struct(s["subscription_type"].alias("p"),
+                                    cohort_index(s["m"], cohort, mode).alias("i"))))
+    rows = (per.select(cohort.alias("cohort_month"), F.explode(pairs).alias("x"))
+            .select(F.col("x.p").alias("subscription_type"), "cohort_month",
+                    F.col("x.i").alias("cohort_index")))
+    counts = (rows.groupBy("subscription_type", "cohort_month", "cohort_index")
+              .agg(F.count(F.lit(1)).alias("num_customers")))
     return _with_size(counts, ["subscription_type", "cohort_month"]).select(
         "subscription_type", "cohort_month", "cohort_index", "num_customers",
         "cohort_size", "retention_rate")

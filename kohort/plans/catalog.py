@@ -48,5 +48,6 @@ def load_all() -> None:
     from . import (  # noqa: F401
         aggregate_queries,
         profile_queries,
+        sql_queries,
         cohort_queries,
     )
