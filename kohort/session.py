@@ -45,12 +45,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a scratch folder is created and
     registered, so lineage can still be cut with ``DataFrame.checkpoint``.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="kohort-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def get_session(master: str | None = None, app: str = "kohort",
