@@ -22,9 +22,9 @@ from ..operators import drift as D
 from ..operators import features as FE
 from ..operators import model as M
 from ..operators import quality as Q
-from ..session import checkpoint_dir, configure
+from ..session import checkpoint_dir, configure, input_bytes, size_for_input
 from ..sources import files, mart
-from ..sources.tables import Tables
+from ..sources.tables import Tables, table_path
 
 REQUIRED = (config.NUMERICAL_FEATURES + config.ORDINAL_FEATURES
             + [config.TARGET_COLUMN, config.CUSTOMER_ID_COLUMN])
@@ -43,6 +43,9 @@ def run_churn_job(spark: SparkSession, sf_dir: str, out_dir: str,
     configure(spark)
     checkpoint_dir(spark)
     t = Tables(spark, sf_dir)
+    # partitions sized from the input (metadata only)
+    size_for_input(spark, input_bytes(spark, [table_path(sf_dir, n) for n in
+                                              ("orders", "lineitem", "customer", "events")]))
 
     # 1 extract + validate (Q1) + summary (Q3)
     customers = mart.customers(t, cutoff)

@@ -8,6 +8,7 @@ checkpoint directory used to cut lineage.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -81,3 +82,43 @@ def get_session(master: str | None = None, app: str = "kohort",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+# Target bytes per shuffle partition and per scan split on a cluster
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the input files (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, total_bytes: int,
+                   partition_bytes: int = PARTITION_BYTES) -> dict:
+    """Size shuffles and scans for ``total_bytes`` of input.
+
+    Initial shuffle partitions = input / 256 MB (at least the default
+    parallelism), so a shuffle of the full input spills little per task;
+    AQE then coalesces small ones to the same advisory size and splits
+    skewed ones.  Scan splits are 256 MB.  Returns the settings applied.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(cores, math.ceil(total_bytes / partition_bytes))
+    settings = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings
