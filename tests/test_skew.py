@@ -60,3 +60,37 @@ def test_hot_customer_retention_and_ltv(spark, make_subs, make_inv):
     assert got == {k: float(v) for k, v in ltv.items()}
     rows = C.cohort_index_rows(i_df, s_df).count()
     assert rows == len(invs)
+
+
+def _brute_by_plan(subs, invs, mode):
+    owner = {s[0]: (s[1], s[2]) for s in subs}
+    months = defaultdict(set)  # customer -> {(plan, (y, m))}
+    for _, sid, day, *_ in invs:
+        cust, plan = owner[sid]
+        months[cust].add((plan, (day.year, day.month)))
+    counts = defaultdict(int)
+    for cust, items in months.items():
+        first = min(m for _, m in items)
+        pairs = set()
+        for plan, (y, m) in items:
+            lin = (y * 12 + m) - (first[0] * 12 + first[1]) + 1
+            pairs.add((plan, lin if mode == "linear" else (lin - 1) % 12 + 1))
+        for plan, i in pairs:
+            counts[(plan, dt.date(first[0], first[1], 1), i)] += 1
+    out = {}
+    for (plan, cohort, i), n in counts.items():
+        size = counts.get((plan, cohort, 1))
+        if size is None:
+            continue  # no index-1 customers of that plan: the pair drops
+        rate = (Decimal(n) / Decimal(size)).quantize(Decimal("0.001"), rounding="ROUND_HALF_UP")
+        out[(plan, cohort, i)] = (n, size, float(rate))
+    return out
+
+
+def test_hot_subscription_rates_by_plan(spark, make_subs, make_inv):
+    subs, invs, s_df, i_df = _fixture(make_subs, make_inv)
+    for mode in ("linear", "age"):
+        got = {(r.subscription_type, r.cohort_month, r.cohort_index):
+               (r.num_customers, r.cohort_size, r.retention_rate)
+               for r in C.retention_rates_by_plan(i_df, s_df, mode).collect()}
+        assert got == _brute_by_plan(subs, invs, mode)
