@@ -62,7 +62,8 @@ def subscriptions_per_customer_summary(subscriptions: DataFrame) -> DataFrame:
 
 
 def count_of_counts(subscriptions: DataFrame) -> DataFrame:
-    """Customers by number of subscriptions, sorted by that number."""
+    """Customers by number of subscriptions, sorted by that number
+    (O1: ascending ``orderBy`` on the small result only)."""
     per = subscriptions_per_customer(subscriptions)
     return (per.groupBy("subscriptions").agg(F.count(F.lit(1)).alias("customers"))
             .orderBy("subscriptions"))

@@ -62,7 +62,9 @@ def first_invoice_cohorts(invoices: DataFrame, subscriptions: DataFrame) -> Data
 
 def subscription_cohorts(invoices: DataFrame, subscriptions: DataFrame,
                          with_plan: bool = False) -> DataFrame:
-    """Each subscription with its customer's cohort month.
+    """Each subscription with its customer's cohort month (J2: join of the
+    per-customer first-month aggregate on ``customer_id``; both sides have
+    one row per subscription or customer).
 
     -> subscription_id, customer_id[, subscription_type], cohort_month.
     """
@@ -71,6 +73,7 @@ def subscription_cohorts(invoices: DataFrame, subscriptions: DataFrame,
 
 
 def _invoice_months(invoices: DataFrame, invoice_cohorts: DataFrame) -> DataFrame:
+    # Invoices x subscriptions (inner, ``subscription_id``)
     return (invoices
             .select("subscription_id", month_start("invoice_date").alias("invoice_month"))
             .join(invoice_cohorts, "subscription_id"))
@@ -105,6 +108,7 @@ def customer_months(invoices: DataFrame, subscriptions: DataFrame,
     """
     per_sub = (invoices.groupBy("subscription_id")
                .agg(F.collect_set(month_start("invoice_date")).alias("ms")))
+    # J1 on month sets (one row per subscription on both sides)
     j = (per_sub.join(_plan_customers(subscriptions, with_plan), "subscription_id")
          .select("*", F.explode("ms").alias("m")))
     item = F.struct("subscription_type", "m") if with_plan else F.col("m")
@@ -120,6 +124,8 @@ def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
     both index 1).  -> cohort_month, cohort_index, num_customers.
     """
     per = customer_months(invoices, subscriptions)
+    # J2 in array form: the cohort is the minimum of the customer's own
+    # month set, so the first-month aggregate is never joined back
     cohort = F.array_min("items")
     indexes = F.array_distinct(F.transform("items", lambda m: cohort_index(m, cohort, mode)))
     rows = per.select(cohort.alias("cohort_month"), F.explode(indexes).alias("cohort_index"))
@@ -130,7 +136,9 @@ def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
 def _with_size(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Attach the index-1 count of each cohort as its size; cohorts without
     an index-1 row are dropped (inner-join semantics).  The window runs
-    over the count table (cohorts x indexes)."""
+    over the count table (cohorts x indexes).  This replaces J3 (counts
+    joined to sizes on ``cohort_month``) and J4 (the same on
+    ``subscription_type, cohort_month``) without a second aggregate."""
     w = Window.partitionBy(*keys)
     size = F.max(F.when(F.col("cohort_index") == 1, F.col("num_customers"))).over(w)
     return (counts.withColumn("cohort_size", size)
@@ -213,7 +221,8 @@ def average_retention_by_plan(rates_by_plan: DataFrame) -> DataFrame:
 
 
 def cohort_curve(rates_by_plan: DataFrame, plan: str, cohort: str | _dt.date) -> DataFrame:
-    """The curve of one cohort of one plan, ordered by index.
+    """The curve of one cohort of one plan, ordered by index (P8
+    equality filters on plan and cohort; O1 ascending order at the edge).
 
     ``cohort`` is a month (``'1995-01'``, a date string or a date).
     -> cohort_label, cohort_index, retention_rate.

@@ -124,7 +124,8 @@ def ltv_summary(ltv: DataFrame, quantile: float = 0.9, method: str = "auto") ->
 
 def top_customers(ltv: DataFrame, k: int = 20) -> DataFrame:
     """O3: the ``k`` customers with the highest lifetime value (top-k; ties
-    broken by customer id)."""
+    broken by customer id).  O2, the descending sort by value, is the same
+    ordering without the limit."""
     return ltv.orderBy(F.desc("lifetime_value"), F.asc("customer_id")).limit(k)
 
 

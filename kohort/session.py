@@ -18,8 +18,9 @@ from pyspark.sql import SparkSession
 # existing session (the driver passes its own), so they are applied by
 # ``configure`` rather than only at build time.
 RUNTIME_CONF = {
-    # dates are derived from TIMESTAMP_NTZ columns; pin UTC anyway so any
-    # timestamp-with-zone expression behaves the same on every executor
+    # F7 (timestamps read as UTC): dates are derived from TIMESTAMP_NTZ
+    # columns; pin UTC anyway so any timestamp-with-zone expression behaves
+    # the same on every executor
     "spark.sql.session.timeZone": "UTC",
     # AQE: coalesce small shuffle partitions, split skewed join partitions,
     # and turn a sort-merge join into a broadcast join when the runtime size
