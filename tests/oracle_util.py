@@ -43,6 +43,22 @@ def _norm(v, digits: int | None):
     return str(v)
 
 
+# Spark simple type name -> DuckDB type name of the same values
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+             "date": "DATE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def types_match(spark_schema, duck_columns, duck_types) -> bool:
+    """Column by column (matched by name), the Spark type equals DuckDB's."""
+    duck = dict(zip(duck_columns, [str(t) for t in duck_types]))
+    for f in spark_schema.fields:
+        name = f.dataType.simpleString()
+        if DUCK_TYPE.get(name, name.upper()) != duck.get(f.name):
+            return False
+    return True
+
+
 def _rows(columns, rows, digits):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(_norm(r[i], digits) for i in order) for r in rows)
@@ -61,6 +77,7 @@ def compare(spark, con, fn, sql, sf_dir):
         "spark_cols": s_cols, "oracle_cols": d_cols,
         "spark_types": [f.dataType.simpleString() for f in df.schema.fields],
         "oracle_types": [str(t) for t in rel.types],
+        "types_match": types_match(df.schema, d_cols, rel.types),
     }
     out["exact"] = out["columns_match"] and _rows(s_cols, s_rows, None) == _rows(d_cols, d_rows, None)
     out["rounded"] = out["columns_match"] and _rows(s_cols, s_rows, 9) == _rows(d_cols, d_rows, 9)

@@ -24,6 +24,7 @@ def test_oracle_equal(spark, con, name):
     res = compare(spark, con, catalog.QUERIES[name], catalog.ORACLE[name], SF_SMALL)
     assert res["columns_match"], (res["spark_cols"], res["oracle_cols"])
     assert res["spark_rows"] == res["oracle_rows"]
+    assert res["types_match"], (res["spark_types"], res["oracle_types"])
     assert res["exact"], res
 
 

@@ -41,9 +41,10 @@ def main(argv):
             bad += 1
             print(f"{name:32s} ERROR {type(exc).__name__}: {str(exc)[:400]}")
             continue
-        ok = res["exact"]
+        ok = res["exact"] and res["types_match"]
         bad += not ok
-        status = "EXACT" if ok else ("ROUNDED" if res["rounded"] else "MISMATCH")
+        status = ("EXACT" if ok else "TYPES" if res["exact"]
+                  else "ROUNDED" if res["rounded"] else "MISMATCH")
         print(f"{name:32s} {status} rows {res['spark_rows']}/{res['oracle_rows']} ({time.time() - t0:.1f}s)")
         if not ok:
             print(json.dumps({k: v for k, v in res.items() if k not in ("exact", "rounded")},
