@@ -22,13 +22,17 @@ def _q(name: str) -> str:
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row frame to every row of ``df``.
 
-    The one-row side is broadcast (its size is one row by construction) on
-    a constant key, so ``df`` is not shuffled.  An empty one-row side gives
-    nulls.
+    ``one_row`` (a global aggregate: one row by construction) becomes an
+    uncorrelated scalar subquery: it runs once, its single struct value is
+    inlined as a constant in the projection, so ``df`` is neither shuffled
+    nor joined.  The struct is selected in one projection and unpacked in
+    the next, so the subquery is evaluated once whatever the number of
+    fields.  An empty one-row side gives nulls.
     """
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one", "left")
-            .drop("__one"))
+    packed = one_row.select(F.struct(*[F.col(_q(c)) for c in one_row.columns]).alias("__s"))
+    return (df.select("*", packed.scalar().alias("__s"))
+            .select(*[F.col(_q(c)) for c in df.columns],
+                    *[F.col("__s")[c].alias(c) for c in one_row.columns]))
 
 
 def unpivot(df: DataFrame, ids: list[str], columns: list[str],
