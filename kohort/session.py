@@ -43,9 +43,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is used as is.
-    Only when it is unset (local tests) a scratch folder is created and
-    registered, so lineage can still be cut with ``DataFrame.checkpoint``.
+    On a cluster the setting names a shared file system and is used as is;
+    a cluster session without it is an error (a machine-local folder would
+    not survive the loss of the executor that wrote it).  Only a local-mode
+    session without the setting (tests, local runs) gets a scratch folder,
+    so lineage can still be cut with ``DataFrame.checkpoint``.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a shared folder "
+                             "(HDFS, object store) for checkpoints on a cluster")
         path = tempfile.mkdtemp(prefix="kohort-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
