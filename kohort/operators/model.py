@@ -115,11 +115,20 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
 
     Returns (best PipelineModel refit on all of ``train``, list of
     (params, mean recall)).  Class weighting is a choice between a uniform
-    and a balanced weight column.
+    and a balanced weight column.  Folds are ``pmod(xxhash64(seed, key),
+    folds)`` when the key column is present (as the train/test split), so
+    they do not depend on partitioning and a recomputed partition after an
+    executor loss lands in the same fold.
     """
     space = space or search_space(draws, seed)
     data = add_class_weights(train, True).withColumnRenamed(WEIGHT, "w_balanced") \
         .withColumn("w_uniform", F.lit(1.0))
+    key = config.CUSTOMER_ID_COLUMN
+    fold_args = {}
+    if key in data.columns:
+        data = data.withColumn(
+            "__fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int"))
+        fold_args = {"foldCol": "__fold"}
     rf = build_estimator(weightCol="w_uniform")
     pipe = build_pipeline(rf)
     maps = []
@@ -131,7 +140,7 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
     evaluator = MulticlassClassificationEvaluator(
         labelCol=LABEL, predictionCol="prediction", metricName="recallByLabel", metricLabel=1.0)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=evaluator,
-                        numFolds=folds, seed=seed, parallelism=parallelism)
+                        numFolds=folds, seed=seed, parallelism=parallelism, **fold_args)
     cv_model: CrossValidatorModel = cv.fit(data)
     scores = list(zip(space, cv_model.avgMetrics))
     return cv_model.bestModel, scores
