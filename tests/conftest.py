@@ -18,7 +18,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from kohort.session import checkpoint_dir, get_session
 
-    s = get_session("local[4]", app="kohort-tests", shuffle_partitions=4)
+    # catalog tables (bucketed layout tests) live in a scratch folder
+    warehouse = tempfile.mkdtemp(prefix="kohort-warehouse-")
+    s = get_session("local[4]", app="kohort-tests", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s)  # unset in tests: a scratch folder is registered
     yield s
     s.stop()
