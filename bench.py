@@ -20,6 +20,7 @@ sys.path.insert(0, ROOT)
 
 HEADLINE = [
     "retention_rate_linear",      # flagship
+    "retention_rate_sql",         # same result in the original SQL shape (S2)
     "retention_rate_age",
     "retention_rate_by_plan",
     "retention_counts_linear",
