@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Runs each query on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
-``local[$BENCH_CPUS]``: one warm-up, then ``$BENCH_RUNS`` (default 3) timed
+``local[$BENCH_CPUS]``: one warm-up, then ``$BENCH_RUNS`` (default 5) timed
 runs written to the ``noop`` sink; reports the median per query and prints
 ONE JSON line.  ``BENCH_QUERIES=all`` runs every registered query, or give a
 comma-separated list.
@@ -46,7 +46,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     wanted = os.environ.get("BENCH_QUERIES", "")
 
     from kohort.plans import catalog
