@@ -42,41 +42,62 @@ def _col(c) -> Column:
 BROADCAST_LIMIT = 64 * 1024 * 1024  # bytes of per-group bracket state we broadcast
 
 
-def exact_quantiles(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                    accuracy: int = DEFAULT_ACCURACY, broadcast_stats: bool = True) -> DataFrame:
-    """Exact quantiles of ``value`` per ``by`` group (nulls ignored).
+def _values(df: DataFrame, value, by: list[str]) -> DataFrame:
+    return df.select(*by, _col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
 
-    Groups of at most ``accuracy`` rows rank all their distinct values
-    (bounded by ``accuracy``); larger groups rank only the values inside
-    the sketch brackets.  -> by..., q_index (position in ``probs``), p,
-    quantile, valid.  Groups without any non-null value produce no rows.
-    """
-    by = list(by)
+
+def _sorted_probs(probs: list[float]) -> tuple[list[int], list[float]]:
     if not probs:
         raise ValueError("probs must not be empty")
     order = sorted(range(len(probs)), key=lambda i: probs[i])
-    ps = [float(probs[i]) for i in order]
+    return order, [float(probs[i]) for i in order]
+
+
+def bracket_stats(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
+                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Step 1: per group the non-null count and, for each ``p`` (sorted),
+    a bracket ``[a, b]`` from a mergeable sketch (bounded-memory aggregate);
+    a group of at most ``accuracy`` values gets brackets spanning the whole
+    group.  -> by..., __n, __small, __a, __b (one row per group)."""
+    by = list(by)
+    _, ps = _sorted_probs(probs)
     n_p = len(ps)
     delta = MARGIN / accuracy
     lo_p = [max(p - delta, 0.0) for p in ps]
     hi_p = [min(p + delta, 1.0) for p in ps]
-
-    x = df.select(*by, _col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-
-    # step 1: count + sketch brackets per group (bounded-memory aggregate);
-    # a small group's brackets span the whole group
     sketch = F.percentile_approx("__v", lo_p + hi_p, accuracy)
     small = F.col("__n") <= accuracy
-    stats = (x.groupBy(*by)
-             .agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__ab"),
-                  F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-             .select(*by, "__n", small.alias("__small"),
-                     F.transform(F.slice("__ab", 1, n_p),
-                                 lambda a, i: F.when(small | (F.lit(lo_p)[i] == 0.0), F.col("__min"))
-                                 .otherwise(a)).alias("__a"),
-                     F.transform(F.slice("__ab", n_p + 1, n_p),
-                                 lambda b, i: F.when(small | (F.lit(hi_p)[i] == 1.0), F.col("__max"))
-                                 .otherwise(b)).alias("__b")))
+    return (_values(df, value, by).groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__ab"),
+                 F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+            .select(*by, "__n", small.alias("__small"),
+                    F.transform(F.slice("__ab", 1, n_p),
+                                lambda a, i: F.when(small | (F.lit(lo_p)[i] == 0.0), F.col("__min"))
+                                .otherwise(a)).alias("__a"),
+                    F.transform(F.slice("__ab", n_p + 1, n_p),
+                                lambda b, i: F.when(small | (F.lit(hi_p)[i] == 1.0), F.col("__max"))
+                                .otherwise(b)).alias("__b")))
+
+
+def exact_quantiles(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
+                    accuracy: int = DEFAULT_ACCURACY, broadcast_stats: bool = True,
+                    stats: DataFrame | None = None) -> DataFrame:
+    """Exact quantiles of ``value`` per ``by`` group (nulls ignored).
+
+    Groups of at most ``accuracy`` rows rank all their distinct values
+    (bounded by ``accuracy``); larger groups rank only the values inside
+    the sketch brackets.  ``stats``: the result of :func:`bracket_stats`
+    for the same arguments when it is already materialised (then the input
+    is read once more, not twice).  -> by..., q_index (position in
+    ``probs``), p, quantile, valid.  Groups without any non-null value
+    produce no rows.
+    """
+    by = list(by)
+    order, ps = _sorted_probs(probs)
+    n_p = len(ps)
+    x = _values(df, value, by)
+    if stats is None:
+        stats = bracket_stats(df, value, probs, by, accuracy)
 
     def with_stats(frame: DataFrame) -> DataFrame:
         # rows meet their group's brackets without being shuffled by group
@@ -162,6 +183,15 @@ def _map_quantiles(df: DataFrame, value, probs: list[float], by: list[str]) -> D
             .select(*by, "q_index", "p", "quantile"))
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """Write a small result to the session's checkpoint folder (shared
+    storage on a cluster) and continue from the files."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def group_sizes(df: DataFrame, value, by: list[str] | tuple = ()) -> tuple[int, int]:
     """(number of groups, non-null count of the largest group): one small
     aggregate job whose result is a single row."""
@@ -180,13 +210,19 @@ def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tup
     ``method``: ``map`` (Spark's percentile: the final task of a group
     holds its distinct values), ``distributed`` (:func:`exact_quantiles`),
     ``approx`` (sketch only), or ``auto``: ``map`` when no group has more
-    than ``accuracy`` values (a proven bound on that task's state; checked
-    by one count job), else ``distributed``.
+    than ``accuracy`` values (a proven bound on that task's state), else
+    ``distributed``.  The bound is read from the distributed method's first
+    pass, materialised once, so choosing costs no extra pass over the input.
     """
     by = list(by)
-    groups = None
+    groups, stats = None, None
     if method == "auto":
-        groups, largest = group_sizes(df, value, by)
+        # the distributed method's first pass (counts + brackets per group)
+        # is materialised once; its largest count decides the method, and
+        # the distributed method reuses it instead of reading the input again
+        stats = _materialise(bracket_stats(df, value, probs, by, accuracy))
+        row = stats.agg(F.count(F.lit(1)), F.max("__n")).first()
+        groups, largest = int(row[0] or 0), int(row[1] or 0)
         method = "map" if largest <= accuracy else "distributed"
     if method == "map":
         return _map_quantiles(df, value, probs, by)
@@ -194,7 +230,7 @@ def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tup
         if groups is None and by:
             groups = group_sizes(df, value, by)[0]
         small_table = (groups or 1) * (2 * len(probs) + 4) * 8 <= BROADCAST_LIMIT
-        return exact_quantiles(df, value, probs, by, accuracy, small_table).drop("valid")
+        return exact_quantiles(df, value, probs, by, accuracy, small_table, stats).drop("valid")
     if method == "approx":
         x = df.select(*by, _col(value).cast("double").alias("__v"))
         return (x.groupBy(*by).agg(F.percentile_approx("__v", [float(p) for p in probs], accuracy).alias("__q"))

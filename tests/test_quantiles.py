@@ -62,3 +62,26 @@ def test_methods_agree_on_operators(spark):
     a = D.numeric_drift(ref, cur, method="map").collect()
     b = D.numeric_drift(ref, cur, method="distributed").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_auto_reuses_materialised_brackets(spark):
+    """``auto`` with groups above ``accuracy``: the checkpointed first pass
+    decides the method and feeds the distributed method; results equal
+    Spark's exact percentile (grouped and global)."""
+    rnd = random.Random(11)
+    rows = [(g, 7.0 if rnd.random() < 0.34 else round(rnd.gauss(50, 20), 1))
+            for g in range(3) for _ in range(1500)]
+    rows += [(5, 1.0), (5, 2.0)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [0.5, 0.1, 0.9, 0.75]
+    got = {(r.g, r.q_index): r.quantile
+           for r in quantile_table(df, "x", probs, ["g"], method="auto", accuracy=200).collect()}
+    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
+    assert len(got) == len(ref) * len(probs)
+    for r in ref:
+        for i, q in enumerate(r.q):
+            assert got[(r.g, i)] == q, (r.g, probs[i])
+    glob = {r.q_index: r.quantile
+            for r in quantile_table(df, "x", probs, method="auto", accuracy=200).collect()}
+    ref_g = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).first().q
+    assert [glob[i] for i in range(len(probs))] == list(ref_g)
