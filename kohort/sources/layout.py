@@ -5,8 +5,8 @@ on ``subscription_id``.  When both tables are stored bucketed on that key
 with the same number of buckets, Spark reads each bucket as one partition
 already hash-partitioned by the key: the join of invoices with
 subscriptions (and any per-subscription aggregate) then runs without any
-exchange, and only the per-customer and per-cohort aggregates move data.  The layout is
-written once and read by every later run.
+exchange, and only the per-customer and per-cohort aggregates move data.
+The layout is written once and read by every later run.
 
 Tables are registered in the session catalog with an explicit ``path``,
 which must be shared storage on a cluster (the same rule as the
