@@ -18,9 +18,14 @@ SINGLE_TASK_WINDOW_OK = {"monthly_churn_rate", "retention_drop"}
 
 
 def _nodes(plan):
-    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
         yield from _nodes(plan.executedPlan())
         return
+    if kind.endswith("QueryStageExec"):  # executed adaptive plans: stages wrap their plan
+        yield plan
+        yield from _nodes(plan.plan())
+        return
     yield plan
     for seq in (plan.children(), plan.subqueries()):
         for i in range(seq.size()):
