@@ -1,9 +1,11 @@
 """Plan shape of every registered query (sf0.001): no nested-loop or
-cartesian joins, no Python UDF operators, and a window without partition
-keys (one task) only where its input is bounded by the calendar."""
+cartesian joins, no Python UDF operators, a window without partition keys
+(one task) only where its input is bounded by the calendar, and column
+pruning down to every Parquet scan."""
 
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_SMALL
 
@@ -15,6 +17,9 @@ FORBIDDEN = {"BroadcastNestedLoopJoinExec", "CartesianProductExec",
              "BatchEvalPythonExec", "ArrowEvalPythonExec"}
 # inputs of one row per calendar month (C12) or per cohort index
 SINGLE_TASK_WINDOW_OK = {"monthly_churn_rate", "retention_drop"}
+# queries whose output needs every column of a scanned table (every invoice
+# field derives from one of the six ``orders`` columns)
+FULL_WIDTH_SCAN_OK = {"joined_invoices", "invoice_preview"}
 
 
 def _nodes(plan):
@@ -42,3 +47,8 @@ def test_plan_shape(spark, name):
                      and n.partitionSpec().isEmpty()]
     if name not in SINGLE_TASK_WINDOW_OK:
         assert not unpartitioned, name
+    # column pruning reaches every Parquet scan
+    for n in nodes:
+        if n.getClass().getSimpleName() == "FileSourceScanExec" and name not in FULL_WIDTH_SCAN_OK:
+            path = n.relation().location().rootPaths().apply(0).toUri().getPath()
+            assert n.requiredSchema().size() < len(pq.read_schema(path).names), (name, path)
