@@ -152,6 +152,17 @@ def retention_matrix(t: Tables):
     return C.retention_matrix(rates, list(range(1, 13)))
 
 
+@register("retention_matrix_by_plan", "C7", f"""{_PLAN_RATES_SQL}
+SELECT * FROM (PIVOT plan_rates ON ('m' || cohort_index) USING avg(retention_rate)
+               GROUP BY subscription_type, cohort_month)""")
+def retention_matrix_by_plan(t: Tables):
+    """C7 per plan: (plan, cohort) x index matrix of the linear by-plan
+    rates.  The index columns are the indexes present in the data (one per
+    calendar month at most), found by Spark's pivot."""
+    rates = C.retention_rates_by_plan(_inv(t), _subs(t))
+    return C.retention_matrix(rates, keys=("subscription_type", "cohort_month"))
+
+
 @register("avg_retention_curve", "C8", f"""{_rates_sql(_AGE)}
 SELECT cohort_index, {_MEAN} AS avg_retention_rate FROM rates GROUP BY cohort_index""")
 def avg_retention_curve(t: Tables):
