@@ -61,5 +61,7 @@ STATUS_NAMES = {"F": "Paid", "O": "Pending", "P": "Partial"}
 AGE_BASE, AGE_SPAN = 18, 60
 # Risk bands for scored customers: high from 0.7, medium from 0.4
 RISK_BANDS = [(0.7, "High"), (0.4, "Medium"), (0.0, "Low")]
-HIST_BINS = 20
+HIST_BINS = 20          # numeric features split by churn
+HIST_BINS_FEATURES = 30  # distribution of each numeric feature
+HIST_BINS_WIDE = 50      # durations, invoice amounts, lifetime values
 QUANTILE_GRID = 100

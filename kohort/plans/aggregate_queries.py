@@ -433,6 +433,60 @@ def histogram_by_churn(t: Tables):
     return A.histogram(mart.customers(t), NUM, config.HIST_BINS, by=config.TARGET_COLUMN)
 
 
+def _plain_hist_sql(prefix: str, select: str, columns: list[str], bins: int) -> str:
+    """Equal-width histogram of each column of ``select`` over its own range."""
+    return f"""{prefix},
+src AS ({select}),
+long AS (UNPIVOT src ON {', '.join(columns)} INTO NAME column_name VALUE value),
+ranges AS (SELECT column_name, min(value) AS lo, max(value) AS hi FROM long GROUP BY 1),
+b AS (
+  SELECT l.column_name, r.lo, r.hi,
+         CAST(CASE WHEN r.hi - r.lo = 0 THEN 1
+                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * {bins}) + 1, {bins}) END AS INTEGER) AS bin
+  FROM long l JOIN ranges r ON l.column_name = r.column_name
+  WHERE l.value IS NOT NULL
+)
+SELECT column_name, bin, round(lo + (hi - lo) * (bin - 1) / {bins}, 6) AS bin_start, count(*) AS count
+FROM b GROUP BY column_name, bin, lo, hi"""
+
+
+_FEATURE_CASTS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUM)
+
+
+@register("histogram_features", "A24", _plain_hist_sql(
+    f"WITH {CUST}", f"SELECT {_FEATURE_CASTS} FROM customers", NUM, config.HIST_BINS_FEATURES))
+def histogram_features(t: Tables):
+    """30-bin distribution of every numeric customer feature."""
+    return A.histogram(mart.customers(t), NUM, config.HIST_BINS_FEATURES)
+
+
+@register("histogram_durations", "A24", _plain_hist_sql(
+    f"WITH {SUBS}",
+    f"""SELECT CAST(date_diff('day', start_date, end_date) AS DOUBLE) AS ended_days,
+       CAST(CASE WHEN is_active THEN date_diff('day', start_date, {AS_OF}) END AS DOUBLE) AS active_days
+FROM subscriptions""", ["ended_days", "active_days"], config.HIST_BINS_WIDE))
+def histogram_durations(t: Tables):
+    """50-bin distributions of ended and of active subscription
+    durations (days)."""
+    return A.histogram(CH.subscription_durations(_subs(t)), ["ended_days", "active_days"],
+                       config.HIST_BINS_WIDE)
+
+
+@register("histogram_amount", "A24", _plain_hist_sql(
+    f"WITH {INV}", "SELECT CAST(amount AS DOUBLE) AS amount FROM invoices", ["amount"],
+    config.HIST_BINS_WIDE))
+def histogram_amount(t: Tables):
+    """50-bin distribution of invoice amounts."""
+    return A.histogram(_inv(t), ["amount"], config.HIST_BINS_WIDE)
+
+
+@register("histogram_ltv", "A24", _plain_hist_sql(
+    _LTV, "SELECT lifetime_value FROM ltv", ["lifetime_value"], config.HIST_BINS_WIDE))
+def histogram_ltv(t: Tables):
+    """50-bin distribution of customer lifetime value."""
+    return A.histogram(R.customer_ltv(_inv(t), _subs(t)), ["lifetime_value"], config.HIST_BINS_WIDE)
+
+
 def _box_sql(prefix: str, table: str, col: str) -> str:
     return f"""{prefix},
 x AS (SELECT CAST({col} AS DOUBLE) AS x FROM {table} WHERE {col} IS NOT NULL),
