@@ -36,6 +36,7 @@ HIGH_RISK_THRESHOLD = 0.7
 HIGH_RISK_TOP = 10
 TOP_CLV = 20
 TOP_VALUES = 5
+TOP_VALUES_PLOT = 10     # top values per categorical column in the distribution plots
 CATEGORY_FILL = "Unknown"
 UNKNOWN_CODE = -1
 # Random-search ranges: trees 100-999, depth 3-9, feature share sqrt/log2/all,

@@ -88,6 +88,18 @@ def value_counts_contract(t: Tables):
     return A.value_counts(_subs(t, contract=True), "contract_length")
 
 
+@register("value_counts_active", "A2", _vc_sql(SUBS, "subscriptions", "is_active"))
+def value_counts_active(t: Tables):
+    """A2: active and inactive subscriptions with share."""
+    return A.value_counts(_subs(t), "is_active")
+
+
+@register("value_counts_late", "A2", _vc_sql(INV, "invoices", "paid_late"))
+def value_counts_late(t: Tables):
+    """A2: invoices paid late or on time, with share."""
+    return A.value_counts(_inv(t, late=True), "paid_late")
+
+
 @register("distinct_plans", "P10", f"""WITH {SUBS}
 SELECT DISTINCT subscription_type FROM subscriptions WHERE subscription_type IS NOT NULL""")
 def distinct_plans(t: Tables):

@@ -76,17 +76,27 @@ def feature_summary(t: Tables):
     return Q.feature_summary(mart.customers(t), NUM, CAT)
 
 
-@register("feature_top_values", "Q4", f"""WITH {CUST},
+def _top_values_sql(k: int) -> str:
+    return f"""WITH {CUST},
 long AS (UNPIVOT (SELECT {', '.join(CAT)} FROM customers) ON {', '.join(CAT)} INTO NAME feature VALUE value),
 counts AS (SELECT feature, value, count(*) AS count FROM long WHERE value IS NOT NULL GROUP BY 1, 2),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY feature ORDER BY count DESC, value) AS INTEGER) AS rank
            FROM counts)
-SELECT * FROM ranked WHERE rank <= {config.TOP_VALUES}""")
+SELECT * FROM ranked WHERE rank <= {k}"""
+
+
+@register("feature_top_values", "Q4", _top_values_sql(config.TOP_VALUES))
 def feature_top_values(t: Tables):
     """Q4: top five values of each categorical feature."""
     return Q.top_values(mart.customers(t), CAT, config.TOP_VALUES)
 
 
+@register("feature_top10_values", "O3", _top_values_sql(config.TOP_VALUES_PLOT))
+def feature_top10_values(t: Tables):
+    """O3: top ten values of each categorical feature (distribution plots)."""
+    return Q.top_values(mart.customers(t), CAT, config.TOP_VALUES_PLOT)
+
+
 def _quality_sql() -> str:
     n = len(COLS)
     miss = " + ".join(f"(count(*) - count({c}))" for c in COLS)
