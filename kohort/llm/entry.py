@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, html_text, language, quality_model, quality_rules, sharding
+from . import (
+    bpe,
+    exact_dedup,
+    html_text,
+    language,
+    packing,
+    quality_model,
+    quality_rules,
+    sharding,
+    signature_trees,
+)
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op2_sharding": sharding.op2_sharding,
     "op3_language_id": language.op3_language_id,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_html_extraction": html_text.op5_html_extraction,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_bpe": bpe.op7_bpe,
     "op8_quality_classifier": quality_model.op8_quality_classifier,
+    "op10_jaccard_join": signature_trees.op10_jaccard_join,
 }
 ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op6_quality_rules": quality_rules.SQL,
+    "op10_jaccard_join": signature_trees.SQL,
 }
