@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
+#: Spark's setting to drop shuffle files when the query that wrote them ends
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
@@ -52,11 +54,20 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor never forces the work before this
-    point to be repeated, and every later use reads the same rows.
+    point to be repeated, and every later use reads the same rows.  The
+    shuffle files of the finished write are no longer needed and are removed.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

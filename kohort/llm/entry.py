@@ -12,6 +12,7 @@ from . import (
     quality_rules,
     sharding,
     signature_trees,
+    suffix_dedup,
 )
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_bpe": bpe.op7_bpe,
     "op8_quality_classifier": quality_model.op8_quality_classifier,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_jaccard_join": signature_trees.op10_jaccard_join,
 }
 ORACLE = {
