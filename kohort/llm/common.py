@@ -76,6 +76,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def number_rows(df: DataFrame, group: str, chunk: Column, order: list[Column], out: str) -> DataFrame:
     """Gapless numbers from 0 within every ``group``, in ``out``.
 
@@ -84,12 +92,13 @@ def number_rows(df: DataFrame, group: str, chunk: Column, order: list[Column], o
     by the number of rows in the group's earlier chunks.  The shifts are one
     row per (group, chunk).
     """
-    df = df.withColumn("_chunk", chunk)
-    sizes = df.groupBy(group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(group, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(group, "_chunk").orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(inside).cast("long") - 1)
-    return (ranked.join(shifts, [group, "_chunk"])
-            .withColumn(out, F.col("_rank") + F.col("_shift"))
-            .drop("_chunk", "_rank", "_shift"))
+    part, n, shift, rank = (free_name(df, x) for x in ("_chunk", "_n", "_shift", "_rank"))
+    df = df.withColumn(part, chunk)
+    sizes = df.groupBy(group, part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(group, part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(shift))
+    inside = Window.partitionBy(group, part).orderBy(*order)
+    ranked = df.withColumn(rank, F.row_number().over(inside).cast("long") - 1)
+    return (ranked.join(shifts, [group, part])
+            .withColumn(out, F.col(rank) + F.col(shift))
+            .drop(part, rank, shift))

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_table, table
+from .common import free_name, shared_table, table
 
 MAX_DEPTH = 14
 BUCKET_BYTES = 64 * 1024 * 1024
@@ -110,14 +110,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index) -> DataFrame:
     """``docs`` with one row for each different text, all columns as they were."""
     _, nodes = build_index(docs, id_col, text_col, **index)
-    stays = nodes.select(F.col("sha256").alias("_sha"), F.col("keep_id").alias("_keep"))
+    names = docs.columns
+    sha, keep, n = (free_name(docs, x) for x in ("_sha", "_keep", "_n"))
+    stays = nodes.select(F.col("sha256").alias(keep + "sha"), F.col("keep_id").alias(keep))
     marked = docs.withColumn(
-        "_sha", F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)))
-    found = marked.join(stays, (marked["_sha"] == stays["_sha"])
-                        & marked[id_col].eqNullSafe(stays["_keep"]), "left_semi")
-    first = Window.partitionBy("_sha", id_col).orderBy(F.lit(0))
-    return (found.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+        sha, F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)))
+    found = marked.join(stays, (marked[sha] == stays[keep + "sha"])
+                        & marked[id_col].eqNullSafe(stays[keep]), "left_semi")
+    first = Window.partitionBy(sha, id_col).orderBy(F.lit(0))
+    return (found.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1)
+            .select(*[F.col(f"`{c}`") for c in names]))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

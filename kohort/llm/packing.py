@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import LEAF_CHARS, load
-from .common import number_rows, shared_table, table, tokenizer_path
+from .common import free_name, number_rows, shared_table, table, tokenizer_path
 
 SIZE = 1024
 SEPARATOR = 2
@@ -138,18 +138,20 @@ def place(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    nth, length, first, end, sequence, offset, each = (
+        free_name(pieces, x) for x in ("_nth", "_length", "_first", "_end", "_sequence", "_offset", "_each"))
     slots = spark.createDataFrame(
         plan(counts, size) or [(0, 0, 0, 0, 0, 1)],
-        "s_length long, first long, end long, first_sequence long, s_offset long, each long")
+        ", ".join(f"`{c}` long" for c in (length, first, end, sequence, offset, each)))
     h = F.xxhash64(F.col("doc_id"), F.col("piece"))
-    numbered = number_rows(pieces, "length", F.pmod(h, F.lit(CHUNKS)).cast("int"), [h, F.col("doc_id")], "nth")
+    numbered = number_rows(pieces, "length", F.pmod(h, F.lit(CHUNKS)).cast("int"), [h, F.col("doc_id")], nth)
     # a few thousand rows, whatever the input: see plan()
-    at = numbered.join(F.broadcast(slots), (F.col("length") == F.col("s_length"))
-                       & (F.col("nth") >= F.col("first")) & (F.col("nth") < F.col("end")))
-    k = F.col("nth") - F.col("first")
-    return (at.withColumn("sequence_id", F.col("first_sequence") + F.expr("(nth - first) div each"))
-            .withColumn("offset", F.col("s_offset") + (k % F.col("each")) * F.col("length"))
-            .drop("nth", "s_length", "first", "end", "first_sequence", "s_offset", "each"))
+    at = numbered.join(F.broadcast(slots), (F.col("length") == F.col(length))
+                       & (F.col(nth) >= F.col(first)) & (F.col(nth) < F.col(end)))
+    k = F.col(nth) - F.col(first)
+    return (at.withColumn("sequence_id", F.col(sequence) + F.expr(f"(`{nth}` - `{first}`) div `{each}`"))
+            .withColumn("offset", F.col(offset) + (k % F.col(each)) * F.col("length"))
+            .drop(nth, length, first, end, sequence, offset, each))
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import shared_table, table
+from .common import free_name, shared_table, table
 from .shingles import BYTE_HASH, mix, prefix_hash, span_hash
 
 WIDTH = 100
@@ -160,6 +160,8 @@ def _slices(docs: list[int | None], texts: list[str | None], width: int, gram: i
 def fold(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first copies, later copies) of equal strings; entries come out sorted."""
     e = e[np.lexsort((e["start"], e["doc"], e["print_"], e["key"]))]
+    if not len(e):
+        return e, e
     new = np.concatenate([[True], (e["key"][1:] != e["key"][:-1]) | (e["print_"][1:] != e["print_"][:-1])])
     head = e[np.flatnonzero(new)[np.cumsum(new) - 1]]
     same = (head["doc"] == e["doc"]) & (head["start"] == e["start"])
@@ -392,9 +394,10 @@ def repeated_spans(src: DataFrame, width: int = WIDTH) -> DataFrame:
 def _with_spans(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with all spans of a row's document in the last column."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(src, width).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("a", "b")).alias("_spans"))
-    return docs.join(spans, docs[id_col].cast("long") == spans["_doc"], "left").select(
-        *[docs[f"`{c}`"] for c in docs.columns], "_spans")
+    doc, found = free_name(docs, "_doc"), free_name(docs, "_spans")
+    spans = repeated_spans(src, width).groupBy(F.col("doc").alias(doc)).agg(F.collect_list(F.struct("a", "b")).alias(found))
+    return docs.join(spans, docs[id_col].cast("long") == spans[doc], "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], found)
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
