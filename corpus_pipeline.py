@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kohort.llm import exact_dedup, packing, quality_model, signature_trees, suffix_dedup
-from kohort.llm.common import shared_table, ship_package, table
+from kohort.llm.common import free_name, shared_table, ship_package, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group of near copies."""
     ship_package(spark)
     groups = signature_trees.jaccard_components(docs)
-    goes = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("_goes")).distinct()
-    return docs.join(goes, docs["doc_id"] == goes["_goes"], "left_anti")
+    name = free_name(docs, "_goes")
+    goes = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(goes, docs["doc_id"] == goes[name], "left_anti")
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
