@@ -131,38 +131,46 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
 
 
 def encode(docs: DataFrame, path: str | None = None, leaf: int = LEAF_CHARS,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array of int) for every row."""
+           id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """doc_id, ids (array of int) for every row; with ``decoded`` also the text of the ids."""
     path = path or tokenizer_path()
+    names = ["doc_id", "ids", "text"] if decoded else ["doc_id", "ids"]
+    schema = "doc_id long, ids array<int>" + (", text string" if decoded else "")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = F.char_length("text")
 
+    def rows(enc: Encoder, ids: pa.Array, coded: list[np.ndarray]) -> pa.RecordBatch:
+        columns = [ids, id_lists(coded)]
+        if decoded:
+            columns.append(pa.array([enc.decode(c) for c in coded], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names)
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), id_lists([enc.piece(t) for t in part.column(1).to_pylist()])], ["doc_id", "ids"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                yield rows(enc, part.column(0), [enc.piece(t) for t in part.column(1).to_pylist()])
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(path)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], id_lists([enc.piece(t) for t in batch.column(3).to_pylist()])],
-                ["doc_id", "sha", "leaf", "ids"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], id_lists([enc.piece(t) for t in part.column(3).to_pylist()])],
+                    ["doc_id", "sha", "leaf", "ids"])
 
     def joined(key, group):  # pa.Table in and out
         enc = load(path)
         group = group.sort_by("leaf").combine_chunks()
         order = group.column("leaf").to_numpy()
         copies = int((order == 0).sum())  # wholly equal rows: each leaf comes that often
-        parts = [ids for ids in _lists(group.column("ids").combine_chunks())][::copies]
-        ids = enc.join_all(parts)
-        return pa.table({"doc_id": pa.array([group.column("doc_id")[0].as_py()] * copies, pa.int64()),
-                         "ids": id_lists([ids] * copies)})
+        ids = enc.join_all(_lists(group.column("ids").combine_chunks())[::copies])
+        doc = pa.array([group.column("doc_id")[0].as_py()] * copies, pa.int64())
+        return pa.Table.from_batches([rows(enc, doc, [ids] * copies)])
 
-    short = src.where(n <= leaf).mapInArrow(whole, "doc_id long, ids array<int>")
+    short = src.where(n <= leaf).mapInArrow(whole, schema)
     starts = F.sequence(F.lit(0), F.ceil(n / leaf).cast("int") - 1)
     long = (src.where(n > leaf)
             .select("doc_id", F.sha2("text", 256).alias("sha"),
@@ -170,7 +178,7 @@ def encode(docs: DataFrame, path: str | None = None, leaf: int = LEAF_CHARS,
             .repartition("doc_id", "sha", "leaf")
             .mapInArrow(leaves, "doc_id long, sha string, leaf int, ids array<int>")
             # the leaves of one document: as large as the document itself
-            .groupBy("doc_id", "sha").applyInArrow(joined, "doc_id long, ids array<int>"))
+            .groupBy("doc_id", "sha").applyInArrow(joined, schema))
     return short.unionByName(long)
 
 
@@ -181,14 +189,16 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = load(path)
         for batch in batches:
-            texts = [enc.decode(ids) for ids in _lists(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                texts = [enc.decode(ids) for ids in _lists(part.column(1))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = decode(encode(table(spark, sf_dir, "documents")))
+    coded = encode(table(spark, sf_dir, "documents"), decoded=True)  # one Python worker for both
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
