@@ -18,6 +18,9 @@ similarity reaches a threshold.  No link is lost:
    shingles.  These are dealt by shingle; two documents that meet there, are
    not yet connected, and whose sizes and places in the order allow the
    overlap, are tested on their texts.  This finds every link between blocks.
+   First each class of connected documents is tested with one document
+   against the largest class it meets, which connects the classes of large
+   groups; then all pairs that are still between different classes.
 4. *Components* of all links, by joins.
 
 Sets are compared by 64-bit shingle hashes.
@@ -53,6 +56,7 @@ MAX_SALTS = 1024
 #: lengths of the two census lists; they only change the order of the work
 COMMON_SHINGLES = 200_000
 LARGE_BLOCKS = 100_000
+_ONE = np.uint64(1)
 LEAF_DOCS = 16
 FANOUT = 8
 CARRY = 256
@@ -365,67 +369,160 @@ def _entries(blob: bytes) -> np.ndarray:
     return e
 
 
+def _several(e: np.ndarray) -> np.ndarray:
+    """Entries, sorted by key, under which more than one class stands."""
+    if not len(e):
+        return e
+    new = np.flatnonzero(np.concatenate([[True], e["key"][1:] != e["key"][:-1]]))
+    one = np.minimum.reduceat(e["class_"], new) == np.maximum.reduceat(e["class_"], new)
+    return e[np.repeat(~one, np.diff([*new, len(e)]))]
+
+
+def _fits(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and places allow a link.
+
+    For the first shingle that two sets share, all before it are missing in
+    the other, so their places bound the overlap.
+    """
+    nx, ny = x["n"].astype(np.int64), y["n"].astype(np.int64)
+    most = np.minimum(nx - x["place"], ny - y["place"])
+    return (x["class_"] != y["class_"]) & (x["doc"] != y["doc"]) & ((100 + percent) * most >= percent * (nx + ny))
+
+
+def _pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.minimum(x["doc"], y["doc"]), np.maximum(x["doc"], y["doc"])])
+
+
+def meet_first(e: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """One document of each class against one of its key's largest class.
+
+    Returns those pairs and the entries of keys with more than two, where
+    other pairs remain.  As many pairs as classes, so a large group of near
+    copies that fell into several classes costs little.
+    """
+    e = _several(e[np.lexsort((e["n"], e["class_"], e["key"]))])
+    if not len(e):
+        return np.empty((0, 2), np.int64), e
+    of_key = np.concatenate([[True], e["key"][1:] != e["key"][:-1]])
+    of_class = of_key | np.concatenate([[True], e["class_"][1:] != e["class_"][:-1]])
+    at = np.flatnonzero(of_class)
+    many = np.diff([*at, len(e)])
+    middle = e[at + many // 2]
+    group = np.cumsum(of_key[at]) - 1
+    order = np.lexsort((-many, group))
+    largest = order[np.searchsorted(group[order], np.arange(group[-1] + 1))]
+    hub = middle[largest[group]]
+    ok = _fits(hub, middle, percent)
+    size = np.diff([*np.flatnonzero(of_key), len(e)])
+    return np.unique(_pairs(hub[ok], middle[ok]), axis=0), e[np.repeat(size > 2, size)]
+
+
 def meet(e: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (a < b) of one bucket's documents that may be linked and are not yet connected.
+    """All pairs (a < b) of documents of different classes that meet and may be linked.
 
     Entries of a key stand in the order of their set sizes; each is compared
-    with those after it until the sizes differ too much.  For the first
-    shingle that two sets share, all before it are missing in the other, so
-    their places bound the overlap.
+    with those after it until the sizes differ too much.
     """
-    e = e[np.lexsort((e["n"], e["key"]))]
-    key = e["key"]
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    one = np.minimum.reduceat(e["class_"], new) == np.maximum.reduceat(e["class_"], new)
-    e = e[np.repeat(~one, np.diff([*new, len(e)]))]
-    key, n, rest = e["key"], e["n"].astype(np.int64), (e["n"] - e["place"]).astype(np.int64)
+    e = _several(e[np.lexsort((e["n"], e["key"]))])
+    key, n = e["key"], e["n"].astype(np.int64)
     out, held = [np.empty((0, 2), np.int64)], 0
     live, d = np.arange(len(e) - 1), 1
     while len(live):
         live = live[live + d < len(e)]
-        other = live + d
-        near = (key[live] == key[other]) & (100 * n[live] >= percent * n[other])
-        live, other = live[near], other[near]
-        ok = ((e["class_"][live] != e["class_"][other]) & (e["doc"][live] != e["doc"][other])
-              & ((100 + percent) * np.minimum(rest[live], rest[other]) >= percent * (n[live] + n[other])))
+        near = (key[live] == key[live + d]) & (100 * n[live + d] * percent <= 10_000 * n[live])
+        live = live[near]
+        x, y = e[live], e[live + d]
+        ok = _fits(x, y, percent)
         if ok.any():
-            a, b = e["doc"][live[ok]], e["doc"][other[ok]]
-            out.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
+            out.append(_pairs(x[ok], y[ok]))
             held += len(out[-1])
             if held > 2_000_000:
-                out, held = [np.unique(np.concatenate(out), axis=0)], 0
+                out = [np.unique(np.concatenate(out), axis=0)]
+                held = 0
         d += 1
     return np.unique(np.concatenate(out), axis=0)
 
 
-def _meet(percent: int):
-    """Buckets in (sorted), out: kind 0 as it came, kind 2 (pair to be tested)."""
+_MET = "kind int, a long, b long, key long, n int, place int"
+_DOC, _PAIR, _REST = 0, 2, 3
+
+
+def _met(kind: int, a: np.ndarray, b: np.ndarray, key=None, n=None, place=None) -> pa.RecordBatch:
+    zero = np.zeros(len(a), np.int64)
+    cols = (np.full(len(a), kind), a, b, zero if key is None else key, zero if n is None else n, zero if place is None else place)
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(cols, types)],
+                                      ["kind", "a", "b", "key", "n", "place"])
+
+
+def _meet_first(percent: int):
+    """Buckets in (sorted); out: documents as they came, first pairs, and entries with more to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, blobs = None, []
 
-        def pairs() -> Iterator[pa.RecordBatch]:
-            found = meet(np.concatenate([_entries(b) for b in blobs]), percent)
-            for k in range(0, len(found), 100_000):
-                part = found[k:k + 100_000]
-                zero = pa.array(np.zeros(len(part), np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), 2, np.int32)), pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy()), zero],
-                    ["kind", "a", "b", "n"])
+        def bucket() -> Iterator[pa.RecordBatch]:
+            pairs, rest = meet_first(np.concatenate([_entries(b) for b in blobs]), percent)
+            if len(pairs):
+                yield _met(_PAIR, pairs[:, 0], pairs[:, 1])
+            if len(rest):
+                yield _met(_REST, rest["doc"], rest["class_"], rest["key"].view(np.int64), rest["n"], rest["place"])
 
         for batch in batches:
             kind = batch.column(1)
             plain = batch.filter(pa.compute.equal(kind, 0))
             if plain.num_rows:
-                yield plain.select(["kind", "a", "b", "n"])
+                a, b = (plain.column(i).to_pandas().astype("Int64") for i in (2, 3))
+                none = pa.array(np.zeros(plain.num_rows, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [plain.column(1), pa.array(a, pa.int64()), pa.array(b, pa.int64()), none.cast(pa.int64()), plain.column(4), none],
+                    ["kind", "a", "b", "key", "n", "place"])
             packed = batch.filter(pa.compute.equal(kind, 1))
-            for bucket, blob in zip(packed.column(0).to_pylist(), packed.column(5).to_pylist()):
-                if bucket != at:
-                    if blobs:
-                        yield from pairs()
-                    at, blobs = bucket, []
+            for k, blob in zip(packed.column(0).to_pylist(), packed.column(5).to_pylist()):
+                if k != at and blobs:
+                    yield from bucket()
+                    blobs = []
+                at = k
                 blobs.append(blob)
         if blobs:
+            yield from bucket()
+
+    return run
+
+
+def _meet_rest(percent: int):
+    """Entries sorted by key in; out: pairs.  Keys are taken together up to some number of entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            found = meet(np.concatenate(held), percent)
+            for k in range(0, len(found), 100_000):
+                part = found[k:k + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["a", "b"])
+
+        for batch in batches:
+            e = np.empty(batch.num_rows, _ENTRY)
+            for i, name in enumerate(("key", "doc", "class_", "n", "place")):
+                col = batch.column(i).to_numpy(zero_copy_only=False)
+                e[name] = col.view(np.uint64) if name == "key" else col
+            cut = 0
+            if size > 500_000 and e["key"][0] != held[-1]["key"][-1]:
+                yield from pairs()
+                held, size = [], 0
+            elif size > 500_000:  # finish the key that is open
+                cut = int((np.concatenate([e["key"], e["key"][-1:] + _ONE]) != held[-1]["key"][-1]).argmax())
+                if cut < len(e):
+                    held.append(e[:cut])
+                    yield from pairs()
+                    held, size = [], 0
+                else:
+                    cut = 0
+            held.append(e[cut:])
+            size += len(held[-1])
+        if held:
             yield from pairs()
 
     return run
@@ -457,16 +554,24 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
              .sortWithinPartitions("block", "salt", F.desc("pivot"), "doc_id"))
     worked = (dealt.mapInArrow(_work(words, percent, known.common, buckets), _WORKED)
               .repartition("bucket").sortWithinPartitions("bucket"))
-    found = shared_table(worked.mapInArrow(_meet(percent), "kind int, a long, b long, n int"), "jaccard")
-
-    pairs = found.where("kind = 2").select("a", "b").distinct()
-    ta = src.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    tb = src.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    tested = (pairs.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
-              .mapInArrow(_test(words, percent), "a long, b long"))
-    links = shared_table(tested.unionByName(found.where("kind = 0 AND a IS NOT NULL AND a <> b").select("a", "b")), "jaccard-links")
-    named = components(links)
-    rows = found.where("kind = 0 AND n >= 0").select(F.col("a").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"))
+    found = shared_table(worked.mapInArrow(_meet_first(percent), _MET), "jaccard")
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        ta = src.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
+        tb = src.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+        return (pairs.distinct().join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
+                .mapInArrow(_test(words, percent), "a long, b long"))
+
+    inside = found.where(f"kind = {_DOC} AND a IS NOT NULL AND a <> b").select("a", "b")
+    first = shared_table(tested(found.where(f"kind = {_PAIR}").select("a", "b")).unionByName(inside), "jaccard-links")
+    named = components(first)
+    rest = found.where(f"kind = {_REST}").join(named, F.col("b") == F.col("node"), "left").select(
+        "key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place")
+    more = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rest(percent), "a long, b long")
+    links = shared_table(tested(more), "jaccard-links")
+    if not links.isEmpty():
+        named = components(links.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    rows = found.where(f"kind = {_DOC} AND n >= 0").select(F.col("a").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"))
     return rows.join(named, rows["doc_id"] == named["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
