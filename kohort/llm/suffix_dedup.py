@@ -12,13 +12,13 @@ first, by content, into parts that hold every repeat:
 
 1. *Cut*: every window of ``width`` bytes is filed under the smallest hash of
    its 32-byte substrings.  Consecutive windows under one hash make one
-   string of ``width`` to ``width + 63`` bytes.  Equal windows get equal
+   string of ``width`` to ``2 width - 32`` bytes.  Equal windows get equal
    hashes, so they end up in the same part, wherever they stand.
 2. *Fold*: copies of a string are folded, in the task that cuts them and
    then per hash: all but the first are repeats in full.  Only hashes under
    which different strings remain go on, with one copy of each.
-3. *Build*: the strings of a part (a bounded number of hashes) go through
-   the transform, at most ``width + 63`` rounds.  Neighbouring suffixes with
+3. *Build*: the strings of a part (a bounded number of hashes) that can
+   repeat anything go through the transform, at most ``2 width - 32`` rounds.  Neighbouring suffixes with
    a common prefix of ``width`` or more are equal windows; all but the first
    of a class are repeats.
 4. *Apply*: the spans of each document are merged and cut out of its text.
@@ -54,8 +54,6 @@ from .shingles import BYTE_HASH, mix, prefix_hash, span_hash
 
 WIDTH = 100
 GRAM = 32
-#: windows in one string at most
-RUN = 64
 #: strings that are folded, and strings that go through the transform, at a time
 FOLD = 1_000_000
 PART = 4096
@@ -121,7 +119,8 @@ def cut_strings(docs: list[int], texts: list[bytes], width: int, gram: int) -> n
     new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (at[1:] != at[:-1] + 1)])
     first = np.flatnonzero(new)
     since = np.arange(len(at)) - np.repeat(first, np.diff([*first, len(at)]))
-    first = np.flatnonzero(since % RUN == 0)
+    # one substring is smallest in that many windows at most; longer runs repeat it
+    first = np.flatnonzero(since % (width - gram + 1) == 0)
     start = at[first]
     end = at[np.append(first[1:], len(at)) - 1] + width
     e = np.empty(len(first), _ENTRY)
@@ -302,25 +301,59 @@ def repeats(docs: np.ndarray, starts: np.ndarray, strings: list[bytes], width: i
     return merge_spans(doc[later], start[later], start[later] + width)
 
 
-def _build(width: int):
+def promising(keys: np.ndarray, strings: list[bytes], width: int, gram: int) -> np.ndarray:
+    """Which strings can share a window with another string of their key, or with themselves.
+
+    A window holds the key's substring and ``width - gram`` bytes around it,
+    so two equal windows agree, around that substring, in one of a few fixed
+    splits of those bytes into a left and a right part.  Strings that agree
+    with none in any split have no repeat and need no transform.
+    """
+    sizes = np.array([len(s) for s in strings])
+    begin = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    h = _gram_hashes(data, gram)
+    row = np.repeat(np.arange(len(strings)), sizes)[:len(h)]
+    at = np.flatnonzero(h == keys[row])
+    row = row[at]
+    left, right = at - begin[row], begin[row] + sizes[row] - at - gram
+    prefix, mark = prefix_hash(data), mix(keys[row])
+    keep = np.zeros(len(strings), bool)
+    around = width - gram
+    step = max(1, around // 4)
+    for a in range(0, around + 1, step):
+        b = max(0, around - a - step)
+        ok = np.flatnonzero((left >= a) & (right >= b))
+        found = span_hash(prefix, at[ok] - a, at[ok] + gram + b) ^ mark[ok]
+        order = np.argsort(found)
+        same = found[order][1:] == found[order][:-1]
+        keep[row[ok[order[1:][same]]]] = True
+        keep[row[ok[order[:-1][same]]]] = True
+        if not b:
+            break
+    return keep
+
+
+def _build(width: int, gram: int):
     """Strings sorted by key in; out: spans.  A part ends where a key ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        last = None
 
         def part() -> Iterator[pa.RecordBatch]:
-            found = repeats(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [r[2] for r in rows], width)
-            if len(found[0]):
-                yield _batch("doc long, a long, b long", *found)
+            keep = promising(np.array([r[0] for r in rows], np.int64).view(np.uint64), [r[3] for r in rows], width, gram)
+            some = [r for r, k in zip(rows, keep) if k]
+            if some:
+                found = repeats(np.array([r[1] for r in some]), np.array([r[2] for r in some]), [r[3] for r in some], width)
+                if len(found[0]):
+                    yield _batch("doc long, a long, b long", *found)
 
         for batch in batches:
-            for key, doc, a, data in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                if key != last and len(rows) >= PART:
+            for r in zip(*[batch.column(i).to_pylist() for i in range(4)]):
+                if len(rows) >= PART and r[0] != rows[-1][0]:
                     yield from part()
                     rows = []
-                last = key
-                rows.append((doc, a, data))
+                rows.append(r)
         if rows:
             yield from part()
 
@@ -387,7 +420,7 @@ def repeated_spans(src: DataFrame, width: int = WIDTH) -> DataFrame:
               .agg(F.collect_list(F.struct("key", "a", "b")).alias("wanted")))
     strings = (src.join(wanted, src["doc_id"] == wanted["doc"], "left").select("doc_id", "text", "wanted")
                .mapInArrow(_fetch, _BYTES).repartition("key").sortWithinPartitions("key"))
-    built = strings.mapInArrow(_build(width), "doc long, a long, b long")
+    built = strings.mapInArrow(_build(width, gram), "doc long, a long, b long")
     return found.where(f"kind = {_SPAN}").select("doc", "a", "b").unionByName(built)
 
 
