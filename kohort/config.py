@@ -17,7 +17,6 @@ NUMERICAL_FEATURES = [
     "payment_delay", "total_spend", "last_interaction",
 ]
 ORDINAL_FEATURES = ["subscription_type", "contract_length"]
-DROP_FEATURES = ["gender"]
 TARGET_COLUMN = "churn"
 CUSTOMER_ID_COLUMN = "customerid"
 MONITORING_COLUMNS = [
@@ -46,7 +45,8 @@ SEARCH_DEPTH = (3, 10)
 SEARCH_FEATURES = ["sqrt", "log2", "all"]
 SEARCH_CLASS_WEIGHT = [None, "balanced"]
 SEARCH_SAMPLE_SHARE = (0.5, 1.0)
-# Declared estimator settings (logistic regression, boosted trees, forest)
+# Declared estimator settings (logistic regression, boosted trees, and the
+# forest of the model configuration; the pipeline's own forest has no depth limit)
 LOGREG_PARAMS = {"C": 1.0, "max_iter": 1000}
 BOOSTED_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1}
 FOREST_PARAMS = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 2}
@@ -54,6 +54,7 @@ FOREST_PARAMS = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 2}
 # ---------------------------------------------------------------------------
 # Parameters of the test mart built from the driver tables (our choice)
 # ---------------------------------------------------------------------------
+FIRST_YEAR = 1995                     # of the orders
 AS_OF = _dt.date(2001, 8, 1)          # last order date: "now" for durations
 CUTOFF = _dt.date(2001, 2, 1)         # features before, label after
 REFERENCE_CUTOFF = _dt.date(2000, 2, 1)  # earlier snapshot for drift

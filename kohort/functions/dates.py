@@ -50,13 +50,3 @@ def parse_date(c, fmt: str | None = None) -> Column:
     c = _col(c)
     parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
     return parsed.cast("date")
-
-
-def format_month(c) -> Column:
-    """F8: ``yyyy-MM`` label of a month."""
-    return F.date_format(_col(c), "yyyy-MM")
-
-
-def days_between(end, start) -> Column:
-    """whole days from ``start`` to ``end``."""
-    return F.datediff(_col(end), _col(start))

@@ -6,14 +6,13 @@ import re
 
 from pyspark.sql import DataFrame
 
-# The name rule is strip, lower case, then ' ' -> '_' and
-# '-' -> '_' (no camelCase split).
-_SPACE, _DASH = " ", "-"
+#: fixed values: characters that become an underscore (no camelCase split)
+SEPARATORS = " -"
 
 
 def normalise_name(name: str) -> str:
     """P1 on one name: ``" Last Interaction "`` -> ``last_interaction``."""
-    return name.strip().lower().replace(_SPACE, "_").replace(_DASH, "_")
+    return "".join("_" if c in SEPARATORS else c for c in name.strip().lower())
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:

@@ -37,8 +37,3 @@ def safe_corr(a, b) -> Column:
     sa = F.stddev_samp(F.when(both, a))
     sb = F.stddev_samp(F.when(both, b))
     return F.try_divide(F.covar_samp(a, b), sa * sb)
-
-
-def money_sum(c) -> Column:
-    """Exact decimal sum, returned as DOUBLE (order-independent)."""
-    return F.sum(_col(c).cast("decimal(18,2)")).cast("double")

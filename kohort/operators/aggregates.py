@@ -44,10 +44,11 @@ def unpivot(df: DataFrame, ids: list[str], columns: list[str],
 
 # ------------------------------------------------------------------ A2, P10
 def value_counts(df: DataFrame, column: str, name: str = "value") -> DataFrame:
-    """A2: frequency per non-null value with its share of the counted rows.
+    """A2: frequency per non-null value with its share of the counted rows,
+    most frequent first (ties by value).
 
     -> value, count, share_pct.  The total is a one-row aggregate of the
-    counts, broadcast back (no single-task window).
+    counts, inlined as a scalar (no single-task window).
     """
     counts = (df.where(F.col(column).isNotNull())
               .groupBy(F.col(column).alias(name))
@@ -55,7 +56,8 @@ def value_counts(df: DataFrame, column: str, name: str = "value") -> DataFrame:
     total = counts.agg(F.sum("count").alias("__total"))
     return (attach_scalars(counts, total)
             .withColumn("share_pct", F.col("count") * 100 / F.col("__total"))
-            .drop("__total"))
+            .drop("__total")
+            .orderBy(F.desc("count"), F.asc(name)))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -77,8 +79,9 @@ def pivot_counts(df: DataFrame, row_key: Column | str, pivot_col: str,
     """Two-key counts with the second key as columns.
 
     Missing combinations stay null (``fill`` replaces them).  Without
-    ``values`` Spark collects the distinct pivot values first; their number
-    is the cardinality of a categorical column.
+    ``values`` every value in the data becomes a column: Spark collects the
+    distinct values first and fails when there are more than
+    ``spark.sql.pivotMaxValues``.
     """
     out = (df.where(F.col(pivot_col).isNotNull())
            .groupBy(row_key).pivot(pivot_col, values).count())
@@ -90,25 +93,27 @@ STAT_NAMES = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
 def describe(df: DataFrame, columns: list[str], by: str | None = None,
-             digits: int = 4, method: str = "auto") -> DataFrame:
+             digits: int = 4) -> DataFrame:
     """Count, mean, std (sample), min, exact quartiles, max.
 
-    Moments come from one aggregate over all columns; quartiles from one
-    exact-quantile pass over the long form (group = column [and ``by``]),
-    see :mod:`kohort.operators.quantiles`.  Result: one row per
-    (group, column).
+    The long form (group = column [and ``by``]) is written once; moments
+    are one aggregate over it, quartiles come from
+    :mod:`kohort.operators.quantiles`.  Result: one row per (group, column).
     """
+    from ..sources.files import shared_table
     from .quantiles import quantile_array
 
     ids = [by] if by else []
-    long = unpivot(df, ids, columns).where(F.col("value").isNotNull())
+    long = shared_table(unpivot(df, ids, columns).where(F.col("value").isNotNull()), "long")
     moments = long.groupBy(*ids, "column_name").agg(
         F.count("value").alias("count"),
         F.round(F.avg("value"), digits).alias("mean"),
         F.round(F.stddev_samp("value"), digits).alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    quart = quantile_array(long, "value", [0.25, 0.5, 0.75], ids + ["column_name"], method, name="q")
-    out = moments.join(quart, ids + ["column_name"], "left")
+    quart = quantile_array(long, "value", [0.25, 0.5, 0.75], ids + ["column_name"], name="q", written=True) \
+        .withColumnsRenamed({k: f"__{k}" for k in ids + ["column_name"]})
+    same = [moments[k].eqNullSafe(quart[f"__{k}"]) for k in ids + ["column_name"]]
+    out = moments.join(quart, same, "left")
     return out.select(*ids, "column_name", "count", "mean", "std", "min",
                       *[F.round(F.col("q")[i], digits).alias(n) for i, n in enumerate(["p25", "p50", "p75"])],
                       "max")
@@ -130,15 +135,27 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 6) -> Da
     complete rows), long form -> col_a, col_b, corr.
 
     All pairs are computed in one aggregate; a constant column gives null
-    instead of an error.
+    instead of an error.  One row read first tells which columns are
+    constant and which have nulls: only pairs with nulls need the guarded
+    form, which follows the rows where both are present.
     """
     if len(columns) < 2:
         raise ValueError("need at least two columns for a correlation matrix")
+    checks = df.agg(*[F.min(_q(c)).eqNullSafe(F.max(_q(c))).alias(f"c{i}") for i, c in enumerate(columns)],
+                    *[F.count_if(F.col(_q(c)).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    constant = {c for i, c in enumerate(columns) if checks[f"c{i}"]}
+    nulls = {c for i, c in enumerate(columns) if checks[f"n{i}"]}
     aggs, pairs = [], []
     for i, a in enumerate(columns):
         for b in columns[i:]:
             name = f"{a}__{b}"
-            aggs.append(F.round(safe_corr(a, b), digits).alias(name))
+            if constant & {a, b}:
+                value = F.lit(None).cast("double")
+            elif nulls & {a, b}:
+                value = safe_corr(_q(a), _q(b))
+            else:
+                value = F.corr(F.col(_q(a)).cast("double"), F.col(_q(b)).cast("double"))
+            aggs.append(F.round(F.max(value) if constant & {a, b} else value, digits).alias(name))
             pairs.append(f"'{a}', '{b}', `{name}`")
             if a != b:
                 pairs.append(f"'{b}', '{a}', `{name}`")
@@ -151,33 +168,47 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: str | None = Non
               digits: int = 6) -> DataFrame:
     """Equal-width bin counts over each column's min..max.
 
-    Bins are shared across the ``by`` groups (one range per column).  The
+    Bins are shared across the ``by`` groups (one range per column), and
+    every column [and group] has all of them, empty ones with count 0.  The
     maximum falls in the last bin; a constant column puts everything in
     bin 1.  -> column_name, [by,] bin, bin_start, count.
     """
+    from ..sources.files import shared_table
+
     ids = [by] if by else []
-    long = unpivot(df, ids, columns).where(F.col("value").isNotNull())
+    long = shared_table(unpivot(df, ids, columns).where(F.col("value").isNotNull()), "long")
     ranges = long.groupBy("column_name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # one row per column: broadcast, bounded by the number of columns
     joined = long.join(F.broadcast(ranges), "column_name")
     width = F.col("hi") - F.col("lo")
     raw = F.floor((F.col("value") - F.col("lo")) / width * bins) + 1
     bin_ = F.when(width == 0, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")
-    counted = (joined.groupBy("column_name", *ids, bin_.alias("bin"), "lo", "hi")
-               .agg(F.count(F.lit(1)).alias("count")))
+    counted = (joined.groupBy(F.col("column_name").alias("__c"), *[F.col(_q(k)).alias("__by") for k in ids], bin_.alias("__bin"))
+               .agg(F.count(F.lit(1)).alias("__n")))
+    grid = ranges
+    if by:  # the groups are classes: their list is one small value
+        groups = long.agg(F.collect_set(F.struct(F.col(_q(by)).alias("g"))).alias("__groups"))
+        grid = attach_scalars(grid, groups).select("column_name", "lo", "hi", F.explode("__groups").alias("__g")) \
+            .select("column_name", "lo", "hi", F.col("__g.g").alias(by))
+    grid = grid.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+    same = (F.col("column_name") == F.col("__c")) & (F.col("bin") == F.col("__bin"))
+    if by:
+        same = same & F.col(_q(by)).eqNullSafe(F.col("__by"))
     start = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("bin") - 1) / bins
-    return counted.select("column_name", *ids, "bin", F.round(start, digits).alias("bin_start"), "count")
+    return grid.join(counted, same, "left").select(
+        "column_name", *ids, "bin", F.round(start, digits).alias("bin_start"), F.coalesce("__n", F.lit(0)).alias("count"))
 
 
 # ------------------------------------------------------------------ A25
 def boxplot_stats(df: DataFrame, column: str, whisker: float = 1.5,
-                  digits: int = 6, method: str = "auto") -> DataFrame:
+                  digits: int = 6) -> DataFrame:
     """Quartiles, whiskers (most extreme values within ``whisker`` x
     IQR of the quartiles) and the number of points outside them."""
+    from ..sources.files import shared_table
     from .quantiles import quantile_array
 
-    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
-    quart = quantile_array(x, "x", [0.25, 0.5, 0.75], method=method, name="q").select(
+    x = shared_table(df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull()), "values")
+    quart = quantile_array(x, "x", [0.25, 0.5, 0.75], name="q", written=True).select(
         F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     quart = quart.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - whisker * F.col("iqr")

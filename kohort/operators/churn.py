@@ -16,28 +16,28 @@ DEC_SUM = "decimal(28,2)"
 
 
 # ------------------------------------------------------------------ A1, A26
-def churn_distribution(customers: DataFrame, method: str = "auto") -> DataFrame:
+def churn_distribution(customers: DataFrame) -> DataFrame:
     """A1: per (subscription_type, churn): customers, mean and median
     support calls (median = continuous 0.5 percentile, nulls ignored)."""
     keys = ["subscription_type", "churn"]
     x = F.col("support_calls").cast("double")
     base = customers.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_customers"),
                                         F.avg(x).alias("avg_support_calls"))
-    med = median_table(customers, "support_calls", keys, method, name="median_support_calls")
+    med = median_table(customers, "support_calls", keys, name="median_support_calls")
     # null-safe key match: SQL groups a null plan too
     return (base.join(med, [base[k].eqNullSafe(med[k]) for k in keys], "left")
             .select(*[base[k] for k in keys], "total_customers", "avg_support_calls",
                     "median_support_calls"))
 
 
-def churn_by_plan_series(customers: DataFrame, labels: tuple[int, ...] = (0, 1),
-                         method: str = "auto") -> DataFrame:
+def churn_by_plan_series(customers: DataFrame, labels: list[int] | None = None) -> DataFrame:
     """A1 as bar-chart series: one row per plan, one column per
     (statistic, churn label), e.g. ``total_customers_1``.  The pivot runs
-    on A1's small result."""
-    dist = churn_distribution(customers, method)
+    on A1's small result; without ``labels`` every label in the data gets
+    its columns."""
+    dist = churn_distribution(customers)
     stats = ["total_customers", "avg_support_calls", "median_support_calls"]
-    wide = (dist.groupBy("subscription_type").pivot("churn", list(labels))
+    wide = (dist.groupBy("subscription_type").pivot("churn", labels)
             .agg(*[F.first(c).alias(c) for c in stats]))
     names = ["subscription_type"]
     for c in wide.columns[1:]:
@@ -131,6 +131,7 @@ def missing_and_range(subscriptions: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A20
+# fixed values: the labels of the summary table
 KPI_NAMES = [
     "Total Subscriptions", "Total Invoices", "Unique Customers",
     "Total Revenue", "Average Invoice Amount", "Active Subscriptions",
@@ -171,8 +172,8 @@ def kpi_summary(subscriptions: DataFrame, invoices: DataFrame) -> DataFrame:
     n = KPI_NAMES
     return (rows(s, [(n[0], "subs"), (n[2], "customers"), (n[5], "active"), (n[6], "ended"),
                      (n[7], "try_divide(ended * 100, subs)")])
-            .unionByName(rows(i, [(n[1], "invoices"), (n[3], "revenue"),
-                                  (n[4], "CAST(revenue AS DOUBLE) / amounts"),
+            .unionByName(rows(i, [(n[1], "invoices"), (n[3], "coalesce(revenue, 0)"),
+                                  (n[4], "try_divide(CAST(revenue AS DOUBLE), amounts)"),
                                   (n[8], "try_divide(late * 100, invoices)")]))
-            .unionByName(rows(ltv, [(n[9], "CAST(ltv_sum AS DOUBLE) / ltv_n")]))
-            .unionByName(rows(per_cust, [(n[10], "members / groups")])))
+            .unionByName(rows(ltv, [(n[9], "try_divide(CAST(ltv_sum AS DOUBLE), ltv_n)")]))
+            .unionByName(rows(per_cust, [(n[10], "try_divide(members, groups)")])))

@@ -1,8 +1,8 @@
 """Projection and cleaning operators.
 
-Imputation values are one-row aggregates attached by a broadcast of that
-one row, so cleaning stays a lazy plan; only the decision *whether* a column
-needs a median (its null count) is read on the driver, a single row.
+Imputation values are one row, inlined as scalars.  Cleaning writes the
+deduplicated rows once and reads one row on the driver: which columns need a
+median at all.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import parse_date
 from ..functions.names import normalise_columns, rename_columns
+from ..sources.files import shared_table
 from .aggregates import attach_scalars, unpivot
 from .quantiles import median_table
 
 __all__ = ["normalise_columns", "rename_columns", "to_nullable_long", "parse_dates",
            "select_present", "drop_duplicates", "null_rows", "split_features_target",
-           "clean", "fit_medians", "apply_medians", "materialise"]
+           "clean", "fit_medians", "apply_medians"]
 
 
 def _q(name: str) -> str:
@@ -59,14 +60,14 @@ def split_features_target(df: DataFrame, target: str = config.TARGET_COLUMN):
     return df.drop(target), df.select(*keep, target)
 
 
-def fit_medians(df: DataFrame, numeric: list[str], method: str = "auto") -> DataFrame:
+def fit_medians(df: DataFrame, numeric: list[str]) -> DataFrame:
     """Exact median of each numeric column -> one row ``<col>__median``.
 
     One exact-quantile pass over the long form (group = column); the small
     result is pivoted to one row with explicit column values.
     """
     long = unpivot(df, [], numeric).where(F.col("value").isNotNull())
-    med = median_table(long, "value", ["column_name"], method)
+    med = median_table(long, "value", ["column_name"])
     wide = med.groupBy().pivot("column_name", numeric).agg(F.first("median"))
     return wide.select(*[F.col(_q(c)).cast("double").alias(f"{c}__median") for c in numeric])
 
@@ -79,45 +80,30 @@ def apply_medians(df: DataFrame, medians: DataFrame, numeric: list[str]) -> Data
     return joined.withColumns(filled).drop(*[f"{c}__median" for c in numeric])
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` to the session's checkpoint folder
-    (``spark.checkpoint.dir``, shared storage on a cluster) and continue
-    from the files.  Later jobs (null checks, fits, quantile passes) read the
-    result instead of recomputing its joins, and a lost executor recomputes
-    from the checkpoint."""
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def clean(df: DataFrame, numeric: list[str] | None = None,
           categorical: list[str] | None = None, fill: str = config.CATEGORY_FILL,
-          checkpoint: bool = True) -> DataFrame:
+          keep: list[str] | None = None) -> DataFrame:
     """M1: drop duplicate rows, then fill missing numeric values with the
-    column median (only if any numeric value is missing) and missing
-    categories with ``fill``.
+    column median and missing categories with ``fill``.
 
-    When anything is missing, all listed numeric columns are returned as
-    DOUBLE; otherwise types are unchanged.  With ``checkpoint`` the
-    deduplicated rows are materialised once (:func:`materialise`) before the
-    null check and the median pass read them.
+    All listed numeric columns are returned as DOUBLE, whatever the data.
+    ``keep``: the columns to go on with after the duplicates are gone.  The
+    deduplicated rows are written once; the null check and the medians read
+    them.
     """
-    numeric = [c for c in (numeric or config.NUMERICAL_FEATURES) if c in df.columns]
-    categorical = [c for c in (categorical or config.ORDINAL_FEATURES) if c in df.columns]
     out = df.dropDuplicates()
-    if checkpoint:
-        out = materialise(out)
-        df = out
+    if keep is not None:
+        out = select_present(out, keep)
+    names = out.columns
+    numeric = [c for c in (numeric or config.NUMERICAL_FEATURES) if c in names]
+    categorical = [c for c in (categorical or config.ORDINAL_FEATURES) if c in names]
+    out = shared_table(out, "clean")
     if numeric:
-        # one-row aggregate read on the driver: which columns have nulls.
-        # Deduplication keeps a copy of every distinct row, so the answer
-        # is the same before it.
-        counts = df.agg(*[F.count_if(F.col(_q(c)).isNull()).alias(c) for c in numeric]).first()
-        needs = [c for c in numeric if counts[c] > 0]
+        counts = out.agg(*[F.count_if(F.col(_q(c)).isNull()).alias(f"n{i}") for i, c in enumerate(numeric)]).first()
+        needs = [c for i, c in enumerate(numeric) if counts[f"n{i}"]]
         if needs:
             out = apply_medians(out, fit_medians(out, needs), needs)
-            out = out.withColumns({c: F.col(_q(c)).cast("double") for c in numeric if c not in needs})
+        out = out.withColumns({c: F.col(_q(c)).cast("double") for c in numeric})
     if categorical:
         out = out.fillna(fill, subset=categorical)
-    return out.select(*[_q(c) for c in df.columns])
+    return out.select(*[_q(c) for c in names])

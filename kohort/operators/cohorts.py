@@ -3,11 +3,10 @@
 Plan shape, chosen for very large invoice tables with hot keys:
 
 * retention counts (C4-C6) join invoices to subscriptions once, then
-  aggregate per customer the set of its invoice months: partial
-  aggregation folds a hot customer map-side and the set is bounded by the
-  number of calendar months.  Cohort month and indexes come from array
-  functions on that set, so there is no join back and no window over
-  invoice rows;
+  fold each customer's invoice months into a bitmap of the calendar: a
+  fixed-width hash aggregate that folds a hot customer map-side.  Cohort
+  month and indexes come from functions on the bitmap, so there is no join
+  back and no window over invoice rows;
 * the first invoice month per customer (C2) is an aggregate over
   invoices folded per subscription, never a window over raw rows;
 * the per-invoice index rows (C3) need every invoice: a sort-merge join
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions.dates import cohort_index, month_start
+from ..functions.dates import cohort_index, month_number, month_start
 from ..functions.numeric import ratio_rounded
 
 
@@ -34,12 +33,14 @@ from ..functions.numeric import ratio_rounded
 def acquisition_cohorts(subscriptions: DataFrame) -> DataFrame:
     """First subscription start per customer, as a month.
 
-    -> customer_id, acquisition_month.  Null customer ids form no cohort.
+    -> customer_id, acquisition_month, by month and
+    customer.  Null customer ids form no cohort.
     """
     return (subscriptions
             .where(F.col("customer_id").isNotNull())
             .groupBy("customer_id")
-            .agg(month_start(F.min(F.col("start_date").cast("date"))).alias("acquisition_month")))
+            .agg(month_start(F.min(F.col("start_date").cast("date"))).alias("acquisition_month"))
+            .orderBy("acquisition_month", "customer_id"))
 
 
 def _plan_customers(subscriptions: DataFrame, with_plan: bool = False) -> DataFrame:
@@ -93,24 +94,60 @@ def cohort_index_rows(invoices: DataFrame, subscriptions: DataFrame,
 
 
 # ---------------------------------------------------------------- C4, C5
+MONTHS_PER_WORD = 62
+
+
+def _calendar(invoices: DataFrame) -> tuple[int, int]:
+    """Linear number of the first invoice month, and the number of months
+    (one row read on the driver; (0, 0) without invoices)."""
+    row = invoices.agg(F.min(month_number("invoice_date")).alias("lo"), F.max(month_number("invoice_date")).alias("hi")).first()
+    return (0, 0) if row.lo is None else (row.lo, row.hi - row.lo + 1)
+
+
 def customer_months(invoices: DataFrame, subscriptions: DataFrame,
                     with_plan: bool = False) -> DataFrame:
-    """Distinct invoice months of each customer (with the plan if asked).
-
-    -> customer_id, items: array of months (or of (subscription_type, m)
-    structs).  One join on ``subscription_id`` (J1: Spark broadcasts a
-    small subscription table, else sort-merge with AQE splitting a hot
-    subscription) and one aggregate by customer; the partial aggregate
-    folds a hot customer's invoices map-side, and a customer's set holds at
-    most one entry per calendar month (per plan) — a bound that does not
-    grow with the invoice count.  Folding invoices per subscription before
-    the join was measured and dropped: equal shuffle bytes when both tables
-    are large, twice the bytes when the subscriptions can be broadcast.
+    """Distinct invoice months of each customer (per plan if asked).
+
+    -> customer_id, [subscription_type,] months: ascending linear month
+    numbers.  One join on ``subscription_id`` (J1: Spark broadcasts a small
+    subscription table, else sort-merge with AQE splitting a hot
+    subscription) and one hash aggregate over ``bit_or`` of month bits; its
+    state is one bit per calendar month, whatever the number of invoices.
     """
-    inv = invoices.select("subscription_id", month_start("invoice_date").alias("m"))
+    first, n = _calendar(invoices)
+    keys = ["customer_id"] + (["subscription_type"] if with_plan else [])
+    inv = invoices.select("subscription_id", (month_number("invoice_date") - first).alias("m"))
     j = inv.join(_plan_customers(subscriptions, with_plan), "subscription_id")
-    item = F.struct("subscription_type", "m") if with_plan else F.col("m")
-    return j.groupBy("customer_id").agg(F.collect_set(item).alias("items"))
+    words = max(1, -(-n // MONTHS_PER_WORD))
+    bit = F.expr(f"shiftleft(1L, cast(m % {MONTHS_PER_WORD} as int))")
+    per = j.groupBy(*keys).agg(*[
+        F.bit_or(F.when(F.expr(f"m div {MONTHS_PER_WORD} = {w}"), bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}")
+        for w in range(words)])
+
+    def set_months(w: int):
+        size = min(MONTHS_PER_WORD, n - w * MONTHS_PER_WORD)
+        if size <= 0:
+            return F.array().cast("array<int>")
+        bits = F.filter(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.getbit(F.col(f"w{w}"), i) == 1)
+        return F.transform(bits, lambda i: i + (first + w * MONTHS_PER_WORD))
+
+    months = [set_months(w) for w in range(words)]
+    return per.select(*keys, (F.concat(*months) if words > 1 else months[0]).alias("months"))
+
+
+def _index(month, cohort, mode: str):
+    """Cohort index of linear month numbers (see :func:`cohort_index`)."""
+    since = month - cohort
+    if mode == "linear":
+        return (since + 1).cast("int")
+    if mode == "age":
+        return (F.pmod(since, F.lit(12)) + 1).cast("int")
+    raise ValueError(f"unknown cohort index mode {mode!r}")
+
+
+def _month_date(number):
+    """First day of a linear month number."""
+    return F.expr(f"make_date(cast(({number} - 1) div 12 as int), cast(pmod({number} - 1, 12) + 1 as int), 1)")
 
 
 def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
@@ -119,16 +156,21 @@ def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
 
     The cohort is the customer's first invoice month; each customer counts
     once per index (``array_distinct``: in ``age`` mode months 0 and 12 are
-    both index 1).  -> cohort_month, cohort_index, num_customers.
+    both index 1).  -> cohort_month, cohort_index, num_customers, in that
+    order (O1; a sort of the count table).
     """
+    return _counts(invoices, subscriptions, mode).orderBy("cohort_month", "cohort_index")
+
+
+def _counts(invoices: DataFrame, subscriptions: DataFrame, mode: str) -> DataFrame:
     per = customer_months(invoices, subscriptions)
-    # J2 in array form: the cohort is the minimum of the customer's own
-    # month set, so the first-month aggregate is never joined back
-    cohort = F.array_min("items")
-    indexes = F.array_distinct(F.transform("items", lambda m: cohort_index(m, cohort, mode)))
-    rows = per.select(cohort.alias("cohort_month"), F.explode(indexes).alias("cohort_index"))
-    return (rows.groupBy("cohort_month", "cohort_index")
-            .agg(F.count(F.lit(1)).alias("num_customers")))
+    # J2 on the customer's own months: the first-month aggregate is never joined back
+    cohort = F.get("months", F.lit(0))
+    indexes = F.array_distinct(F.transform("months", lambda m: _index(m, cohort, mode)))
+    rows = per.select(cohort.alias("cohort"), F.explode(indexes).alias("cohort_index"))
+    return (rows.groupBy("cohort", "cohort_index")
+            .agg(F.count(F.lit(1)).alias("num_customers"))
+            .select(_month_date("cohort").alias("cohort_month"), "cohort_index", "num_customers"))
 
 
 def _with_size(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -152,9 +194,10 @@ def retention_rates(invoices: DataFrame, subscriptions: DataFrame,
     the index-1 count: no second pass over invoices.
     -> cohort_month, cohort_index, num_customers, cohort_size, retention_rate.
     """
-    counts = retention_counts(invoices, subscriptions, mode)
+    counts = _counts(invoices, subscriptions, mode)
     return _with_size(counts, ["cohort_month"]).select(
-        "cohort_month", "cohort_index", "num_customers", "cohort_size", "retention_rate")
+        "cohort_month", "cohort_index", "num_customers", "cohort_size", "retention_rate") \
+        .orderBy("cohort_month", "cohort_index")
 
 
 # ---------------------------------------------------------------- C6
@@ -167,18 +210,17 @@ def retention_rates_by_plan(invoices: DataFrame, subscriptions: DataFrame,
     1 and a plan/cohort pair without index-1 customers is dropped.
     """
     per = customer_months(invoices, subscriptions, with_plan=True)
-    cohort = F.array_min(F.transform("items", lambda s: s["m"]))
-    pairs = F.array_distinct(F.transform(
-        "items", lambda s: F.struct(s["subscription_type"].alias("p"),
-                                    cohort_index(s["m"], cohort, mode).alias("i"))))
-    rows = (per.select(cohort.alias("cohort_month"), F.explode(pairs).alias("x"))
-            .select(F.col("x.p").alias("subscription_type"), "cohort_month",
-                    F.col("x.i").alias("cohort_index")))
-    counts = (rows.groupBy("subscription_type", "cohort_month", "cohort_index")
-              .agg(F.count(F.lit(1)).alias("num_customers")))
+    # one row per customer and plan: the cohort is the first month over all plans
+    cohort = F.min(F.get("months", F.lit(0))).over(Window.partitionBy("customer_id"))
+    per = per.withColumn("cohort", cohort)
+    indexes = F.array_distinct(F.transform("months", lambda m: _index(m, F.col("cohort"), mode)))
+    counts = (per.select("subscription_type", "cohort", F.explode(indexes).alias("cohort_index"))
+              .groupBy("subscription_type", "cohort", "cohort_index")
+              .agg(F.count(F.lit(1)).alias("num_customers"))
+              .select("subscription_type", _month_date("cohort").alias("cohort_month"), "cohort_index", "num_customers"))
     return _with_size(counts, ["subscription_type", "cohort_month"]).select(
         "subscription_type", "cohort_month", "cohort_index", "num_customers",
-        "cohort_size", "retention_rate")
+        "cohort_size", "retention_rate").orderBy("subscription_type", "cohort_month", "cohort_index")
 
 
 # ---------------------------------------------------------------- C7-C10, C13
@@ -190,10 +232,15 @@ def retention_matrix(rates: DataFrame, indexes: list[int] | None = None,
                      keys: tuple[str, ...] = ("cohort_month",)) -> DataFrame:
     """Pivot rates to one row per cohort and one column per index.
 
-    ``indexes`` fixes the columns (1..12 for age mode); without it Spark
-    first collects the distinct indexes (bounded by the number of months).
-    Duplicate cells are averaged; missing cells stay null.
+    ``indexes`` fixes the columns (1..12 for age mode); an index outside
+    them is an error, never left out.  Without it Spark first collects the
+    distinct indexes (bounded by the number of months).  Duplicate cells are
+    averaged; missing cells stay null.
     """
+    if indexes is not None:
+        known = F.col("cohort_index").isin(list(indexes))
+        rates = rates.withColumn("cohort_index", F.when(known, F.col("cohort_index")).otherwise(
+            F.raise_error(F.concat(F.lit("cohort index outside the matrix: "), F.col("cohort_index").cast("string"))).cast("int")))
     pivoted = (rates.groupBy(*keys)
                .pivot("cohort_index", indexes)
                .agg(F.avg("retention_rate")))
@@ -249,6 +296,16 @@ def retention_drop(curve: DataFrame, value: str = "avg_retention_rate") -> DataF
 
 
 # ---------------------------------------------------------------- C11, C12
+def _running(subscriptions: DataFrame, as_of: _dt.date) -> DataFrame:
+    """First and last running month of each subscription; one without a
+    start, or whose last month lies before its first, runs in no month."""
+    last = F.coalesce(F.col("end_date"), F.lit(as_of).cast("date"))
+    return (subscriptions
+            .select("customer_id", month_start("start_date").alias("first"), month_start(last).alias("last"),
+                    month_start("end_date").alias("end_month"))
+            .where(F.col("first") <= F.col("last")))
+
+
 def activity_calendar(subscriptions: DataFrame, as_of: _dt.date = config.AS_OF) -> DataFrame:
     """C11: months in which each customer has a subscription running.
 
@@ -257,11 +314,9 @@ def activity_calendar(subscriptions: DataFrame, as_of: _dt.date = config.AS_OF)
     The output is one row per customer-month by definition; the dedupe is
     partial-aggregated map-side.
     """
-    last = F.coalesce(F.col("end_date"), F.lit(as_of).cast("date"))
-    months = F.sequence(month_start("start_date"), month_start(last), F.expr("INTERVAL 1 MONTH"))
-    return (subscriptions
+    return (_running(subscriptions, as_of)
             .where(F.col("customer_id").isNotNull())
-            .select("customer_id", F.explode(months).alias("activity_month"))
+            .select("customer_id", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("activity_month"))
             .distinct())
 
 
@@ -276,20 +331,15 @@ def monthly_churn_rate(subscriptions: DataFrame, as_of: _dt.date = config.AS_OF)
     -> month, active_subscriptions, ended_subscriptions, churn_rate.
     """
     as_of_month = month_start(F.lit(as_of).cast("date"))
-    last = month_start(F.coalesce(F.col("end_date"), F.lit(as_of).cast("date")))
-    s = subscriptions.select(month_start("start_date").alias("first"), last.alias("last"),
-                             month_start("end_date").alias("end_month"))
-    deltas = s.select(F.col("first").alias("month"), F.lit(1).alias("delta"), F.lit(0).alias("ended")) \
-        .unionByName(s.select(F.add_months("last", 1).alias("month"), F.lit(-1).alias("delta"),
-                              F.lit(0).alias("ended"))) \
-        .unionByName(s.where(F.col("end_month").isNotNull())
-                     .select(F.col("end_month").alias("month"), F.lit(0).alias("delta"),
-                             F.lit(1).alias("ended")))
-    per_month = (deltas.groupBy("month")
-                 .agg(F.sum("delta").alias("delta"), F.sum("ended").alias("ended")))
+    runs = _running(subscriptions, as_of)
+    change = lambda month, delta, ended: F.struct(
+        month.alias("month"), F.lit(delta).alias("delta"), F.lit(ended).alias("ended"))
+    changes = F.array(change(F.col("first"), 1, 0), change(F.add_months("last", 1), -1, 0), change(F.col("end_month"), 0, 1))
+    per_month = (runs.select(F.inline(changes)).where(F.col("month").isNotNull())
+                 .groupBy("month").agg(F.sum("delta").alias("delta"), F.sum("ended").alias("ended")))
     # fill every month between the first start and as_of (months without
     # any change still have running subscriptions)
-    span = (s.agg(F.min("first").alias("lo"))
+    span = (per_month.agg(F.min("month").alias("lo")).where(F.col("lo") <= as_of_month)
             .select(F.explode(F.sequence("lo", as_of_month, F.expr("INTERVAL 1 MONTH"))).alias("month")))
     w = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = span.join(per_month, "month", "left").fillna(0, ["delta", "ended"])

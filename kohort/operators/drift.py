@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
+from ..sources.files import shared_table
 from .aggregates import attach_scalars, unpivot
-from .cleaning import clean, select_present
+from .cleaning import clean
 from .quantiles import quantile_array
 
 
@@ -37,11 +38,13 @@ def quantile_grid(points: int = config.QUANTILE_GRID) -> list[float]:
 # ------------------------------------------------------------------ D1
 def snapshot(customers: DataFrame, columns: list[str] | None = None,
              target: str | None = config.TARGET_COLUMN) -> DataFrame:
-    """Cleaned snapshot restricted to the monitored columns (+ target)."""
+    """Cleaned snapshot restricted to the monitored columns (+ target).
+
+    Duplicates are dropped over the full rows; only the wanted columns are
+    written and cleaned."""
     cols = list(columns or config.MONITORING_COLUMNS)
-    cleaned = clean(customers)
-    keep = cols + ([target] if target and target in cleaned.columns else [])
-    return select_present(cleaned, keep)
+    keep = cols + ([target] if target and target in customers.columns else [])
+    return clean(customers, keep=keep)
 
 
 # ------------------------------------------------------------------ D2
@@ -49,54 +52,67 @@ def _long(df: DataFrame, columns: list[str]) -> DataFrame:
     return unpivot(df, [], columns).where(F.col("value").isNotNull())
 
 
+def _monitored(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per monitored column, also for those without any value."""
+    return df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
                   threshold: float = config.DRIFT_THRESHOLD, points: int = config.QUANTILE_GRID,
-                  method: str = "auto", digits: int = 6) -> DataFrame:
+                  digits: int = 6) -> DataFrame:
     """Normalised Wasserstein distance per numeric column.
 
-    Both sides go to long form (column_name, value); one exact-quantile
-    pass per side yields a ``points``-element quantile array per column,
-    and only those arrays meet.  -> column_name, stat_test, drift_score,
-    drift_detected.
+    Both sides go to long form (column_name, value), written once each; one
+    exact-quantile pass per side yields a ``points``-element quantile array
+    per column, and only those arrays meet.  A column without any value on
+    one side has drifted completely (score infinity), without any on both
+    not at all.  -> column_name, stat_test, drift_score, drift_detected.
     """
     columns = [c for c in (columns or config.MONITORING_COLUMNS)
                if c in reference.columns and c in current.columns]
     grid = quantile_grid(points)
-    ref_long, cur_long = _long(reference, columns), _long(current, columns)
-    ref_q = quantile_array(ref_long, "value", grid, ["column_name"], method, name="rq")
-    cur_q = quantile_array(cur_long, "value", grid, ["column_name"], method, name="cq")
+    ref_long, cur_long = (shared_table(_long(side, columns), "long") for side in (reference, current))
+    ref_q = quantile_array(ref_long, "value", grid, ["column_name"], name="rq", written=True)
+    cur_q = quantile_array(cur_long, "value", grid, ["column_name"], name="cq", written=True)
     ref_std = ref_long.groupBy("column_name").agg(F.stddev_pop("value").alias("std"))
     # one row per column on each side
-    both = ref_q.join(cur_q, "column_name").join(ref_std, "column_name")
+    both = _monitored(reference, columns)
+    for side in (ref_q, cur_q, ref_std):
+        both = both.join(side, "column_name", "left")
     gaps = F.zip_with("rq", "cq", lambda a, b: F.abs(a - b))
     w1 = F.aggregate(gaps, F.lit(0.0), lambda acc, g: acc + g) / F.size(gaps)
-    std = F.col("std")
-    # a constant reference: any shift is total drift, none is none
-    score = F.when(std == 0, F.when(w1 == 0, 0.0).otherwise(F.lit(float("inf")))).otherwise(w1 / std)
-    return both.select("column_name", F.lit("wasserstein_norm").alias("stat_test"),
-                       F.round(score, digits).alias("drift_score")) \
+    std, infinite = F.col("std"), F.lit(float("inf"))
+    score = (F.when(F.col("rq").isNull() & F.col("cq").isNull(), 0.0)
+             .when(F.col("rq").isNull() | F.col("cq").isNull(), infinite)
+             # a constant reference: any shift is total drift, none is none
+             .when(std == 0, F.when(w1 == 0, 0.0).otherwise(infinite))
+             .otherwise(F.try_divide(w1, std)))
+    score = F.when(score == infinite, score).otherwise(F.round(score, digits))
+    return both.select("column_name", F.lit("wasserstein_norm").alias("stat_test"), score.alias("drift_score")) \
         .withColumn("drift_detected", F.col("drift_score") >= threshold)
 
 
 def binned_drift(reference: DataFrame, current: DataFrame, columns: list[str] | None = None,
-                 bins: int = 10, eps: float = 1e-4, digits: int = 6, method: str = "auto") -> DataFrame:
+                 bins: int = 10, eps: float = 1e-4, digits: int = 6) -> DataFrame:
     """D2 (also reported): KS statistic and PSI over reference-quantile bins.
 
     Bin edges are the reference quantiles at 1/bins .. (bins-1)/bins; a value
-    falls in bin ``#edges < value``.  Shares below ``eps`` are clipped for
-    PSI.  The running sums run over the binned table (bins rows per
-    column).  -> column_name, ks, psi.
+    falls in bin ``#edges < value`` (without a reference value, in bin 0).
+    Shares below ``eps`` are clipped for PSI; a side without any value has
+    share 0 in every bin.  The running sums run over the binned table (bins
+    rows per column).  -> column_name, ks, psi.
     """
     columns = [c for c in (columns or config.MONITORING_COLUMNS)
                if c in reference.columns and c in current.columns]
-    ref_long, cur_long = _long(reference, columns), _long(current, columns)
+    ref_long, cur_long = (shared_table(_long(side, columns), "long") for side in (reference, current))
     edges = quantile_array(ref_long, "value", [i / bins for i in range(1, bins)], ["column_name"],
-                           method, name="edges")
+                           name="edges", written=True)
+    edges = shared_table(_monitored(reference, columns).join(edges, "column_name", "left"), "edges")
 
     def counts(long: DataFrame, side: str) -> DataFrame:
         # one row per column: broadcast
         j = long.join(F.broadcast(edges), "column_name")
-        b = F.size(F.filter(F.col("edges"), lambda e: e < F.col("value")))
+        b = F.size(F.filter(F.coalesce("edges", F.array().cast("array<double>")), lambda e: e < F.col("value")))
         return j.groupBy("column_name", b.alias("bin")).agg(F.count(F.lit(1)).alias(side))
 
     ref_c, cur_c = counts(ref_long, "r"), counts(cur_long, "c")
@@ -105,9 +121,13 @@ def binned_drift(reference: DataFrame, current: DataFrame, columns: list[str] |
              .join(cur_c, ["column_name", "bin"], "left").fillna(0, ["r", "c"]))
     w_all = Window.partitionBy("column_name")
     w_cum = w_all.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def share(side: str):
+        return F.coalesce(F.try_divide(F.col(side), F.sum(side).over(w_all)), F.lit(0.0))
+
     table = (table
-             .withColumn("pr", F.col("r") / F.sum("r").over(w_all))
-             .withColumn("pc", F.col("c") / F.sum("c").over(w_all))
+             .withColumn("pr", share("r"))
+             .withColumn("pc", share("c"))
              .withColumn("gap", F.abs(F.sum("pr").over(w_cum) - F.sum("pc").over(w_cum)))
              .withColumn("pr_", F.greatest("pr", F.lit(eps)))
              .withColumn("pc_", F.greatest("pc", F.lit(eps)))

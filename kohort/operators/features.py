@@ -11,6 +11,9 @@ from .. import config
 from .aggregates import attach_scalars
 
 
+MAX_CATEGORIES = 10_000
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -20,9 +23,13 @@ def fit_ordinal(df: DataFrame, columns: list[str] | None = None) -> StringIndexe
     """M2 fit: categories in ascending order get codes 0..n-1.
 
     The fitted labels (distinct values of each categorical column) are
-    collected by MLlib; their number is the column's cardinality.
+    collected by MLlib; more than ``MAX_CATEGORIES`` of them is an error.
     """
     columns = columns or config.ORDINAL_FEATURES
+    counts = df.agg(*[F.approx_count_distinct(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    for c, n in zip(columns, counts):
+        if n > MAX_CATEGORIES:
+            raise ValueError(f"{c}: about {n} categories, more than {MAX_CATEGORIES}")
     indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}__idx" for c in columns],
                             stringOrderType="alphabetAsc", handleInvalid="keep")
     return indexer.fit(df)
@@ -81,12 +88,15 @@ def standard_scale(df: DataFrame, columns: list[str] | None = None,
 # ------------------------------------------------------------------ M5
 def split_flag(key: str = config.CUSTOMER_ID_COLUMN, test_size: float = config.TEST_SIZE,
                seed: int = config.SPLIT_SEED):
-    """True for test rows: ``pmod(xxhash64(seed, key), 10000) < test_size * 10000``.
+    """True for test rows: the first seven hex digits of ``md5(seed:key)``,
+    modulo 10000, below ``test_size * 10000``.
 
     Depends only on the key, so the split is the same for any partitioning
-    and survives recomputation after an executor loss.
+    and survives recomputation after an executor loss; any engine with MD5
+    can compute it.  A null key counts as the empty string.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10000))
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    bucket = F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") % 10000
     return bucket < F.lit(int(round(test_size * 10000)))
 
 

@@ -4,6 +4,9 @@ Pipeline: ordinal encoding of the plan columns (unknown -> its own index),
 numeric features assembled and standardised, both assembled into one vector,
 random forest.  Trees are grown level by level on the executors; the random
 search scores each draw by cross-validated recall of the churn class.
+
+The original forest grows without a depth limit; MLlib's limit of 30 levels
+(``MAX_DEPTH``) is used for it.
 """
 
 from __future__ import annotations
@@ -28,15 +31,26 @@ from .aggregates import attach_scalars
 
 LABEL = config.TARGET_COLUMN
 WEIGHT = "class_weight"
+MAX_DEPTH = 30  # the deepest tree that MLlib grows
 
 
 # ------------------------------------------------------------------ M4, M12
-def build_estimator(kind: str = "random_forest", **params):
-    """The classifier stage.  ``kind`` is ``random_forest``,
-    ``boosted_trees`` or ``logistic_regression``; the declared settings of
-    each are the defaults."""
+def build_estimator(kind: str = "random_forest", rows: int | None = None, **params):
+    """The classifier stage.
+
+    ``random_forest`` is the pipeline's forest (no depth limit),
+    ``declared_forest`` the one of the model configuration,
+    ``boosted_trees`` and ``logistic_regression`` have their declared
+    settings; ``params`` override them.  ``rows``: the number of training
+    rows, needed by the logistic regression (see below)."""
     if kind == "random_forest":
-        args = dict(numTrees=config.FOREST_TREES, seed=config.FOREST_SEED)
+        args = dict(numTrees=config.FOREST_TREES, seed=config.FOREST_SEED, maxDepth=MAX_DEPTH)
+        args.update(params)
+        return RandomForestClassifier(labelCol=LABEL, featuresCol="features", **args)
+    if kind == "declared_forest":
+        f = config.FOREST_PARAMS
+        args = dict(numTrees=f["n_estimators"], maxDepth=f["max_depth"], minInstancesPerNode=f["min_samples_leaf"],
+                    seed=config.FOREST_SEED)
         args.update(params)
         return RandomForestClassifier(labelCol=LABEL, featuresCol="features", **args)
     if kind == "boosted_trees":
@@ -47,8 +61,13 @@ def build_estimator(kind: str = "random_forest", **params):
         return GBTClassifier(labelCol=LABEL, featuresCol="features", **args)
     if kind == "logistic_regression":
         lr = config.LOGREG_PARAMS
-        # C is an inverse L2 strength: regParam = 1 / C
-        args = dict(regParam=1.0 / lr["C"], maxIter=lr["max_iter"], elasticNetParam=0.0)
+        if not rows and "regParam" not in params:
+            raise ValueError("logistic regression: give the number of training rows (or regParam)")
+        # C weighs the summed loss against |w|^2 / 2; MLlib averages the loss over
+        # the rows, so the equal strength is 1 / (C * rows).  The features are
+        # scaled already; MLlib's own scaling would change the penalty.
+        args = dict(regParam=1.0 / (lr["C"] * (rows or 1)), maxIter=lr["max_iter"], elasticNetParam=0.0,
+                    standardization=False, tol=1e-8)
         args.update(params)
         return LogisticRegression(labelCol=LABEL, featuresCol="features", **args)
     raise ValueError(f"unknown estimator {kind!r}")
@@ -56,8 +75,8 @@ def build_estimator(kind: str = "random_forest", **params):
 
 def build_pipeline(estimator=None, numeric: list[str] | None = None,
                    categorical: list[str] | None = None) -> Pipeline:
-    """M4: encoder + scaler + classifier; columns not listed (``gender``,
-    the id) are dropped by never entering the feature vector (P11)."""
+    """M4: encoder + scaler + classifier, unfitted; columns not listed
+    (``gender``, the id) never enter the feature vector (P11)."""
     numeric = numeric or config.NUMERICAL_FEATURES
     categorical = categorical or config.ORDINAL_FEATURES
     codes = [f"{c}__code" for c in categorical]
@@ -72,9 +91,10 @@ def build_pipeline(estimator=None, numeric: list[str] | None = None,
     return Pipeline(stages=stages)
 
 
-def feature_names(numeric: list[str] | None = None, categorical: list[str] | None = None) -> list[str]:
-    """Names of the feature vector slots, in order."""
-    return list(categorical or config.ORDINAL_FEATURES) + list(numeric or config.NUMERICAL_FEATURES)
+def feature_names(model: PipelineModel) -> list[str]:
+    """Names of a fitted pipeline's feature vector slots, in order."""
+    indexer, numeric = model.stages[0], model.stages[1]
+    return list(indexer.getInputCols()) + list(numeric.getInputCols())
 
 
 def add_class_weights(df: DataFrame, balanced: bool = True) -> DataFrame:
@@ -91,6 +111,11 @@ def add_class_weights(df: DataFrame, balanced: bool = True) -> DataFrame:
     return df.join(F.broadcast(w), LABEL, "left")
 
 
+def weighted(df: DataFrame) -> DataFrame:
+    """Both class weights that the random search chooses from."""
+    return add_class_weights(df, True).withColumnRenamed(WEIGHT, "w_balanced").withColumn("w_uniform", F.lit(1.0))
+
+
 # ------------------------------------------------------------------ M6
 def search_space(draws: int = config.SEARCH_DRAWS, seed: int = config.SEARCH_SEED) -> list[dict]:
     """M6: ``draws`` random parameter sets (drawn on the driver, tiny)."""
@@ -114,15 +139,15 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
     """M6: cross-validated random search scored by recall of class 1.
 
     Returns (best PipelineModel refit on all of ``train``, list of
-    (params, mean recall)).  Class weighting is a choice between a uniform
+    (params, mean recall), the unfitted pipeline with the best parameters).
+    Class weighting is a choice between a uniform
     and a balanced weight column.  Folds are ``pmod(xxhash64(seed, key),
     folds)`` when the key column is present (as the train/test split), so
     they do not depend on partitioning and a recomputed partition after an
     executor loss lands in the same fold.
     """
     space = space or search_space(draws, seed)
-    data = add_class_weights(train, True).withColumnRenamed(WEIGHT, "w_balanced") \
-        .withColumn("w_uniform", F.lit(1.0))
+    data = weighted(train)
     key = config.CUSTOMER_ID_COLUMN
     fold_args = {}
     if key in data.columns:
@@ -143,7 +168,8 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
                         numFolds=folds, seed=seed, parallelism=parallelism, **fold_args)
     cv_model: CrossValidatorModel = cv.fit(data)
     scores = list(zip(space, cv_model.avgMetrics))
-    return cv_model.bestModel, scores
+    best = maps[max(range(len(maps)), key=lambda i: cv_model.avgMetrics[i])]
+    return cv_model.bestModel, scores, build_pipeline(rf.copy(best))
 
 
 # ------------------------------------------------------------------ M7, M9-M11, M13, S6
@@ -156,7 +182,7 @@ def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """M7: importances of the fitted forest joined to the feature names."""
     forest = model.stages[-1]
     values = forest.featureImportances.toArray().tolist()
-    rows = list(zip(feature_names(), [float(v) for v in values]))
+    rows = list(zip(feature_names(model), [float(v) for v in values], strict=True))
     schema = T.StructType([T.StructField("feature", T.StringType(), False),
                            T.StructField("importance", T.DoubleType(), False)])
     return spark.createDataFrame(rows, schema)
@@ -172,12 +198,17 @@ def risk_band(p) -> F.Column:
 
 def score(model: PipelineModel, df: DataFrame, key: str = config.CUSTOMER_ID_COLUMN) -> DataFrame:
     """M9: churn probability and risk band per customer."""
-    scored = model.transform(df)
-    p = vector_to_array(F.col("probability"))[1]
-    return scored.select(F.col(key), p.alias("churn_probability"),
-                         risk_band(p).alias("risk_category"),
-                         F.col("prediction").cast("int").alias("prediction"),
-                         *([F.col(LABEL)] if LABEL in df.columns else []))
+    scored = model.transform(df).withColumn("churn_probability", vector_to_array(F.col("probability"))[1])
+    return banded(scored.drop("probability"), key, F.col("prediction").cast("int"))
+
+
+def banded(df: DataFrame, key: str = config.CUSTOMER_ID_COLUMN, prediction=None) -> DataFrame:
+    """M9: key, probability, risk band, prediction (default: p >= 0.5) and the label if there is one."""
+    p = F.col("churn_probability")
+    if prediction is None:
+        prediction = (p >= 0.5).cast("int")
+    return df.select(F.col(key), p, risk_band(p).alias("risk_category"), prediction.alias("prediction"),
+                     *([F.col(LABEL)] if LABEL in df.columns else []))
 
 
 def high_risk(scores: DataFrame, threshold: float = config.HIGH_RISK_THRESHOLD,
@@ -210,9 +241,9 @@ def recall_f1(scores: DataFrame, label: str = LABEL, prediction: str = "predicti
                       F.try_divide(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"))
 
 
-def save(model: PipelineModel, path: str) -> str:
-    """Persist a fitted pipeline (overwrite)."""
-    model.write().overwrite().save(path)
+def save(stage, path: str) -> str:
+    """Persist a fitted or an unfitted pipeline (overwrite)."""
+    stage.write().overwrite().save(path)
     return path
 
 
@@ -228,14 +259,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def load_or_fit(spark: SparkSession, train: DataFrame, model_dir: str,
-                search: bool = False, **search_args) -> PipelineModel:
-    """Reuse a saved tuned model if present; else fit (optionally with
-    the random search) and save it under ``model_dir``.  ``model_dir``
-    should be on shared storage on a cluster."""
-    path = os.path.join(model_dir, "churn_model")
-    if _exists(spark, path):
-        return load(path)
-    model = random_search(train, **search_args)[0] if search else fit(train)
-    save(model, path)
+# What a run leaves in the model folder (shared storage on a cluster)
+TUNED, BEST, UNFITTED = "optim_model", "best_estimator", "pipeline"
+
+
+def save_unfitted(model_dir: str) -> str:
+    """The unfitted pipeline, from which a later run can start."""
+    return save(build_pipeline(), os.path.join(model_dir, UNFITTED))
+
+
+def reuse_or_fit(spark: SparkSession, train: DataFrame, model_dir: str, **search_args) -> PipelineModel:
+    """The furthest artefact that ``model_dir`` holds decides.
+
+    A fitted model is used as it is.  The search's best estimator is fitted
+    again.  An unfitted pipeline goes through the random search, whose best
+    estimator is saved and fitted.  Whatever is fitted is saved as the
+    fitted model.  With none of the three this is an error.
+    """
+    tuned, best, unfitted = (os.path.join(model_dir, n) for n in (TUNED, BEST, UNFITTED))
+    if _exists(spark, tuned):
+        return load(tuned)
+    if _exists(spark, best):
+        pipeline = Pipeline.load(best)
+    elif _exists(spark, unfitted):
+        pipeline = random_search(train, **search_args)[2]
+        save(pipeline, best)
+    else:
+        raise FileNotFoundError(f"no saved model or pipeline in {model_dir}")
+    model = pipeline.fit(weighted(train))
+    save(model, tuned)
     return model

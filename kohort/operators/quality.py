@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import percent
+from ..sources.files import shared_table
 from .aggregates import attach_scalars, unpivot
 
 
@@ -36,6 +38,11 @@ def has_required_columns(df: DataFrame, required: list[str]) -> bool:
 
 
 # ------------------------------------------------------------------ Q2
+# fixed values: the error texts of the schema check
+COLUMN_MISSING = "Column missing"
+TYPE_MISMATCH = "Type mismatch: expected {}, got {}"
+
+
 def _type_name(t) -> str:
     if isinstance(t, T.DataType):
         return t.simpleString()
@@ -57,11 +64,11 @@ def validate_schema(df: DataFrame, expected: dict[str, str] | T.StructType) -> D
         want = _type_name(want)
         have = actual.get(name)
         if have is None:
-            rows.append((name, "FAILED", want, None, "Column missing"))
+            rows.append((name, "FAILED", want, None, COLUMN_MISSING))
         elif have == want:
             rows.append((name, "PASSED", want, have, None))
         else:
-            rows.append((name, "FAILED", want, have, f"Type mismatch: expected {want}, got {have}"))
+            rows.append((name, "FAILED", want, have, TYPE_MISMATCH.format(want, have)))
     overall = "FAILED" if any(r[1] == "FAILED" for r in rows) else "PASSED"
     rows.append(("__overall__", overall, None, None, None))
     schema = T.StructType([
@@ -92,18 +99,19 @@ def data_summary(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Q4
 def feature_summary(df: DataFrame, numeric: list[str], categorical: list[str],
-                    digits: int = 6, method: str = "auto") -> DataFrame:
+                    digits: int = 6) -> DataFrame:
     """Q4: numeric columns: mean, median, std, min, max, missing;
     categorical columns: number of distinct values and missing.
 
-    One aggregate for all moments and counts, one exact-quantile pass for
-    all medians.  -> feature, kind, mean, median, std, min, max,
+    The wanted columns are written once and read by one aggregate for all
+    moments and counts and by the medians.  -> feature, kind, mean, median, std, min, max,
     unique_values, missing.  Top values: :func:`top_values`.
     """
     from .quantiles import median_table
 
     numeric = [c for c in numeric if c in df.columns]
     categorical = [c for c in categorical if c in df.columns]
+    df = shared_table(df.select(*[_q(c) for c in dict.fromkeys(numeric + categorical)]), "features")
     aggs = []
     for i, c in enumerate(numeric):
         x = F.col(_q(c)).cast("double")
@@ -125,7 +133,7 @@ def feature_summary(df: DataFrame, numeric: list[str], categorical: list[str],
         "(feature, kind, mean, std, min, max, unique_values, missing)"))
     if numeric:
         values = unpivot(df, [], numeric, "feature").where(F.col("value").isNotNull())
-        med = median_table(values, "value", ["feature"], method).withColumn(
+        med = median_table(values, "value", ["feature"]).withColumn(
             "median", F.round("median", digits))
         long = long.join(F.broadcast(med), "feature", "left")
     else:
@@ -138,19 +146,15 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     """Q4/A2/O3: the ``k`` most frequent values of each column (ties by
     value).  -> feature, value, count, rank.
 
-    Per column a top-k (``orderBy().limit(k)``: each task keeps k rows, the
-    merge sees k per task), so no task holds all distinct values; the rank
-    is then numbered over the k survivors.
+    The rank filter on the window lets Spark keep ``k`` rows per column and
+    task before the shuffle (window group limit), so no task holds all
+    values of a column.
     """
     long = unpivot(df, [], columns, "feature", "value", cast="STRING").where(F.col("value").isNotNull())
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
-    out = None
-    for c in columns:
-        top = (counts.where(F.col("feature") == c)
-               .orderBy(F.desc("count"), F.asc("value")).limit(k))
-        out = top if out is None else out.unionByName(top)
     w = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
-    return out.withColumn("rank", F.row_number().over(w))
+    return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .orderBy("feature", "rank"))
 
 
 # ------------------------------------------------------------------ Q5
@@ -159,32 +163,41 @@ def quality_report(df: DataFrame) -> DataFrame:
     share, missing per column (only columns with any), distinct values per
     column, number of columns per type.
 
-    -> section, item, value (DOUBLE).  Percentages are unrounded.
+    -> section, item, value (DOUBLE).  Percentages are rounded to two digits
+    (F12).  Missing and distinct values come from one count per (column,
+    value) over the long form.
     """
     cols = df.columns
     ncols = len(cols)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.count_if(F.col(_q(c)).isNull()).alias(f"m{i}") for i, c in enumerate(cols)]
-    aggs += [F.count_distinct(F.col(_q(c))).alias(f"u{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*aggs)
+    df = shared_table(df, "report")
+    long = unpivot(df, [], cols, cast="STRING")
+    values = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_column = shared_table(values.groupBy("column_name").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+        F.count("value").alias("different")), "report")
+    rows = df.agg(F.count(F.lit(1)).alias("rows"))
     distinct_rows = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    wide = attach_scalars(wide, distinct_rows)
-    total_missing = " + ".join(f"m{i}" for i in range(ncols)) or "0"
+    missing = per_column.agg(F.sum("missing").alias("total_missing"))
+    wide = attach_scalars(attach_scalars(rows, distinct_rows), missing).withColumns({
+        "duplicate_pct": percent(F.col("rows") - F.col("distinct_rows"), F.col("rows")),
+        "missing_pct": percent(F.col("total_missing"), F.col("rows") * ncols)})
+    type_counts: dict[str, int] = {}
+    for _, t in df.dtypes:
+        type_counts[t] = type_counts.get(t, 0) + 1
     items = [
         ("overview", "rows", "rows"),
         ("overview", "columns", str(ncols)),
         ("overview", "duplicate_rows", "rows - distinct_rows"),
-        ("overview", "duplicate_pct", "try_divide((rows - distinct_rows) * 100, rows)"),
-        ("missing", "total_missing", f"({total_missing})"),
-        ("missing", "missing_pct", f"try_divide(({total_missing}) * 100, rows * {ncols})"),
+        ("overview", "duplicate_pct", "duplicate_pct"),
+        ("missing", "total_missing", "coalesce(total_missing, 0)"),
+        ("missing", "missing_pct", "missing_pct"),
+        *[("data_types", t, str(n)) for t, n in sorted(type_counts.items())],
     ]
-    items += [("missing_by_column", c, f"m{i}") for i, c in enumerate(cols)]
-    items += [("unique_values", c, f"u{i}") for i, c in enumerate(cols)]
-    type_counts: dict[str, int] = {}
-    for _, t in df.dtypes:
-        type_counts[t] = type_counts.get(t, 0) + 1
-    items += [("data_types", t, str(n)) for t, n in sorted(type_counts.items())]
     body = ", ".join(f"'{s}', '{i}', CAST({v} AS DOUBLE)" for s, i, v in items)
-    long = wide.select(F.expr(f"stack({len(items)}, {body}) AS (section, item, value)"))
-    # pandas lists only columns that have missing values
-    return long.where((F.col("section") != "missing_by_column") | (F.col("value") > 0))
+    overview = wide.select(F.expr(f"stack({len(items)}, {body}) AS (section, item, value)"))
+    # only columns with missing values are listed
+    by_column = per_column.where("missing > 0").select(
+        F.lit("missing_by_column").alias("section"), F.col("column_name").alias("item"), F.col("missing").cast("double").alias("value"))
+    unique = per_column.select(
+        F.lit("unique_values").alias("section"), F.col("column_name").alias("item"), F.col("different").cast("double").alias("value"))
+    return overview.unionByName(by_column).unionByName(unique)

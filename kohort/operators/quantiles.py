@@ -1,27 +1,26 @@
-"""Exact quantiles without gathering a group's values in one task.
-
-Spark's exact ``percentile`` merges, per group, a map of every distinct
-value in a single final task: fine for a column of a few distinct values,
-not for a money column over billions of rows.  This operator returns the
-same values (same linear interpolation between the ranks ``floor`` and
-``ceil`` of ``p * (n - 1)``) in three distributed steps:
-
-1. per group: row count and a mergeable quantile sketch
-   (``percentile_approx``) giving, for each requested ``p``, a bracket
-   ``[a, b]`` whose rank interval contains the target ranks;
-2. one pass over the rows: each row is keyed by how many bracket starts
-   lie at or below it and, only when it falls inside a bracket, by its
-   value.  Partial aggregation folds all other rows to at most P + 1 keys
-   per group and map task, and folds repeated values (a hot value is one
-   row with a count);
-3. per (group, p): ranks below the bracket from the running sum of step
-   2's bucket counts, then a running count over the distinct candidate
-   values of that bracket only.
-
-The only per-task state beyond streaming rows is the set of distinct values
-inside one bracket, about ``2 * margin / accuracy * n``; raise ``accuracy``
-to shrink it.  The sketch guarantees the bracket (rank error at most
-``n / accuracy``); ``valid`` reports it per result.
+"""Exact quantiles of groups of any size by narrowing value ranges.
+
+A quantile interpolates between the values of two ranks (``floor`` and
+``ceil`` of ``p * (n - 1)``), as Spark's ``percentile`` does.  Every wanted
+rank starts with the range of its group's values.  A round counts the values
+of each range in equal-width buckets, with the smallest and the largest value
+of each bucket; a rank's new range is that of the bucket it falls in.  A
+range ends up as one value, which is the answer.
+
+All rounds are plain grouped counts with map-side aggregation: a task holds
+and shuffles at most ``BUCKETS`` rows per group, whatever the number of
+values, and a hot value is one count.  The same steps run at every size;
+only their number grows, with the logarithm of the number of different
+values.  The first round counts on a logarithmic scale, so that a few huge
+values cost no extra round.
+
+The values are written once to the shared folder (two or three narrow
+columns) and the ranges, a few rows per group, after every round, so a lost
+executor never repeats more than a round.  These jobs run while the query is
+being built.
+
+Null and NaN values are ignored; a group without any other value has no
+result; null group keys form a group.
 """
 
 from __future__ import annotations
@@ -29,233 +28,116 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import shared_table
 from .aggregates import attach_scalars
 
-DEFAULT_ACCURACY = 100000
-MARGIN = 4.0  # bracket half-width in units of the sketch's rank error
+#: buckets per group and round, over all its open ranges
+BUCKETS = 1024
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-BROADCAST_LIMIT = 64 * 1024 * 1024  # bytes of per-group bracket state we broadcast
-
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality of the group keys."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"__r_{k}"])
+    return cond
 
-def _values(df: DataFrame, value, by: list[str]) -> DataFrame:
-    return df.select(*by, _col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
 
+def _bucket(v: Column, lo: Column, hi: Column, buckets: Column, log: bool) -> Column:
+    """Bucket number, growing with ``v``; the two ends never share one.
 
-def _sorted_probs(probs: list[float]) -> tuple[list[int], list[float]]:
-    if not probs:
-        raise ValueError("probs must not be empty")
-    order = sorted(range(len(probs)), key=lambda i: probs[i])
-    return order, [float(probs[i]) for i in order]
-
-
-def bracket_stats(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                  accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Step 1: per group the non-null count and, for each ``p`` (sorted),
-    a bracket ``[a, b]`` from a mergeable sketch (bounded-memory aggregate);
-    a group of at most ``accuracy`` values gets brackets spanning the whole
-    group.  -> by..., __n, __small, __a, __b (one row per group)."""
-    by = list(by)
-    _, ps = _sorted_probs(probs)
-    n_p = len(ps)
-    delta = MARGIN / accuracy
-    lo_p = [max(p - delta, 0.0) for p in ps]
-    hi_p = [min(p + delta, 1.0) for p in ps]
-    sketch = F.percentile_approx("__v", lo_p + hi_p, accuracy)
-    small = F.col("__n") <= accuracy
-    return (_values(df, value, by).groupBy(*by)
-            .agg(F.count(F.lit(1)).alias("__n"), sketch.alias("__ab"),
-                 F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-            .select(*by, "__n", small.alias("__small"),
-                    F.transform(F.slice("__ab", 1, n_p),
-                                lambda a, i: F.when(small | (F.lit(lo_p)[i] == 0.0), F.col("__min"))
-                                .otherwise(a)).alias("__a"),
-                    F.transform(F.slice("__ab", n_p + 1, n_p),
-                                lambda b, i: F.when(small | (F.lit(hi_p)[i] == 1.0), F.col("__max"))
-                                .otherwise(b)).alias("__b")))
-
-
-def exact_quantiles(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                    accuracy: int = DEFAULT_ACCURACY, broadcast_stats: bool = True,
-                    stats: DataFrame | None = None) -> DataFrame:
-    """Exact quantiles of ``value`` per ``by`` group (nulls ignored).
-
-    Groups of at most ``accuracy`` rows rank all their distinct values
-    (bounded by ``accuracy``); larger groups rank only the values inside
-    the sketch brackets.  ``stats``: the result of :func:`bracket_stats`
-    for the same arguments when it is already materialised (then the input
-    is read once more, not twice).  -> by..., q_index (position in
-    ``probs``), p, quantile, valid.  Groups without any non-null value
-    produce no rows.
+    Every step is monotone in floating point (the library's logarithm is
+    semi-monotone by contract), so bucket order is value order.
     """
-    by = list(by)
-    order, ps = _sorted_probs(probs)
-    n_p = len(ps)
-    x = _values(df, value, by)
-    if stats is None:
-        stats = bracket_stats(df, value, probs, by, accuracy)
+    if log:
+        v, lo, hi = (F.signum(c) * F.log1p(F.abs(c)) for c in (v, lo, hi))
+    share = F.nanvl(F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2), F.lit(0.5))
+    inner = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.5)) * buckets), F.lit(0)), buckets - 1)
+    return F.when(v == hi, buckets - 1).when(v == lo, F.lit(0)).otherwise(inner).cast("int")
 
-    def with_stats(frame: DataFrame) -> DataFrame:
-        # rows meet their group's brackets without being shuffled by group
-        # key (a few groups would mean a few tasks): the bracket table is
-        # broadcast when its size is known to be small
-        if not by:
-            return attach_scalars(frame, stats)
-        return frame.join(F.broadcast(stats) if broadcast_stats else stats, by)
 
-    # step 2: one pass, folding everything outside the brackets
-    v = F.col("__v")
-    k = F.size(F.filter("__a", lambda a: a <= v))
-    inside = F.exists(F.arrays_zip(F.col("__a").alias("a"), F.col("__b").alias("b")),
-                      lambda s: (s["a"] <= v) & (v <= s["b"]))
-    folded = (with_stats(x)
-              .groupBy(*by, k.alias("__k"), F.when(inside, v).alias("__cv"))
-              .agg(F.count(F.lit(1)).alias("__c")))
+def _renamed(df: DataFrame, by: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"__r_{k}" for k in by})
 
-    # targets: one row per (group, p); ``__j`` is the bracket they rank in
-    targets = stats.select(*by, "__n", "__small",
-                           F.posexplode(F.col("__a")).alias("__i", "__lo"))
-    pos = (F.col("__n") - 1).cast("double") * F.lit(ps)[F.col("__i")]
-    targets = targets.select(
-        *by, "__i", F.when(F.col("__small"), F.lit(-1)).otherwise(F.col("__i")).alias("__j"),
-        F.lit(ps)[F.col("__i")].alias("__p"),
-        pos.alias("__pos"), F.floor(pos).alias("__r_lo"), F.ceil(pos).alias("__r_hi"))
 
-    # step 3a: rows strictly below each bracket start = running bucket sum
-    # (window over at most 2P + 1 rows per group)
-    hist = folded.groupBy(*by, "__k").agg(F.sum("__c").alias("__h"))
-    marks = (hist.select(*by, "__k", "__h", F.lit(0).alias("__t"), F.lit(None).cast("int").alias("__j"))
-             .unionByName(targets.select(*by, F.col("__i").alias("__k"), F.lit(0).cast("bigint").alias("__h"),
-                                         F.lit(1).alias("__t"), "__j")))
-    w_run = (Window.partitionBy(*(by or [F.lit(0)])).orderBy("__k", "__t")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    below = (marks.withColumn("__below", F.sum("__h").over(w_run))
-             .where(F.col("__t") == 1).select(*by, "__j", "__below").distinct())
-    # a small group ranks from its first value
-    below = below.withColumn("__below", F.when(F.col("__j") == -1, F.lit(0)).otherwise(F.col("__below")))
-
-    # step 3b: running count over the distinct values of each bracket (all
-    # values of a small group: index -1)
-    cands = folded.where(F.col("__cv").isNotNull()).groupBy(*by, "__cv").agg(F.sum("__c").alias("__c"))
-    in_brackets = F.filter(F.sequence(F.lit(0), F.lit(n_p - 1)),
-                           lambda i: (F.col("__a")[i] <= F.col("__cv")) & (F.col("__cv") <= F.col("__b")[i]))
-    cands = with_stats(cands).select(
-        *by, "__cv", "__c",
-        F.explode(F.when(F.col("__small"), F.array(F.lit(-1))).otherwise(in_brackets)).alias("__j"))
-    w_in = Window.partitionBy(*by, "__j").orderBy("__cv").rowsBetween(Window.unboundedPreceding,
-                                                                       Window.currentRow)
-    ranked = (cands.withColumn("__cum", F.sum("__c").over(w_in))
-              .join(below.distinct(), by + ["__j"])
-              .withColumn("__end", F.col("__below") + F.col("__cum")))
-    # keep only the (at most two) values holding the target ranks
-    hit = ranked.join(targets, by + ["__j"]).where(
-        (F.col("__end") > F.col("__r_lo")) & (F.col("__end") - F.col("__c") <= F.col("__r_hi")))
-    picked = hit.groupBy(*by, "__i", "__p", "__pos", "__r_lo", "__r_hi").agg(
-        F.min(F.when(F.col("__end") > F.col("__r_lo"), F.col("__cv"))).alias("__vlo"),
-        F.min(F.when(F.col("__end") > F.col("__r_hi"), F.col("__cv"))).alias("__vhi"),
-        F.min(F.col("__end") - F.col("__c")).alias("__first"))
-    picked = targets.join(picked, by + ["__i", "__p", "__pos", "__r_lo", "__r_hi"], "left")
-
-    # interpolation exactly as Spark's exact percentile does it
-    lo, hi = F.col("__vlo"), F.col("__vhi")
-    interp = ((F.col("__r_hi").cast("double") - F.col("__pos")) * lo
-              + (F.col("__pos") - F.col("__r_lo").cast("double")) * hi)
-    q = (F.when(F.col("__r_hi") == F.col("__r_lo"), lo)
-         .when(hi == lo, lo)
-         .otherwise(interp))
-    index_map = F.lit(order)[F.col("__i")]
-    return picked.select(
-        *by, index_map.alias("q_index"), F.col("__p").alias("p"), q.alias("quantile"),
-        (lo.isNotNull() & hi.isNotNull() & (F.col("__first") <= F.col("__r_lo"))).alias("valid"))
-
-
-def _map_quantiles(df: DataFrame, value, probs: list[float], by: list[str]) -> DataFrame:
-    """Spark's exact percentile (value->count map per group)."""
-    x = df.select(*by, _col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    arr = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
-    return (x.groupBy(*by).agg(arr.alias("__q"))
-            .select(*by, F.posexplode("__q").alias("q_index", "quantile"))
-            .withColumn("p", F.lit([float(p) for p in probs])[F.col("q_index")])
-            .select(*by, "q_index", "p", "quantile"))
-
-
-def _materialise(df: DataFrame) -> DataFrame:
-    """Write a small result to the session's checkpoint folder (shared
-    storage on a cluster) and continue from the files."""
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def group_sizes(df: DataFrame, value, by: list[str] | tuple = ()) -> tuple[int, int]:
-    """(number of groups, non-null count of the largest group): one small
-    aggregate job whose result is a single row."""
-    x = df.where(_col(value).isNotNull())
+def _narrow(values: DataFrame, state: DataFrame, by: list[str], log: bool) -> DataFrame:
+    """One round: ``state`` (by..., rank, lo, hi, below) with smaller ranges."""
+    opened = state.where("__lo < __hi")
+    ranges = opened.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("__lo", "__hi"))).alias("__ranges"))
     if by:
-        row = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(
-            F.count(F.lit(1)), F.max("n")).first()
-        return int(row[0] or 0), int(row[1] or 0)
-    return 1, int(x.agg(F.count(F.lit(1))).first()[0] or 0)
+        small = _renamed(ranges, by)
+        met = values.join(small, _same(values, small, by)).select(*[values[k] for k in by], "__v", "__ranges")
+    else:
+        met = attach_scalars(values, ranges)
+    hit = F.get(F.filter("__ranges", lambda r: (r["__lo"] <= F.col("__v")) & (F.col("__v") <= r["__hi"])), F.lit(0))
+    per_range = F.greatest(F.lit(2), F.floor(F.lit(BUCKETS) / F.size("__ranges")))
+    met = met.withColumn("__hit", hit).where(F.col("__hit").isNotNull())
+    lo, hi = F.col("__hit")["__lo"], F.col("__hit")["__hi"]
+    counted = (met.groupBy(*by, lo.alias("__lo"), hi.alias("__hi"),
+                           _bucket(F.col("__v"), lo, hi, per_range, log).alias("__bucket"))
+               .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__first"), F.max("__v").alias("__last")))
+    # at most BUCKETS rows per group
+    before = Window.partitionBy(*by, "__lo", "__hi").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    side = _renamed(counted, by).withColumnsRenamed({"__lo": "__b_lo", "__hi": "__b_hi"})
+    inside = F.col("__rank") - F.col("__below") - F.col("__before")
+    met = opened.join(side, _same(opened, side, by) & (F.col("__lo") == F.col("__b_lo")) & (F.col("__hi") == F.col("__b_hi"))
+                      & (inside >= 0) & (inside < F.col("__n")))
+    narrowed = met.select(*[opened[k] for k in by], "__rank", F.col("__first").alias("__lo"), F.col("__last").alias("__hi"),
+                          (F.col("__below") + F.col("__before")).alias("__below"))
+    return state.where("__lo = __hi").unionByName(narrowed)
 
 
 def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                   method: str = "auto", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                   written: bool = False) -> DataFrame:
     """Exact quantiles in long form -> by..., q_index, p, quantile.
 
-    ``method``: ``map`` (Spark's percentile: the final task of a group
-    holds its distinct values), ``distributed`` (:func:`exact_quantiles`),
-    ``approx`` (sketch only), or ``auto``: ``map`` when no group has more
-    than ``accuracy`` values (a proven bound on that task's state), else
-    ``distributed``.  The bound is read from the distributed method's first
-    pass, materialised once, so choosing costs no extra pass over the input.
+    ``written``: ``df`` is already a narrow written table and is read as it is.
     """
-    by = list(by)
-    groups, stats = None, None
-    if method == "auto":
-        # the distributed method's first pass (counts + brackets per group)
-        # is materialised once; its largest count decides the method, and
-        # the distributed method reuses it instead of reading the input again
-        stats = _materialise(bracket_stats(df, value, probs, by, accuracy))
-        row = stats.agg(F.count(F.lit(1)), F.max("__n")).first()
-        groups, largest = int(row[0] or 0), int(row[1] or 0)
-        method = "map" if largest <= accuracy else "distributed"
-    if method == "map":
-        return _map_quantiles(df, value, probs, by)
-    if method == "distributed":
-        if groups is None and by:
-            groups = group_sizes(df, value, by)[0]
-        small_table = (groups or 1) * (2 * len(probs) + 4) * 8 <= BROADCAST_LIMIT
-        return exact_quantiles(df, value, probs, by, accuracy, small_table, stats).drop("valid")
-    if method == "approx":
-        x = df.select(*by, _col(value).cast("double").alias("__v"))
-        return (x.groupBy(*by).agg(F.percentile_approx("__v", [float(p) for p in probs], accuracy).alias("__q"))
-                .select(*by, F.posexplode("__q").alias("q_index", "quantile"))
-                .withColumn("p", F.lit([float(p) for p in probs])[F.col("q_index")])
-                .withColumn("quantile", F.col("quantile").cast("double"))
-                .select(*by, "q_index", "p", "quantile"))
-    raise ValueError(f"unknown quantile method {method!r}")
+    by, probs = list(by), [float(p) for p in probs]
+    if not probs:
+        raise ValueError("probs must not be empty")
+    values = df.select(*by, _col(value).cast("double").alias("__v")).where("__v IS NOT NULL AND NOT isnan(__v)")
+    if not written:
+        values = shared_table(values, "values")
+    groups = shared_table(values.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
+                                                  F.max("__v").alias("__hi")).where("__n > 0"), "groups")
+    spread = F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("q_index", "p")
+    place = (F.col("__n") - 1).cast("double") * F.col("p")
+    wanted = groups.select(*by, "__n", "__lo", "__hi", spread).withColumn("__place", place)
+    wanted = wanted.withColumns({"__r_lo": F.floor("__place"), "__r_hi": F.ceil("__place")})
+    state = (wanted.select(*by, "__lo", "__hi", F.explode(F.array("__r_lo", "__r_hi")).alias("__rank")).distinct()
+             .select(*by, "__rank", "__lo", "__hi", F.lit(0).cast("long").alias("__below")))
+    state = shared_table(state, "ranks")
+    log = True
+    while not state.where("__lo < __hi").isEmpty():
+        state = shared_table(_narrow(values, state, by, log), "ranks")
+        log = False
+    out = wanted.drop("__lo", "__hi")
+    for side in ("lo", "hi"):
+        found = _renamed(state.select(*by, F.col("__rank").alias("__k"), F.col("__lo").alias(f"__v_{side}")), by)
+        out = out.join(found, _same(out, found, by) & (F.col(f"__r_{side}") == F.col("__k"))) \
+            .drop("__k", *[f"__r_{k}" for k in by])
+    lo, hi = F.col("__v_lo"), F.col("__v_hi")
+    between = ((F.col("__r_hi").cast("double") - F.col("__place")) * lo
+               + (F.col("__place") - F.col("__r_lo").cast("double")) * hi)
+    return out.select(*by, "q_index", "p", F.when(lo == hi, lo).otherwise(between).alias("quantile"))
 
 
 def quantile_array(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
-                   method: str = "auto", accuracy: int = DEFAULT_ACCURACY,
-                   name: str = "quantiles") -> DataFrame:
-    """The quantiles of each group as one array ordered like ``probs``
-    (``P`` elements per group, bounded).  -> by..., <name>."""
+                   name: str = "quantiles", written: bool = False) -> DataFrame:
+    """The quantiles of each group as one array ordered like ``probs``.  -> by..., <name>."""
     by = list(by)
-    long = quantile_table(df, value, probs, by, method, accuracy)
-    arr = F.transform(F.array_sort(F.collect_list(F.struct("q_index", "quantile"))),
-                      lambda s: s["quantile"])
-    return long.groupBy(*by).agg(arr.alias(name))
+    parts = F.array_sort(F.collect_list(F.struct("q_index", "quantile")))
+    return quantile_table(df, value, probs, by, written).groupBy(*by).agg(F.transform(parts, lambda s: s["quantile"]).alias(name))
 
 
-def median_table(df: DataFrame, value, by: list[str] | tuple = (), method: str = "auto",
-                 accuracy: int = DEFAULT_ACCURACY, name: str = "median") -> DataFrame:
+def median_table(df: DataFrame, value, by: list[str] | tuple = (), name: str = "median",
+                 written: bool = False) -> DataFrame:
     """Exact median per group.  -> by..., <name>."""
     by = list(by)
-    return quantile_table(df, value, [0.5], by, method, accuracy).select(
-        *by, F.col("quantile").alias(name))
+    return quantile_table(df, value, [0.5], by, written).select(*by, F.col("quantile").alias(name))

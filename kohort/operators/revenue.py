@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numeric import money_sum
 from .aggregates import attach_scalars
 from .quantiles import median_table, quantile_array
 
@@ -43,11 +42,11 @@ def revenue_per_subscription(invoices: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A8
-def invoice_totals(invoices: DataFrame, method: str = "auto") -> DataFrame:
+def invoice_totals(invoices: DataFrame) -> DataFrame:
     """Total, mean and median invoice amount -> one row."""
     x = F.col("amount")
     agg = invoices.agg(_exact_sum("amount").alias("s"), F.count(x).alias("n"))
-    med = median_table(invoices, "amount", method=method, name="median_amount")
+    med = median_table(invoices, "amount", name="median_amount")
     return attach_scalars(agg, med).select(
         F.col("s").cast("double").alias("total_revenue"),
         _mean("s", "n").alias("avg_amount"),
@@ -106,15 +105,15 @@ def customer_ltv(invoices: DataFrame, subscriptions: DataFrame) -> DataFrame:
             .select("customer_id", F.col("ltv").cast("double").alias("lifetime_value")))
 
 
-def ltv_summary(ltv: DataFrame, quantile: float = 0.9, method: str = "auto") -> DataFrame:
+def ltv_summary(ltv: DataFrame, quantile: float = 0.9) -> DataFrame:
     """Mean, median, ``quantile`` (linear interpolation) and maximum.
 
     Quantiles are exact without gathering all customers in one task (see
-    :mod:`kohort.operators.quantiles`); ``method="approx"`` for a sketch.
+    :mod:`kohort.operators.quantiles`).
     """
     x = F.col("lifetime_value")
     agg = ltv.agg(F.sum(x.cast(DEC_SUM)).alias("s"), F.count(x).alias("n"), F.max(x).alias("max_ltv"))
-    q = quantile_array(ltv, "lifetime_value", [0.5, quantile], method=method, name="q")
+    q = quantile_array(ltv, "lifetime_value", [0.5, quantile], name="q")
     return attach_scalars(agg, q).select(
         _mean("s", "n").alias("avg_ltv"),
         F.round(F.col("q")[0], 6).alias("median_ltv"),
@@ -139,5 +138,3 @@ def payment_rates(invoices: DataFrame) -> DataFrame:
     return agg.select(*[F.try_divide(F.col(c) * 100, F.col("n")).alias(f"{c}_pct")
                         for c in ["on_time", "late", "pending"]])
 
-
-__all__ = ["attach_scalars", "money_sum"]

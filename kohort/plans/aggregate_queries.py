@@ -22,8 +22,8 @@ AS_OF = f"DATE '{config.AS_OF.isoformat()}'"
 NUM = config.NUMERICAL_FEATURES
 NUM_CHURN = NUM + [config.TARGET_COLUMN]
 
-# Fixed values of the test data: the five order priorities (plans) and the
-# five market segments (contracts), used as explicit pivot columns.
+# Values of the test data, for the SQL twins only: the operators take their
+# columns from the data, so another plan would show up as another column.
 PLANS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 CONTRACTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -132,14 +132,14 @@ FROM subscriptions WHERE {col} IS NOT NULL GROUP BY 1"""
 def new_subs_by_plan(t: Tables):
     """A4: new subscriptions per month and plan, plans as columns."""
     return A.pivot_counts(_subs(t), month_start("start_date").alias("month"),
-                          "subscription_type", PLANS)
+                          "subscription_type")
 
 
 @register("new_subs_by_contract", "A4", _pivot_sql("contract_length", CONTRACTS))
 def new_subs_by_contract(t: Tables):
     """A4: new subscriptions per month and contract length."""
     return A.pivot_counts(_subs(t, contract=True), month_start("start_date").alias("month"),
-                          "contract_length", CONTRACTS)
+                          "contract_length")
 
 
 @register("churned_monthly", "A17", f"""WITH {SUBS}
@@ -271,19 +271,19 @@ WHERE s.{dim} IS NOT NULL GROUP BY s.{dim}"""
 @register("revenue_by_plan", "A14", _rev_by_sql("subscription_type"))
 def revenue_by_plan(t: Tables):
     """Revenue per plan."""
-    return R.revenue_by(_inv(t), _subs(t), "subscription_type").orderBy(F.desc("revenue"))
+    return R.revenue_by(_inv(t), _subs(t), "subscription_type").orderBy(F.desc("revenue"), "subscription_type")
 
 
 @register("revenue_by_contract", "A14", _rev_by_sql("contract_length"))
 def revenue_by_contract(t: Tables):
     """Revenue per contract length."""
-    return R.revenue_by(_inv(t), _subs(t, contract=True), "contract_length").orderBy(F.desc("revenue"))
+    return R.revenue_by(_inv(t), _subs(t, contract=True), "contract_length").orderBy(F.desc("revenue"), "contract_length")
 
 
 @register("revenue_by_active", "A14", _rev_by_sql("is_active"))
 def revenue_by_active(t: Tables):
     """Revenue of active and inactive subscriptions."""
-    return R.revenue_by(_inv(t), _subs(t), "is_active")
+    return R.revenue_by(_inv(t), _subs(t), "is_active").orderBy(F.desc("revenue"), "is_active")
 
 
 _LTV = f"""WITH {SUBS},
@@ -297,8 +297,8 @@ ltv AS (
 
 @register("customer_ltv", "A15", f"{_LTV}\nSELECT * FROM ltv")
 def customer_ltv(t: Tables):
-    """Lifetime value per customer."""
-    return R.customer_ltv(_inv(t), _subs(t))
+    """Lifetime value per customer, highest first (O2; ties by customer)."""
+    return R.customer_ltv(_inv(t), _subs(t)).orderBy(F.desc("lifetime_value"), "customer_id")
 
 
 @register("ltv_summary", "A16", f"""{_LTV}
@@ -386,7 +386,7 @@ p AS (SELECT avg(n) AS per_customer FROM {_PER_CUST} x)
 SELECT 'Total Subscriptions' AS metric, CAST(subs AS DOUBLE) AS value FROM s
 UNION ALL SELECT 'Total Invoices', CAST(n AS DOUBLE) FROM i
 UNION ALL SELECT 'Unique Customers', CAST(customers AS DOUBLE) FROM s
-UNION ALL SELECT 'Total Revenue', CAST(revenue AS DOUBLE) FROM i
+UNION ALL SELECT 'Total Revenue', CAST(coalesce(revenue, 0) AS DOUBLE) FROM i
 UNION ALL SELECT 'Average Invoice Amount', CAST(revenue AS DOUBLE) / amounts FROM i
 UNION ALL SELECT 'Active Subscriptions', CAST(active AS DOUBLE) FROM s
 UNION ALL SELECT 'Churned Subscriptions', CAST(ended AS DOUBLE) FROM s
@@ -429,14 +429,20 @@ long AS (
 ),
 ranges AS (SELECT column_name, min(value) AS lo, max(value) AS hi FROM long GROUP BY 1),
 b AS (
-  SELECT l.column_name, l.churn, r.lo, r.hi,
+  SELECT l.column_name, l.churn,
          CAST(CASE WHEN r.hi - r.lo = 0 THEN 1
-                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * {n}) + 1, {n}) END AS INTEGER) AS bin
+                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * {n}) + 1, {n}) END AS INTEGER) AS bin,
+         count(*) AS count
   FROM long l JOIN ranges r ON l.column_name = r.column_name
-  WHERE l.value IS NOT NULL
+  WHERE l.value IS NOT NULL GROUP BY ALL
+),
+grid AS (
+  SELECT column_name, lo, hi, churn, CAST(bin AS INTEGER) AS bin
+  FROM ranges, (SELECT DISTINCT churn FROM long), (SELECT unnest(range(1, {n} + 1)) AS bin)
 )
-SELECT column_name, churn, bin, round(lo + (hi - lo) * (bin - 1) / {n}, 6) AS bin_start, count(*) AS count
-FROM b GROUP BY column_name, churn, bin, lo, hi"""
+SELECT g.column_name, g.churn, g.bin, round(g.lo + (g.hi - g.lo) * (g.bin - 1) / {n}, 6) AS bin_start,
+       coalesce(b.count, 0) AS count
+FROM grid g LEFT JOIN b ON g.column_name = b.column_name AND g.churn = b.churn AND g.bin = b.bin"""
 
 
 @register("histogram_by_churn", "A24", _hist_sql())
@@ -452,14 +458,18 @@ src AS ({select}),
 long AS (UNPIVOT src ON {', '.join(columns)} INTO NAME column_name VALUE value),
 ranges AS (SELECT column_name, min(value) AS lo, max(value) AS hi FROM long GROUP BY 1),
 b AS (
-  SELECT l.column_name, r.lo, r.hi,
+  SELECT l.column_name,
          CAST(CASE WHEN r.hi - r.lo = 0 THEN 1
-                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * {bins}) + 1, {bins}) END AS INTEGER) AS bin
+                   ELSE least(floor((l.value - r.lo) / (r.hi - r.lo) * {bins}) + 1, {bins}) END AS INTEGER) AS bin,
+         count(*) AS count
   FROM long l JOIN ranges r ON l.column_name = r.column_name
-  WHERE l.value IS NOT NULL
-)
-SELECT column_name, bin, round(lo + (hi - lo) * (bin - 1) / {bins}, 6) AS bin_start, count(*) AS count
-FROM b GROUP BY column_name, bin, lo, hi"""
+  WHERE l.value IS NOT NULL GROUP BY ALL
+),
+grid AS (SELECT column_name, lo, hi, CAST(bin AS INTEGER) AS bin
+         FROM ranges, (SELECT unnest(range(1, {bins} + 1)) AS bin))
+SELECT g.column_name, g.bin, round(g.lo + (g.hi - g.lo) * (g.bin - 1) / {bins}, 6) AS bin_start,
+       coalesce(b.count, 0) AS count
+FROM grid g LEFT JOIN b ON g.column_name = b.column_name AND g.bin = b.bin"""
 
 
 _FEATURE_CASTS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUM)

@@ -2,10 +2,10 @@
 reuse the model, evaluate, monitor drift, write the report.
 
 Every stage is a Spark job over the whole input; the report is a small
-long table ``(section, item, value)`` written as JSON (S5).  Lineage is
-cut once, after cleaning, by checkpointing to the shared folder the
-session names in ``spark.checkpoint.dir``; a lost executor then recomputes
-from the checkpoint, not from the raw tables.
+long table ``(section, item, value)`` written as JSON (S5).  Lineage is cut
+by tables written to the shared folder that the session names in
+``spark.checkpoint.dir``; a lost executor then reads those, not the raw
+tables.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from ..operators import model as M
 from ..operators import quality as Q
 from ..session import checkpoint_dir, configure, input_bytes, size_for_input
 from ..sources import files, mart
+from ..sources.files import shared_table
 from ..sources.tables import Tables, table_path
 
 REQUIRED = (config.NUMERICAL_FEATURES + config.ORDINAL_FEATURES
@@ -38,8 +39,11 @@ def _metric_rows(spark: SparkSession, section: str, values: dict) -> DataFrame:
 def run_churn_job(spark: SparkSession, sf_dir: str, out_dir: str,
                   cutoff: _dt.date = config.CUTOFF,
                   reference_cutoff: _dt.date = config.REFERENCE_CUTOFF,
-                  search: bool = False, search_args: dict | None = None) -> dict:
-    """Run all stages; return the paths written and the headline metrics."""
+                  search_args: dict | None = None) -> dict:
+    """Run all stages; return the paths written and the headline metrics.
+
+    ``search_args`` go to the random search, which runs when ``out_dir``
+    holds neither a fitted model nor a best estimator."""
     configure(spark)
     checkpoint_dir(spark)
     t = Tables(spark, sf_dir)
@@ -55,24 +59,23 @@ def run_churn_job(spark: SparkSession, sf_dir: str, out_dir: str,
     summary_path = files.write_table(Q.data_summary(customers), os.path.join(out_dir, "data_summary"))
 
     # 2 dedupe, split by key, medians from the training rows only
-    deduped = customers.dropDuplicates().checkpoint()
-    train, test = FE.train_test_split(deduped)
-    meds = CL.fit_medians(train, config.NUMERICAL_FEATURES)
-    train = CL.apply_medians(train, meds, config.NUMERICAL_FEATURES).fillna(
-        config.CATEGORY_FILL, config.ORDINAL_FEATURES)
-    test = CL.apply_medians(test, meds, config.NUMERICAL_FEATURES).fillna(
-        config.CATEGORY_FILL, config.ORDINAL_FEATURES)
-
-    # 3 reuse or fit (M11), evaluate (M8), score (M9) and save
-    model = M.load_or_fit(spark, train, os.path.join(out_dir, "models"), search=search,
-                          **(search_args or {}))
-    scores = M.score(model, test)
-    metrics = M.recall_f1(scores).first().asDict()
+    deduped = shared_table(customers.dropDuplicates(), "customers")
+    meds = shared_table(CL.fit_medians(FE.train_test_split(deduped)[0], config.NUMERICAL_FEATURES), "medians")
+    full = shared_table(CL.apply_medians(deduped, meds, config.NUMERICAL_FEATURES).fillna(
+        config.CATEGORY_FILL, config.ORDINAL_FEATURES), "model-input")
+    train, test = FE.train_test_split(full)
+
+    # 3 reuse, refit or search (M11), evaluate on the test split (M8), score
+    # every customer (M9) and save the scores
+    model_dir = os.path.join(out_dir, "models")
+    M.save_unfitted(model_dir)
+    model = M.reuse_or_fit(spark, train, model_dir, **(search_args or {}))
+    metrics = M.recall_f1(M.score(model, test)).first().asDict()
+    scores = M.score(model, full)
     pred_path = files.write_table(scores, os.path.join(out_dir, "predictions"))
 
     # 4 monitor: reference vs current snapshot
-    ref = D.snapshot(mart.customers(t, reference_cutoff))
-    cur = D.snapshot(customers)
+    ref, cur = (D.snapshot(c) for c in mart.customer_snapshots(t, [reference_cutoff, cutoff]))
     alerts = D.drift_alerts(D.drift_report(ref, cur))
     drift_path = files.write_table(alerts, os.path.join(out_dir, "drift"))
     n_alerts = spark.read.parquet(drift_path).where(F.col("alert")).count()

@@ -1,7 +1,9 @@
 """Registry of named queries and their SQL oracles.
 
-Every query takes ``(spark, data_dir)`` and returns a lazy DataFrame over
-the whole input tables.  The oracle, when there is one, is DuckDB SQL over
+Every query takes ``(spark, data_dir)`` and returns a DataFrame over the
+whole input tables.  Most are lazy; those with quantiles, imputation, pivots
+over values found in the data, or a model run jobs while they are built and
+continue from tables written to the shared checkpoint folder.  The oracle, when there is one, is DuckDB SQL over
 the same base tables (registered as views), re-deriving everything.
 """
 

@@ -12,6 +12,7 @@ from ..operators import features as FE
 from ..operators import model as M
 from ..operators import quality as Q
 from ..sources import mart
+from ..sources.files import shared_table
 from ..sources.tables import Tables
 from .catalog import register
 from .oracle_mart import customers_cte
@@ -28,6 +29,7 @@ CUSTOMER_TYPES = {
 }
 COLS = list(CUSTOMER_TYPES)
 RULE_DAYS = 180  # rule-based churn prediction: no order for 180 days
+RULE_SPAN, RULE_ORDERS = 365, 8  # rule-based probability: days since the last order, number of orders
 
 
 def _clean_sql(src: str, name: str) -> str:
@@ -107,9 +109,9 @@ def _quality_sql() -> str:
         "SELECT 'overview' AS section, 'rows' AS item, CAST(count(*) AS DOUBLE) AS value FROM customers",
         f"SELECT 'overview', 'columns', CAST({n} AS DOUBLE)",
         "SELECT 'overview', 'duplicate_rows', CAST(r.n - d.n AS DOUBLE) FROM r, d",
-        "SELECT 'overview', 'duplicate_pct', CAST((r.n - d.n) * 100 / r.n AS DOUBLE) FROM r, d",
+        "SELECT 'overview', 'duplicate_pct', round(CAST(r.n - d.n AS DOUBLE) / CAST(r.n AS DOUBLE) * 100, 2) FROM r, d",
         f"SELECT 'missing', 'total_missing', CAST({miss} AS DOUBLE) FROM customers",
-        f"SELECT 'missing', 'missing_pct', CAST(({miss}) * 100 / (count(*) * {n}) AS DOUBLE) FROM customers",
+        f"SELECT 'missing', 'missing_pct', round(CAST({miss} AS DOUBLE) / CAST(count(*) * {n} AS DOUBLE) * 100, 2) FROM customers",
     ]
     parts += [f"SELECT 'missing_by_column', '{c}', CAST(count(*) - count({c}) AS DOUBLE) FROM customers "
               f"HAVING count(*) - count({c}) > 0" for c in COLS]
@@ -172,18 +174,21 @@ def recall_f1(t: Tables):
     return M.recall_f1(scored)
 
 
-# ---------------------------------------------------------------- model (rows-only)
+# ---------------------------------------------------------------- model
 def _model_frames(t: Tables):
-    """Deduplicated customers, split by key; medians fitted on train only."""
-    cust = CL.materialise(mart.customers(t).dropDuplicates())
-    train, test = FE.train_test_split(cust)
-    meds = CL.fit_medians(train, NUM)
-    train = CL.apply_medians(train, meds, NUM).fillna(config.CATEGORY_FILL, CAT)
-    test = CL.apply_medians(test, meds, NUM).fillna(config.CATEGORY_FILL, CAT)
-    return train, test
+    """(train, test, all customers): deduplicated, split by key; medians fitted on train only."""
+    cust = shared_table(mart.customers(t).dropDuplicates(), "customers")
+    meds = shared_table(CL.fit_medians(FE.train_test_split(cust)[0], NUM), "medians")
+    full = shared_table(CL.apply_medians(cust, meds, NUM).fillna(config.CATEGORY_FILL, CAT), "model-input")
+    train, test = FE.train_test_split(full)
+    return train, test, full
 
 
-@register("train_test_split", "M5")
+_SPLIT_SQL = (f"CASE WHEN ('0x' || substr(md5('{config.SPLIT_SEED}:' || customerid), 1, 7))::BIGINT % 10000 "
+              f"< {int(round(config.TEST_SIZE * 10000))} THEN 'test' ELSE 'train' END")
+
+
+@register("train_test_split", "M5", f"WITH {CUST}\nSELECT *, {_SPLIT_SQL} AS split FROM customers")
 def train_test_split(t: Tables):
     """M5: customers with a deterministic 'train'/'test' flag."""
     return FE.with_split(mart.customers(t))
@@ -192,35 +197,66 @@ def train_test_split(t: Tables):
 @register("feature_importance", "M7")
 def feature_importance(t: Tables):
     """M7: random-forest feature importances (100 trees, seed 123)."""
-    train, _ = _model_frames(t)
+    train, _, _ = _model_frames(t)
     return M.feature_importance(M.fit(train), t.spark)
 
 
 @register("churn_scores", "M9")
 def churn_scores(t: Tables):
-    """M9: churn probability and risk band of each test customer."""
-    train, test = _model_frames(t)
-    return M.score(M.fit(train), test)
+    """M9: churn probability and risk band of every customer."""
+    train, _, full = _model_frames(t)
+    return M.score(M.fit(train), full)
+
+
+# A rule with the shape of a model's scores, which SQL can repeat: the longer
+# ago the last order and the fewer the orders, the likelier the churn.
+def _rule_scores(t: Tables):
+    cust = mart.customers(t)
+    p = F.least(F.lit(1.0), F.col("last_interaction") / F.lit(RULE_SPAN)) * 0.8 \
+        + F.when(F.col("usage_frequency") < RULE_ORDERS, 0.2).otherwise(0.0)
+    return M.banded(cust.withColumn("churn_probability", F.round(p, 6)))
+
+
+_RULE_SQL = f"""WITH {{cust}},
+p AS (SELECT customerid, churn, round(least(1.0, last_interaction / {RULE_SPAN}.0) * 0.8
+             + CASE WHEN usage_frequency < {RULE_ORDERS} THEN 0.2 ELSE 0.0 END, 6) AS churn_probability FROM customers),
+s AS (SELECT customerid, churn_probability,
+             CASE WHEN churn_probability >= 0.7 THEN 'High' WHEN churn_probability >= 0.4 THEN 'Medium' ELSE 'Low' END AS risk_category,
+             CAST(churn_probability >= 0.5 AS INTEGER) AS prediction, churn FROM p)"""
+
 
+@register("risk_bands", "M9", _RULE_SQL.format(cust=CUST) + "\nSELECT * FROM s")
+def risk_bands(t: Tables):
+    """M9: probability, risk band and prediction of every customer, by a rule."""
+    return _rule_scores(t)
 
-@register("high_risk_customers", "M10")
+
+@register("high_risk_customers", "M10", _RULE_SQL.format(cust=CUST) + f"""
+SELECT * FROM s WHERE churn_probability >= {config.HIGH_RISK_THRESHOLD}
+ORDER BY churn_probability DESC, customerid LIMIT {config.HIGH_RISK_TOP}""")
 def high_risk_customers(t: Tables):
-    """The ten test customers most likely to churn (p >= 0.7)."""
-    train, test = _model_frames(t)
-    return M.high_risk(M.score(M.fit(train), test))
+    """The ten customers most likely to churn (p >= 0.7), by the rule."""
+    return M.high_risk(_rule_scores(t))
 
 
-@register("confusion", "M13")
+@register("confusion", "M13", _RULE_SQL.format(cust=CUST) + """
+SELECT churn AS actual, prediction, count(*) AS count FROM s GROUP BY churn, prediction""")
 def confusion(t: Tables):
+    """Confusion counts of the rule over all customers."""
+    return M.confusion(_rule_scores(t))
+
+
+@register("model_confusion", "M13")
+def model_confusion(t: Tables):
     """Confusion counts of the forest on the test split."""
-    train, test = _model_frames(t)
+    train, test, _ = _model_frames(t)
     return M.confusion(M.score(M.fit(train), test))
 
 
 @register("model_recall_f1", "M8")
 def model_recall_f1(t: Tables):
     """M8: recall and F1 of the forest on the test split."""
-    train, test = _model_frames(t)
+    train, test, _ = _model_frames(t)
     return M.recall_f1(M.score(M.fit(train), test))
 
 
@@ -232,10 +268,12 @@ DRIFT_BASE = (f"WITH ships AS (SELECT l_orderkey, max(CAST(l_shipdate AS DATE))
               f"{_clean_sql('ref_raw', 'ref')},\n{_clean_sql('cur_raw', 'cur')}")
 
 
+def _raw_snapshots(t: Tables):
+    return mart.customer_snapshots(t, [config.REFERENCE_CUTOFF, config.CUTOFF])
+
+
 def _snapshots(t: Tables):
-    ref = D.snapshot(mart.customers(t, config.REFERENCE_CUTOFF))
-    cur = D.snapshot(mart.customers(t, config.CUTOFF))
-    return ref, cur
+    return [D.snapshot(c) for c in _raw_snapshots(t)]
 
 
 def _grid_sql() -> str:
@@ -315,8 +353,8 @@ def drift_ks_psi(t: Tables):
 
 @register("target_drift", "D3", f"{_TARGET_DRIFT_SQL}\nSELECT *, drift_score >= {TH} AS drift_detected FROM td")
 def target_drift(t: Tables):
-    """D3: Jensen-Shannon drift of the churn label."""
-    ref, cur = _snapshots(t)
+    """D3: Jensen-Shannon drift of the churn label (no other column is cleaned)."""
+    ref, cur = (c.dropDuplicates().select(config.TARGET_COLUMN) for c in _raw_snapshots(t))
     return D.target_drift(ref, cur)
 
 
@@ -375,5 +413,12 @@ def drift_snapshot(t: Tables):
 @register("logreg_recall_f1", "M12")
 def logreg_recall_f1(t: Tables):
     """The declared logistic regression (C = 1) on the same split."""
-    train, test = _model_frames(t)
-    return M.recall_f1(M.score(M.fit(train, M.build_estimator("logistic_regression")), test))
+    train, test, _ = _model_frames(t)
+    return M.recall_f1(M.score(M.fit(train, M.build_estimator("logistic_regression", rows=train.count())), test))
+
+
+@register("declared_forest_recall_f1", "M12")
+def declared_forest_recall_f1(t: Tables):
+    """The forest of the model configuration (depth 10, leaves of 2) on the same split."""
+    train, test, _ = _model_frames(t)
+    return M.recall_f1(M.score(M.fit(train, M.build_estimator("declared_forest")), test))

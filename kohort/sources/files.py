@@ -7,9 +7,16 @@ task lost to an executor failure is retried without partial output.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
+
+#: Spark's setting to drop shuffle files when the query that wrote them ends
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Schemas of the three business tables
 SUBSCRIPTIONS = T.StructType([
     T.StructField("subscription_id", T.LongType()),
@@ -44,6 +51,28 @@ CUSTOMERS = T.StructType([
 ])
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor never forces the work before this
+    point to be repeated), and every later use reads the same rows, with
+    column pruning and a known size.  The shuffle files of the finished
+    write are no longer needed and are removed.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True) -> DataFrame:
     """S3: header CSV.  With ``schema`` values that do not parse become

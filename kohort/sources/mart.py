@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.dates import to_day
+from .files import shared_table
 from .tables import Tables
 
 MONEY = "decimal(18,2)"
@@ -104,31 +105,45 @@ def invoices(t: Tables, with_late: bool = True) -> DataFrame:
         late.alias("paid_late"), "status")
 
 
-def customers(t: Tables, cutoff: _dt.date = config.CUTOFF) -> DataFrame:
-    """Wide customer table as of ``cutoff`` (features + churn label)."""
-    cut = _lit_date(cutoff)
+def _latest(d: Column, order: Column, priority: Column) -> Column:
+    """(day, order, plan digit) as one fixed-width number, so that a maximum
+    finds the latest order's plan inside a hash aggregate."""
+    day = (F.unix_date(d) + 10_000_000).cast("decimal(16,0)")  # not negative
+    shift = F.lit("1" + 20 * "0").cast("decimal(21,0)")
+    rest = order.cast("decimal(20,0)") * 10 + F.substring(priority, 1, 1).cast("int")
+    return (day * shift + rest).cast("decimal(38,0)")
+
+
+def order_features(t: Tables, cutoffs: list[_dt.date]) -> DataFrame:
+    """Per customer the order features as of each cutoff (columns end in its
+    position), from one pass over the orders and one over the line items."""
     orders = t.orders.select(
-        "o_orderkey", "o_custkey", "o_orderpriority",
-        to_day("o_orderdate").alias("d"),
+        "o_orderkey", "o_custkey", "o_orderpriority", to_day("o_orderdate").alias("d"),
         F.col("o_totalprice").cast(MONEY).alias("amount"))
-    before = orders.where(F.col("d") <= cut)
-    # ship dates only for orders that feed the features
     ships = ship_dates(t).withColumnRenamed("l_orderkey", "o_orderkey")
     delay = F.greatest(F.datediff(F.col("ship_date"), F.col("d")), F.lit(0))
-    feats = (
-        before.join(ships, "o_orderkey", "left")
-        .groupBy("o_custkey")
-        .agg(F.min("d").alias("first_d"),
-             F.max("d").alias("last_d"),
-             F.count(F.lit(1)).alias("n_orders"),
-             F.avg(delay).alias("payment_delay"),
-             F.sum("amount").alias("spend"),
-             F.max_by("o_orderpriority", F.struct("d", "o_orderkey")).alias("subscription_type"))
-    )
-    # label: any order after the cutoff (disjoint from ``before``, so each
-    # order row is shuffled once across both aggregates)
-    after = (orders.where(F.col("d") > cut).groupBy("o_custkey")
-             .agg(F.lit(0).alias("churn")))
+    latest = _latest(F.col("d"), F.col("o_orderkey"), F.col("o_orderpriority"))
+    aggs = []
+    for i, cutoff in enumerate(cutoffs):
+        seen = F.col("d") <= _lit_date(cutoff)
+        of = lambda c, seen=seen: F.when(seen, c)
+        aggs += [F.min(of(F.col("d"))).alias(f"first_d_{i}"), F.max(of(F.col("d"))).alias(f"last_d_{i}"),
+                 F.count_if(seen).alias(f"n_orders_{i}"), F.avg(of(delay)).alias(f"payment_delay_{i}"),
+                 F.sum(of(F.col("amount"))).alias(f"spend_{i}"), F.max(of(latest)).alias(f"latest_{i}"),
+                 # label: any order after the cutoff
+                 F.max(F.when(F.col("d") > _lit_date(cutoff), 1).otherwise(0)).alias(f"later_{i}")]
+    return orders.join(ships, "o_orderkey", "left").groupBy("o_custkey").agg(*aggs)
+
+
+def _customers(t: Tables, features: DataFrame, i: int, cutoff: _dt.date) -> DataFrame:
+    cut = _lit_date(cutoff)
+    feats = features.where(F.col(f"n_orders_{i}") > 0).select(
+        "o_custkey", *[F.col(f"{c}_{i}").alias(c) for c in
+                       ("first_d", "last_d", "n_orders", "payment_delay", "spend", "later")],
+        F.pmod(F.col(f"latest_{i}"), F.lit(10)).cast("int").alias("digit"))
+    # one row per plan
+    plans = t.orders.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("digit"),
+                            F.col("o_orderpriority").alias("subscription_type")).distinct()
     calls = (t.events.groupBy(F.col("user_id").alias("o_custkey"))
              .agg(F.count_if(F.col("event_type") == "error").cast("double").alias("support_calls")))
     segments = t.customer.select(
@@ -136,7 +151,7 @@ def customers(t: Tables, cutoff: _dt.date = config.CUTOFF) -> DataFrame:
     month_no = lambda c: F.year(c) * 12 + F.month(c)
     key = F.col("o_custkey")
     return (
-        feats.join(after, "o_custkey", "left")
+        feats.join(plans, "digit", "left")
         .join(calls, "o_custkey", "left")
         .join(segments, "o_custkey", "inner")
         .select(
@@ -151,6 +166,18 @@ def customers(t: Tables, cutoff: _dt.date = config.CUTOFF) -> DataFrame:
             F.datediff(cut, F.col("last_d")).cast("double").alias("last_interaction"),
             "subscription_type",
             F.col("c_mktsegment").alias("contract_length"),
-            F.coalesce(F.col("churn"), F.lit(1)).cast("int").alias("churn"),
+            (1 - F.col("later")).cast("int").alias("churn"),
         )
     )
+
+
+def customers(t: Tables, cutoff: _dt.date = config.CUTOFF) -> DataFrame:
+    """Wide customer table as of ``cutoff`` (features + churn label)."""
+    return _customers(t, order_features(t, [cutoff]), 0, cutoff)
+
+
+def customer_snapshots(t: Tables, cutoffs: list[_dt.date]) -> list[DataFrame]:
+    """The customer table as of several cutoffs: the orders are read and
+    folded once, and that result is written once."""
+    features = shared_table(order_features(t, cutoffs), "order-features")
+    return [_customers(t, features, i, c) for i, c in enumerate(cutoffs)]

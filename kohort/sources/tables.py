@@ -45,11 +45,10 @@ class Tables:
 
 def query_scan(spark: SparkSession, sql_text: str, views: dict[str, DataFrame],
                args: dict | None = None) -> DataFrame:
-    """Run a SQL text over DataFrames registered as temporary views.
+    """Run a SQL text over DataFrames, named in it as ``{name}``.
 
     ``args`` are bound as named parameters (``:name`` markers), never pasted
-    into the text.
+    into the text.  The frames are visible to this text only: views of the
+    session with the same names are untouched.
     """
-    for name, frame in views.items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(sql_text, args=args or None)
+    return spark.sql(sql_text, args=args or None, **views)

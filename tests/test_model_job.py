@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from kohort import config
+from kohort.operators import cleaning as CL
 from kohort.operators import model as M
 from kohort.plans import profile_queries as PQ
 from kohort.plans.batch_job import run_churn_job
-from kohort.sources import files
+from kohort.sources import files, mart
 from kohort.sources.tables import Tables
 
 
 def _frames(spark):
-    return PQ._model_frames(Tables(spark, SF_SMALL))
+    return PQ._model_frames(Tables(spark, SF_SMALL))[:2]
 
 
 def test_save_load_equal_predictions(spark, tmpdir_session):
@@ -41,18 +43,73 @@ def test_seed_stability(spark):
 def test_random_search_small(spark):
     train, _ = _frames(spark)
     space = [dict(p, numTrees=10 + i) for i, p in enumerate(M.search_space(2))]
-    best, scores = M.random_search(train, folds=2, space=space, parallelism=2)
+    best, scores, pipeline = M.random_search(train, folds=2, space=space, parallelism=2)
     assert len(scores) == 2
+    chosen = max(scores, key=lambda s: s[1])[0]
+    assert pipeline.getStages()[-1].getNumTrees() == best.stages[-1].getNumTrees == chosen["numTrees"]
     assert all(0.0 <= s <= 1.0 for _, s in scores)
     assert best.stages[-1].getNumTrees in (10, 11)
 
 
 def test_other_estimators(spark):
     train, test = _frames(spark)
-    for kind in ("logistic_regression", "boosted_trees"):
-        est = M.build_estimator(kind, maxIter=5)
-        out = M.score(M.fit(train, est), test)
-        assert out.count() == test.count()
+    out = M.score(M.fit(train, M.build_estimator("boosted_trees", maxIter=5)), test)
+    assert out.count() == test.count()
+    forest = M.build_estimator("declared_forest")
+    assert (forest.getMaxDepth(), forest.getMinInstancesPerNode(), forest.getNumTrees()) == (10, 2, 100)
+    assert M.build_estimator().getMaxDepth() == M.MAX_DEPTH
+
+
+def test_logistic_regression_against_newton(spark):
+    """The fitted weights minimise C * (summed log loss) + |w|^2 / 2 (free intercept)."""
+    import numpy as np
+
+    train, _ = _frames(spark)
+    n = train.count()
+    model = M.fit(train, M.build_estimator("logistic_regression", rows=n))
+    rows = model.transform(train).select("features", M.LABEL).collect()
+    x = np.column_stack([np.array([r.features.toArray() for r in rows]), np.ones(n)])
+    y = np.array([r[M.LABEL] for r in rows], float)
+    penalty = np.diag([1.0] * (x.shape[1] - 1) + [0.0])
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
+    fitted = model.stages[-1]
+    assert np.allclose(np.append(fitted.coefficients.toArray(), fitted.intercept), w, atol=1e-3)
+    with pytest.raises(ValueError):
+        M.build_estimator("logistic_regression")
+
+
+def test_reuse_cascade(spark, tmp_path):
+    """Nothing saved is an error; then unfitted -> search, best -> refit, fitted -> as it is."""
+    train, test = _frames(spark)
+    folder = str(tmp_path / "models")
+    with pytest.raises(FileNotFoundError):
+        M.reuse_or_fit(spark, train, folder)
+    M.save_unfitted(folder)
+    space = [dict(p, numTrees=5 + i) for i, p in enumerate(M.search_space(2))]
+    first = M.reuse_or_fit(spark, train, folder, folds=2, space=space)
+    assert sorted(os.listdir(folder)) == sorted([M.TUNED, M.BEST, M.UNFITTED])
+    trees = first.stages[-1].getNumTrees
+    again = M.reuse_or_fit(spark, None, folder)  # fitted: the training rows are not needed
+    assert M.score(first, test).orderBy("customerid").collect() == M.score(again, test).orderBy("customerid").collect()
+    other = str(tmp_path / "other")
+    M.save(M.Pipeline.load(os.path.join(folder, M.BEST)), os.path.join(other, M.BEST))
+    refit = M.reuse_or_fit(spark, train, other)
+    assert refit.stages[-1].getNumTrees == trees and os.path.exists(os.path.join(other, M.TUNED))
+
+
+def test_importances_need_matching_names(spark):
+    train, _ = _frames(spark)
+    model = M.build_pipeline(M.build_estimator(numTrees=3), numeric=["age", "tenure"], categorical=["contract_length"]).fit(train)
+    assert [r.feature for r in M.feature_importance(model, spark).collect()] == ["contract_length", "age", "tenure"]
+
+
+def test_split_features_target(spark):
+    df = spark.createDataFrame([(1, 2, 0)], "customerid int, age int, churn int")
+    x, y = CL.split_features_target(df)
+    assert (x.columns, y.columns) == (["customerid", "age"], ["customerid", "churn"])
 
 
 def test_search_space_ranges():
@@ -70,7 +127,8 @@ def test_csv_round_trip(spark, tmpdir_session):
 
 
 def test_batch_job(spark, tmpdir_session):
-    out = run_churn_job(spark, SF_SMALL, os.path.join(tmpdir_session, "job"))
+    search = {"folds": 2, "space": [dict(p, numTrees=10) for p in M.search_space(2)]}
+    out = run_churn_job(spark, SF_SMALL, os.path.join(tmpdir_session, "job"), search_args=search)
     rep = files.read_report(spark, out["report"])
     items = {(r.section, r.item) for r in rep.collect()}
     assert ("model_performance", "recall") in items
@@ -79,4 +137,7 @@ def test_batch_job(spark, tmpdir_session):
     # second run reuses the saved model
     again = run_churn_job(spark, SF_SMALL, os.path.join(tmpdir_session, "job"))
     assert again["recall"] == out["recall"]
-    assert spark.read.parquet(out["predictions"]).where(F.col("churn_probability").isNull()).count() == 0
+    # every customer is scored, not only the test split
+    predictions = spark.read.parquet(out["predictions"])
+    assert predictions.where(F.col("churn_probability").isNull()).count() == 0
+    assert predictions.count() == mart.customers(Tables(spark, SF_SMALL)).count()

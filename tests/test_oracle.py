@@ -1,5 +1,5 @@
 """Every registered query against its DuckDB oracle (sf0.001), and the
-rows-only queries for a non-empty stable schema."""
+rows-only queries for sensible rows and a stable schema."""
 
 from __future__ import annotations
 
@@ -28,11 +28,58 @@ def test_oracle_equal(spark, con, name):
     assert res["exact"], res
 
 
+def _probability(rows):
+    return all(0.0 <= r.churn_probability <= 1.0 for r in rows) and {r.risk_category for r in rows} <= {"High", "Medium", "Low"}
+
+
+# what must hold for the queries that SQL cannot repeat (fitted models)
+SENSIBLE = {
+    "feature_importance": lambda rows: len(rows) == 9 and abs(sum(r.importance for r in rows) - 1) < 1e-6,
+    "churn_scores": lambda rows: _probability(rows) and len({r.customerid for r in rows}) == len(rows) > 100,
+    "model_confusion": lambda rows: 1 <= len(rows) <= 4 and sum(r["count"] for r in rows) > 10,
+    "model_recall_f1": lambda rows: rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn > 10,
+    "logreg_recall_f1": lambda rows: rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn > 10,
+    "declared_forest_recall_f1": lambda rows: rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn > 10,
+}
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_runs(spark, name):
     df = catalog.QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
-    assert df.schema == catalog.QUERIES[name](spark, SF_SMALL).schema
+    assert SENSIBLE[name](df.collect()), name
+
+
+def test_every_customer_is_scored(spark):
+    scored = catalog.QUERIES["churn_scores"](spark, SF_SMALL).count()
+    assert scored == catalog.QUERIES["risk_bands"](spark, SF_SMALL).count()
+
+
+def test_high_risk_shows_something(spark):
+    rows = catalog.QUERIES["high_risk_customers"](spark, SF_SMALL).collect()
+    assert 0 < len(rows) <= 10 and all(r.churn_probability >= 0.7 for r in rows)
+    assert [(-r.churn_probability, r.customerid) for r in rows] == sorted((-r.churn_probability, r.customerid) for r in rows)
+
+
+ORDERED = {
+    "customer_ltv": lambda r: (-r.lifetime_value, r.customer_id),
+    "value_counts_plan": lambda r: (-r["count"], r.value),
+    "subs_count_of_counts": lambda r: r.subscriptions,
+    "revenue_by_plan": lambda r: (-r.revenue, r.subscription_type),
+    "feature_top_values": lambda r: (r.feature, r.rank),
+    "cohort_curve": lambda r: r.cohort_index,
+    "top_customers": lambda r: (-r.lifetime_value, r.customer_id),
+    "retention_rate_linear": lambda r: (r.cohort_month, r.cohort_index),
+    "retention_counts_linear": lambda r: (r.cohort_month, r.cohort_index),
+    "retention_rate_by_plan": lambda r: (r.subscription_type, r.cohort_month, r.cohort_index),
+    "cohort_acquisition": lambda r: (r.acquisition_month, r.customer_id),
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_order(spark, name):
+    """O1, O2: the final order, with the key as tie-break."""
+    keys = [ORDERED[name](r) for r in catalog.QUERIES[name](spark, SF_SMALL).collect()]
+    assert keys and keys == sorted(keys)
 
 
 def test_every_query_has_a_survey_id():
@@ -44,4 +91,4 @@ def test_entry_contract(spark):
 
     df = entry.entry(spark)
     assert df.count() > 0
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())

@@ -1,87 +1,99 @@
-"""The distributed exact quantile equals Spark's exact percentile."""
+"""The exact quantiles equal Spark's percentile, by the same steps at every size."""
 
 from __future__ import annotations
 
 import random
 
+import pytest
 from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kohort import config
-from kohort.operators import aggregates as A
-from kohort.operators import drift as D
+from kohort.operators import quantiles as Q
 from kohort.operators import revenue as R
-from kohort.operators.quantiles import exact_quantiles, quantile_table
+from kohort.operators.quantiles import median_table, quantile_array, quantile_table
 from kohort.sources import mart
 from kohort.sources.tables import Tables
 
 
-def test_matches_spark_percentile_with_skew_ties_and_small_groups(spark):
+def reference(df, probs, by):
+    arr = F.percentile("x", F.array(*[F.lit(p) for p in probs]))
+    return {(*[r[k] for k in by], i): q for r in df.groupBy(*by).agg(arr.alias("q")).collect() for i, q in enumerate(r.q or [])}
+
+
+def found(df, probs, by):
+    return {(*[r[k] for k in by], r.q_index): r.quantile for r in quantile_table(df, "x", probs, by).collect()}
+
+
+PROBS = [0.9, 0.5, 0.0, 1.0, 0.25, 0.333, 0.001, 0.999] + [(i + 0.5) / 20 for i in range(20)]
+
+
+@pytest.mark.parametrize("buckets", [2, 7, 1024])
+def test_skew_ties_null_keys_and_small_groups(spark, monkeypatch, buckets):
+    monkeypatch.setattr(Q, "BUCKETS", buckets)
     rnd = random.Random(7)
     rows = []
     for g in range(2):
-        for _ in range(3000):
+        for _ in range(1500):
             r = rnd.random()
             # a third of the rows hold one hot value
-            v = 7.0 if r < 0.34 else (round(rnd.gauss(100, 30), 2) if r < 0.9 else float(rnd.randint(0, 5)))
-            rows.append((g, v))
-    rows += [(9, 1.0), (9, 2.0), (9, 3.0), (9, 4.0), (8, 5.0), (8, None)]
+            rows.append((g, 7.0 if r < 0.34 else (round(rnd.gauss(100, 30), 2) if r < 0.9 else float(rnd.randint(0, 5)))))
+    rows += [(9, 1.0), (9, 2.0), (9, 3.0), (9, 4.0), (8, 5.0), (8, None), (7, None), (None, 3.0), (None, 8.0)]
     df = spark.createDataFrame(rows, "g int, x double")
-    probs = [0.9, 0.5, 0.0, 1.0, 0.25, 0.333, 0.001, 0.999] + [(i + 0.5) / 20 for i in range(20)]
-    # accuracy 500 < 3000 rows: the two big groups take the sketch-bracket path
-    got = {(r.g, r.q_index): (r.quantile, r.valid)
-           for r in exact_quantiles(df, "x", probs, ["g"], accuracy=500).collect()}
-    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
-    for r in ref:
-        for i, q in enumerate(r.q):
-            assert got[(r.g, i)] == (q, True), (r.g, probs[i])
-
-
-def test_global_and_empty(spark):
-    df = spark.createDataFrame([(float(i),) for i in range(1, 5)], "x double")
-    q = {r.p: r.quantile for r in exact_quantiles(df, "x", [0.5, 0.9], accuracy=2).collect()}
-    assert q == {0.5: 2.5, 0.9: 3.7}
-    empty = df.where("x > 10")
-    assert exact_quantiles(empty, "x", [0.5]).count() == 0
+    probs = PROBS if buckets > 2 else PROBS[:4]
+    assert found(df, probs, ["g"]) == {k: v for k, v in reference(df, probs, ["g"]).items() if k[0] != 7}
+
+
+def test_extreme_values(spark):
+    values = [0.0, -0.0, 1e300, -1e300, 5e-324, float("inf"), float("-inf"), 1.0, 1.0, 2.5, -7.0] + [float(i) for i in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    n = len(values)
+    probs = [i / (n - 1) for i in range(n)]
+    got = [found(df, [p], [])[(0,)] for p in probs[::6]]
+    assert got == sorted(values)[::6]
+
+
+def test_global_empty_and_nan(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 5)] + [(float("nan"),), (None,)], "x double")
+    assert {r.p: r.quantile for r in quantile_table(df, "x", [0.5, 0.9]).collect()} == {0.5: 2.5, 0.9: 3.7}
+    assert quantile_table(df.where("x > 10 AND NOT isnan(x)"), "x", [0.5]).count() == 0
     assert R.invoice_totals(spark.createDataFrame([], "amount decimal(18,2)")).first().median_amount is None
+    with pytest.raises(ValueError):
+        quantile_table(df, "x", [])
 
 
-def test_methods_agree_on_operators(spark):
-    t = Tables(spark, SF_SMALL)
-    inv = mart.invoices(t, with_late=False)
-    for method in ("map", "distributed"):
-        assert quantile_table(inv, "amount", [0.5], method=method).count() == 1
-    a = A.describe(inv, ["amount"], by="status", method="map").collect()
-    b = A.describe(inv, ["amount"], by="status", method="distributed").collect()
-    assert sorted(a) == sorted(b)
-    a = A.boxplot_stats(inv, "amount", method="map").collect()
-    b = A.boxplot_stats(inv, "amount", method="distributed").collect()
-    assert a == b
-    ref = D.snapshot(mart.customers(t, config.REFERENCE_CUTOFF))
-    cur = D.snapshot(mart.customers(t))
-    a = D.numeric_drift(ref, cur, method="map").collect()
-    b = D.numeric_drift(ref, cur, method="distributed").collect()
-    assert sorted(a) == sorted(b)
-
-
-def test_auto_reuses_materialised_brackets(spark):
-    """``auto`` with groups above ``accuracy``: the checkpointed first pass
-    decides the method and feeds the distributed method; results equal
-    Spark's exact percentile (grouped and global)."""
-    rnd = random.Random(11)
-    rows = [(g, 7.0 if rnd.random() < 0.34 else round(rnd.gauss(50, 20), 1))
-            for g in range(3) for _ in range(1500)]
-    rows += [(5, 1.0), (5, 2.0)]
-    df = spark.createDataFrame(rows, "g int, x double")
-    probs = [0.5, 0.1, 0.9, 0.75]
-    got = {(r.g, r.q_index): r.quantile
-           for r in quantile_table(df, "x", probs, ["g"], method="auto", accuracy=200).collect()}
-    ref = df.groupBy("g").agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
-    assert len(got) == len(ref) * len(probs)
-    for r in ref:
-        for i, q in enumerate(r.q):
-            assert got[(r.g, i)] == q, (r.g, probs[i])
-    glob = {r.q_index: r.quantile
-            for r in quantile_table(df, "x", probs, method="auto", accuracy=200).collect()}
-    ref_g = df.agg(F.percentile("x", F.array(*[F.lit(p) for p in probs])).alias("q")).first().q
-    assert [glob[i] for i in range(len(probs))] == list(ref_g)
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.floats(-1e6, 1e6) | st.sampled_from([0.0, 1.5]), min_size=1, max_size=60), st.floats(0, 1))
+def test_any_values(spark, values, p):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert quantile_table(df, "x", [p]).first().quantile == df.agg(F.percentile("x", p)).first()[0]
+
+
+def test_more_than_a_bracket_of_values(spark):
+    """Many different values: several rounds, and still the exact ranks."""
+    df = spark.range(60_000).select((F.col("id") * 7919 % 60_013).cast("double").alias("x"))
+    assert found(df, [0.1, 0.5, 0.77], []) == reference(df, [0.1, 0.5, 0.77], [])
+
+
+def test_first_pass_moves_kilobytes(spark, monkeypatch):
+    """What a round shuffles per task is bounded by the buckets, not by the values."""
+    rounds = []
+    inner = Q._narrow
+
+    def watched(values, state, by, log):
+        out = inner(values, state, by, log)
+        rounds.append(values.count())
+        counted = [n for n in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in n]
+        assert any("__bucket" in n or "bucket" in n for n in counted)
+        return out
+
+    monkeypatch.setattr(Q, "_narrow", watched)
+    inv = mart.invoices(Tables(spark, SF_SMALL), with_late=False)
+    assert median_table(inv, "amount").count() == 1
+    assert 1 <= len(rounds) <= 5
+
+
+def test_arrays_follow_the_order_of_probs(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(11)], "g string, x double")
+    assert quantile_array(df, "x", [1.0, 0.0, 0.5], ["g"]).first().quantiles == [10.0, 0.0, 5.0]
