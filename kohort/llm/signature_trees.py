@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_table, table
@@ -56,7 +56,6 @@ MAX_SALTS = 1024
 #: lengths of the two census lists; they only change the order of the work
 COMMON_SHINGLES = 200_000
 LARGE_BLOCKS = 100_000
-_ONE = np.uint64(1)
 LEAF_DOCS = 16
 FANOUT = 8
 CARRY = 256
@@ -369,13 +368,13 @@ def _entries(blob: bytes) -> np.ndarray:
     return e
 
 
-def _several(e: np.ndarray) -> np.ndarray:
+def _several_mask(e: np.ndarray) -> np.ndarray:
     """Entries, sorted by key, under which more than one class stands."""
     if not len(e):
-        return e
+        return np.zeros(0, bool)
     new = np.flatnonzero(np.concatenate([[True], e["key"][1:] != e["key"][:-1]]))
     one = np.minimum.reduceat(e["class_"], new) == np.maximum.reduceat(e["class_"], new)
-    return e[np.repeat(~one, np.diff([*new, len(e)]))]
+    return np.repeat(~one, np.diff([*new, len(e)]))
 
 
 def _fits(x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
@@ -400,7 +399,8 @@ def meet_first(e: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     other pairs remain.  As many pairs as classes, so a large group of near
     copies that fell into several classes costs little.
     """
-    e = _several(e[np.lexsort((e["n"], e["class_"], e["key"]))])
+    e = e[np.lexsort((e["n"], e["class_"], e["key"]))]
+    e = e[_several_mask(e)]
     if not len(e):
         return np.empty((0, 2), np.int64), e
     of_key = np.concatenate([[True], e["key"][1:] != e["key"][:-1]])
@@ -417,13 +417,18 @@ def meet_first(e: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_pairs(hub[ok], middle[ok]), axis=0), e[np.repeat(size > 2, size)]
 
 
-def meet(e: np.ndarray, percent: int) -> np.ndarray:
+def meet(e: np.ndarray, percent: int, earlier: list[frozenset] | None = None) -> np.ndarray:
     """All pairs (a < b) of documents of different classes that meet and may be linked.
 
     Entries of a key stand in the order of their set sizes; each is compared
-    with those after it until the sizes differ too much.
+    with those after it until the sizes differ too much.  ``earlier``: per
+    entry the document's keys before this one; a pair that meets there too is
+    left to the first of those keys, so it comes up once in all.
     """
-    e = _several(e[np.lexsort((e["n"], e["key"]))])
+    order = np.lexsort((e["n"], e["key"]))
+    e = e[order]
+    kept = _several_mask(e)
+    e, order = e[kept], order[kept]
     key, n = e["key"], e["n"].astype(np.int64)
     out, held = [np.empty((0, 2), np.int64)], 0
     live, d = np.arange(len(e) - 1), 1
@@ -431,11 +436,13 @@ def meet(e: np.ndarray, percent: int) -> np.ndarray:
         live = live[live + d < len(e)]
         near = (key[live] == key[live + d]) & (100 * n[live + d] * percent <= 10_000 * n[live])
         live = live[near]
-        x, y = e[live], e[live + d]
-        ok = _fits(x, y, percent)
-        if ok.any():
-            out.append(_pairs(x[ok], y[ok]))
-            held += len(out[-1])
+        ok = live[_fits(e[live], e[live + d], percent)]
+        if earlier is not None:
+            new = [earlier[i].isdisjoint(earlier[j]) for i, j in zip(order[ok], order[ok + d])]
+            ok = ok[np.array(new, bool)]
+        if len(ok):
+            out.append(_pairs(e[ok], e[ok + d]))
+            held += len(ok)
             if held > 2_000_000:
                 out = [np.unique(np.concatenate(out), axis=0)]
                 held = 0
@@ -494,35 +501,23 @@ def _meet_rest(percent: int):
     """Entries sorted by key in; out: pairs.  Keys are taken together up to some number of entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+        rows: list[tuple] = []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            found = meet(np.concatenate(held), percent)
+            e = np.array([r[:5] for r in rows], _ENTRY)
+            found = meet(e, percent, [frozenset(r[5]) for r in rows])
             for k in range(0, len(found), 100_000):
                 part = found[k:k + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["a", "b"])
 
         for batch in batches:
-            e = np.empty(batch.num_rows, _ENTRY)
-            for i, name in enumerate(("key", "doc", "class_", "n", "place")):
-                col = batch.column(i).to_numpy(zero_copy_only=False)
-                e[name] = col.view(np.uint64) if name == "key" else col
-            cut = 0
-            if size > 500_000 and e["key"][0] != held[-1]["key"][-1]:
-                yield from pairs()
-                held, size = [], 0
-            elif size > 500_000:  # finish the key that is open
-                cut = int((np.concatenate([e["key"], e["key"][-1:] + _ONE]) != held[-1]["key"][-1]).argmax())
-                if cut < len(e):
-                    held.append(e[:cut])
+            key = batch.column(0).to_numpy().view(np.uint64).tolist()
+            for r in zip(key, *[batch.column(i).to_pylist() for i in range(1, 6)]):
+                if len(rows) > 20_000 and r[0] != rows[-1][0]:
                     yield from pairs()
-                    held, size = [], 0
-                else:
-                    cut = 0
-            held.append(e[cut:])
-            size += len(held[-1])
-        if held:
+                    rows = []
+                rows.append(r)
+        if rows:
             yield from pairs()
 
     return run
@@ -565,8 +560,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     inside = found.where(f"kind = {_DOC} AND a IS NOT NULL AND a <> b").select("a", "b")
     first = shared_table(tested(found.where(f"kind = {_PAIR}").select("a", "b")).unionByName(inside), "jaccard-links")
     named = components(first)
-    rest = found.where(f"kind = {_REST}").join(named, F.col("b") == F.col("node"), "left").select(
-        "key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place")
+    # with every entry, the document's keys before it: at most the length of its prefix
+    before = Window.partitionBy("a", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    rest = (found.where(f"kind = {_REST}").withColumn("earlier", F.collect_list("key").over(before))
+            .join(named, F.col("b") == F.col("node"), "left")
+            .select("key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place", "earlier"))
     more = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rest(percent), "a long, b long")
     links = shared_table(tested(more), "jaccard-links")
     if not links.isEmpty():
