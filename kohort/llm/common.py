@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..sources.files import shared_table
+
+__all__ = ["free_name", "held_out", "lowest_hashes", "number_rows", "shared_table", "ship_package", "sliced", "table", "tokenizer_path"]
 
-#: Spark's setting to drop shuffle files when the query that wrote them ends
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TOKENIZER_FILE = "byte_bpe_50k.json"
 
 
@@ -50,25 +51,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once below the shared checkpoint folder and read it back.
+def lowest_hashes(df: DataFrame, group: str, key: str, sizes: dict, k: int) -> DataFrame:
+    """About the ``k`` rows with the lowest hash of ``key`` in each group, at most ``k``.
 
-    Cuts the lineage: a lost executor never forces the work before this
-    point to be repeated, and every later use reads the same rows.  The
-    shuffle files of the finished write are no longer needed and are removed.
+    ``sizes`` (rows per group) set a hash limit that some ``2 k`` rows of a
+    group pass, so the ranking never sees more, whatever the input.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    u = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11).cast("double") / float(1 << 53)
+    limit = F.lit(0.0)
+    for value, n in sizes.items():
+        limit = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, (2 * k + 20) / max(n, 1)))).otherwise(limit)
+    top = Window.partitionBy(group).orderBy("_u", key)
+    return (df.withColumn("_u", u).where(F.col("_u") < limit)
+            .withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= k).drop("_n"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -76,6 +71,13 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in small parts: bounds what a worker holds as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

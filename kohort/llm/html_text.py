@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
@@ -274,7 +274,7 @@ def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [extract_text(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

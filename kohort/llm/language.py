@@ -30,10 +30,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, lowest_hashes, sliced, table
 
 PER_LANG = 300
 LANDMARKS_PER_LANG = 60
@@ -104,7 +104,7 @@ def _kernel(rows: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
 
 
 def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1),
              pa.array([presence(t) for t in batch.column(2).to_pylist()], pa.list_(pa.int32()))], ["lang", "u", "grams"])
@@ -114,9 +114,11 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LAN
         ridge: float = RIDGE) -> KernelModel:
     """Model from doc_id, text and lang of ``docs``; only presence vectors of the sample reach the driver."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    ids = lowest_hashes(known.select("doc_id", "lang"), "lang", "doc_id", sizes, per_lang)
     u = F.xxhash64("doc_id")
-    top = Window.partitionBy("lang").orderBy(u, "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= per_lang)
     named = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     # at most per_lang ids for each language
     sample = known.join(F.broadcast(named), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))) \
@@ -124,8 +126,6 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LAN
     rows = sample.mapInArrow(_presence_rows, "lang string, u long, grams array<int>").collect()
     found = sorted(((r["lang"], r["u"], np.array(r["grams"], np.int32)) for r in rows if r["grams"]), key=lambda r: r[:2])
     langs = tuple(sorted({r[0] for r in found}))
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages to learn")
     if not langs:
         return KernelModel((), np.zeros((1, 0), np.float32))
     marks, seen = [], dict.fromkeys(langs, 0)

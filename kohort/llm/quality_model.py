@@ -29,21 +29,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import held_out, lowest_hashes, sliced, table
 
 PER_CLASS = 3000
-PIECE = 1024
-PIECES_PER_DOC = 16
-DICT_BYTES = 64 * 1024
+PIECE = 512
+PIECES_PER_DOC = 32
+DICT_BYTES = 256 * 1024
 LEVEL = 3
 
 
 @dataclass(frozen=True)
 class CompressionModel:
-    """Two dictionaries and the calibration curve (some 130 kB in all)."""
+    """Two dictionaries and the calibration curve (half a megabyte in all)."""
 
     good: bytes
     bad: bytes
@@ -89,7 +89,7 @@ def _dictionary(samples: list[bytes]) -> bytes:
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Up to PIECES_PER_DOC evenly spread pieces of each text."""
-    for batch in batches:
+    for batch in sliced(batches):
         out = []
         for text in batch.column(2).to_pylist():
             p = pieces(text)
@@ -125,10 +125,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Compr
     if len(counts) < 2:
         share = (counts.get(1, 0) + 0.5) / (total + 1) if total else 0.999
         return CompressionModel(b"", b"", 0.0, float(np.log(share / (1 - share))))
-    order = F.xxhash64(F.col("doc_id"))
-    top = Window.partitionBy("quality").orderBy(order, "doc_id")
     # at most 2 * per_class ids
-    chosen = F.broadcast(clean.withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= per_class)
+    chosen = F.broadcast(lowest_hashes(clean.select("doc_id", "quality"), "quality", "doc_id", counts, per_class)
                          .select("doc_id", "quality"))
     sample = (docs.join(chosen, "doc_id")
               .select(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(3)).cast("int").alias("u"),
@@ -162,7 +160,7 @@ def score(docs: DataFrame, model: CompressionModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = model.scorer()
-        for batch in batches:
+        for batch in sliced(batches):
             s = np.array([of(t) for t in batch.column(1).to_pylist()], float)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))],
@@ -179,7 +177,7 @@ def keep_good(docs: DataFrame, model: CompressionModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = model.scorer()
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([of(t) >= 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, schema)

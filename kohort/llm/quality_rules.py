@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
             "n_letters", "n_upper", "n_marks")
@@ -98,7 +98,7 @@ def measure_text(text: str | None) -> tuple[int, ...]:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         rows = [measure_text(t) for t in batch.column(1).to_pylist()]
         cols = list(zip(*rows)) or [[] for _ in MEASURES]
         yield pa.RecordBatch.from_arrays(

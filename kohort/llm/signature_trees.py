@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_table, table
+from .common import shared_table, sliced, table
 from .components import components
 from .shingles import shingles
 
@@ -55,6 +55,7 @@ BLOCK = 2048
 MAX_SALTS = 1024
 #: lengths of the two census lists; they only change the order of the work
 COMMON_SHINGLES = 200_000
+COMMON_SHARE = 20_000  # a shingle is common when more than one document in so many has it
 LARGE_BLOCKS = 100_000
 LEAF_DOCS = 16
 FANOUT = 8
@@ -185,12 +186,13 @@ def _census(words: int):
                     total[v] = total.get(v, 0) + c
                 held.clear()
 
-        size = 0
-        for batch in batches:
+        size = docs = 0
+        for batch in sliced(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = shingles(text, words)
                 if doc is None or not len(grams):
                     continue
+                docs += 1
                 held.append(grams)
                 size += len(grams)
                 seen = first.setdefault(int(grams[0]), [0, doc])
@@ -200,7 +202,7 @@ def _census(words: int):
                     flush()
                     size = 0
         flush()
-        rows = [(0, k, n, 0) for k, n in total.items()] + [(1, k, n, d) for k, (n, d) in first.items() if n > 2]
+        rows = [(2, 0, docs, 0)] + [(0, k, n, 0) for k, n in total.items()] + [(1, k, n, d) for k, (n, d) in first.items() if n > 2]
         for at in range(0, len(rows), 50_000):
             kind, key, n, doc = zip(*rows[at:at + 50_000])
             yield pa.RecordBatch.from_arrays(
@@ -213,8 +215,11 @@ def _census(words: int):
 def census(docs: DataFrame, words: int = WORDS) -> Census:
     counted = (docs.mapInArrow(_census(words), "kind int, key long, n long, doc long")
                .groupBy("kind", "key").agg(F.sum("n").alias("n"), F.min("doc").alias("doc")))
-    counted = shared_table(counted.where("kind = 0 AND n > 5 OR kind = 1 AND n > 2"), "census")
-    common = counted.where("kind = 0").orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).select("key").collect()
+    counted = shared_table(counted.where("kind = 0 AND n > 5 OR kind = 1 AND n > 2 OR kind = 2"), "census")
+    total = counted.where("kind = 2").agg(F.sum("n")).first()[0] or 0
+    # a share of all documents, so that the list does not grow with them
+    often = max(5, total // COMMON_SHARE)
+    common = counted.where(f"kind = 0 AND n > {often}").orderBy(F.desc("n"), "key").limit(COMMON_SHINGLES).select("key").collect()
     large = counted.where((F.col("kind") == 1) & (F.col("n") > BLOCK)).orderBy(F.desc("n"), "key").limit(LARGE_BLOCKS).collect()
     return Census(np.sort(np.array([r["key"] for r in common], np.int64).view(np.uint64)),
                   {r["key"]: (min(MAX_SALTS, -(-r["n"] // BLOCK)), r["doc"]) for r in large})
@@ -228,7 +233,7 @@ def _deal(words: int, large: dict[int, tuple[int, int]]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = shingles(text, words)
@@ -317,7 +322,7 @@ def _work(words: int, percent: int, common: np.ndarray, buckets: int):
 
         at, block, carried = None, [], []
         held = 0
-        for batch in batches:
+        for batch in sliced(batches):
             cols = [batch.column(i).to_pylist() for i in range(6)]
             for key, salt, pivot, doc, parent, text in zip(*cols):
                 if (key, salt) != at or len(block) >= BLOCK:
@@ -526,7 +531,7 @@ def _meet_rest(percent: int):
 def _test(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, grams = None, None
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if last != (b, len(tb or "")):

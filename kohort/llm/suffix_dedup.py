@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .common import free_name, shared_table, table
+from .common import free_name, shared_table, sliced, table
 from .shingles import BYTE_HASH, mix, prefix_hash, span_hash
 
 WIDTH = 100
@@ -221,7 +221,7 @@ def _cut(width: int, gram: int, buckets: int):
                 yield _batch(_CUT, bucket[cut], _STRING, 0, 0, 0, blobs)
 
         n = 0
-        for batch in batches:
+        for batch in sliced(batches):
             for e in _slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), width, gram):
                 held.append(e)
                 n += len(e)
@@ -279,7 +279,7 @@ _BYTES = "key long, doc long, a long, data binary"
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text and the strings wanted from it: the strings with their bytes."""
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for doc, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             if wanted:
@@ -378,7 +378,7 @@ _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
 def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         out: list[tuple] = []
         for doc, text, spans in zip(*[c.to_pylist() for c in batch.columns]):
             data = (text or "").encode("utf-8", "surrogatepass")
@@ -392,7 +392,7 @@ def _replace(text_at: int, chars_at: int | None):
     """Rows with their spans in the last column: the rows with the text that is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             columns, names = batch.columns[:-1], batch.schema.names[:-1]
             texts = []
             for text, spans in zip(columns[text_at].to_pylist(), batch.columns[-1].to_pylist()):
