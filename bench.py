@@ -31,6 +31,8 @@ HEADLINE = [
     "kpi_summary",
     "customer_ltv",
     "ltv_summary",
+    "invoice_totals",
+    "boxplot_stats",
     "monthly_revenue",
     "revenue_by_plan",
     "numeric_describe",
