@@ -8,8 +8,9 @@ of each bucket; a rank's new range is that of the bucket it falls in.  A
 range ends up as one value, which is the answer.
 
 All rounds are plain grouped counts with map-side aggregation: a task holds
-and shuffles at most ``BUCKETS`` rows per group, whatever the number of
-values, and a hot value is one count.  The same steps run at every size;
+and shuffles at most ``BUCKETS`` rows per group (``RANGE_BUCKETS`` per open
+range, if that is more), whatever the number of values, and a hot value is
+one count.  The same steps run at every size;
 only their number grows, with the logarithm of the number of different
 values.  The first round counts on a logarithmic scale, so that a few huge
 values cost no extra round.
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from ..sources.files import shared_table
 from .aggregates import attach_scalars
 
-#: buckets per group and round, over all its open ranges
-BUCKETS = 1024
+#: buckets per group and round, over all its open ranges, and per range at least
+BUCKETS, RANGE_BUCKETS = 1024, 32
 
 
 def _col(c) -> Column:
@@ -74,13 +75,13 @@ def _narrow(values: DataFrame, state: DataFrame, by: list[str], log: bool) -> Da
     else:
         met = attach_scalars(values, ranges)
     hit = F.get(F.filter("__ranges", lambda r: (r["__lo"] <= F.col("__v")) & (F.col("__v") <= r["__hi"])), F.lit(0))
-    per_range = F.greatest(F.lit(2), F.floor(F.lit(BUCKETS) / F.size("__ranges")))
+    per_range = F.greatest(F.lit(RANGE_BUCKETS), F.floor(F.lit(BUCKETS) / F.size("__ranges")))
     met = met.withColumn("__hit", hit).where(F.col("__hit").isNotNull())
     lo, hi = F.col("__hit")["__lo"], F.col("__hit")["__hi"]
     counted = (met.groupBy(*by, lo.alias("__lo"), hi.alias("__hi"),
                            _bucket(F.col("__v"), lo, hi, per_range, log).alias("__bucket"))
                .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__first"), F.max("__v").alias("__last")))
-    # at most BUCKETS rows per group
+    # a few thousand rows per group at most
     before = Window.partitionBy(*by, "__lo", "__hi").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     counted = counted.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     side = _renamed(counted, by).withColumnsRenamed({"__lo": "__b_lo", "__hi": "__b_hi"})

@@ -32,6 +32,7 @@ PROBS = [0.9, 0.5, 0.0, 1.0, 0.25, 0.333, 0.001, 0.999] + [(i + 0.5) / 20 for i
 @pytest.mark.parametrize("buckets", [2, 7, 1024])
 def test_skew_ties_null_keys_and_small_groups(spark, monkeypatch, buckets):
     monkeypatch.setattr(Q, "BUCKETS", buckets)
+    monkeypatch.setattr(Q, "RANGE_BUCKETS", min(buckets, Q.RANGE_BUCKETS))
     rnd = random.Random(7)
     rows = []
     for g in range(2):
