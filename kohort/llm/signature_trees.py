@@ -55,7 +55,7 @@ BLOCK = 2048
 MAX_SALTS = 1024
 #: lengths of the two census lists; they only change the order of the work
 COMMON_SHINGLES = 200_000
-COMMON_SHARE = 20_000  # a shingle is common when more than one document in so many has it
+COMMON_SHARE = 100_000  # a shingle is common when more than one document in so many has it
 LARGE_BLOCKS = 100_000
 LEAF_DOCS = 16
 FANOUT = 8
@@ -565,11 +565,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     inside = found.where(f"kind = {_DOC} AND a IS NOT NULL AND a <> b").select("a", "b")
     first = shared_table(tested(found.where(f"kind = {_PAIR}").select("a", "b")).unionByName(inside), "jaccard-links")
     named = components(first)
+    rest = shared_table(found.where(f"kind = {_REST}").join(named, F.col("b") == F.col("node"), "left").select(
+        "key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place"), "jaccard-rest")
+    # only keys under which different components still meet
+    still = (rest.groupBy("key").agg(F.min("class_").alias("lo"), F.max("class_").alias("hi"))
+             .where("lo < hi").select("key"))
     # with every entry, the document's keys before it: at most the length of its prefix
-    before = Window.partitionBy("a", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    rest = (found.where(f"kind = {_REST}").withColumn("earlier", F.collect_list("key").over(before))
-            .join(named, F.col("b") == F.col("node"), "left")
-            .select("key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place", "earlier"))
+    before = Window.partitionBy("doc", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    rest = rest.join(still, "key").select(
+        "key", "doc", "class_", "n", "place", F.collect_list("key").over(before).alias("earlier"))
     more = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rest(percent), "a long, b long")
     links = shared_table(tested(more), "jaccard-links")
     if not links.isEmpty():
