@@ -16,18 +16,23 @@ first, by content, into parts that hold every repeat:
    hashes, so they end up in the same part, wherever they stand.
 2. *Fold*: copies of a string are folded, in the task that cuts them and
    then per hash: all but the first are repeats in full.  Only hashes under
-   which different strings remain go on, with one copy of each.
+   which different strings remain go on, with one copy of each.  Where one
+   task alone finds many strings of a hash, all but two of them are dealt by
+   their fingerprint instead, so no task folds all strings of a common hash.
 3. *Build*: the strings of a part (a bounded number of hashes) that can
    repeat anything go through the transform, at most ``2 width - 32`` rounds.  Neighbouring suffixes with
    a common prefix of ``width`` or more are equal windows; all but the first
-   of a class are repeats.
+   of a class are repeats.  A hash with more strings than a part holds (the
+   edges of a passage that many documents share) is judged by its windows
+   instead, in Spark: equal windows are grouped and all but the first are
+   repeats.  Memory in a task does not depend on the strings of a hash.
 4. *Apply*: the spans of each document are merged and cut out of its text.
 
 Between the steps the collection lives in shuffle files and in written
 tables of the shared folder, read and written sequentially.
 
-Strings are told apart by 128 bits of hashes in step 2 and byte by byte in
-step 3.
+Strings are told apart by 128 bits of hashes in step 2, windows byte by byte
+in the transform and by 128-bit digests where a hash has too many strings.
 
 Defined cases: null text counts as empty; a row with a null doc_id is
 returned whole and nothing is a repeat of it; rows that repeat a doc_id are
@@ -40,6 +45,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +63,8 @@ GRAM = 32
 #: strings that are folded, and strings that go through the transform, at a time
 FOLD = 1_000_000
 PART = 4096
+#: strings of one hash in a task, beyond which they are dealt by fingerprint
+SPREAD = 64
 _SLICE = 1 << 20
 _U = np.uint64
 _ENTRY = np.dtype([("key", "<u8"), ("print_", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("size", "<i4"),
@@ -184,7 +192,7 @@ def merge_spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 _CUT = "bucket int, kind int, doc long, a long, b long, blob binary"
 _FOUND = "kind int, key long, doc long, a long, b long"
-_SPAN, _STRING = 0, 1
+_SPAN, _STRING, _SPREAD = 0, 1, 2
 
 
 def _batch(names: str, *columns) -> pa.RecordBatch:
@@ -197,7 +205,7 @@ def _batch(names: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(out, [f for f, _ in fields])
 
 
-def _cut(width: int, gram: int, buckets: int):
+def _cut(width: int, gram: int, buckets: int, spread: int):
     """Documents in; out: strings by bucket (packed), and spans that are repeats within the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,13 +220,20 @@ def _cut(width: int, gram: int, buckets: int):
             if len(again):
                 doc, a, b = merge_spans(again["doc"], again["start"], again["start"] + again["size"])
                 yield _batch(_CUT, (doc % buckets).astype(np.int32), _SPAN, doc, a, b, None)
-            bucket = (firsts["key"] % _U(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            e, bucket = firsts[order], bucket[order]
-            cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-            blobs = [pack.compress(b"".join(e[lo:hi][n].tobytes() for n in _ENTRY.names)) for lo, hi in zip(cut, [*cut[1:], len(e)])]
-            if blobs:
-                yield _batch(_CUT, bucket[cut], _STRING, 0, 0, 0, blobs)
+            if not len(firsts):
+                return
+            new = np.flatnonzero(np.concatenate([[True], firsts["key"][1:] != firsts["key"][:-1]]))
+            count = np.diff([*new, len(firsts)])
+            # two strings of a key show in its own bucket that it has several
+            dealt = (np.repeat(count, count) > spread) & (np.arange(len(firsts)) - np.repeat(new, count) >= 2)
+            for kind, some, by in ((_STRING, firsts[~dealt], "key"), (_SPREAD, firsts[dealt], "print_")):
+                bucket = (some[by] % _U(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                e, bucket = some[order], bucket[order]
+                cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+                blobs = [pack.compress(b"".join(e[lo:hi][n].tobytes() for n in _ENTRY.names)) for lo, hi in zip(cut, [*cut[1:], len(e)])]
+                if blobs:
+                    yield _batch(_CUT, bucket[cut], kind, 0, 0, 0, blobs)
 
         n = 0
         for batch in sliced(batches):
@@ -245,7 +260,7 @@ def _unpack(blob: bytes) -> np.ndarray:
 
 def _fold_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted buckets in; out: spans of later copies, and the strings that must be compared."""
-    at: int | None = None
+    at: tuple[int, int] | None = None
     blobs: list[bytes] = []
 
     def bucket() -> Iterator[pa.RecordBatch]:
@@ -255,7 +270,7 @@ def _fold_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield _batch(_FOUND, _SPAN, 0, doc, a, b)
         key = firsts["key"]
         alone = np.concatenate([[True], key[1:] != key[:-1]]) & np.concatenate([key[1:] != key[:-1], [True]])
-        e = firsts[~alone | (firsts["loops"] > 0)]
+        e = firsts[~alone | (firsts["loops"] > 0)] if at[1] == _STRING else firsts
         if len(e):
             yield _batch(_FOUND, _STRING, e["key"].view(np.int64), e["doc"].copy(), e["start"].copy(), e["start"] + e["size"])
 
@@ -263,8 +278,9 @@ def _fold_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         spans = batch.filter(pa.compute.equal(batch.column(1), _SPAN))
         if spans.num_rows:
             yield _batch(_FOUND, _SPAN, 0, *[spans.column(i).to_numpy() for i in (2, 3, 4)])
-        packed = batch.filter(pa.compute.equal(batch.column(1), _STRING))
-        for k, blob in zip(packed.column(0).to_pylist(), packed.column(5).to_pylist()):
+        packed = batch.filter(pa.compute.not_equal(batch.column(1), _SPAN))
+        for *k, blob in zip(*[packed.column(i).to_pylist() for i in (0, 1, 5)]):
+            k = tuple(k)
             if k != at and blobs:
                 yield from bucket()
                 blobs = []
@@ -289,6 +305,24 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_BYTES, *[list(c) for c in zip(*rows)])
 
 
+_WINDOW = "window binary, doc long, a long"
+
+
+def _windows(width: int):
+    """doc_id, text and the strings wanted from it: digests of all their windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, wanted in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                data = (text or "").encode("utf-8", "surrogatepass")
+                at = [i for w in wanted for i in range(w["a"], min(w["b"], len(data)) - width + 1)]
+                for lo in range(0, len(at), 50_000):
+                    some = at[lo:lo + 50_000]
+                    yield _batch(_WINDOW, [blake2b(data[i:i + width], digest_size=16).digest() for i in some], doc, some)
+
+    return run
+
+
 def repeats(docs: np.ndarray, starts: np.ndarray, strings: list[bytes], width: int):
     """Spans of the windows of a part that are repeats of an earlier one."""
     group, string, offset = repeated(strings, width)
@@ -414,14 +448,25 @@ def repeated_spans(src: DataFrame, width: int = WIDTH) -> DataFrame:
     while 3 * gram > width and gram > 1:
         gram //= 2
     buckets = 4 * int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = src.where("doc_id IS NOT NULL").mapInArrow(_cut(width, gram, buckets), _CUT)
-    found = shared_table(cut.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_fold_buckets, _FOUND), "repeats")
-    wanted = (found.where(f"kind = {_STRING}").groupBy("doc")
-              .agg(F.collect_list(F.struct("key", "a", "b")).alias("wanted")))
-    strings = (src.join(wanted, src["doc_id"] == wanted["doc"], "left").select("doc_id", "text", "wanted")
-               .mapInArrow(_fetch, _BYTES).repartition("key").sortWithinPartitions("key"))
-    built = strings.mapInArrow(_build(width, gram), "doc long, a long, b long")
-    return found.where(f"kind = {_SPAN}").select("doc", "a", "b").unionByName(built)
+    cut = src.where("doc_id IS NOT NULL").mapInArrow(_cut(width, gram, buckets, SPREAD), _CUT)
+    found = shared_table(cut.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_fold_buckets, _FOUND), "repeats")
+    strings = found.where(f"kind = {_STRING}")
+    common = shared_table(strings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {PART}").select("key"), "common-keys")
+    spans = found.where(f"kind = {_SPAN}").select("doc", "a", "b")
+
+    def wanted(some: DataFrame) -> DataFrame:
+        lists = some.groupBy("doc").agg(F.collect_list(F.struct("key", "a", "b")).alias("wanted"))
+        return src.join(lists, src["doc_id"] == lists["doc"]).select("doc_id", "text", "wanted")
+
+    if not common.isEmpty():
+        windows = shared_table(wanted(strings.join(common, "key", "left_semi")).mapInArrow(_windows(width), _WINDOW), "windows")
+        first = (windows.groupBy("window").agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n"))
+                 .where("n > 1").select("window", "first"))
+        later = windows.join(first, "window").where(F.struct("doc", "a") != F.col("first"))
+        spans = spans.unionByName(later.select("doc", "a", (F.col("a") + width).alias("b")))
+        strings = strings.join(common, "key", "left_anti")
+    fetched = wanted(strings).mapInArrow(_fetch, _BYTES).repartition("key").sortWithinPartitions("key")
+    return spans.unionByName(fetched.mapInArrow(_build(width, gram), "doc long, a long, b long"))
 
 
 def _with_spans(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:

@@ -62,6 +62,36 @@ def test_shared_passages(documents):  # noqa: F811
     assert found(op.remove_repeats(documents(rows))) == cut(rows)
 
 
+def test_common_passage_is_spread(documents, monkeypatch):  # noqa: F811
+    """A key with many different strings: no task gets more of them than a part holds."""
+    build = op._build
+
+    def counted(width, gram):
+        run = build(width, gram)
+
+        def checked(batches):
+            def count():
+                seen = {}
+                for batch in batches:
+                    for key in batch.column(0).to_pylist():
+                        seen[key] = seen.get(key, 0) + 1
+                    assert max(seen.values(), default=0) <= 16
+                    yield batch
+
+            return run(count())
+
+        return checked
+
+    monkeypatch.setattr(op, "_build", counted)
+    monkeypatch.setattr(op, "PART", 16)
+    monkeypatch.setattr(op, "SPREAD", 4, raising=False)
+    notice = prose(40, 60)
+    rows = [(i * 3, prose(2000 + i, 20) + (notice if i % 3 else notice[:200 + i]) + prose(4000 + i, 20)) for i in range(120)]
+    rows += [(i * 3 + 1, prose(2000 + i, 20)) for i in range(0, 120, 7)] + [(7000, "ab" * 300)]
+    random.Random(2).shuffle(rows)
+    assert found(op.remove_repeats(documents(rows))) == cut(rows)
+
+
 def test_other_widths(documents):  # noqa: F811
     rows = [(i, prose(i % 5, 30)[i:] + prose(90 + i, 4)) for i in range(25)]
     for width in (20, 60, 130):
