@@ -20,7 +20,11 @@ similarity reaches a threshold.  No link is lost:
    overlap, are tested on their texts.  This finds every link between blocks.
    First each class of connected documents is tested with one document
    against the largest class it meets, which connects the classes of large
-   groups; then all pairs that are still between different classes.
+   groups; then all pairs that are still between different classes.  There
+   an entry's place bounds the size of any partner, so only pairs that fit are
+   visited, and entries that fit nothing are left out; the entries of a common
+   shingle are dealt by size band and in blocks over tasks, every pair of
+   blocks in one of them.
 4. *Components* of all links, by joins.
 
 Sets are compared by 64-bit shingle hashes.
@@ -34,6 +38,7 @@ are linked; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,6 +62,9 @@ MAX_SALTS = 1024
 COMMON_SHINGLES = 200_000
 COMMON_SHARE = 100_000  # a shingle is common when more than one document in so many has it
 LARGE_BLOCKS = 100_000
+#: entries of a shingle in one task; of more, blocks of some DEAL entries meet pair by pair
+MEET = 16_384
+DEAL = 4096
 LEAF_DOCS = 16
 FANOUT = 8
 CARRY = 256
@@ -422,36 +430,40 @@ def meet_first(e: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(_pairs(hub[ok], middle[ok]), axis=0), e[np.repeat(size > 2, size)]
 
 
-def meet(e: np.ndarray, percent: int, earlier: list[frozenset] | None = None) -> np.ndarray:
-    """All pairs (a < b) of documents of different classes that meet and may be linked.
+def meet(e: np.ndarray, group: np.ndarray, side: np.ndarray, reach: np.ndarray, earlier: list[frozenset]) -> np.ndarray:
+    """All pairs (a < b) of documents of different classes that meet in a group and may be linked.
 
-    Entries of a key stand in the order of their set sizes; each is compared
-    with those after it until the sizes differ too much.  ``earlier``: per
-    entry the document's keys before this one; a pair that meets there too is
-    left to the first of those keys, so it comes up once in all.
+    ``reach``: the largest size of a partner that an entry's place allows (see
+    ``_fits``).  The smaller set of a pair reaches the size of the larger,
+    hence its own, so only such entries are taken as the left of a pair.
+    ``side``: 0 left only, 1 right only, 2 both.  ``earlier``: per entry the
+    document's keys before this one; a pair that meets there too is left to
+    the first of those keys, so it comes up once in all.
     """
-    order = np.lexsort((e["n"], e["key"]))
-    e = e[order]
-    kept = _several_mask(e)
-    e, order = e[kept], order[kept]
-    key, n = e["key"], e["n"].astype(np.int64)
+    n, doc, class_ = e["n"].astype(np.int64), e["doc"], e["class_"]
+    right = np.flatnonzero(side != 0)
+    right = right[np.lexsort((n[right], group[right]))]
+    left = np.flatnonzero((side != 1) & (reach >= n))
+    code = (group << 32) + n
+    lo = np.searchsorted(code[right], code[left])
+    many = np.searchsorted(code[right], (group[left] << 32) + reach[left], side="right") - lo
     out, held = [np.empty((0, 2), np.int64)], 0
-    live, d = np.arange(len(e) - 1), 1
-    while len(live):
-        live = live[live + d < len(e)]
-        near = (key[live] == key[live + d]) & (100 * n[live + d] * percent <= 10_000 * n[live])
-        live = live[near]
-        ok = live[_fits(e[live], e[live + d], percent)]
-        if earlier is not None:
-            new = [earlier[i].isdisjoint(earlier[j]) for i, j in zip(order[ok], order[ok + d])]
-            ok = ok[np.array(new, bool)]
-        if len(ok):
-            out.append(_pairs(e[ok], e[ok + d]))
-            held += len(ok)
-            if held > 2_000_000:
-                out = [np.unique(np.concatenate(out), axis=0)]
-                held = 0
-        d += 1
+    total = np.cumsum(many)
+    at = 0
+    while at < len(left):  # some million pairs at a time
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 1_000_000, side="right")))
+        count = many[at:to]
+        x = np.repeat(left[at:to], count)
+        y = right[np.repeat(lo[at:to], count) + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)]
+        ok = (reach[y] >= n[x]) & (class_[x] != class_[y]) & ((n[x] < n[y]) | (doc[x] < doc[y])) & (doc[x] != doc[y])
+        x, y = x[ok], y[ok]
+        new = np.array([earlier[i].isdisjoint(earlier[j]) for i, j in zip(x.tolist(), y.tolist())], bool)
+        out.append(_pairs(e[x[new]], e[y[new]]))
+        held += len(out[-1])
+        if held > 2_000_000:
+            out = [np.unique(np.concatenate(out), axis=0)]
+            held = 0
+        at = to
     return np.unique(np.concatenate(out), axis=0)
 
 
@@ -503,22 +515,25 @@ def _meet_first(percent: int):
 
 
 def _meet_rest(percent: int):
-    """Entries sorted by key in; out: pairs.  Keys are taken together up to some number of entries."""
+    """Entries sorted by key and cell in; out: pairs.  Cells are taken together up to some number of entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            e = np.array([r[:5] for r in rows], _ENTRY)
-            found = meet(e, percent, [frozenset(r[5]) for r in rows])
+            key, cell, doc, class_, n, reach, side, earlier = zip(*rows)
+            e = np.zeros(len(rows), _ENTRY)
+            e["doc"], e["class_"], e["n"] = doc, class_, n
+            key, cell = np.array(key, np.int64), np.array(cell, np.int64)
+            group = np.cumsum(np.concatenate([[False], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
+            found = meet(e, group, np.array(side), np.array(reach, np.int64), [frozenset(x) for x in earlier])
             for k in range(0, len(found), 100_000):
                 part = found[k:k + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], ["a", "b"])
 
         for batch in batches:
-            key = batch.column(0).to_numpy().view(np.uint64).tolist()
-            for r in zip(key, *[batch.column(i).to_pylist() for i in range(1, 6)]):
-                if len(rows) > 20_000 and r[0] != rows[-1][0]:
+            for r in zip(*[c.to_pylist() for c in batch.columns]):
+                if len(rows) > 20_000 and r[:2] != rows[-1][:2]:
                     yield from pairs()
                     rows = []
                 rows.append(r)
@@ -528,6 +543,36 @@ def _meet_rest(percent: int):
     return run
 
 
+_CELL = ("key", "cell", "doc", "class_", "n", "reach", "side", "earlier")
+
+
+def _cells(kept: DataFrame, percent: int) -> DataFrame:
+    """Entries of common shingles, dealt so that every pair that may fit meets in one bounded cell.
+
+    Sizes of a pair are in one band or in neighbouring ones.  A band's entries
+    are dealt into blocks; a cell is one block of left entries (``meet``) and
+    one of right entries.
+    """
+    step = max(math.log(100 / percent), 0.01) * (1 + 1e-9)  # a little wider: logarithms are rounded
+    kept = kept.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / step))
+    own = F.col("reach") >= F.col("n")
+    blocks = lambda c: F.ceil(F.count(c) / F.lit(DEAL)).cast("int")
+    bands = kept.groupBy("key", "band").agg(
+        blocks(F.when(own, 1)).alias("ls"), blocks(F.lit(1)).alias("rs"),
+        F.min(F.when(own, F.col("n"))).alias("least"), F.max(F.when(own, F.col("reach"))).alias("most"))
+    of_left = bands.where("ls > 0").select("key", F.col("band").alias("lb"), "ls", "least", "most")
+    of_right = bands.select("key", F.col("band").alias("rb"), "rs")
+    grid = of_left.join(of_right, "key").where("rb = lb OR rb = lb + 1")
+    mine = lambda c: F.pmod(F.xxhash64("doc"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = (kept.where(own).join(grid.withColumnRenamed("lb", "band"), ["key", "band"])
+            .withColumns({"lb": F.col("band"), "s": mine("ls"), "t": every("rs"), "side": F.lit(0)}))
+    right = (kept.join(grid.withColumnRenamed("rb", "band"), ["key", "band"]).where("reach >= least AND n <= most")
+             .withColumns({"rb": F.col("band"), "s": every("ls"), "t": mine("rs"), "side": F.lit(1)}))
+    return (left.select(*kept.columns, "lb", "rb", "s", "t", "side").unionByName(right.select(*kept.columns, "lb", "rb", "s", "t", "side"))
+            .withColumn("cell", F.xxhash64("lb", "rb", "s", "t")).select(*_CELL))
+
+
 def _test(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, grams = None, None
@@ -566,15 +611,25 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     first = shared_table(tested(found.where(f"kind = {_PAIR}").select("a", "b")).unionByName(inside), "jaccard-links")
     named = components(first)
     rest = shared_table(found.where(f"kind = {_REST}").join(named, F.col("b") == F.col("node"), "left").select(
-        "key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place"), "jaccard-rest")
-    # only keys under which different components still meet
-    still = (rest.groupBy("key").agg(F.min("class_").alias("lo"), F.max("class_").alias("hi"))
-             .where("lo < hi").select("key"))
+        "key", F.col("a").alias("doc"), F.coalesce("component", "b").alias("class_"), "n", "place",
+        F.expr(f"{100 + percent} * CAST(n - place AS LONG) div {percent} - n").alias("reach")), "jaccard-rest")
+    # only keys under which different components still meet, and entries whose size and place fit some other's there
+    own = F.col("reach") >= F.col("n")
+    still = shared_table(rest.groupBy("key").agg(
+        F.min("class_").alias("lo"), F.max("class_").alias("hi"), F.count(F.lit(1)).alias("m"),
+        F.min(F.when(own, F.col("n"))).alias("least"), F.max(F.when(own, F.col("reach"))).alias("most"))
+        .where("lo < hi AND least IS NOT NULL").select("key", "m", "least", "most"), "jaccard-keys")
     # with every entry, the document's keys before it: at most the length of its prefix
     before = Window.partitionBy("doc", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    rest = rest.join(still, "key").select(
-        "key", "doc", "class_", "n", "place", F.collect_list("key").over(before).alias("earlier"))
-    more = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_meet_rest(percent), "a long, b long")
+    kept = rest.join(still, "key").where("reach >= least AND n <= most").select(
+        "key", "doc", "class_", "n", "reach", F.collect_list("key").over(before).alias("earlier"), (F.col("m") > MEET).alias("common"))
+    whole = lambda some: some.withColumns({"cell": F.lit(0).cast("long"), "side": F.lit(2)}).select(*_CELL)
+    if still.where(f"m > {MEET}").isEmpty():
+        cells = whole(kept)
+    else:
+        kept = shared_table(kept, "jaccard-kept")
+        cells = whole(kept.where("NOT common")).unionByName(_cells(kept.where("common"), percent))
+    more = cells.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_meet_rest(percent), "a long, b long")
     links = shared_table(tested(more), "jaccard-links")
     if not links.isEmpty():
         named = components(links.unionByName(named.select(F.col("node").alias("a"), F.col("component").alias("b"))))

@@ -63,6 +63,57 @@ def test_large_block_over_several_tasks(documents, monkeypatch):  # noqa: F811
     assert found(trees.jaccard_components(documents(rows))) == brute(rows)
 
 
+def test_common_shingle_is_dealt(documents, monkeypatch):  # noqa: F811
+    """Entries of a shingle that very many documents have: no task gets them all, no link is lost."""
+    rest = trees._meet_rest
+
+    def counted(percent):
+        run = rest(percent)
+
+        def checked(batches):
+            def count():
+                seen = {}
+                for batch in batches:
+                    for at in zip(*[c.to_pylist() for c, name in zip(batch.columns, batch.schema.names) if name in ("key", "cell")]):
+                        seen[at] = seen.get(at, 0) + 1
+                    assert max(seen.values(), default=0) <= 32
+                    yield batch
+
+            return run(count())
+
+        return checked
+
+    monkeypatch.setattr(trees, "_meet_rest", counted)
+    monkeypatch.setattr(trees, "MEET", 16, raising=False)
+    monkeypatch.setattr(trees, "DEAL", 8, raising=False)
+    rng = random.Random(6)
+    template = prose(9, 90).split()
+    texts = []
+    for i in range(160):  # own words around and inside one template, of many lengths
+        own = [f"w{i}x{k}" for k in range(rng.randint(2, 14))]
+        cut = rng.randint(0, len(own))
+        w = [*own[:cut], *template, *own[cut:]]
+        texts.append(" ".join(w[:rng.randint(70, len(w))]))
+    rows = list(enumerate(texts))
+    assert found(trees.jaccard_components(documents(rows))) == brute(rows)
+
+
+def test_meet_finds_every_pair_that_fits():
+    rng = np.random.default_rng(3)
+    for percent in (80, 85, 100):
+        e = np.zeros(300, trees._ENTRY)
+        e["doc"], e["class_"] = np.arange(300) - 20, rng.integers(0, 200, 300)
+        e["n"] = rng.integers(1, 60, 300)
+        e["place"] = (e["n"] * rng.random(300) * 0.3).astype(int)
+        group = rng.integers(0, 3, 300)
+        n = e["n"].astype(np.int64)
+        reach = (100 + percent) * (n - e["place"]) // percent - n
+        got = trees.meet(e, group, np.full(300, 2), reach, [frozenset()] * 300)
+        want = {(int(e["doc"][i]), int(e["doc"][j])) for i in range(300) for j in range(i + 1, 300)
+                if group[i] == group[j] and trees._fits(e[i:i + 1], e[j:j + 1], percent)[0]}
+        assert {tuple(x) for x in got.tolist()} == want
+
+
 def test_other_words_and_threshold(documents):  # noqa: F811
     texts = [t for s in range(8) for t in near_copies(s, 8, edits=8)]
     rows = list(enumerate(texts))
