@@ -26,9 +26,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of each group of near copies."""
+    """One document (the smallest id) of each group of near copies: 80 % of their 5-word shingles are shared."""
     ship_package(spark)
-    groups = signature_trees.jaccard_components(docs)
+    groups = signature_trees.jaccard_components(docs, words=5, percent=80)
     name = free_name(docs, "_goes")
     goes = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(goes, docs["doc_id"] == goes[name], "left_anti")

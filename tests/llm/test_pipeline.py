@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
-from brute import components, cut
+from brute import components, cut, shingle_set
 from llm_fixtures import documents, odd_rows, prose  # noqa: F401
 
 import corpus_pipeline
@@ -47,6 +47,19 @@ def test_stages_keep_columns_and_odd_rows(spark, documents, odd_rows):  # noqa:
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= docs.count()
 
 
+def test_near_copies_by_five_words_and_eighty_percent(spark, documents):  # noqa: F811
+    words = [f"w{i}" for i in range(94)]
+    changed = [*words[:30], "other", *words[31:60], "another", *words[61:]]
+    longer = [f"v{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed)), (3, " ".join(longer)), (4, " ".join([*longer, *[f"u{i}" for i in range(21)]])),
+            (5, " ".join([*longer, *[f"t{i}" for i in range(30)]]))]
+    sets = {d: shingle_set(t, 5) for d, t in rows}
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert 0.8 <= like(1, 2) < 0.85 and 0.8 <= like(3, 4) < 0.85 and like(3, 5) < 0.8 and like(4, 5) < 0.8
+    left = corpus_pipeline.near(spark, documents(rows), SF)
+    assert sorted(r.doc_id for r in left.collect()) == [1, 3, 5]
+
+
 def test_empty_table(spark, documents):  # noqa: F811
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents([]), SF).count() == 0
