@@ -3,10 +3,12 @@
 A page becomes a tree of its block elements; inline markup is transparent.
 Every paragraph scores points for its length and its commas and passes them
 to its ancestors (full to the parent, half to the grandparent, less further
-up).  A container's points are discounted by its link density; the best
-container and those siblings that also read like text are kept.  Parts that
-are never main text (menus, page headers and footers, sidebars, notices,
-adverts, forms, scripts, styles, reader comments) are cut out before scoring.
+up).  A container's points are discounted by its link density; the article
+or main element around the best container, else that container, is kept, with
+all siblings that are not mostly links.  Parts that are never main text
+(menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
+styles, reader comments) are cut out before scoring; an element that is only
+named like one but holds the main text is not cut, its score is discounted.
 
 Output text: the kept blocks in page order, one line each; inside a block
 character references are decoded and white space is one space.
@@ -64,13 +66,15 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _LIMITS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
            "tbody": {"table"}, "tfoot": {"table"}}
 _MIN_PARAGRAPH = 25
+_DISCOUNT = 0.25
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "cut", "chars", "link_chars", "commas", "points")
+    __slots__ = ("tag", "parent", "kids", "cut", "named", "weight", "chars", "link_chars", "commas", "points")
 
-    def __init__(self, tag: str, parent: _Node | None, cut: bool) -> None:
+    def __init__(self, tag: str, parent: _Node | None, cut: bool, named: bool = False) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
+        self.named, self.weight = named, 1.0  # named like a part that is no main text
         self.kids: list[_Node | str] = []  # blocks, and runs of text between them
         self.chars = self.link_chars = self.commas = 0
         self.points = 0.0
@@ -95,12 +99,15 @@ def _is_cut(tag: str, attrs: str, parent: _Node) -> bool:
             return True
         if name == "role" and value.lower() in _CUT_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("article", "main"):
-            if any(part.lower() in _CUT_NAMES for part in _NAME_PART.findall(value)):
-                return True
     return False
 
 
+def _is_named(tag: str, attrs: str) -> bool:
+    return bool(attrs) and tag not in ("html", "body", "main") and any(
+        name.lower() in ("class", "id") and any(part.lower() in _CUT_NAMES for part in _NAME_PART.findall(a or b or c))
+        for name, a, b, c in _ATTR.findall(attrs))
+
+
 def _tree(page: str) -> _Node:
     root = node = _Node("#root", None, False)
     run: list[str] = []
@@ -179,7 +186,7 @@ def _tree(page: str) -> _Node:
                     up = up.parent
             elif tag in _HEADINGS and node.tag in _HEADINGS and node.parent is not None:
                 node = node.parent
-            new = _Node(tag, node, node.cut or _is_cut(tag, attrs, node))
+            new = _Node(tag, node, node.cut or _is_cut(tag, attrs, node), _is_named(tag, attrs))
             node.kids.append(new)
             node = new
     flush()
@@ -218,20 +225,61 @@ def _link_list(n: _Node) -> bool:
     return n.tag in ("ul", "ol", "dl") and n.chars > 0 and _density(n) > 0.8
 
 
+def _points(n: _Node) -> float:
+    """Points of a node's own text, before totals of subtrees are made."""
+    if n.tag not in _SCORED or n.chars < _MIN_PARAGRAPH:
+        return 0.0
+    return (1 + n.commas + min(n.chars / 100, 3)) * (1 - min(1.0, _density(n)))
+
+
+def _cut_named(root: _Node) -> None:
+    """Cut elements by their names, except those around the main text: their score is discounted.
+
+    Such an element holds a main element, an article that is no comment or
+    teaser, or, on a page without these, most of the points.
+    """
+    nodes = _walk(root)
+    if not any(n.named and n.tag != "article" for n in nodes):
+        return
+    points = {id(n): _points(n) for n in nodes}
+    for n in reversed(nodes):
+        if n.parent is not None:
+            points[id(n.parent)] = points.get(id(n.parent), 0.0) + points[id(n)]
+    articles = [n for n in nodes if n.tag == "article" and not n.named]
+    least = max((points[id(n)] for n in articles), default=0.0) / 2
+    around: set[int] = set()
+    for n in nodes:
+        if n.tag == "main" or n.tag == "article" and not n.named and points[id(n)] >= least:
+            up: _Node | None = n.parent
+            while up is not None and id(up) not in around:
+                around.add(id(up))
+                up = up.parent
+    for n in nodes:
+        if n.parent is not None:
+            n.cut, n.weight = n.cut or n.parent.cut, n.parent.weight if id(n.parent) not in around else 1.0
+        if not n.named or n.tag == "article" or n.cut:
+            continue
+        if id(n) in around or not around and 2 * points[id(n)] > points[id(root)]:
+            n.weight *= _DISCOUNT
+        else:
+            n.cut = True
+
+
 def extract_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
     root = _tree(page)
+    _cut_named(root)
     nodes = _walk(root)
-    own = {id(n): (n.chars, n.commas) for n in nodes}
+    own = {id(n): (n.chars, n.commas, n.link_chars) for n in nodes}
     for n in reversed(nodes):  # children first: totals of the subtrees
         if n.parent is not None and not n.parent.cut:
             n.parent.chars += n.chars
             n.parent.link_chars += n.link_chars
     candidates: dict[int, _Node] = {}
     for n in nodes:
-        chars, commas = own[id(n)]
+        chars, commas, _ = own[id(n)]
         if n.tag not in _SCORED or chars < _MIN_PARAGRAPH:
             continue
         points = (1 + commas + min(chars / 100, 3)) * (1 - min(1.0, _density(n)))
@@ -240,7 +288,7 @@ def extract_text(page: str | None) -> str:
             holder.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
             candidates[id(holder)] = holder
             holder, level = holder.parent, level + 1
-    score = lambda n: n.points * (1 - _density(n)) * (1.5 if n.tag in ("article", "main") else 1)
+    score = lambda n: n.points * (1 - _density(n)) * (1.5 if n.tag in ("article", "main") else 1) * n.weight
     best = max(candidates.values(), key=score, default=None)
     if best is None:
         for tag in ("article", "main", "body"):

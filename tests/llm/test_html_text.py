@@ -30,6 +30,19 @@ def test_best_container_without_article():
     assert text == f"Head\n{P1}\n{P1}\nfirst point\nsecond point"
 
 
+def test_wrappers_named_like_other_parts():
+    whole = f"Title\n{P1}\n{html.unescape(P2)}"
+    inner = f"<h1>Title</h1><p>{P1}</p><p>{P2}</p>"
+    side = f'<div class="sidebar"><p>{P1}</p></div>'
+    for name in ("layout has-sidebar", "post comments-open"):
+        assert extract_text(page(f'<div class="{name}"><article>{inner}</article>{side}</div>')) == whole
+        assert extract_text(page(f'<div id="{name}"><main>{inner}</main>{side}</div>')) == whole
+        assert extract_text(page(f'<div class="{name}"><div>{inner}</div></div><div class="ad"><p>{P1}</p></div>')) == whole
+    comments = '<div id="comments"><article class="comment-body">' + f"<p>{P1}</p>" * 9 + "</article></div>"
+    assert extract_text(page(f"<article>{inner}</article>{comments}")) == whole
+    assert extract_text(page(f'<div class="related-open"><main><div>{inner}</div></main></div><div id="comments">' + f"<p>{P1}</p>" * 9 + "</div>")) == whole
+
+
 def test_white_space_and_references():
     assert extract_text(page(f"<article><p>  a\n\t b&nbsp;c <b>d</b>e<br>f &#233;&eacute;&#x1F600; &bogus; {P1}</p></article>")) == \
         f"a b c de f éé😀 &bogus; {P1}"
