@@ -204,14 +204,15 @@ def _walk(root: _Node) -> list[_Node]:
     return out
 
 
-def _blocks(root: _Node) -> list[str]:
+def _blocks(root: _Node, lists: bool = False) -> list[str]:
+    """Lines of a node; lists of links go unless ``lists``."""
     out: list[str] = []
     todo: list[_Node | str] = [root]
     while todo:
         n = todo.pop()
         if isinstance(n, str):
             out.append(n)
-        elif not n.cut and not _link_list(n):
+        elif not n.cut and (lists or not _link_list(n)):
             todo.extend(reversed(n.kids))
     return out
 
@@ -221,7 +222,7 @@ def _density(n: _Node) -> float:
 
 
 def _link_list(n: _Node) -> bool:
-    """A list made of links is a menu, wherever it stands."""
+    """A list made of links is a menu, unless it stands in the chosen container."""
     return n.tag in ("ul", "ol", "dl") and n.chars > 0 and _density(n) > 0.8
 
 
@@ -296,24 +297,28 @@ def extract_text(page: str | None) -> str:
             if best is not None:
                 break
         return "\n".join(_blocks(best or root))
+    holders: list[_Node] = []
     up: _Node | None = best
-    while up is not None:  # the article element that holds the best container is the article
-        if up.tag == "article":
-            best = up
+    while up is not None:
+        holders.append(up)
         up = up.parent
+    # the outermost article, or else main, that holds the best container is the article
+    for tag in ("article", "main"):
+        held = [n for n in holders if n.tag == tag]
+        if held:
+            best = held[-1]
+            break
     if best.parent is None or best.parent.tag == "html":
         return "\n".join(_blocks(best))
     out: list[str] = []
-    least, seen = max(5.0, 0.2 * score(best)), False
+    chars, _, linked = own[id(best.parent)]
     for k in best.parent.kids:
         if k is best:
-            seen = True
-            out += _blocks(best)
-        elif isinstance(k, str) or k.cut:
-            continue
-        elif k.tag in _HEADINGS:
-            out += _blocks(k) if not seen and best.tag not in ("article", "main") else []
-        elif score(k) >= least and _density(k) < 0.3 or k.tag == "p" and k.chars > 80 and _density(k) < 0.25:
+            out += _blocks(best, lists=True)
+        elif isinstance(k, str):
+            out += [k] if linked < 0.3 * chars else []
+        elif not k.cut and _density(k) < 0.3 and (k.weight >= best.weight or any(
+                n.tag == "main" or n.tag == "article" and not n.named for n in _walk(k))):
             out += _blocks(k)
     return "\n".join(out)
 

@@ -43,6 +43,17 @@ def test_wrappers_named_like_other_parts():
     assert extract_text(page(f'<div class="related-open"><main><div>{inner}</div></main></div><div id="comments">' + f"<p>{P1}</p>" * 9 + "</div>")) == whole
 
 
+def test_parts_beside_the_best_container_stay():
+    long = f"<p>{P1}</p>" * 9
+    lines = [P1] * 9
+    text = extract_text(page(f"<main><h1>Title</h1><section>{long}</section><section><p>{P2}</p></section><p>Short.</p><h2>End</h2></main>"))
+    assert text.split("\n") == ["Title", *lines, html.unescape(P2), "Short.", "End"]
+    text = extract_text(page(f"<h1>Title</h1><div>{long}</div><p>Short.</p><h2>More</h2><div><p>A few words.</p></div>"))
+    assert text.split("\n") == ["Title", *lines, "Short.", "More", "A few words."]
+    links = '<ul><li><a href="a">A first reference</a></li><li><a href="b">A second one</a></li></ul>'
+    assert extract_text(page(f"{links}<article>{long}{links}</article>{links}")).split("\n") == [*lines, "A first reference", "A second one"]
+
+
 def test_white_space_and_references():
     assert extract_text(page(f"<article><p>  a\n\t b&nbsp;c <b>d</b>e<br>f &#233;&eacute;&#x1F600; &bogus; {P1}</p></article>")) == \
         f"a b c de f éé😀 &bogus; {P1}"
