@@ -58,9 +58,8 @@ def lowest_hashes(df: DataFrame, group: str, key: str, sizes: dict, k: int) -> D
     group pass, so the ranking never sees more, whatever the input.
     """
     u = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11).cast("double") / float(1 << 53)
-    limit = F.lit(0.0)
-    for value, n in sizes.items():
-        limit = F.when(F.col(group) == F.lit(value), F.lit(min(1.0, (2 * k + 20) / max(n, 1)))).otherwise(limit)
+    limits = [F.lit(x) for value, n in sizes.items() for x in (value, min(1.0, (2 * k + 20) / max(n, 1)))]
+    limit = F.coalesce(F.create_map(*limits)[F.col(group)], F.lit(0.0)) if limits else F.lit(0.0)
     top = Window.partitionBy(group).orderBy("_u", key)
     return (df.withColumn("_u", u).where(F.col("_u") < limit)
             .withColumn("_n", F.row_number().over(top)).where(F.col("_n") <= k).drop("_n"))

@@ -13,7 +13,9 @@ of texts is one sparse presence matrix and is scored by one product.
 
 Fitting reads at most ``per_lang`` texts of each language (lowest hash of
 the id first), of which ``landmarks_per_lang`` are landmarks; n-grams are
-hashed to ``2 ** BITS`` columns.  Scoring reads whole texts.
+hashed to ``2 ** BITS`` columns.  Scoring reads whole texts.  Every language
+value is learned; the model takes 2 MB for each, the fit a matrix of all
+landmarks by all landmarks.
 
 Defined cases: null text, or one without a letter: ``und`` with score 0; null
 languages are not learned; without anything to learn from every text is
@@ -37,7 +39,9 @@ from .common import held_out, lowest_hashes, sliced, table
 
 PER_LANG = 300
 LANDMARKS_PER_LANG = 60
-MAX_LANGS = 64
+#: languages that are scored, and sampled texts that are compared with the landmarks, at a time
+LANG_BLOCK = 64
+ROW_BLOCK = 4096
 NGRAMS = (1, 2, 3, 4)
 BITS = 19
 RIDGE = 1e-2
@@ -80,7 +84,9 @@ class KernelModel:
         some = np.flatnonzero(sizes) if self.langs else np.empty(0, int)
         if len(some):
             starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-            out = np.add.reduceat(self.weights[np.concatenate([rows[i] for i in some])], starts, axis=0)
+            codes = np.concatenate([rows[i] for i in some])
+            out = np.concatenate([np.add.reduceat(self.weights[:, k:k + LANG_BLOCK][codes], starts, axis=0)
+                                  for k in range(0, len(self.langs), LANG_BLOCK)], axis=1)
             out = out / np.sqrt(sizes[some])[:, None]
             share = np.clip((1 + out) / 2, 1e-6, 1)
             best = out.argmax(axis=1)
@@ -114,9 +120,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LAN
         ridge: float = RIDGE) -> KernelModel:
     """Model from doc_id, text and lang of ``docs``; only presence vectors of the sample reach the driver."""
     known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages to learn")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     ids = lowest_hashes(known.select("doc_id", "lang"), "lang", "doc_id", sizes, per_lang)
     u = F.xxhash64("doc_id")
     named = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
@@ -133,12 +137,20 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LAN
         if seen[lang] < landmarks_per_lang:
             seen[lang] += 1
             marks.append(grams)
-    y = np.array([[1.0 if r[0] == lang else -1.0 for lang in langs] for r in found])
+    place = {lang: i for i, lang in enumerate(langs)}
+    of = np.array([place[r[0]] for r in found])
     # each language weighs the same, however many texts it has
-    w = np.array([1.0 / sum(r[0] == x[0] for r in found) for x in found]) * len(found) / len(langs)
-    k_nm, k_mm = _kernel([r[2] for r in found], marks), _kernel(marks, marks)
-    a = k_nm.T @ (k_nm * w[:, None]) + ridge * len(found) * k_mm / len(marks) + 1e-6 * np.eye(len(marks))
-    alpha = np.linalg.solve(a, k_nm.T @ (y * w[:, None]))
+    w = 1.0 / np.bincount(of)[of] * len(found) / len(langs)
+    k_mm = _kernel(marks, marks)
+    a = ridge * len(found) * k_mm / len(marks) + 1e-6 * np.eye(len(marks))
+    b = np.zeros((len(marks), len(langs)))
+    for at in range(0, len(found), ROW_BLOCK):  # bounds the kernel matrix
+        k_nm = _kernel([r[2] for r in found[at:at + ROW_BLOCK]], marks)
+        y = np.where(of[at:at + ROW_BLOCK, None] == np.arange(len(langs)), 1.0, -1.0)
+        weighted = w[at:at + ROW_BLOCK, None]
+        a += k_nm.T @ (k_nm * weighted)
+        b += k_nm.T @ (y * weighted)
+    alpha = np.linalg.solve(a, b)
     weights = np.zeros((1 << BITS, len(langs)), np.float32)
     for grams, row in zip(marks, alpha):
         weights[grams] += row / np.sqrt(len(grams))

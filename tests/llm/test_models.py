@@ -52,6 +52,17 @@ def test_language_scores_are_the_kernel_s(spark):
     assert names == [("x", "y")[int(direct[0].argmax())], "und"]
 
 
+def test_many_languages_are_all_learned(spark):
+    name = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+    rows = [(2 * i + j, " ".join(f"{name(i * 181)}{name(i * 77 + 5)} {name(i * 53 + 9)}o" for _ in range(5)), f"l{i:03d}")
+            for i in range(150) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.langs) == 150
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert got == {d: lang for d, _, lang in rows}
+
+
 def test_presence_of_a_long_text_is_the_union():
     text = prose(9, 400)
     assert np.array_equal(language.presence(" ".join([text] * 900)), language.presence(text + " " + text))
