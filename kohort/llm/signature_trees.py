@@ -621,8 +621,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .where("lo < hi AND least IS NOT NULL").select("key", "m", "least", "most"), "jaccard-keys")
     # with every entry, the document's keys before it: at most the length of its prefix
     before = Window.partitionBy("doc", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    kept = rest.join(still, "key").where("reach >= least AND n <= most").select(
-        "key", "doc", "class_", "n", "reach", F.collect_list("key").over(before).alias("earlier"), (F.col("m") > MEET).alias("common"))
+    # rows that repeat a doc_id may have different texts of one size: their keys cannot be told apart, so none is skipped
+    again = (found.where(f"kind = {_DOC} AND n >= 0 AND a IS NOT NULL").groupBy(F.col("a").alias("doc"), "n")
+             .agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    kept = rest.join(still, "key").where("reach >= least AND n <= most").join(again, ["doc", "n"], "left").select(
+        "key", "doc", "class_", "n", "reach", F.when(F.col("times").isNull(), F.collect_list("key").over(before))
+        .otherwise(F.array().cast("array<long>")).alias("earlier"), (F.col("m") > MEET).alias("common"))
     whole = lambda some: some.withColumns({"cell": F.lit(0).cast("long"), "side": F.lit(2)}).select(*_CELL)
     if still.where(f"m > {MEET}").isEmpty():
         cells = whole(kept)

@@ -114,6 +114,33 @@ def test_meet_finds_every_pair_that_fits():
         assert {tuple(x) for x in got.tolist()} == want
 
 
+def test_repeated_id_with_different_texts_shares_no_keys(documents, monkeypatch):  # noqa: F811
+    """No keys are skipped for a doc_id whose rows differ but have sets of one size."""
+    rest = trees._meet_rest
+
+    def checked(percent):
+        run = rest(percent)
+
+        def check(batches):
+            def each():
+                for batch in batches:
+                    at = {name: c.to_pylist() for name, c in zip(batch.schema.names, batch.columns)}
+                    assert all(not keys for doc, keys in zip(at["doc"], at["earlier"]) if doc == 500)
+                    yield batch
+
+            return run(each())
+
+        return check
+
+    monkeypatch.setattr(trees, "_meet_rest", checked)
+    texts = [t for s in range(6) for t in near_copies(s, 12)]
+    rows = list(enumerate(texts)) + [(500, texts[0]), (500, texts[12])]
+    got = found(trees.jaccard_components(documents(rows)))
+    want = brute([*rows[:-2], (500, texts[0])])
+    assert all(got[d][0] == n for d, (n, _) in want.items() if d != 500)
+    assert got[500][1] == got[0][1] == got[12][1]
+
+
 def test_other_words_and_threshold(documents):  # noqa: F811
     texts = [t for s in range(8) for t in near_copies(s, 8, edits=8)]
     rows = list(enumerate(texts))
