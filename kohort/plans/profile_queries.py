@@ -203,10 +203,10 @@ def feature_importance(t: Tables):
 
 @register("churn_scores", "M9")
 def churn_scores(t: Tables):
-    """M9: churn probability and risk band of every customer, by the forest
-    of the model configuration (depth 10, leaves of 2)."""
+    """M9: churn probability and risk band of every customer, by the pipeline's
+    forest (no depth limit), as in the batch job."""
     train, _, full = _model_frames(t)
-    return M.score(M.fit(train, M.build_estimator("declared_forest")), full)
+    return M.score(M.fit(train), full)
 
 
 # A rule with the shape of a model's scores, which SQL can repeat: the longer

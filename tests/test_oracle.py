@@ -92,3 +92,13 @@ def test_entry_contract(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(catalog.ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_churn_scores_use_the_pipeline_forest(spark, monkeypatch):
+    from kohort.operators import model as M
+
+    fitted = []
+    monkeypatch.setattr(M, "fit", lambda train, *estimator: fitted.append(estimator))
+    monkeypatch.setattr(M, "score", lambda model, full: full)
+    catalog.QUERIES["churn_scores"](spark, SF_SMALL)
+    assert fitted == [()]
