@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from . import (
+    alignment,
     bpe,
     exact_dedup,
+    hard_negatives,
     html_text,
     language,
+    licenses,
     packing,
     quality_model,
     quality_rules,
@@ -26,9 +29,13 @@ QUERIES = {
     "op8_quality_classifier": quality_model.op8_quality_classifier,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_jaccard_join": signature_trees.op10_jaccard_join,
+    "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
+    "op12_license_scan": licenses.op12_license_scan,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op10_jaccard_join": signature_trees.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
