@@ -49,7 +49,7 @@ SEARCH_SAMPLE_SHARE = (0.5, 1.0)
 # forest of the model configuration; the pipeline's own forest has no depth limit)
 LOGREG_PARAMS = {"C": 1.0, "max_iter": 1000}
 BOOSTED_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1}
-FOREST_PARAMS = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 2}
+FOREST_PARAMS = {"n_estimators": 100, "max_depth": 10, "min_samples_split": 5, "min_samples_leaf": 2}
 
 # ---------------------------------------------------------------------------
 # Parameters of the test mart built from the driver tables (our choice)

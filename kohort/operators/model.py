@@ -2,11 +2,9 @@
 
 Pipeline: ordinal encoding of the plan columns (unknown -> its own index),
 numeric features assembled and standardised, both assembled into one vector,
-random forest.  Trees are grown level by level on the executors; the random
-search scores each draw by cross-validated recall of the churn class.
-
-The original forest grows without a depth limit; MLlib's limit of 30 levels
-(``MAX_DEPTH``) is used for it.
+random forest.  The pipeline's forest has no depth limit and grows in
+:mod:`.deep_forest`; the random search scores each draw (MLlib forests of a
+drawn depth) by cross-validated recall of the churn class.
 """
 
 from __future__ import annotations
@@ -28,29 +26,31 @@ from pyspark.sql import types as T
 
 from .. import config
 from .aggregates import attach_scalars
+from .deep_forest import DeepForest, DeepForestModel
 
 LABEL = config.TARGET_COLUMN
 WEIGHT = "class_weight"
-MAX_DEPTH = 30  # the deepest tree that MLlib grows
 
 
 # ------------------------------------------------------------------ M4, M12
 def build_estimator(kind: str = "random_forest", rows: int | None = None, **params):
-    """The classifier stage.
-
-    ``random_forest`` is the pipeline's forest (no depth limit),
-    ``declared_forest`` the one of the model configuration,
-    ``boosted_trees`` and ``logistic_regression`` have their declared
-    settings; ``params`` override them.  ``rows``: the number of training
-    rows, needed by the logistic regression (see below)."""
+    """The classifier.
+
+    ``random_forest`` is the pipeline's forest (no depth limit) and
+    ``declared_forest`` the one of the model configuration, both
+    :class:`DeepForest`; ``search_forest`` is MLlib's forest, whose depth the
+    random search draws; ``boosted_trees`` and ``logistic_regression`` have
+    their declared settings; ``params`` override them.  ``rows``: the number
+    of training rows, needed by the logistic regression (see below)."""
     if kind == "random_forest":
-        args = dict(numTrees=config.FOREST_TREES, seed=config.FOREST_SEED, maxDepth=MAX_DEPTH)
-        args.update(params)
-        return RandomForestClassifier(labelCol=LABEL, featuresCol="features", **args)
+        return DeepForest(**{"trees": config.FOREST_TREES, "seed": config.FOREST_SEED, **params})
     if kind == "declared_forest":
         f = config.FOREST_PARAMS
-        args = dict(numTrees=f["n_estimators"], maxDepth=f["max_depth"], minInstancesPerNode=f["min_samples_leaf"],
-                    seed=config.FOREST_SEED)
+        args = dict(trees=f["n_estimators"], max_depth=f["max_depth"], min_split=f["min_samples_split"],
+                    min_leaf=f["min_samples_leaf"], seed=config.FOREST_SEED)
+        return DeepForest(**{**args, **params})
+    if kind == "search_forest":
+        args = dict(numTrees=config.FOREST_TREES, seed=config.FOREST_SEED, maxDepth=config.SEARCH_DEPTH[1] - 1)
         args.update(params)
         return RandomForestClassifier(labelCol=LABEL, featuresCol="features", **args)
     if kind == "boosted_trees":
@@ -73,25 +73,51 @@ def build_estimator(kind: str = "random_forest", rows: int | None = None, **para
     raise ValueError(f"unknown estimator {kind!r}")
 
 
-def build_pipeline(estimator=None, numeric: list[str] | None = None,
-                   categorical: list[str] | None = None) -> Pipeline:
-    """M4: encoder + scaler + classifier, unfitted; columns not listed
-    (``gender``, the id) never enter the feature vector (P11)."""
+def preparation(numeric: list[str] | None = None, categorical: list[str] | None = None) -> list:
+    """M4: encoder, scaler and assemblers; columns not listed (``gender``,
+    the id) never enter the feature vector (P11)."""
     numeric = numeric or config.NUMERICAL_FEATURES
     categorical = categorical or config.ORDINAL_FEATURES
     codes = [f"{c}__code" for c in categorical]
-    stages = [
+    return [
         StringIndexer(inputCols=categorical, outputCols=codes,
                       stringOrderType="alphabetAsc", handleInvalid="keep"),
         VectorAssembler(inputCols=numeric, outputCol="numeric_vec", handleInvalid="keep"),
         StandardScaler(inputCol="numeric_vec", outputCol="numeric_scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=codes + ["numeric_scaled"], outputCol="features"),
-        estimator if estimator is not None else build_estimator(),
     ]
-    return Pipeline(stages=stages)
 
 
-def feature_names(model: PipelineModel) -> list[str]:
+def build_pipeline(estimator=None, numeric: list[str] | None = None,
+                   categorical: list[str] | None = None) -> Pipeline:
+    """M4: preparation and an MLlib classifier (default: the forest of the random search), unfitted."""
+    return Pipeline(stages=[*preparation(numeric, categorical),
+                            estimator if estimator is not None else build_estimator("search_forest")])
+
+
+class ForestPipelineModel:
+    """The fitted preparation with a fitted :class:`DeepForestModel`."""
+
+    def __init__(self, prepared: PipelineModel, forest: DeepForestModel) -> None:
+        self.prepared, self.forest = prepared, forest
+        self.stages = [*prepared.stages, forest]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with churn_probability and prediction (p > 0.5)."""
+        ready = self.prepared.transform(df).select(*df.columns, "features")
+        scored = self.forest.score(ready)
+        return scored.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("double"))
+
+    def save(self, path: str) -> None:
+        self.prepared.write().overwrite().save(os.path.join(path, "prepared"))
+        self.forest.save(os.path.join(path, "forest"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ForestPipelineModel:
+        return cls(PipelineModel.load(os.path.join(path, "prepared")), DeepForestModel.load(spark, os.path.join(path, "forest")))
+
+
+def feature_names(model) -> list[str]:
     """Names of a fitted pipeline's feature vector slots, in order."""
     indexer, numeric = model.stages[0], model.stages[1]
     return list(indexer.getInputCols()) + list(numeric.getInputCols())
@@ -154,7 +180,7 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
         data = data.withColumn(
             "__fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int"))
         fold_args = {"foldCol": "__fold"}
-    rf = build_estimator(weightCol="w_uniform")
+    rf = build_estimator("search_forest", weightCol="w_uniform")
     pipe = build_pipeline(rf)
     maps = []
     for p in space:
@@ -173,15 +199,19 @@ def random_search(train: DataFrame, draws: int = config.SEARCH_DRAWS,
 
 
 # ------------------------------------------------------------------ M7, M9-M11, M13, S6
-def fit(train: DataFrame, estimator=None) -> PipelineModel:
-    """M7: fit the pipeline."""
-    return build_pipeline(estimator).fit(train)
+def fit(train: DataFrame, estimator=None):
+    """M7: fit the pipeline (default: the forest without a depth limit)."""
+    estimator = estimator if estimator is not None else build_estimator()
+    if not isinstance(estimator, DeepForest):
+        return build_pipeline(estimator).fit(train)
+    prepared = Pipeline(stages=preparation()).fit(train)
+    return ForestPipelineModel(prepared, estimator.fit(prepared.transform(train), LABEL, config.CUSTOMER_ID_COLUMN))
 
 
-def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
+def feature_importance(model, spark: SparkSession) -> DataFrame:
     """M7: importances of the fitted forest joined to the feature names."""
     forest = model.stages[-1]
-    values = forest.featureImportances.toArray().tolist()
+    values = forest.importance() if isinstance(forest, DeepForestModel) else forest.featureImportances.toArray().tolist()
     rows = list(zip(feature_names(model), [float(v) for v in values], strict=True))
     schema = T.StructType([T.StructField("feature", T.StringType(), False),
                            T.StructField("importance", T.DoubleType(), False)])
@@ -196,10 +226,12 @@ def risk_band(p) -> F.Column:
     return expr
 
 
-def score(model: PipelineModel, df: DataFrame, key: str = config.CUSTOMER_ID_COLUMN) -> DataFrame:
+def score(model, df: DataFrame, key: str = config.CUSTOMER_ID_COLUMN) -> DataFrame:
     """M9: churn probability and risk band per customer."""
-    scored = model.transform(df).withColumn("churn_probability", vector_to_array(F.col("probability"))[1])
-    return banded(scored.drop("probability"), key, F.col("prediction").cast("int"))
+    scored = model.transform(df)
+    if not isinstance(model, ForestPipelineModel):
+        scored = scored.withColumn("churn_probability", vector_to_array(F.col("probability"))[1]).drop("probability")
+    return banded(scored, key, F.col("prediction").cast("int"))
 
 
 def banded(df: DataFrame, key: str = config.CUSTOMER_ID_COLUMN, prediction=None) -> DataFrame:
@@ -243,12 +275,18 @@ def recall_f1(scores: DataFrame, label: str = LABEL, prediction: str = "predicti
 
 def save(stage, path: str) -> str:
     """Persist a fitted or an unfitted pipeline (overwrite)."""
-    stage.write().overwrite().save(path)
+    if isinstance(stage, ForestPipelineModel):
+        stage.save(path)
+    else:
+        stage.write().overwrite().save(path)
     return path
 
 
-def load(path: str) -> PipelineModel:
+def load(path: str):
     """Load a fitted pipeline."""
+    spark = SparkSession.active()
+    if _exists(spark, os.path.join(path, "forest")):
+        return ForestPipelineModel.load(spark, path)
     return PipelineModel.load(path)
 
 

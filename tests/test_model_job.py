@@ -23,7 +23,7 @@ def _frames(spark):
 
 def test_save_load_equal_predictions(spark, tmpdir_session):
     train, test = _frames(spark)
-    model = M.fit(train, M.build_estimator(numTrees=20))
+    model = M.fit(train, M.build_estimator(trees=20))
     path = M.save(model, os.path.join(tmpdir_session, "m1"))
     again = M.load(path)
     a = M.score(model, test).orderBy("customerid").collect()
@@ -35,8 +35,8 @@ def test_save_load_equal_predictions(spark, tmpdir_session):
 
 def test_seed_stability(spark):
     train, test = _frames(spark)
-    s1 = M.score(M.fit(train, M.build_estimator(numTrees=10)), test).orderBy("customerid").collect()
-    s2 = M.score(M.fit(train, M.build_estimator(numTrees=10)), test).orderBy("customerid").collect()
+    s1 = M.score(M.fit(train, M.build_estimator(trees=10)), test).orderBy("customerid").collect()
+    s2 = M.score(M.fit(train, M.build_estimator(trees=10)), test).orderBy("customerid").collect()
     assert s1 == s2
 
 
@@ -56,8 +56,8 @@ def test_other_estimators(spark):
     out = M.score(M.fit(train, M.build_estimator("boosted_trees", maxIter=5)), test)
     assert out.count() == test.count()
     forest = M.build_estimator("declared_forest")
-    assert (forest.getMaxDepth(), forest.getMinInstancesPerNode(), forest.getNumTrees()) == (10, 2, 100)
-    assert M.build_estimator().getMaxDepth() == M.MAX_DEPTH
+    assert (forest.max_depth, forest.min_leaf, forest.min_split, forest.trees) == (10, 2, 5, 100)
+    assert M.build_estimator().max_depth is None
 
 
 def test_logistic_regression_against_newton(spark):
@@ -102,7 +102,7 @@ def test_reuse_cascade(spark, tmp_path):
 
 def test_importances_need_matching_names(spark):
     train, _ = _frames(spark)
-    model = M.build_pipeline(M.build_estimator(numTrees=3), numeric=["age", "tenure"], categorical=["contract_length"]).fit(train)
+    model = M.build_pipeline(M.build_estimator("search_forest", numTrees=3), numeric=["age", "tenure"], categorical=["contract_length"]).fit(train)
     assert [r.feature for r in M.feature_importance(model, spark).collect()] == ["contract_length", "age", "tenure"]
 
 
