@@ -3,10 +3,11 @@
 Plan shape, chosen for very large invoice tables with hot keys:
 
 * retention counts (C4-C6) join invoices to subscriptions once, then
-  fold each customer's invoice months into a bitmap of the calendar: a
-  fixed-width hash aggregate that folds a hot customer map-side.  Cohort
-  month and indexes come from functions on the bitmap, so there is no join
-  back and no window over invoice rows;
+  fold each customer's invoice months into bitmap words of 62 months, one
+  row per word: a fixed-width hash aggregate that folds a hot customer
+  map-side, whatever the dates.  Cohort month and indexes come from
+  functions on the words, so there is no join back and no window over
+  invoice rows;
 * the first invoice month per customer (C2) is an aggregate over
   invoices folded per subscription, never a window over raw rows;
 * the per-invoice index rows (C3) need every invoice: a sort-merge join
@@ -97,52 +98,56 @@ def cohort_index_rows(invoices: DataFrame, subscriptions: DataFrame,
 MONTHS_PER_WORD = 62
 
 
-def _calendar(invoices: DataFrame) -> tuple[int, int]:
-    """Linear number of the first invoice month, and the number of months
-    (one row read on the driver; (0, 0) without invoices)."""
-    row = invoices.agg(F.min(month_number("invoice_date")).alias("lo"), F.max(month_number("invoice_date")).alias("hi")).first()
-    return (0, 0) if row.lo is None else (row.lo, row.hi - row.lo + 1)
+def month_words(invoices: DataFrame, subscriptions: DataFrame, with_plan: bool = False) -> DataFrame:
+    """Invoice months of each customer (per plan if asked) as bitmap words.
+
+    -> customer_id, [subscription_type,] word, bits: bit ``b`` of word ``w``
+    stands for linear month ``62 w + b`` (see :func:`month_number`).  Words
+    are rows, so the plan is the same for any dates, and a stray date of year
+    1 or 9999 costs one row.  One join on ``subscription_id`` (J1: Spark
+    broadcasts a small subscription table, else sort-merge with AQE splitting
+    a hot subscription) and one hash aggregate of fixed-width state, folded
+    map-side.  Invoices without a date are in no month.
+    """
+    keys = ["customer_id"] + (["subscription_type"] if with_plan else [])
+    inv = invoices.select("subscription_id", month_number("invoice_date").alias("m")).where(F.col("m").isNotNull())
+    word = F.expr(f"cast((m - pmod(m, {MONTHS_PER_WORD})) div {MONTHS_PER_WORD} as int)")
+    bit = F.expr(f"shiftleft(1L, pmod(m, {MONTHS_PER_WORD}))")
+    return (inv.join(_plan_customers(subscriptions, with_plan), "subscription_id")
+            .groupBy(*keys, word.alias("word")).agg(F.bit_or(bit).alias("bits")))
+
+
+def merge_words(words: DataFrame) -> DataFrame:
+    """One row per key and word: repeated or partial words are OR-ed together."""
+    return words.groupBy(*[c for c in words.columns if c != "bits"]).agg(F.bit_or("bits").alias("bits"))
+
+
+def _set_bits(bits: str, n: int) -> str:
+    return f"filter(sequence(0, {n - 1}), b -> getbit({bits}, b) = 1)"
 
 
-def customer_months(invoices: DataFrame, subscriptions: DataFrame,
-                    with_plan: bool = False) -> DataFrame:
-    """Distinct invoice months of each customer (per plan if asked).
+def word_counts(words: DataFrame, mode: str = "linear") -> DataFrame:
+    """Distinct customers per (cohort, index) [and plan] from merged words.
 
-    -> customer_id, [subscription_type,] months: ascending linear month
-    numbers.  One join on ``subscription_id`` (J1: Spark broadcasts a small
-    subscription table, else sort-merge with AQE splitting a hot
-    subscription) and one hash aggregate over ``bit_or`` of month bits; its
-    state is one bit per calendar month, whatever the number of invoices.
+    The cohort is the customer's first month over all plans.  In ``linear``
+    mode every month is an index of its own; in ``age`` mode months twelve
+    apart share one, so each customer's indexes are folded into twelve bits.
+    -> [subscription_type,] cohort (linear month), cohort_index, num_customers.
     """
-    first, n = _calendar(invoices)
-    keys = ["customer_id"] + (["subscription_type"] if with_plan else [])
-    inv = invoices.select("subscription_id", (month_number("invoice_date") - first).alias("m"))
-    j = inv.join(_plan_customers(subscriptions, with_plan), "subscription_id")
-    words = max(1, -(-n // MONTHS_PER_WORD))
-    bit = F.expr(f"shiftleft(1L, cast(m % {MONTHS_PER_WORD} as int))")
-    per = j.groupBy(*keys).agg(*[
-        F.bit_or(F.when(F.expr(f"m div {MONTHS_PER_WORD} = {w}"), bit).otherwise(F.lit(0).cast("long"))).alias(f"w{w}")
-        for w in range(words)])
-
-    def set_months(w: int):
-        size = min(MONTHS_PER_WORD, n - w * MONTHS_PER_WORD)
-        if size <= 0:
-            return F.array().cast("array<int>")
-        bits = F.filter(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.getbit(F.col(f"w{w}"), i) == 1)
-        return F.transform(bits, lambda i: i + (first + w * MONTHS_PER_WORD))
-
-    months = [set_months(w) for w in range(words)]
-    return per.select(*keys, (F.concat(*months) if words > 1 else months[0]).alias("months"))
-
-
-def _index(month, cohort, mode: str):
-    """Cohort index of linear month numbers (see :func:`cohort_index`)."""
-    since = month - cohort
+    if mode not in ("linear", "age"):
+        raise ValueError(f"unknown cohort index mode {mode!r}")
+    plan = [c for c in words.columns if c == "subscription_type"]
+    first = F.expr(f"word * {MONTHS_PER_WORD} + bit_count((bits & -bits) - 1)")
+    placed = words.withColumn("cohort", F.min(first).over(Window.partitionBy("customer_id")))
+    since = f"word * {MONTHS_PER_WORD} + b - cohort"
+    months = _set_bits("bits", MONTHS_PER_WORD)
     if mode == "linear":
-        return (since + 1).cast("int")
-    if mode == "age":
-        return (F.pmod(since, F.lit(12)) + 1).cast("int")
-    raise ValueError(f"unknown cohort index mode {mode!r}")
+        rows = placed.select(*plan, "cohort", F.explode(F.expr(f"transform({months}, b -> cast({since} + 1 as int))")).alias("cohort_index"))
+    else:
+        mask = F.expr(f"aggregate({months}, 0, (a, b) -> a | shiftleft(1, pmod({since}, 12)))")
+        folded = placed.groupBy("customer_id", *plan, "cohort").agg(F.bit_or(mask).alias("ages"))
+        rows = folded.select(*plan, "cohort", F.explode(F.expr(f"transform({_set_bits('ages', 12)}, b -> b + 1)")).alias("cohort_index"))
+    return rows.groupBy(*plan, "cohort", "cohort_index").agg(F.count(F.lit(1)).alias("num_customers"))
 
 
 def _month_date(number):
@@ -155,22 +160,23 @@ def retention_counts(invoices: DataFrame, subscriptions: DataFrame,
     """C4: distinct customers per (cohort_month, cohort_index).
 
     The cohort is the customer's first invoice month; each customer counts
-    once per index (``array_distinct``: in ``age`` mode months 0 and 12 are
-    both index 1).  -> cohort_month, cohort_index, num_customers, in that
-    order (O1; a sort of the count table).
+    once per index (in ``age`` mode months 0 and 12 are both index 1).
+    -> cohort_month, cohort_index, num_customers, in that order (O1; a sort
+    of the count table).
     """
-    return _counts(invoices, subscriptions, mode).orderBy("cohort_month", "cohort_index")
+    return counts_from_words(month_words(invoices, subscriptions), mode)
+
 
+def counts_from_words(words: DataFrame, mode: str = "linear") -> DataFrame:
+    """C4 from merged month words (see :mod:`.cohort_state`)."""
+    return _counts(words, mode).orderBy("cohort_month", "cohort_index")
 
-def _counts(invoices: DataFrame, subscriptions: DataFrame, mode: str) -> DataFrame:
-    per = customer_months(invoices, subscriptions)
+
+def _counts(words: DataFrame, mode: str) -> DataFrame:
     # J2 on the customer's own months: the first-month aggregate is never joined back
-    cohort = F.get("months", F.lit(0))
-    indexes = F.array_distinct(F.transform("months", lambda m: _index(m, cohort, mode)))
-    rows = per.select(cohort.alias("cohort"), F.explode(indexes).alias("cohort_index"))
-    return (rows.groupBy("cohort", "cohort_index")
-            .agg(F.count(F.lit(1)).alias("num_customers"))
-            .select(_month_date("cohort").alias("cohort_month"), "cohort_index", "num_customers"))
+    if "subscription_type" in words.columns:
+        words = merge_words(words.drop("subscription_type"))
+    return word_counts(words, mode).select(_month_date("cohort").alias("cohort_month"), "cohort_index", "num_customers")
 
 
 def _with_size(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -194,8 +200,12 @@ def retention_rates(invoices: DataFrame, subscriptions: DataFrame,
     the index-1 count: no second pass over invoices.
     -> cohort_month, cohort_index, num_customers, cohort_size, retention_rate.
     """
-    counts = _counts(invoices, subscriptions, mode)
-    return _with_size(counts, ["cohort_month"]).select(
+    return rates_from_words(month_words(invoices, subscriptions), mode)
+
+
+def rates_from_words(words: DataFrame, mode: str = "linear") -> DataFrame:
+    """C5 from merged month words."""
+    return _with_size(_counts(words, mode), ["cohort_month"]).select(
         "cohort_month", "cohort_index", "num_customers", "cohort_size", "retention_rate") \
         .orderBy("cohort_month", "cohort_index")
 
@@ -209,15 +219,12 @@ def retention_rates_by_plan(invoices: DataFrame, subscriptions: DataFrame,
     size counts the plan's customers at index 1 only, so a rate can exceed
     1 and a plan/cohort pair without index-1 customers is dropped.
     """
-    per = customer_months(invoices, subscriptions, with_plan=True)
-    # one row per customer and plan: the cohort is the first month over all plans
-    cohort = F.min(F.get("months", F.lit(0))).over(Window.partitionBy("customer_id"))
-    per = per.withColumn("cohort", cohort)
-    indexes = F.array_distinct(F.transform("months", lambda m: _index(m, F.col("cohort"), mode)))
-    counts = (per.select("subscription_type", "cohort", F.explode(indexes).alias("cohort_index"))
-              .groupBy("subscription_type", "cohort", "cohort_index")
-              .agg(F.count(F.lit(1)).alias("num_customers"))
-              .select("subscription_type", _month_date("cohort").alias("cohort_month"), "cohort_index", "num_customers"))
+    return plan_rates_from_words(month_words(invoices, subscriptions, with_plan=True), mode)
+
+
+def plan_rates_from_words(words: DataFrame, mode: str = "linear") -> DataFrame:
+    """C6 from merged month words by plan."""
+    counts = word_counts(words, mode).withColumn("cohort_month", _month_date("cohort"))
     return _with_size(counts, ["subscription_type", "cohort_month"]).select(
         "subscription_type", "cohort_month", "cohort_index", "num_customers",
         "cohort_size", "retention_rate").orderBy("subscription_type", "cohort_month", "cohort_index")

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
+
+from pyspark.sql import functions as F
+
 from .. import config
+from ..operators import cohort_state
 from ..operators import cohorts as C
+from ..session import checkpoint_dir
 from ..sources import mart
 from ..sources.tables import Tables
 from .catalog import register
@@ -11,6 +18,7 @@ from .oracle_mart import invoices_cte, subscriptions_cte
 
 SUBS = subscriptions_cte()
 INV = invoices_cte()
+STATE_SPLIT = _dt.date(1998, 6, 17)  # between the two batches of the stored state
 AS_OF = f"DATE '{config.AS_OF.isoformat()}'"
 
 # The definition, month by month: every customer's distinct months are
@@ -127,6 +135,30 @@ def retention_rate_by_plan(t: Tables):
     return C.retention_rates_by_plan(_inv(t), _subs(t))
 
 
+def _stored(t: Tables):
+    """Month words from batches that come late, in any order and twice."""
+    path = f"{checkpoint_dir(t.spark).rstrip('/')}/cohort-state-{uuid.uuid4().hex}"
+    inv, subs = _inv(t), _subs(t)
+    newer = F.col("invoice_date") >= F.lit(STATE_SPLIT)
+    cohort_state.append(inv.where(newer), subs, path)
+    cohort_state.append(inv.where(~newer), subs, path)
+    cohort_state.compact(t.spark, path)
+    cohort_state.append(inv.where(newer), subs, path)
+    return cohort_state.words(t.spark, path)
+
+
+@register("retention_counts_stored", "C4", f"{_counts_sql('linear')}\nSELECT {_month('start')} AS cohort_month, cohort_index, num_customers FROM counted")
+def retention_counts_stored(t: Tables):
+    """C4 from stored words: the full run's counts, though batches came out of order and one came twice."""
+    return C.counts_from_words(_stored(t), "linear")
+
+
+@register("retention_rate_by_plan_stored", "C6", f"{_PLAN_RATES_SQL}\nSELECT * FROM rates")
+def retention_rate_by_plan_stored(t: Tables):
+    """C6 from stored words."""
+    return C.plan_rates_from_words(_stored(t))
+
+
 _MATRIX_COLS = ",\n  ".join(
     f"avg(retention_rate) FILTER (WHERE cohort_index = {i}) AS m{i}" for i in range(1, 13))
 
