@@ -42,9 +42,9 @@ from .common import shared_table, sliced, table, tokenizer_path
 
 PIECE_FILE = "piece_bpe_32k.model"
 #: tokens of remembered windows in one worker
-MEMO_TOKENS = 2_000_000
+MEMO_TOKENS = 1_500_000
 #: folded links of a block of documents
-BLOCK_LINKS = 1 << 20
+BLOCK_LINKS = 1 << 18
 _SHIFT = 32
 _SPACE = "▁"  # how pieces show a space
 
@@ -75,8 +75,16 @@ class _Side:
     def __init__(self, tokens: list[bytes]) -> None:
         self.tokens = tokens
         self.length = np.array([len(t) for t in tokens], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
         self.spaced = np.array([t[:1] == b" " for t in tokens])
-        self.names = np.array([str(i) for i in range(len(tokens))], object)
+        #: decimal ids with the sign that follows them: inside a group, at its end in A, at its end in B
+        self.names = {mark: np.array([f"{i}{mark}" for i in range(len(tokens))], object) for mark in ",|;"}
+
+    def spells(self, ids: np.ndarray, raw: np.ndarray) -> bool:
+        """Whether the tokens' bytes, one after the other, are ``raw``."""
+        begin = self.begin[ids]
+        return np.array_equal(self.flat[_ranges(begin, begin + self.length[ids])], raw)
 
     def ends(self, ids: np.ndarray) -> np.ndarray:
         return np.cumsum(self.length[ids])
@@ -104,7 +112,7 @@ class Aligner:
             return b""
 
     def _forget(self) -> None:
-        self.memo: dict[tuple[tuple, tuple], int] = {}
+        self.memo: dict[bytes, int] = {}
         self.texts: list[str] = []
         self.links, self.first, self.held = array("q"), array("q", [0]), 0
 
@@ -115,17 +123,17 @@ class Aligner:
             return none, none
         a = self.core.encode_to_numpy(" " + text, allowed_special=set(), disallowed_special=()).astype(np.uint32)
         b = np.array(self.pieces.encode(text), np.uint32)
-        raw = (" " + text).encode()
-        if any(b"".join(map(side.tokens.__getitem__, ids.tolist())) != raw for side, ids in ((self.a, a), (self.b, b))):
+        raw = np.frombuffer((" " + text).encode(), np.uint8)
+        if not self.a.spells(a, raw) or not self.b.spells(b, raw):
             return none, none
         return a, b
 
-    def _align_windows(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, new: list[tuple]) -> None:
+    def _align_windows(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, new: np.ndarray) -> None:
         """Align the windows (token ranges in A and B) that are met for the first time.
 
         Notes the groups of each as text and its links as id pairs.
         """
-        p, i, q, j = np.array(new).T
+        p, i, q, j = new.T
         in_a, in_b = _ranges(p, i), _ranges(q, j)
         a, b = a[in_a], b[in_b]
         # the last tokens of the groups
@@ -135,8 +143,8 @@ class Aligner:
         before_b = (last_a + 1)[np.searchsorted(last_b, np.arange(len(b)))]
         words = np.empty(len(a) + len(b), object)
         for side, ids, last, at, mark in ((self.a, a, last_a, before_a, "|"), (self.b, b, last_b, before_b, ";")):
-            text = side.names[ids] + ","
-            text[last] = side.names[ids[last]] + mark
+            text = side.names[","][ids]
+            text[last] = side.names[mark][ids[last]]
             words[np.arange(len(ids)) + at] = text
         words, edge = words.tolist(), 0
         for end in np.cumsum(i - p + j - q).tolist():
@@ -156,17 +164,21 @@ class Aligner:
             self._forget()
         ends_a, ends_b = self.a.ends(a), self.b.ends(b)
         cut = np.intersect1d(self.a.anchors(a, ends_a), self.b.anchors(b, ends_b), assume_unique=True)
-        to_a = np.append(np.searchsorted(ends_a, cut) + 1, len(a)).tolist()
-        to_b = np.append(np.searchsorted(ends_b, cut) + 1, len(b)).tolist()
-        ids_a, ids_b, memo, windows, new, p, q = tuple(a.tolist()), tuple(b.tolist()), self.memo, [], [], 0, 0
-        for i, j in zip(to_a, to_b):
-            w = memo.setdefault((ids_a[p:i], ids_b[q:j]), len(memo))
-            if w == len(self.texts) + len(new):
-                new.append((p, i, q, j))
-            windows.append(w)
-            p, q = i, j
-        if new:
-            self._align_windows(a, b, ends_a, ends_b, new)
+        to_a = (4 * np.append(np.searchsorted(ends_a, cut) + 1, len(a))).tolist()
+        to_b = (4 * np.append(np.searchsorted(ends_b, cut) + 1, len(b))).tolist()
+        # a window's id tuple, packed: ids of A, then ids of B above them
+        ids_a, ids_b, memo = a.tobytes(), (b + np.uint32(len(self.a.tokens))).tobytes(), self.memo
+        places = list(zip([0, *to_a], to_a, [0, *to_b], to_b))
+        keys = [ids_a[p:i] + ids_b[q:j] for p, i, q, j in places]
+        windows, new = list(map(memo.get, keys)), []
+        if None in windows:
+            for k, key in enumerate(keys):
+                if windows[k] is None:
+                    if key not in memo:
+                        memo[key] = len(memo)
+                        new.append(places[k])
+                    windows[k] = memo[key]
+            self._align_windows(a, b, ends_a, ends_b, np.array(new) // 4)
         at = np.array(windows)
         first = np.frombuffer(self.first, np.int64)
         links = np.frombuffer(self.links, np.int64)[_ranges(first[at], first[at + 1])]
