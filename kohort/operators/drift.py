@@ -62,19 +62,23 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: list[str] |
                   digits: int = 6) -> DataFrame:
     """Normalised Wasserstein distance per numeric column.
 
-    Both sides go to long form (column_name, value), written once each; one
-    exact-quantile pass per side yields a ``points``-element quantile array
-    per column, and only those arrays meet.  A column without any value on
+    Both sides go to long form (side, column_name, value), written once; one
+    exact-quantile pass over both yields a ``points``-element quantile array
+    per side and column, and only those arrays meet.  A column without any value on
     one side has drifted completely (score infinity), without any on both
     not at all.  -> column_name, stat_test, drift_score, drift_detected.
     """
     columns = [c for c in (columns or config.MONITORING_COLUMNS)
                if c in reference.columns and c in current.columns]
     grid = quantile_grid(points)
-    ref_long, cur_long = (shared_table(_long(side, columns), "long") for side in (reference, current))
-    ref_q = quantile_array(ref_long, "value", grid, ["column_name"], name="rq", written=True)
-    cur_q = quantile_array(cur_long, "value", grid, ["column_name"], name="cq", written=True)
-    ref_std = ref_long.groupBy("column_name").agg(F.stddev_pop("value").alias("std"))
+    sides = [_long(df, columns).select(F.lit(side).alias("side"), "column_name", "value")
+             for side, df in (("reference", reference), ("current", current))]
+    long = shared_table(sides[0].unionByName(sides[1]), "long")
+    # one row per side and column
+    quantiles = shared_table(quantile_array(long, "value", grid, ["side", "column_name"], name="q", written=True), "grids")
+    ref_q, cur_q = (quantiles.where(F.col("side") == side).select("column_name", F.col("q").alias(name))
+                    for side, name in (("reference", "rq"), ("current", "cq")))
+    ref_std = long.where("side = 'reference'").groupBy("column_name").agg(F.stddev_pop("value").alias("std"))
     # one row per column on each side
     both = _monitored(reference, columns)
     for side in (ref_q, cur_q, ref_std):

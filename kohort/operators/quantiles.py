@@ -1,24 +1,26 @@
-"""Exact quantiles of groups of any size by narrowing value ranges.
+"""Exact quantiles of groups of any size in a fixed number of jobs.
 
 A quantile interpolates between the values of two ranks (``floor`` and
-``ceil`` of ``p * (n - 1)``), as Spark's ``percentile`` does.  Every wanted
-rank starts with the range of its group's values.  A round counts the values
-of each range in equal-width buckets, with the smallest and the largest value
-of each bucket; a rank's new range is that of the bucket it falls in.  A
-range ends up as one value, which is the answer.
-
-All rounds are plain grouped counts with map-side aggregation: a task holds
-and shuffles at most ``BUCKETS`` rows per group (``RANGE_BUCKETS`` per open
-range, if that is more), whatever the number of values, and a hot value is
-one count.  The same steps run at every size;
-only their number grows, with the logarithm of the number of different
-values.  The first round counts on a logarithmic scale, so that a few huge
-values cost no extra round.
-
-The values are written once to the shared folder (two or three narrow
-columns) and the ranges, a few rows per group, after every round, so a lost
-executor never repeats more than a round.  These jobs run while the query is
-being built.
+``ceil`` of ``p * (n - 1)``), as Spark's ``percentile`` does.
+
+1. The values are written once to the shared folder (two or three narrow
+   columns).
+2. One aggregate per group: count, smallest and largest value, and a
+   quantile summary (``percentile_approx``) whose rank error is at most
+   ``n / ACCURACY``.  It gives every wanted rank a bracket of values three
+   times as wide, so that the rank surely lies in it.  Groups of at most
+   ``ACCURACY`` values are one bracket.
+3. One pass counts the values between the brackets' ends, and every single
+   value inside a bracket.  A value finds its place among the sorted ends by
+   a binary search in generated code.
+4. Running sums over the counts (a few per bracket end and group, then the
+   values of one bracket) give the ranks' values, exactly.
+
+The number of jobs does not depend on the data.  A map task sends at most
+``ACCURACY`` entries of a summary per group, then one row per bracket end and
+per different value inside the brackets: about ``6 / ACCURACY`` of the values
+per wanted rank.  Running sums stream over sorted rows, so no task holds
+a bracket.  These jobs run while the query is being built.
 
 Null and NaN values are ignored; a group without any other value has no
 result; null group keys form a group.
@@ -32,8 +34,8 @@ from pyspark.sql import functions as F
 from ..sources.files import shared_table
 from .aggregates import attach_scalars
 
-#: buckets per group and round, over all its open ranges, and per range at least
-BUCKETS, RANGE_BUCKETS = 1024, 32
+#: a summary's rank error is at most 1 / ACCURACY of a group's values
+ACCURACY = 10_000
 
 
 def _col(c) -> Column:
@@ -48,49 +50,85 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return cond
 
 
-def _bucket(v: Column, lo: Column, hi: Column, buckets: Column, log: bool) -> Column:
-    """Bucket number, growing with ``v``; the two ends never share one.
-
-    Every step is monotone in floating point (the library's logarithm is
-    semi-monotone by contract), so bucket order is value order.
-    """
-    if log:
-        v, lo, hi = (F.signum(c) * F.log1p(F.abs(c)) for c in (v, lo, hi))
-    share = F.nanvl(F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2), F.lit(0.5))
-    inner = F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.5)) * buckets), F.lit(0)), buckets - 1)
-    return F.when(v == hi, buckets - 1).when(v == lo, F.lit(0)).otherwise(inner).cast("int")
+def _locate(df: DataFrame, size: int) -> DataFrame:
+    """``__place``: how many of the sorted ``__ends`` (at most ``size``) are not above ``__v``."""
+    step = 1 << size.bit_length() - 1
+    df = df.withColumn("__place", F.lit(0))
+    while step:  # binary search: a projection per step
+        reached = F.get("__ends", F.col("__place") + (step - 1)) <= F.col("__v")
+        df = df.withColumn("__place", F.col("__place") + F.when(reached, step).otherwise(0))
+        step //= 2
+    return df
 
 
 def _renamed(df: DataFrame, by: list[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"__r_{k}" for k in by})
 
 
-def _narrow(values: DataFrame, state: DataFrame, by: list[str], log: bool) -> DataFrame:
-    """One round: ``state`` (by..., rank, lo, hi, below) with smaller ranges."""
-    opened = state.where("__lo < __hi")
-    ranges = opened.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("__lo", "__hi"))).alias("__ranges"))
-    if by:
-        small = _renamed(ranges, by)
-        met = values.join(small, _same(values, small, by)).select(*[values[k] for k in by], "__v", "__ranges")
-    else:
-        met = attach_scalars(values, ranges)
-    hit = F.get(F.filter("__ranges", lambda r: (r["__lo"] <= F.col("__v")) & (F.col("__v") <= r["__hi"])), F.lit(0))
-    per_range = F.greatest(F.lit(RANGE_BUCKETS), F.floor(F.lit(BUCKETS) / F.size("__ranges")))
-    met = met.withColumn("__hit", hit).where(F.col("__hit").isNotNull())
-    lo, hi = F.col("__hit")["__lo"], F.col("__hit")["__hi"]
-    counted = (met.groupBy(*by, lo.alias("__lo"), hi.alias("__hi"),
-                           _bucket(F.col("__v"), lo, hi, per_range, log).alias("__bucket"))
-               .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__first"), F.max("__v").alias("__last")))
-    # a few thousand rows per group at most
-    before = Window.partitionBy(*by, "__lo", "__hi").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    counted = counted.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    side = _renamed(counted, by).withColumnsRenamed({"__lo": "__b_lo", "__hi": "__b_hi"})
-    inside = F.col("__rank") - F.col("__below") - F.col("__before")
-    met = opened.join(side, _same(opened, side, by) & (F.col("__lo") == F.col("__b_lo")) & (F.col("__hi") == F.col("__b_hi"))
-                      & (inside >= 0) & (inside < F.col("__n")))
-    narrowed = met.select(*[opened[k] for k in by], "__rank", F.col("__first").alias("__lo"), F.col("__last").alias("__hi"),
-                          (F.col("__below") + F.col("__before")).alias("__below"))
-    return state.where("__lo = __hi").unionByName(narrowed)
+def _attached(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` with the columns of its group's row in ``small``."""
+    if not by:
+        return attach_scalars(df, small)
+    side = _renamed(small, by)
+    return df.join(side, _same(df, side, by)).drop(*[f"__r_{k}" for k in by])
+
+
+def _groups(values: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """by..., __n, __ends (sorted bracket ends), __open (whether the gap after each end lies in a bracket)."""
+    margin = 3 / ACCURACY
+    sides = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in probs for d in (-margin, margin)])
+    found = values.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
+        F.percentile_approx("__v", sides, F.lit(ACCURACY)).alias("__sides")).where("__n > 0")
+    whole = F.array("__lo", "__hi")
+    sides = F.when(F.col("__n") <= ACCURACY, whole).otherwise(F.col("__sides"))
+    found = found.withColumn("__sides", sides).withColumn("__ends", F.array_sort(F.array_distinct(F.concat(whole, "__sides"))))
+    # the two ends of a bracket stand side by side
+    starts = F.expr("filter(__sides, (x, i) -> i % 2 = 0)")
+    stops = F.expr("filter(__sides, (x, i) -> i % 2 = 1)")
+    found = found.withColumn("__brackets", F.arrays_zip(starts.alias("a"), stops.alias("b")))
+    gaps = F.transform("__ends", lambda e, i: F.exists(
+        "__brackets", lambda x: (x["a"] <= e) & (F.get("__ends", i + 1) <= x["b"])))
+    return found.select(*by, "__n", "__ends", gaps.alias("__open"))
+
+
+def _counted(values: DataFrame, groups: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """by..., __bucket, __value, __count.
+
+    Buckets alternate: gap before an end (even), the end itself (odd).  A gap
+    in a bracket has one row for each of its values, any other bucket one row.
+    """
+    met = _locate(_attached(values, groups.select(*by, "__ends", "__open"), by), 2 * len(probs) + 2)
+    last = F.col("__place") - 1
+    on_end = F.get("__ends", last) == F.col("__v")
+    met = met.withColumn("__bucket", 2 * F.col("__place") - F.when(on_end, 1).otherwise(0))
+    listed = ~on_end & F.get("__open", last)
+    return (met.groupBy(*by, "__bucket", F.when(listed, F.col("__v")).alias("__listed"))
+            .agg(F.count(F.lit(1)).alias("__count"), F.min("__v").alias("__value")).drop("__listed"))
+
+
+def _rank_values(counted: DataFrame, groups: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    """by..., __rank, __value for every rank that the quantiles need."""
+    sizes = counted.groupBy(*by, "__bucket").agg(F.sum("__count").alias("__size"))
+    # a few rows per bracket end of a group
+    before = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(before), F.lit(0)))
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in (_place(F.lit(p)) for p in probs)])))
+    asked = _attached(sizes, groups.select(*by, ranks.alias("__ranks")), by)
+    here = F.filter("__ranks", lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__size")))
+    asked = asked.select(*by, "__bucket", "__before", here.alias("__here")).where(F.size("__here") > 0)
+    side = _renamed(asked, by).withColumnRenamed("__bucket", "__b")
+    rows = counted.join(side, _same(counted, side, by) & (F.col("__bucket") == F.col("__b")))
+    rows = rows.select(*[counted[k] for k in by], "__bucket", "__value", "__count", "__before", "__here")
+    inside = Window.partitionBy(*by, "__bucket").orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("__before") + F.coalesce(F.sum("__count").over(inside), F.lit(0))
+    rows = rows.withColumn("__first", first)
+    mine = F.filter("__here", lambda r: (r >= F.col("__first")) & (r < F.col("__first") + F.col("__count")))
+    return rows.select(*by, F.explode(mine).alias("__rank"), "__value")
+
+
+def _place(p: Column) -> Column:
+    return (F.col("__n") - 1).cast("double") * p
 
 
 def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tuple = (),
@@ -105,24 +143,14 @@ def quantile_table(df: DataFrame, value, probs: list[float], by: list[str] | tup
     values = df.select(*by, _col(value).cast("double").alias("__v")).where("__v IS NOT NULL AND NOT isnan(__v)")
     if not written:
         values = shared_table(values, "values")
-    groups = shared_table(values.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"),
-                                                  F.max("__v").alias("__hi")).where("__n > 0"), "groups")
+    groups = shared_table(_groups(values, by, probs), "groups")
+    counted = shared_table(_counted(values, groups, by, probs), "counted")
+    found = _rank_values(counted, groups, by, probs)
+    found = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__value"))).alias("__values"))
     spread = F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("q_index", "p")
-    place = (F.col("__n") - 1).cast("double") * F.col("p")
-    wanted = groups.select(*by, "__n", "__lo", "__hi", spread).withColumn("__place", place)
-    wanted = wanted.withColumns({"__r_lo": F.floor("__place"), "__r_hi": F.ceil("__place")})
-    state = (wanted.select(*by, "__lo", "__hi", F.explode(F.array("__r_lo", "__r_hi")).alias("__rank")).distinct()
-             .select(*by, "__rank", "__lo", "__hi", F.lit(0).cast("long").alias("__below")))
-    state = shared_table(state, "ranks")
-    log = True
-    while not state.where("__lo < __hi").isEmpty():
-        state = shared_table(_narrow(values, state, by, log), "ranks")
-        log = False
-    out = wanted.drop("__lo", "__hi")
-    for side in ("lo", "hi"):
-        found = _renamed(state.select(*by, F.col("__rank").alias("__k"), F.col("__lo").alias(f"__v_{side}")), by)
-        out = out.join(found, _same(out, found, by) & (F.col(f"__r_{side}") == F.col("__k"))) \
-            .drop("__k", *[f"__r_{k}" for k in by])
+    out = _attached(groups.select(*by, "__n", spread), found, by).withColumn("__place", _place(F.col("p")))
+    out = out.withColumns({"__r_lo": F.floor("__place"), "__r_hi": F.ceil("__place")})
+    out = out.withColumns({f"__v_{s}": F.element_at("__values", F.col(f"__r_{s}")) for s in ("lo", "hi")})
     lo, hi = F.col("__v_lo"), F.col("__v_hi")
     between = ((F.col("__r_hi").cast("double") - F.col("__place")) * lo
                + (F.col("__place") - F.col("__r_lo").cast("double")) * hi)

@@ -29,10 +29,9 @@ def found(df, probs, by):
 PROBS = [0.9, 0.5, 0.0, 1.0, 0.25, 0.333, 0.001, 0.999] + [(i + 0.5) / 20 for i in range(20)]
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 1024])
-def test_skew_ties_null_keys_and_small_groups(spark, monkeypatch, buckets):
-    monkeypatch.setattr(Q, "BUCKETS", buckets)
-    monkeypatch.setattr(Q, "RANGE_BUCKETS", min(buckets, Q.RANGE_BUCKETS))
+@pytest.mark.parametrize("accuracy", [4, 50, 400, 10_000])
+def test_skew_ties_null_keys_and_small_groups(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(Q, "ACCURACY", accuracy)  # small: wide brackets, or narrow ones in groups that are no single bracket
     rnd = random.Random(7)
     rows = []
     for g in range(2):
@@ -42,8 +41,7 @@ def test_skew_ties_null_keys_and_small_groups(spark, monkeypatch, buckets):
             rows.append((g, 7.0 if r < 0.34 else (round(rnd.gauss(100, 30), 2) if r < 0.9 else float(rnd.randint(0, 5)))))
     rows += [(9, 1.0), (9, 2.0), (9, 3.0), (9, 4.0), (8, 5.0), (8, None), (7, None), (None, 3.0), (None, 8.0)]
     df = spark.createDataFrame(rows, "g int, x double")
-    probs = PROBS if buckets > 2 else PROBS[:4]
-    assert found(df, probs, ["g"]) == {k: v for k, v in reference(df, probs, ["g"]).items() if k[0] != 7}
+    assert found(df, PROBS, ["g"]) == {k: v for k, v in reference(df, PROBS, ["g"]).items() if k[0] != 7}
 
 
 def test_extreme_values(spark):
@@ -77,22 +75,33 @@ def test_more_than_a_bracket_of_values(spark):
     assert found(df, [0.1, 0.5, 0.77], []) == reference(df, [0.1, 0.5, 0.77], [])
 
 
-def test_first_pass_moves_kilobytes(spark, monkeypatch):
-    """What a round shuffles per task is bounded by the buckets, not by the values."""
-    rounds = []
-    inner = Q._narrow
-
-    def watched(values, state, by, log):
-        out = inner(values, state, by, log)
-        rounds.append(values.count())
-        counted = [n for n in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate" in n]
-        assert any("__bucket" in n or "bucket" in n for n in counted)
-        return out
-
-    monkeypatch.setattr(Q, "_narrow", watched)
-    inv = mart.invoices(Tables(spark, SF_SMALL), with_late=False)
-    assert median_table(inv, "amount").count() == 1
-    assert 1 <= len(rounds) <= 5
+def test_listed_values_are_few(spark, monkeypatch):
+    """Beyond a group's first ACCURACY values, only those near a wanted rank are listed one by one."""
+    tables = {}
+    write = Q.shared_table
+
+    def watched(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(Q, "shared_table", watched)
+    n = 200_000
+    df = spark.range(n).select((F.col("id") * 7919 % 200_003).cast("double").alias("x"))
+    assert found(df, [0.25, 0.5], []) == reference(df, [0.25, 0.5], [])
+    assert tables["counted"].count() <= 2 * 10 * n / Q.ACCURACY + 20
+
+
+def test_number_of_jobs_is_fixed(spark, monkeypatch):
+    """Three tables are written, whatever the values, the number of ranks or groups."""
+    written = []
+    write = Q.shared_table
+    monkeypatch.setattr(Q, "shared_table", lambda df, name: written.append(name) or write(df, name))
+    few = spark.createDataFrame([("a", 1.0)], "g string, x double")
+    wide = spark.range(30_000).select((F.col("id") % 3).cast("string").alias("g"), F.pow(F.lit(1.01), F.col("id") % 9973).alias("x"))
+    for df, probs in ((few, [0.5]), (wide, [0.5]), (wide, PROBS)):
+        written.clear()
+        assert quantile_table(df, "x", probs, ["g"]).count() > 0
+        assert written == ["values", "groups", "counted"]
 
 
 def test_arrays_follow_the_order_of_probs(spark):
