@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_start
-from ..functions.numeric import safe_corr
 
 
 def _q(name: str) -> str:
@@ -134,33 +133,15 @@ def correlation_matrix(df: DataFrame, columns: list[str], digits: int = 6) -> Da
     """Pearson correlation of every ordered column pair (pairwise
     complete rows), long form -> col_a, col_b, corr.
 
-    All pairs are computed in one aggregate; a constant column gives null
-    instead of an error.  One row read first tells which columns are
-    constant and which have nulls: only pairs with nulls need the guarded
-    form, which follows the rows where both are present.
+    All pairs come from one pass of blocked matrix products (:mod:`.gram`),
+    whatever their number; a column that is constant over a pair's rows gives
+    null instead of an error.
     """
+    from .gram import correlations
+
     if len(columns) < 2:
         raise ValueError("need at least two columns for a correlation matrix")
-    checks = df.agg(*[F.min(_q(c)).eqNullSafe(F.max(_q(c))).alias(f"c{i}") for i, c in enumerate(columns)],
-                    *[F.count_if(F.col(_q(c)).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    constant = {c for i, c in enumerate(columns) if checks[f"c{i}"]}
-    nulls = {c for i, c in enumerate(columns) if checks[f"n{i}"]}
-    aggs, pairs = [], []
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            name = f"{a}__{b}"
-            if constant & {a, b}:
-                value = F.lit(None).cast("double")
-            elif nulls & {a, b}:
-                value = safe_corr(_q(a), _q(b))
-            else:
-                value = F.corr(F.col(_q(a)).cast("double"), F.col(_q(b)).cast("double"))
-            aggs.append(F.round(F.max(value) if constant & {a, b} else value, digits).alias(name))
-            pairs.append(f"'{a}', '{b}', `{name}`")
-            if a != b:
-                pairs.append(f"'{b}', '{a}', `{name}`")
-    wide = df.agg(*aggs)
-    return wide.select(F.expr(f"stack({len(pairs)}, {', '.join(pairs)}) AS (col_a, col_b, corr)"))
+    return correlations(df, columns, digits)
 
 
 # ------------------------------------------------------------------ A24

@@ -3,15 +3,13 @@ deterministic train/test split (M5)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..sources.files import shared_table
 from .aggregates import attach_scalars
-
-
-MAX_CATEGORIES = 10_000
+from .categories import category_codes, encode
 
 
 def _q(name: str) -> str:
@@ -19,39 +17,23 @@ def _q(name: str) -> str:
 
 
 # ------------------------------------------------------------------ M2
-def fit_ordinal(df: DataFrame, columns: list[str] | None = None) -> StringIndexerModel:
-    """M2 fit: categories in ascending order get codes 0..n-1.
-
-    The fitted labels (distinct values of each categorical column) are
-    collected by MLlib; more than ``MAX_CATEGORIES`` of them is an error.
-    """
-    columns = columns or config.ORDINAL_FEATURES
-    counts = df.agg(*[F.approx_count_distinct(_q(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    for c, n in zip(columns, counts):
-        if n > MAX_CATEGORIES:
-            raise ValueError(f"{c}: about {n} categories, more than {MAX_CATEGORIES}")
-    indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}__idx" for c in columns],
-                            stringOrderType="alphabetAsc", handleInvalid="keep")
-    return indexer.fit(df)
+def fit_ordinal(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """M2 fit: categories in ascending order get codes 0..n-1, as a written
+    dictionary (see :mod:`.categories`; any number of categories)."""
+    return shared_table(category_codes(df, columns), "codes")
 
 
-def apply_ordinal(df: DataFrame, model: StringIndexerModel,
+def apply_ordinal(df: DataFrame, codes: DataFrame, columns: list[str] | None = None,
                   unknown: int = config.UNKNOWN_CODE) -> DataFrame:
     """M2 transform: ``<col>_code`` INT per column; unseen values (and
     nulls) get ``unknown`` (-1)."""
-    out = model.transform(df)
-    codes = {}
-    for col, labels in zip(model.getInputCols(), model.labelsArray):
-        idx = F.col(f"{col}__idx")
-        codes[f"{col}_code"] = F.when(idx >= len(labels), F.lit(unknown)).otherwise(idx).cast("int")
-    return out.withColumns(codes).drop(*[f"{c}__idx" for c in model.getInputCols()])
+    return encode(df, codes, columns, unknown)
 
 
 def ordinal_encode(train: DataFrame, score: DataFrame | None = None,
                    columns: list[str] | None = None) -> DataFrame:
     """M2: fit on ``train`` and encode ``score`` (``train`` if omitted)."""
-    model = fit_ordinal(train, columns)
-    return apply_ordinal(train if score is None else score, model)
+    return apply_ordinal(train if score is None else score, fit_ordinal(train, columns), columns)
 
 
 # ------------------------------------------------------------------ M3

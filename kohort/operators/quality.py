@@ -157,7 +157,30 @@ def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
             .orderBy("feature", "rank"))
 
 
-# ------------------------------------------------------------------ Q5
+# ------------------------------------------------------------------ Q5, P9
+def row_digests(df: DataFrame) -> list:
+    """Two 64-bit hashes of a whole row.  Nulls add nothing to Spark's hash,
+    so the places of the nulls are hashed as well."""
+    parts = [F.col(_q(c)) for c in df.columns] + [F.col(_q(c)).isNull() for c in df.columns]
+    return [F.xxhash64(*parts).alias("__h1"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("__h2")]
+
+
+def count_distinct_rows(df: DataFrame) -> DataFrame:
+    """Different rows -> distinct_rows (one row).
+
+    Only 128-bit digests are grouped.  Whole rows are compared just where a
+    digest repeats, so a collision is told apart.  Columns that Spark
+    cannot hash (maps) are not supported, as in ``distinct``.
+    """
+    digests = df.select(*row_digests(df)).groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
+    digests = shared_table(digests, "digests")
+    single = digests.where("__n = 1").agg(F.count(F.lit(1)).alias("single"))
+    again = digests.where("__n > 1").select("__h1", "__h2")
+    rows = df.select("*", *row_digests(df)).join(again, ["__h1", "__h2"], "left_semi").drop("__h1", "__h2").distinct()
+    repeated = rows.agg(F.count(F.lit(1)).alias("repeated"))
+    return attach_scalars(single, repeated).select((F.col("single") + F.col("repeated")).alias("distinct_rows"))
+
+
 def quality_report(df: DataFrame) -> DataFrame:
     """Q5: rows, columns, duplicate rows and share, total missing and
     share, missing per column (only columns with any), distinct values per
@@ -176,7 +199,7 @@ def quality_report(df: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("missing"),
         F.count("value").alias("different")), "report")
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    distinct_rows = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
+    distinct_rows = count_distinct_rows(df)
     missing = per_column.agg(F.sum("missing").alias("total_missing"))
     wide = attach_scalars(attach_scalars(rows, distinct_rows), missing).withColumns({
         "duplicate_pct": percent(F.col("rows") - F.col("distinct_rows"), F.col("rows")),

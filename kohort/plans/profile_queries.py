@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config
+from ..operators import categories as CAT_CODES
 from ..operators import cleaning as CL
 from ..operators import drift as D
+from ..operators import drift_sketch as DS
 from ..operators import features as FE
 from ..operators import model as M
 from ..operators import quality as Q
@@ -147,6 +149,13 @@ def ordinal_encoded(t: Tables):
     return enc.select("customerid", *[f"{c}_code" for c in CAT])
 
 
+@register("category_codes", "M2", f"""{CLEAN}
+{" UNION ALL ".join(f"SELECT '{c}' AS column_name, v AS value, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {c} AS v FROM clean)" for c in CAT)}""")
+def category_codes(t: Tables):
+    """M2: the dictionary of the categorical columns, numbered on the cluster."""
+    return CAT_CODES.category_codes(CL.clean(mart.customers(t)), CAT)
+
+
 @register("standard_scaled", "M3", f"""{CLEAN}
 SELECT customerid, {', '.join(
     f"round(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0 ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END, 6) AS {c}"
@@ -317,6 +326,14 @@ def drift_scores(t: Tables):
     return D.numeric_drift(ref, cur)
 
 
+@register("drift_sketch_scores", "D2")
+def drift_sketch_scores(t: Tables):
+    """D2 from merged quantile sketches, with the bound of each score."""
+    ref, cur = _snapshots(t)
+    half = F.pmod(F.xxhash64(*cur.columns), F.lit(2))
+    return DS.sketch_drift(DS.sketch(ref), DS.merge(*(DS.sketch(cur.where(half == k)) for k in (0, 1))))
+
+
 def _binned_sql() -> str:
     edges = "[" + ", ".join(f"CAST({i / 10!r} AS DOUBLE)" for i in range(1, 10)) + "]"
     e = ", ".join(f"quantile_cont({c}, {edges}) AS {c}" for c in NUM)

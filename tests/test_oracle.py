@@ -36,6 +36,7 @@ def _probability(rows):
 SENSIBLE = {
     "feature_importance": lambda rows: len(rows) == 9 and abs(sum(r.importance for r in rows) - 1) < 1e-6,
     "churn_scores": lambda rows: _probability(rows) and len({r.customerid for r in rows}) == len(rows) > 100,
+    "drift_sketch_scores": lambda rows: len(rows) == 7 and all(r.drift_score >= 0 and r.error_bound >= 0 for r in rows),
     "model_confusion": lambda rows: 1 <= len(rows) <= 4 and sum(r["count"] for r in rows) > 10,
     "model_recall_f1": lambda rows: rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn > 10,
     "logreg_recall_f1": lambda rows: rows[0].tp + rows[0].fp + rows[0].fn + rows[0].tn > 10,
