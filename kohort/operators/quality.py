@@ -142,19 +142,45 @@ def feature_summary(df: DataFrame, numeric: list[str], categorical: list[str],
                        "unique_values", "missing")
 
 
+#: values that a heavy-hitter summary tracks per column
+TRACKED = 10_000
+#: a value with a larger share of a column's values than this is surely among a summary's: the summary's
+#: error is at most 3.5 / size of its table, which holds a third more than the tracked values, and a
+#: value is named when its lower bound is above that error
+NAMED_SHARE = 2 * 3.5 * 0.75 / TRACKED
+
+
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
     """Q4/A2/O3: the ``k`` most frequent values of each column (ties by
     value).  -> feature, value, count, rank.
 
-    The rank filter on the window lets Spark keep ``k`` rows per column and
-    task before the shuffle (window group limit), so no task holds all
-    values of a column.
+    A mergeable summary per column (``approx_top_k``, bounded by ``TRACKED``
+    values) names candidates, a second pass counts just these exactly.  So
+    what is shuffled does not depend on the number of different values.  The
+    answer is whole when the candidates' counts add up to all values, or the
+    ``k``-th is larger than ``NAMED_SHARE`` of them; the other columns (nearly
+    all values rare) are counted value by value.
     """
-    long = unpivot(df, [], columns, "feature", "value", cast="STRING").where(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+    long = shared_table(unpivot(df, [], columns, "feature", "value", cast="STRING").where(F.col("value").isNotNull()), "values")
+    named = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(value, {TRACKED}, {TRACKED})").alias("top"))
+    named = shared_table(named, "named")  # at most TRACKED values per column
     w = Window.partitionBy("feature").orderBy(F.desc("count"), F.asc("value"))
-    return (counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .orderBy("feature", "rank"))
+
+    def ranked(counts: DataFrame) -> DataFrame:
+        return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    candidates = named.select("feature", F.explode("top.item").alias("value"))
+    counts = shared_table(long.join(candidates, ["feature", "value"]).groupBy("feature", "value")
+                          .agg(F.count(F.lit(1)).alias("count")), "counted")
+    sums = counts.groupBy("feature").agg(F.sum("count").alias("found"))
+    least = ranked(counts).where(F.col("rank") == k).select("feature", F.col("count").alias("least"))
+    whole = (F.col("found") == F.col("n")) | (F.col("least") > NAMED_SHARE * F.col("n"))
+    state = named.select("feature", "n").join(sums, "feature", "left").join(least, "feature", "left")
+    rare = [r.feature for r in state.where(~F.coalesce(whole, F.lit(False))).select("feature").collect()]  # columns
+    if rare:
+        every = long.where(F.col("feature").isin(rare)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("count"))
+        counts = counts.where(~F.col("feature").isin(rare)).unionByName(every)
+    return ranked(counts).orderBy("feature", "rank")
 
 
 # ------------------------------------------------------------------ Q5, P9

@@ -51,6 +51,18 @@ def test_random_search_small(spark):
     assert best.stages[-1].getNumTrees in (10, 11)
 
 
+def test_halving_finds_the_full_search_s_best(spark):
+    """Same draws and folds: the same best draw as the full search, with about half the fits."""
+    train, _ = _frames(spark)
+    space = [dict(p, numTrees=8, maxDepth=2 + i) for i, p in enumerate(M.search_space(6))]
+    _, full, _ = M.random_search(train, folds=4, space=space)
+    model, halved, pipeline = M.halving_search(train, folds=4, space=space)
+    best = max(range(6), key=lambda i: full[i][1])
+    assert max(halved, key=lambda s: s[1])[1] >= full[best][1] - 1e-9
+    assert pipeline.getStages()[-1].getMaxDepth() == full[best][0]["maxDepth"]
+    assert model.stages[-1].getNumTrees == 8
+
+
 def test_other_estimators(spark):
     train, test = _frames(spark)
     out = M.score(M.fit(train, M.build_estimator("boosted_trees", maxIter=5)), test)

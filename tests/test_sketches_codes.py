@@ -135,3 +135,40 @@ def test_a_thousand_columns(spark):
     got = out.where("col_a = 'n7' AND col_b IN ('n900', 'n64', 'n7')").collect()
     for r in got:
         assert abs(r.corr - np.corrcoef(x[:, 7], x[:, int(r.col_b[1:])])[0, 1]) < 1e-6
+
+
+# ------------------------------------------------------------------ Q4 top values
+def _plain_top(df, columns, k):
+    out = []
+    for c in columns:
+        counts = {}
+        for r in df.select(c).collect():
+            if r[0] is not None:
+                counts[str(r[0])] = counts.get(str(r[0]), 0) + 1
+        top = sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:k]
+        out += [(c, v, n, i + 1) for i, (v, n) in enumerate(top)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("tracked", [16, 10_000])
+def test_top_values_are_exact(spark, monkeypatch, tracked):
+    monkeypatch.setattr(quality, "TRACKED", tracked)
+    monkeypatch.setattr(quality, "NAMED_SHARE", 2 * 3.5 * 0.75 / tracked)
+    rnd = random.Random(6)
+    rows = [(rnd.choice("abc"), f"v{min(int(rnd.expovariate(0.3)), 400)}" if i % 3 else f"u{i}", f"id{i}", i % 11 if i % 5 else None, None)
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "few string, heavy string, flat string, number int, none string").repartition(6)
+    cols = ["few", "heavy", "flat", "number", "none"]
+    for k in (1, 5, 30):
+        assert sorted(tuple(r) for r in quality.top_values(df, cols, k).collect()) == _plain_top(df, cols, k)
+
+
+def test_wide_domain_is_not_shuffled_whole(spark, monkeypatch):
+    """Heavy values among many rare ones: only candidates are counted."""
+    tables = {}
+    write = quality.shared_table
+    monkeypatch.setattr(quality, "shared_table", lambda df, name: tables.setdefault(name, write(df, name)))
+    df = spark.range(300_000).select(F.when(F.col("id") % 4 == 0, F.concat(F.lit("hot"), F.col("id") % 5)).otherwise(F.col("id").cast("string")).alias("v"))
+    top = quality.top_values(df, ["v"], 5).collect()
+    assert [(r.value, r["count"]) for r in top] == [(f"hot{i}", 15_000) for i in range(5)]
+    assert tables["counted"].count() <= quality.TRACKED
