@@ -15,10 +15,14 @@ first, by content, into parts that hold every repeat:
    string of ``width`` to ``2 width - 32`` bytes.  Equal windows get equal
    hashes, so they end up in the same part, wherever they stand.
 2. *Fold*: copies of a string are folded, in the task that cuts them and
-   then per hash: all but the first are repeats in full.  Only hashes under
-   which different strings remain go on, with one copy of each.  Where one
-   task alone finds many strings of a hash, all but two of them are dealt by
-   their fingerprint instead, so no task folds all strings of a common hash.
+   then per hash: all but the first are repeats in full.  Equal
+   windows also agree, around the smallest substring, in one of four fixed
+   splits of the bytes beside it; only strings that share a split with another
+   one of their hash go on, with one copy of each.  So what is fetched from
+   the texts are strings with a likely partner, not all with a common
+   substring.  Where one task alone finds many strings of a hash, all but two
+   of them are dealt by their fingerprint instead, so no task folds all strings
+   of a common hash; these go on without the test.
 3. *Build*: the strings of a part (a bounded number of hashes) that can
    repeat anything go through the transform, at most ``2 width - 32`` rounds.  Neighbouring suffixes with
    a common prefix of ``width`` or more are equal windows; all but the first
@@ -32,7 +36,7 @@ Between the steps the collection lives in shuffle files and in written
 tables of the shared folder, read and written sequentially.
 
 Strings are told apart by 128 bits of hashes in step 2, windows byte by byte
-in the transform and by 128-bit digests where a hash has too many strings.
+in the transform and by 128 bits of hashes where a hash has too many strings.
 
 Defined cases: null text counts as empty; a row with a null doc_id is
 returned whole and nothing is a repeat of it; rows that repeat a doc_id are
@@ -45,7 +49,6 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -61,14 +64,46 @@ from .shingles import BYTE_HASH, mix, prefix_hash, span_hash
 WIDTH = 100
 GRAM = 32
 #: strings that are folded, and strings that go through the transform, at a time
-FOLD = 1_000_000
+FOLD = 400_000
 PART = 4096
 #: strings of one hash in a task, beyond which they are dealt by fingerprint
 SPREAD = 64
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _U = np.uint64
+_SPLITS = ["split0", "split1", "split2", "split3"]
 _ENTRY = np.dtype([("key", "<u8"), ("print_", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("size", "<i4"),
-                   ("loops", "u1")])
+                   ("flags", "u1"), *((s, "<u4") for s in _SPLITS)])
+_LOOPS, _COMMON = 1, 2  # flags: may repeat itself; other strings of its key are dealt elsewhere
+
+
+def splits(width: int, gram: int) -> list[tuple[int, int]]:
+    """Bytes left and right of a key's substring that two equal windows share, whichever they are.
+
+    A window holds the key's substring and ``width - gram`` bytes around it.
+    One with ``l`` bytes on the left covers the split whose left part is the
+    largest that is not above ``l``; equal windows cover the same one.
+    """
+    around = width - gram
+    step = max(1, -(-around // 4))
+    return [(a, max(0, around - a - step)) for a in range(0, max(1, around), step)]
+
+
+def _split_prints(h: np.ndarray, smallest: np.ndarray, prefix: np.ndarray, e: np.ndarray, start: np.ndarray, end: np.ndarray,
+                  width: int, gram: int) -> None:
+    """Fill in the 32-bit fingerprints of the splits (0: the string does not cover it)."""
+    k = np.searchsorted(smallest, start)
+    while True:  # the key's substring is one of the next few that are smallest in some window
+        other = np.flatnonzero(h[smallest[k]] != e["key"])
+        if not len(other):
+            break
+        k[other] += 1
+    at = smallest[k]
+    for name in _SPLITS:
+        e[name] = 0
+    for name, (a, b) in zip(_SPLITS, splits(width, gram)):
+        ok = np.flatnonzero((at - start >= a) & (end - at - gram >= b))
+        found = span_hash(prefix, at[ok] - a, at[ok] + gram + b) >> _U(32)
+        e[name][ok] = np.maximum(found, _U(1)).astype(np.uint32)
 
 
 def _sliding(f, h: np.ndarray, count: int) -> np.ndarray:
@@ -89,16 +124,21 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     return mix(h)
 
 
-def _loops(h: np.ndarray, keys: np.ndarray, e: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int) -> np.ndarray:
-    """Whether a string holds its key's substring twice, so that it may repeat itself.
+def _smallest(h: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of the substrings that are smallest in some window.
 
-    The substrings that are smallest in some window are those that equal the
-    largest key of the windows around them; in one string, equal ones follow
-    each other.
+    They are those that equal the largest key of the windows around them.
     """
     count = len(h) - len(keys) + 1
     padded = np.concatenate([np.zeros(count - 1, np.uint64), keys, np.zeros(count - 1, np.uint64)])
-    smallest = np.flatnonzero(_sliding(np.maximum, padded, count) == h)
+    return np.flatnonzero(_sliding(np.maximum, padded, count) == h)
+
+
+def _loops(h: np.ndarray, smallest: np.ndarray, e: np.ndarray, start: np.ndarray, end: np.ndarray, gram: int) -> np.ndarray:
+    """Whether a string holds its key's substring twice, so that it may repeat itself.
+
+    In one string, equal smallest substrings follow each other.
+    """
     twice = np.flatnonzero(h[smallest[1:]] == h[smallest[:-1]])
     p, q = smallest[twice], smallest[twice + 1]
     out = np.zeros(len(e), bool)
@@ -110,7 +150,7 @@ def _loops(h: np.ndarray, keys: np.ndarray, e: np.ndarray, start: np.ndarray, en
 
 
 def cut_strings(docs: list[int], texts: list[bytes], width: int, gram: int) -> np.ndarray:
-    """Entries (key, fingerprint, doc, start, size) of the strings of a few documents."""
+    """Entries (key, fingerprint, doc, start, size, flags, split fingerprints) of the strings of a few documents."""
     kept = [(d, t) for d, t in zip(docs, texts) if len(t) >= width]
     if not kept:
         return np.empty(0, _ENTRY)
@@ -133,15 +173,17 @@ def cut_strings(docs: list[int], texts: list[bytes], width: int, gram: int) -> n
     end = at[np.append(first[1:], len(at)) - 1] + width
     e = np.empty(len(first), _ENTRY)
     doc = np.searchsorted(ends, start, side="right")
-    e["key"], e["print_"] = keys[first], span_hash(prefix_hash(data), start, end)
+    prefix, smallest = prefix_hash(data), _smallest(h, every)
+    e["key"], e["print_"] = keys[first], span_hash(prefix, start, end)
     e["doc"] = np.array([d for d, _ in kept], np.int64)[doc]
     e["start"], e["size"] = start - (ends - sizes)[doc], end - start
-    e["loops"] = _loops(h, every, e, start, end, gram)
+    e["flags"] = np.where(_loops(h, smallest, e, start, end, gram), _LOOPS, 0)
+    _split_prints(h, smallest, prefix, e, start, end, width, gram)
     return e
 
 
 def _slices(docs: list[int | None], texts: list[str | None], width: int, gram: int) -> Iterator[np.ndarray]:
-    """Entries of a batch, about a megabyte of text at a time; long texts in overlapping slices."""
+    """Entries of a batch, a quarter of a megabyte of text at a time; long texts in overlapping slices."""
     ids: list[int] = []
     held: list[bytes] = []
     size = 0
@@ -225,7 +267,9 @@ def _cut(width: int, gram: int, buckets: int, spread: int):
             new = np.flatnonzero(np.concatenate([[True], firsts["key"][1:] != firsts["key"][:-1]]))
             count = np.diff([*new, len(firsts)])
             # two strings of a key show in its own bucket that it has several
-            dealt = (np.repeat(count, count) > spread) & (np.arange(len(firsts)) - np.repeat(new, count) >= 2)
+            many = np.repeat(count, count) > spread
+            firsts["flags"][many] |= _COMMON
+            dealt = many & (np.arange(len(firsts)) - np.repeat(new, count) >= 2)
             for kind, some, by in ((_STRING, firsts[~dealt], "key"), (_SPREAD, firsts[dealt], "print_")):
                 bucket = (some[by] % _U(buckets)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
@@ -258,19 +302,45 @@ def _unpack(blob: bytes) -> np.ndarray:
     return e
 
 
+def partners(e: np.ndarray) -> np.ndarray:
+    """Which of the different strings (sorted by key) can share a window with another of their key, or with themselves.
+
+    Strings of a key that agree with none in any split have no repeat: they
+    need no transform, and their bytes are never fetched.  A string that holds
+    its key's substring twice has further splits, and other strings of a
+    common key are not here: then all of the key stay.
+    """
+    key = e["key"]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    group = np.cumsum(new) - 1
+    sizes = np.bincount(group)
+    whole = np.bincount(group, e["flags"] > 0, len(sizes)) > 0
+    keep = whole[group] & ((sizes[group] > 1) | (e["flags"] > 0))
+    for name in _SPLITS:
+        some = np.flatnonzero((e[name] > 0) & (sizes[group] > 1))
+        mark = group[some].astype(np.uint64) << _U(32) | e[name][some]
+        order = np.argsort(mark, kind="stable")
+        same = np.flatnonzero(mark[order][1:] == mark[order][:-1])
+        met = np.zeros(len(some), bool)
+        met[order[same]] = met[order[same + 1]] = True
+        keep[some[met]] = True
+    return keep
+
+
 def _fold_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted buckets in; out: spans of later copies, and the strings that must be compared."""
     at: tuple[int, int] | None = None
     blobs: list[bytes] = []
 
     def bucket() -> Iterator[pa.RecordBatch]:
-        firsts, again = fold(np.concatenate([_unpack(b) for b in blobs]))
+        e = np.concatenate([_unpack(b) for b in blobs])
+        common = np.unique(e["key"][e["flags"] & _COMMON > 0])
+        firsts, again = fold(e)
+        firsts["flags"][np.isin(firsts["key"], common)] |= _COMMON
         if len(again):
             doc, a, b = merge_spans(again["doc"], again["start"], again["start"] + again["size"])
             yield _batch(_FOUND, _SPAN, 0, doc, a, b)
-        key = firsts["key"]
-        alone = np.concatenate([[True], key[1:] != key[:-1]]) & np.concatenate([key[1:] != key[:-1], [True]])
-        e = firsts[~alone | (firsts["loops"] > 0)] if at[1] == _STRING else firsts
+        e = firsts[partners(firsts)] if at[1] == _STRING and len(firsts) else firsts
         if len(e):
             yield _batch(_FOUND, _STRING, e["key"].view(np.int64), e["doc"].copy(), e["start"].copy(), e["start"] + e["size"])
 
@@ -305,20 +375,25 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(_BYTES, *[list(c) for c in zip(*rows)])
 
 
-_WINDOW = "window binary, doc long, a long"
+_WINDOW = "h1 long, h2 long, doc long, a long"
 
 
 def _windows(width: int):
-    """doc_id, text and the strings wanted from it: digests of all their windows."""
+    """Strings with their bytes: two 64-bit hashes of each of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text, wanted in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                at = [i for w in wanted for i in range(w["a"], min(w["b"], len(data)) - width + 1)]
-                for lo in range(0, len(at), 50_000):
-                    some = at[lo:lo + 50_000]
-                    yield _batch(_WINDOW, [blake2b(data[i:i + width], digest_size=16).digest() for i in some], doc, some)
+        for batch in sliced(batches, 4096):
+            data = batch.column(3).to_pylist()
+            sizes = np.array([len(x) for x in data])
+            flat, first = np.frombuffer(b"".join(data), np.uint8), np.cumsum(sizes) - sizes
+            n = sizes - width + 1
+            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(first, n) + offset
+            h1 = span_hash(prefix_hash(flat), at, at + width)
+            # another polynomial: every byte under another number
+            h2 = span_hash(prefix_hash(flat ^ np.uint8(0x5A)), at, at + width)
+            doc, a = (np.repeat(batch.column(i).to_numpy(), n) for i in (1, 2))
+            yield _batch(_WINDOW, h1.view(np.int64), h2.view(np.int64), doc, a + offset)
 
     return run
 
@@ -454,19 +529,20 @@ def repeated_spans(src: DataFrame, width: int = WIDTH) -> DataFrame:
     common = shared_table(strings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(f"n > {PART}").select("key"), "common-keys")
     spans = found.where(f"kind = {_SPAN}").select("doc", "a", "b")
 
-    def wanted(some: DataFrame) -> DataFrame:
-        lists = some.groupBy("doc").agg(F.collect_list(F.struct("key", "a", "b")).alias("wanted"))
-        return src.join(lists, src["doc_id"] == lists["doc"]).select("doc_id", "text", "wanted")
-
+    # the one pass that takes bytes out of the texts: strings that may have a partner
+    lists = strings.groupBy("doc").agg(F.collect_list(F.struct("key", "a", "b")).alias("wanted"))
+    fetched = src.join(lists, src["doc_id"] == lists["doc"]).select("doc_id", "text", "wanted").mapInArrow(_fetch, _BYTES)
     if not common.isEmpty():
-        windows = shared_table(wanted(strings.join(common, "key", "left_semi")).mapInArrow(_windows(width), _WINDOW), "windows")
-        first = (windows.groupBy("window").agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select("window", "first"))
-        later = windows.join(first, "window").where(F.struct("doc", "a") != F.col("first"))
+        fetched = shared_table(fetched, "strings")
+        # as many rows as a part holds strings, at least, stand behind each of these keys
+        windows = shared_table(fetched.join(common, "key", "left_semi").mapInArrow(_windows(width), _WINDOW), "windows")
+        first = (windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n"))
+                 .where("n > 1").select("h1", "h2", "first"))
+        later = windows.join(first, ["h1", "h2"]).where(F.struct("doc", "a") != F.col("first"))
         spans = spans.unionByName(later.select("doc", "a", (F.col("a") + width).alias("b")))
-        strings = strings.join(common, "key", "left_anti")
-    fetched = wanted(strings).mapInArrow(_fetch, _BYTES).repartition("key").sortWithinPartitions("key")
-    return spans.unionByName(fetched.mapInArrow(_build(width, gram), "doc long, a long, b long"))
+        fetched = fetched.join(common, "key", "left_anti").select("key", "doc", "a", "data")
+    parts = fetched.repartition("key").sortWithinPartitions("key")
+    return spans.unionByName(parts.mapInArrow(_build(width, gram), "doc long, a long, b long"))
 
 
 def _with_spans(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
