@@ -65,6 +65,10 @@ LARGE_BLOCKS = 100_000
 #: entries of a shingle in one task; of more, blocks of some DEAL entries meet pair by pair
 MEET = 16_384
 DEAL = 4096
+#: keys that an entry carries of those before it in its document.  A pair that meets under one of them
+#: is left to it; what comes up again in spite of that is dropped as a repeated pair.  So an entry has a
+#: bounded size, and similar texts, which share nearly all of their first keys, still come up once.
+EARLIER = 32
 LEAF_DOCS = 16
 FANOUT = 8
 CARRY = 256
@@ -437,8 +441,8 @@ def meet(e: np.ndarray, group: np.ndarray, side: np.ndarray, reach: np.ndarray,
     ``_fits``).  The smaller set of a pair reaches the size of the larger,
     hence its own, so only such entries are taken as the left of a pair.
     ``side``: 0 left only, 1 right only, 2 both.  ``earlier``: per entry the
-    document's keys before this one; a pair that meets there too is left to
-    the first of those keys, so it comes up once in all.
+    first of the document's keys before this one; a pair that meets there too
+    is left to those keys.
     """
     n, doc, class_ = e["n"].astype(np.int64), e["doc"], e["class_"]
     right = np.flatnonzero(side != 0)
@@ -575,12 +579,12 @@ def _cells(kept: DataFrame, percent: int) -> DataFrame:
 
 def _test(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, grams = None, None
+        last, grams = None, shingles(None, words)
         for batch in sliced(batches):
             keep = []
-            for b, ta, tb in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if last != (b, len(tb or "")):
-                    last, grams = (b, len(tb or "")), shingles(tb, words)
+            for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if last != tb:  # an id may have several texts
+                    last, grams = tb, shingles(tb, words)
                 keep.append(linked(shingles(ta, words), grams, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -619,14 +623,18 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         F.min("class_").alias("lo"), F.max("class_").alias("hi"), F.count(F.lit(1)).alias("m"),
         F.min(F.when(own, F.col("n"))).alias("least"), F.max(F.when(own, F.col("reach"))).alias("most"))
         .where("lo < hi AND least IS NOT NULL").select("key", "m", "least", "most"), "jaccard-keys")
-    # with every entry, the document's keys before it: at most the length of its prefix
-    before = Window.partitionBy("doc", "n").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    # with every entry, the first of the document's keys before it (see ``EARLIER``)
+    of_doc = Window.partitionBy("doc", "n")
+    head = F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= EARLIER, F.struct("place", "key"))).over(of_doc)), lambda x: x["key"])
+    earlier = F.slice("head", F.lit(1), F.least(F.col("rank") - 1, F.lit(EARLIER)))
     # rows that repeat a doc_id may have different texts of one size: their keys cannot be told apart, so none is skipped
     again = (found.where(f"kind = {_DOC} AND n >= 0 AND a IS NOT NULL").groupBy(F.col("a").alias("doc"), "n")
              .agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
-    kept = rest.join(still, "key").where("reach >= least AND n <= most").join(again, ["doc", "n"], "left").select(
-        "key", "doc", "class_", "n", "reach", F.when(F.col("times").isNull(), F.collect_list("key").over(before))
-        .otherwise(F.array().cast("array<long>")).alias("earlier"), (F.col("m") > MEET).alias("common"))
+    kept = (rest.join(still, "key").where("reach >= least AND n <= most")
+            .withColumn("rank", F.row_number().over(of_doc.orderBy("place"))).withColumn("head", head)
+            .join(again, ["doc", "n"], "left").select(
+                "key", "doc", "class_", "n", "reach", F.when(F.col("times").isNull(), earlier)
+                .otherwise(F.array().cast("array<long>")).alias("earlier"), (F.col("m") > MEET).alias("common")))
     whole = lambda some: some.withColumns({"cell": F.lit(0).cast("long"), "side": F.lit(2)}).select(*_CELL)
     if still.where(f"m > {MEET}").isEmpty():
         cells = whole(kept)

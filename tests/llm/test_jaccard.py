@@ -191,3 +191,50 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
     want = {r[0]: (r[1], r[2]) for r in con.execute(trees.SQL).fetchall()}
     assert found(trees.op10_jaccard_join(spark, d)) == want
+
+
+def test_one_id_with_two_texts_of_one_length():
+    """Directly on a batch of candidate pairs: the second text of an id is not taken for the first."""
+    import pyarrow as pa
+
+    first, second = prose(1, 60), prose(2, 60)
+    second = second[:len(first)].ljust(len(first), "x")
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 3]), pa.array([2, 2, 2]), pa.array([second, second, first]),
+                                        pa.array([first, second, second])], ["a", "b", "ta", "tb"])
+    assert [b.num_rows for b in trees._test(4, 85)(iter([batch]))] == [1]
+
+
+def test_repeated_id_keeps_the_links_of_all_its_texts(documents):  # noqa: F811
+    first, second = prose(1, 60), prose(2, 60)
+    second = second[:len(first)].ljust(len(first), "x")
+    rows = [(2, first), (2, second), (5, first + " more"), (6, second + " more"), (9, second), (11, first)]
+    got = {r.doc_id: r.component_id for r in trees.jaccard_components(documents(rows)).collect()}
+    assert got == {2: 2, 5: 2, 6: 2, 9: 2, 11: 2}
+
+
+def test_entries_are_bounded_for_long_texts(documents, monkeypatch):  # noqa: F811
+    """Long texts that nearly link: an entry carries a bounded number of keys, and every link is found."""
+    rest = trees._meet_rest
+
+    def watched(percent):
+        run = rest(percent)
+
+        def checked(batches):
+            def look():
+                for batch in batches:
+                    longest = max((len(x) for x in batch.column(7).to_pylist()), default=0)
+                    assert longest <= trees.EARLIER
+                    yield batch
+            return run(look())
+        return checked
+
+    monkeypatch.setattr(trees, "_meet_rest", watched)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(4000)]
+    rows = []
+    for i, edits in enumerate([0, 60, 90, 130, 170, 200, 260, 320]):
+        w = list(base)
+        for k in rng.sample(range(4000), edits):
+            w[k] = f"x{i}y{k}"
+        rows.append((i + 1, " ".join(w)))
+    assert found(trees.jaccard_components(documents(rows))) == brute(rows)
