@@ -5,10 +5,12 @@ Every paragraph scores points for its length and its commas and passes them
 to its ancestors (full to the parent, half to the grandparent, less further
 up).  A container's points are discounted by its link density; the article
 or main element around the best container, else that container, is kept, with
-all siblings that are not mostly links.  Parts that are never main text
+all parts that are not mostly links beside it, up to the lowest ancestor that
+holds most of the page's points.  Parts that are never main text
 (menus, page headers and footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are cut out before scoring; an element that is only
-named like one but holds the main text is not cut, its score is discounted.
+named like one (or a form, or a dialog) but holds the main text is not cut,
+its score is discounted.
 
 Output text: the kept blocks in page order, one line each; inside a block
 character references are decoded and white space is one space.
@@ -47,16 +49,32 @@ _BLOCK = {
     "h5", "h6", "header", "hgroup", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "select",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-_CUT = {"head", "nav", "footer", "aside", "form", "button", "select", "fieldset", "menu", "dialog", "search"}
-_CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "alert", "menu", "menubar"}
+_CUT = {"head", "nav", "footer", "aside", "button", "select", "menu", "search"}
+_CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alertdialog", "alert", "menu", "menubar"}
+#: usually no main text, but whole pages can stand in one
+_DOUBTFUL, _DOUBTFUL_ROLES = {"form", "fieldset", "dialog"}, {"form", "dialog"}
+#: words that name such a part wherever they stand in a class or id
 _CUT_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "adsense", "adbox", "banner", "sponsor", "sponsored", "promo",
-    "promotion", "sidebar", "aside", "menu", "nav", "navbar", "navigation", "topbar", "toolbar", "masthead", "footer",
-    "footnav", "comment", "comments", "commentlist", "disqus", "respond", "replies", "cookie", "cookies", "consent",
-    "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay", "lightbox", "share", "sharing",
-    "social", "related", "recommended", "recommendations", "newsletter", "subscribe", "subscription", "signup", "login",
-    "breadcrumb", "breadcrumbs", "pagination", "pager", "widget", "hidden", "skip", "paywall", "tags",
+    "advert", "adverts", "advertisement", "adsense", "adbox", "sponsored", "sidebar", "navbar", "navigation", "topbar", "toolbar",
+    "masthead", "footnav", "comment", "comments", "commentlist", "disqus", "respond", "replies", "cookie", "cookies", "consent",
+    "gdpr", "popup", "modal", "lightbox", "newsletter", "subscribe", "subscription", "signup", "login", "breadcrumb", "breadcrumbs",
+    "pagination", "pager", "paywall",
 }
+#: words that do so as a whole name, or beside a word for a box or a list only ("related posts", not "related work")
+_CUT_WORDS = {
+    "ad", "ads", "banner", "sponsor", "promo", "promotion", "aside", "menu", "nav", "footer", "notice", "notices", "notification",
+    "alert", "overlay", "share", "sharing", "social", "related", "recommended", "recommendations", "widget", "hidden", "skip", "tags",
+}
+_BOX_WORDS = {
+    "area", "articles", "bar", "block", "body", "box", "buttons", "container", "content", "cookie", "has", "icons", "inner", "item", "items", "link",
+    "links", "list", "main", "media", "open", "outer", "page", "panel", "post", "posts", "row", "section", "site", "stories", "top", "unit",
+    "wrap", "wrapper",
+}
+#: parts that are cut inside the main text too, however long they are
+_NEVER = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "advert", "adverts", "advertisement", "adsense", "adbox",
+          "cookie", "cookies", "consent", "gdpr", "newsletter", "sidebar", "paywall"}
+#: inside the main text, other parts so named are cut when they are mostly links or shorter than that
+_SHORT_PART = 250
 _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _SCORED = {"p", "pre", "td", "blockquote", "li", "dd", "div", "section", "article", "main"}
@@ -66,15 +84,17 @@ _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td"
 _LIMITS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
            "tbody": {"table"}, "tfoot": {"table"}}
 _MIN_PARAGRAPH = 25
+#: share of a page's points that the container of its main text holds
+_MOST = 0.75
 _DISCOUNT = 0.25
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "cut", "named", "weight", "chars", "link_chars", "commas", "points")
+    __slots__ = ("tag", "parent", "kids", "cut", "named", "never", "weight", "chars", "link_chars", "commas", "points")
 
-    def __init__(self, tag: str, parent: _Node | None, cut: bool, named: bool = False) -> None:
+    def __init__(self, tag: str, parent: _Node | None, cut: bool, named: bool = False, never: bool = False) -> None:
         self.tag, self.parent, self.cut = tag, parent, cut
-        self.named, self.weight = named, 1.0  # named like a part that is no main text
+        self.named, self.never, self.weight = named, never, 1.0  # named like a part that is no main text; never is
         self.kids: list[_Node | str] = []  # blocks, and runs of text between them
         self.chars = self.link_chars = self.commas = 0
         self.points = 0.0
@@ -102,10 +122,21 @@ def _is_cut(tag: str, attrs: str, parent: _Node) -> bool:
     return False
 
 
-def _is_named(tag: str, attrs: str) -> bool:
-    return bool(attrs) and tag not in ("html", "body", "main") and any(
-        name.lower() in ("class", "id") and any(part.lower() in _CUT_NAMES for part in _NAME_PART.findall(a or b or c))
-        for name, a, b, c in _ATTR.findall(attrs))
+def _is_named(tag: str, attrs: str) -> tuple[bool, bool]:
+    """Whether an element is made or named like a part that is no main text, and whether that never is."""
+    named, never = tag in _DOUBTFUL, False
+    if not attrs or tag in ("html", "body", "main", "p") or tag in _HEADINGS:  # a heading's id is an anchor
+        return named, False
+    for name, a, b, c in _ATTR.findall(attrs):
+        value, name = a or b or c, name.lower()
+        if name == "role" and value.lower() in _DOUBTFUL_ROLES:
+            named = True
+        if name in ("class", "id"):
+            for one in value.split():
+                parts = {x.lower() for x in _NAME_PART.findall(one)}
+                named = named or bool(parts & _CUT_NAMES) or bool(parts & _CUT_WORDS) and parts <= _CUT_WORDS | _BOX_WORDS
+                never = never or bool(parts & _NEVER)
+    return named, never
 
 
 def _tree(page: str) -> _Node:
@@ -186,7 +217,7 @@ def _tree(page: str) -> _Node:
                     up = up.parent
             elif tag in _HEADINGS and node.tag in _HEADINGS and node.parent is not None:
                 node = node.parent
-            new = _Node(tag, node, node.cut or _is_cut(tag, attrs, node), _is_named(tag, attrs))
+            new = _Node(tag, node, node.cut or _is_cut(tag, attrs, node), *_is_named(tag, attrs))
             node.kids.append(new)
             node = new
     flush()
@@ -226,31 +257,42 @@ def _link_list(n: _Node) -> bool:
     return n.tag in ("ul", "ol", "dl") and n.chars > 0 and _density(n) > 0.8
 
 
-def _points(n: _Node) -> float:
-    """Points of a node's own text, before totals of subtrees are made."""
-    if n.tag not in _SCORED or n.chars < _MIN_PARAGRAPH:
+def _points(n: _Node, chars: int, commas: int, linked: int) -> float:
+    """Points of a node's own text."""
+    if n.tag not in _SCORED or chars < _MIN_PARAGRAPH:
         return 0.0
-    return (1 + n.commas + min(n.chars / 100, 3)) * (1 - min(1.0, _density(n)))
+    return (1 + commas + min(chars / 100, 3)) * (1 - min(1.0, linked / chars))
 
 
 def _cut_named(root: _Node) -> None:
     """Cut elements by their names, except those around the main text: their score is discounted.
 
     Such an element holds a main element, an article that is no comment or
-    teaser, or, on a page without these, most of the points.
+    teaser, or, on a page without these, most of the points.  Inside a main
+    element or such an article a name alone cuts only what never is main text;
+    else the part must also be short or mostly links.
     """
     nodes = _walk(root)
     if not any(n.named and n.tag != "article" for n in nodes):
         return
-    points = {id(n): _points(n) for n in nodes}
+    points = {id(n): _points(n, n.chars, n.commas, n.link_chars) for n in nodes}
     for n in reversed(nodes):
         if n.parent is not None:
             points[id(n.parent)] = points.get(id(n.parent), 0.0) + points[id(n)]
     articles = [n for n in nodes if n.tag == "article" and not n.named]
     least = max((points[id(n)] for n in articles), default=0.0) / 2
     around: set[int] = set()
+    inside: set[int] = set()  # the elements of main or of such an article
+    sizes = {id(n): [n.chars, n.link_chars] for n in nodes}
+    for n in reversed(nodes):
+        if n.parent is not None:
+            for k in (0, 1):
+                sizes.setdefault(id(n.parent), [0, 0])[k] += sizes[id(n)][k]
     for n in nodes:
+        if n.parent is not None and id(n.parent) in inside:
+            inside.add(id(n))
         if n.tag == "main" or n.tag == "article" and not n.named and points[id(n)] >= least:
+            inside.add(id(n))
             up: _Node | None = n.parent
             while up is not None and id(up) not in around:
                 around.add(id(up))
@@ -260,7 +302,9 @@ def _cut_named(root: _Node) -> None:
             n.cut, n.weight = n.cut or n.parent.cut, n.parent.weight if id(n.parent) not in around else 1.0
         if not n.named or n.tag == "article" or n.cut:
             continue
-        if id(n) in around or not around and 2 * points[id(n)] > points[id(root)]:
+        chars, linked = sizes[id(n)]
+        prose = id(n) in inside and not n.never and chars >= _SHORT_PART and linked < 0.3 * chars
+        if id(n) in around or prose or not around and 2 * points[id(n)] > points[id(root)]:
             n.weight *= _DISCOUNT
         else:
             n.cut = True
@@ -310,16 +354,33 @@ def extract_text(page: str | None) -> str:
             break
     if best.parent is None or best.parent.tag == "html":
         return "\n".join(_blocks(best))
+    # up to the lowest ancestor that holds most of the points, at least the parent
+    total = {id(n): _points(n, *own[id(n)]) for n in nodes}
+    for n in reversed(nodes):
+        if n.parent is not None:
+            total[id(n.parent)] = total.get(id(n.parent), 0.0) + total[id(n)]
+    path, up = {id(best)}, best.parent
+    while up.parent is not None and up.parent.tag not in ("html", "#root") and total[id(up)] < _MOST * total[id(nodes[0])]:
+        path.add(id(up))
+        up = up.parent
     out: list[str] = []
-    chars, _, linked = own[id(best.parent)]
-    for k in best.parent.kids:
-        if k is best:
-            out += _blocks(best, lists=True)
-        elif isinstance(k, str):
-            out += [k] if linked < 0.3 * chars else []
-        elif not k.cut and _density(k) < 0.3 and (k.weight >= best.weight or any(
+    todo: list[_Node | str] = [up]
+    path.add(id(up))
+    while todo:
+        k = todo.pop()
+        if isinstance(k, str):
+            out.append(k)
+        elif k is best:
+            out += _blocks(k, lists=True)
+        elif id(k) in path:
+            chars, _, linked = own[id(k)]
+            todo.extend(x for x in reversed(k.kids) if not isinstance(x, str) or linked < 0.3 * chars)
+        elif not k.cut and (k.weight >= best.weight or any(
                 n.tag == "main" or n.tag == "article" and not n.named for n in _walk(k))):
-            out += _blocks(k)
+            if _density(k) < 0.3:
+                out += _blocks(k)
+            elif total[id(k)] > 0:  # a part with links beside prose: only the prose
+                todo.extend(x for x in reversed(k.kids) if isinstance(x, _Node))
     return "\n".join(out)
 
 

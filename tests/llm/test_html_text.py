@@ -43,6 +43,34 @@ def test_wrappers_named_like_other_parts():
     assert extract_text(page(f'<div class="related-open"><main><div>{inner}</div></main></div><div id="comments">' + f"<p>{P1}</p>" * 9 + "</div>")) == whole
 
 
+def test_pages_inside_a_form_or_dialog():
+    whole = f"Title\n{P1}\n{html.unescape(P2)}"
+    inner = f"<h1>Title</h1><p>{P1}</p><p>{P2}</p>"
+    assert extract_text(page(f'<form method="post" action="./" id="aspnetForm"><div class="menu">a b</div><article>{inner}</article></form>')) == whole
+    assert extract_text(page(f"<form><div>{inner}</div></form>")) == whole
+    assert extract_text(page(f'<div role="dialog"><article>{inner}</article></div>')) == whole
+    assert extract_text(page(f'<article>{inner}<form><p>Write to us, please, it is free.</p></form></article>')) == whole
+
+
+def test_names_inside_the_article_are_no_verdict():
+    long = f"{P1} {P1} {P1}"
+    for part in ('<section id="related-work">', '<div class="overflow-hidden">', '<div class="social-impact">', '<section class="banner">', '<div class="widget">'):
+        end = part[1:].split(" ")[0]
+        assert extract_text(page(f"<article><p>{P2}</p>{part}<p>{long}</p></{end}></article>")) == f"{html.unescape(P2)}\n{long}", part
+    assert extract_text(page(f'<article><h2 id="menu">The menu</h2><p>{P1}</p></article>')) == f"The menu\n{P1}"
+    for part in ('<div class="share-buttons">Share this</div>', '<div class="related-posts"><a href="a">' + P1 + "</a><p>" + P1 + "</p></div>",
+                 f'<div class="comments"><p>{long}</p></div>', f'<div class="cookie-notice"><p>{long}</p></div>', f'<div class="newsletter-box"><p>{long}</p></div>'):
+        assert extract_text(page(f"<article><p>{P2}</p>{part}</article>")) == html.unescape(P2), part
+
+
+def test_sections_in_separate_wrappers():
+    first, second = f"<p>{P1}</p>" * 4, f"<p>{P2}</p>" * 3
+    want = [P1] * 4 + [html.unescape(P2)] * 3
+    assert extract_text(page(f"<div class='row'><section>{first}</section></div><div class='row'><section>{second}</section></div>")).split("\n") == want
+    links = '<div><a href="a">One long link, to another place, of the site</a> <a href="b">Two long links, to other places, of the site</a></div>'
+    assert extract_text(page(f"<div><div>{first}</div></div><div>{links * 9}<section>{second}</section></div>")).split("\n") == want
+
+
 def test_parts_beside_the_best_container_stay():
     long = f"<p>{P1}</p>" * 9
     lines = [P1] * 9
