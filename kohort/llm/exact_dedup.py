@@ -6,9 +6,11 @@ DataFrame functions only.
    text, written once to the shared folder.
 2. *Directory*: the leading bits of the key address a slot.  Doubling the
    directory once uses one more bit; a bucket whose entries hold more text
-   than ``bucket_bytes`` is split at each doubling until it fits (or, for
-   one hot key, until ``max_depth``).  The directory has at most
-   ``2 ** max_depth`` rows, so it can be broadcast.
+   than ``bucket_bytes`` is split at each doubling until it fits.  The
+   greatest depth follows from the bytes of all texts (``depth_for``), so
+   splitting ends early for a hot key only, whose copies share all bits.  The
+   directory has at most ``2 ** DEPTH_LIMIT`` rows of three integers, so it
+   can be broadcast; texts of more than that many buckets get larger buckets.
 3. *Buckets*: texts are grouped by bucket, key and the text itself, so equal
    keys are compared byte by byte.  Map-side aggregation folds the copies of
    a hot text before anything is shuffled; one row per distinct text moves.
@@ -20,7 +22,8 @@ DataFrame functions only.
 
 Defined cases: a null text counts as empty; the row with the largest doc_id
 stays (a null doc_id is smaller than any); rows that repeat both doc_id and
-text are all marked as kept, and ``drop_copies`` leaves one of them; an
+text are all marked as kept, and ``drop_copies`` leaves the one that is
+smallest in its other columns; an
 empty table gives no rows; other columns are ignored, whatever their names.
 """
 
@@ -31,7 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import free_name, shared_table, table
 
-MAX_DEPTH = 14
+#: the directory's greatest depth, whatever the input: a million rows (12 MB)
+DEPTH_LIMIT = 20
 BUCKET_BYTES = 64 * 1024 * 1024
 KEY_BITS = 64
 
@@ -48,7 +52,14 @@ def _slot(max_depth: int):
     return F.shiftrightunsigned(F.col("key"), 64 - max_depth).cast("int")
 
 
-def directory(entries: DataFrame, max_depth: int = MAX_DEPTH,
+def depth_for(total_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
+    """(greatest depth, bucket bytes) for texts of ``total_bytes``: two bits more than even buckets need."""
+    bucket_bytes = max(bucket_bytes, 4 * total_bytes >> DEPTH_LIMIT)
+    need = max(1, -(-total_bytes // bucket_bytes))
+    return min(DEPTH_LIMIT, (need - 1).bit_length() + 2), bucket_bytes
+
+
+def directory(entries: DataFrame, max_depth: int,
               bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(slot, depth, bucket): the directory after the last doubling.
 
@@ -67,7 +78,7 @@ def directory(entries: DataFrame, max_depth: int = MAX_DEPTH,
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                max_depth: int = MAX_DEPTH, bucket_bytes: int = BUCKET_BYTES,
+                max_depth: int | None = None, bucket_bytes: int = BUCKET_BYTES,
                 key_bits: int = KEY_BITS) -> tuple[DataFrame, DataFrame]:
     """``(entries, nodes)``, both written to the shared folder.
 
@@ -79,6 +90,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = shared_table(
         keyed.select("doc_id", "key", sha.alias("sha256"),
                      F.octet_length("text").cast("long").alias("n_bytes")), "dedup-entries")
+    if max_depth is None:
+        total = entries.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        max_depth, bucket_bytes = depth_for(total, bucket_bytes)
     # at most 2 ** max_depth rows of three integers
     slots = F.broadcast(directory(entries, max_depth, bucket_bytes))
     texts = (keyed.withColumn("slot", _slot(max_depth)).join(slots, "slot")
@@ -117,7 +131,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sha, F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)))
     found = marked.join(stays, (marked[sha] == stays[keep + "sha"])
                         & marked[id_col].eqNullSafe(stays[keep]), "left_semi")
-    first = Window.partitionBy(sha, id_col).orderBy(F.lit(0))
+    # of rows equal in id and text the first in the order of the other columns stays
+    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    first = Window.partitionBy(sha, F.col(f"`{id_col}`")).orderBy(*(others or [F.lit(0)]))
     return (found.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1)
             .select(*[F.col(f"`{c}`") for c in names]))
 

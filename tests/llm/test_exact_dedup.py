@@ -69,3 +69,18 @@ def test_drop_copies_keeps_columns_and_one_row(documents, odd_rows):
 
 def test_query_has_sql():
     assert "sha256" in exact_dedup.SQL
+
+
+def test_depth_follows_the_bytes():
+    assert exact_dedup.depth_for(0) == (2, exact_dedup.BUCKET_BYTES)
+    for total in (1 << 30, 1 << 40, 100 * 10**12, 10**16):
+        depth, size = exact_dedup.depth_for(total)
+        assert depth <= exact_dedup.DEPTH_LIMIT and size << depth >= 2 * total  # even keys never end in an overfull bucket
+    assert exact_dedup.depth_for(10**12)[1] == exact_dedup.BUCKET_BYTES
+
+
+def test_which_of_equal_rows_stays(spark):
+    rows = [(1, "same", c, n) for c, n in [("b", 1), ("a", 2), ("a", 1), (None, 9)]] + [(2, "other", "z", 0)]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n int").repartition(parts)
+        assert sorted(tuple(r) for r in drop_copies(docs).collect()) == [(1, "same", None, 9), (2, "other", "z", 0)]
