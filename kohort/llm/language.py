@@ -6,16 +6,19 @@ divided by the geometric mean of their own numbers.  Nystroem landmarks
 span the feature space and one ridge regression per language is fitted
 against all others in it.
 
-A score is ``K(x, landmarks) @ alpha``.  The kernel is an inner product of
-presence vectors, so the product is associated the other way round:
-``X @ (landmarks.T @ alpha)``, with one row of weights per n-gram.  A batch
-of texts is one sparse presence matrix and is scored by one product.
+A score is ``K(x, landmarks) @ alpha``, a product of a batch's kernel matrix
+and the weights of all languages.  The kernel is an inner product of presence
+vectors, so for up to ``LANG_BLOCK`` languages the product is associated the
+other way round: ``X @ (landmarks.T @ alpha)``, with one row of folded weights
+per n-gram, and a batch of texts is one sparse presence matrix.
 
 Fitting reads at most ``per_lang`` texts of each language (lowest hash of
-the id first), of which ``landmarks_per_lang`` are landmarks; n-grams are
-hashed to ``2 ** BITS`` columns.  Scoring reads whole texts.  Every language
-value is learned; the model takes 2 MB for each, the fit a matrix of all
-landmarks by all landmarks.
+the id first).  At most ``LANDMARKS`` of them, dealt over the languages in
+turn, are landmarks; n-grams are hashed to ``2 ** BITS`` columns.  The normal
+equations are summed in the tasks that hold the sample, by language.  What
+reaches the driver and the workers are the landmarks, one matrix of landmarks
+by landmarks, and one weight per landmark (4 kB) for each language, so any
+number of language values can be learned.  Scoring reads whole texts.
 
 Defined cases: null text, or one without a letter: ``und`` with score 0; null
 languages are not learned; without anything to learn from every text is
@@ -28,20 +31,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, lowest_hashes, sliced, table
+from .common import held_out, shared_table, sliced, table
 
 PER_LANG = 300
 LANDMARKS_PER_LANG = 60
-#: languages that are scored, and sampled texts that are compared with the landmarks, at a time
+#: landmarks of all languages together
+LANDMARKS = 512
+#: languages for which weights per n-gram are kept (2 MB each)
 LANG_BLOCK = 64
-ROW_BLOCK = 4096
 NGRAMS = (1, 2, 3, 4)
 BITS = 19
 RIDGE = 1e-2
@@ -72,22 +75,37 @@ def presence(text: str | None) -> np.ndarray:
     return codes[np.concatenate([[True], codes[1:] != codes[:-1]])]
 
 
-@dataclass(frozen=True)
 class KernelModel:
-    langs: tuple[str, ...]
-    weights: np.ndarray  # 2 ** BITS x languages, float32
+    """Languages, landmarks (columns of their n-grams) and weights (landmarks x languages)."""
+
+    def __init__(self, langs: tuple[str, ...], marks: list[np.ndarray], alpha: np.ndarray) -> None:
+        self.langs, self.marks, self.alpha = langs, marks, alpha
+        self._folded: np.ndarray | None = None
+
+    def __getstate__(self) -> tuple:
+        return self.langs, self.marks, self.alpha
+
+    def __setstate__(self, state: tuple) -> None:
+        self.__init__(*state)
+
+    def _scores(self, rows: list[np.ndarray]) -> np.ndarray:
+        """``K(rows, landmarks) @ alpha``."""
+        if len(self.langs) > LANG_BLOCK:
+            return _kernel(rows, self.marks) @ self.alpha
+        if self._folded is None:  # once in a worker
+            self._folded = np.zeros((1 << BITS, len(self.langs)), np.float32)
+            for grams, row in zip(self.marks, self.alpha):
+                self._folded[grams] += row / np.sqrt(len(grams))
+        sizes = np.array([len(r) for r in rows])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        return np.add.reduceat(self._folded[np.concatenate(rows)], starts, axis=0) / np.sqrt(sizes)[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         rows = [presence(t) for t in texts]
-        sizes = np.array([len(r) for r in rows])
         names, score = [UNKNOWN] * len(rows), np.zeros(len(rows))
-        some = np.flatnonzero(sizes) if self.langs else np.empty(0, int)
-        if len(some):
-            starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-            codes = np.concatenate([rows[i] for i in some])
-            out = np.concatenate([np.add.reduceat(self.weights[:, k:k + LANG_BLOCK][codes], starts, axis=0)
-                                  for k in range(0, len(self.langs), LANG_BLOCK)], axis=1)
-            out = out / np.sqrt(sizes[some])[:, None]
+        some = [i for i, r in enumerate(rows) if len(r)] if self.langs else []
+        if some:
+            out = self._scores([rows[i] for i in some])
             share = np.clip((1 + out) / 2, 1e-6, 1)
             best = out.argmax(axis=1)
             score[some] = share[np.arange(len(some)), best] / share.sum(axis=1)
@@ -111,55 +129,94 @@ def _kernel(rows: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
 
 def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1),
-             pa.array([presence(t) for t in batch.column(2).to_pylist()], pa.list_(pa.int32()))], ["lang", "u", "grams"])
+        grams = [presence(t) for t in batch.column(2).to_pylist()]
+        part = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(grams, pa.list_(pa.int32()))], ["lang", "u", "grams"])
+        yield part.filter(pa.array([len(g) > 0 for g in grams], pa.bool_()))
+
+
+def _sample(known: DataFrame, per_lang: int) -> DataFrame:
+    """lang, u, grams, place, n: up to ``per_lang`` texts of each language with a letter, by rising hash of the id."""
+    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(1 << 53)
+    sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    # a limit that some 2 per_lang rows of a language pass: no task ranks more
+    near = known.join(sizes, F.col("lang") == F.col("_lang")).withColumn("u", u).where(F.col("u") * F.col("_n") < 2 * per_lang + 20)
+    order = Window.partitionBy("lang").orderBy("u", "doc_id")
+    some = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_lang)
+    rows = some.select("lang", "u", F.col("text").cast("string").alias("text")).mapInArrow(_presence_rows, "lang string, u double, grams array<int>")
+    of = Window.partitionBy("lang")
+    return shared_table(rows.withColumn("place", F.row_number().over(of.orderBy("u"))).withColumn("n", F.count(F.lit(1)).over(of)),
+                        "language-sample")
+
+
+_SUMS = "lang string, i int, sums array<double>"
+
+
+def _sum_rows(lang: list, i: list, sums: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(i, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
+                                      ["lang", "i", "sums"])
+
+
+def _sums(shared):
+    """Sample rows in; out: per language the mean kernel row, and the rows of the sum of products (weight 1 / n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+        products, means = np.zeros((len(marks), len(marks))), {}
+        for batch in sliced(batches):
+            if not batch.num_rows:
+                continue
+            lists = batch.column(1)
+            at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            k = _kernel([flat[at[j]:at[j + 1]] for j in range(len(lists))], marks)
+            w = 1 / batch.column(2).to_numpy()[:, None]
+            products += k.T @ (k * w)
+            for lang, row in zip(batch.column(0).to_pylist(), k * w):
+                means[lang] = means[lang] + row if lang in means else row
+        for lang, row in means.items():
+            yield _sum_rows([lang], [-1], [row])
+        if means:
+            for i, row in enumerate(products):
+                yield _sum_rows([None], [i], [row])
+
+    return run
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[tuple, np.ndarray] = {}
+    for batch in batches:
+        for lang, i, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            sums = sums.values.to_numpy()
+            total[lang, i] = total[lang, i] + sums if (lang, i) in total else sums.copy()
+    for (lang, i), sums in total.items():
+        yield _sum_rows([lang], [i], [sums])
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG, landmarks_per_lang: int = LANDMARKS_PER_LANG,
         ridge: float = RIDGE) -> KernelModel:
-    """Model from doc_id, text and lang of ``docs``; only presence vectors of the sample reach the driver."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ids = lowest_hashes(known.select("doc_id", "lang"), "lang", "doc_id", sizes, per_lang)
-    u = F.xxhash64("doc_id")
-    named = ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    # at most per_lang ids for each language
-    sample = known.join(F.broadcast(named), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))) \
-        .select("lang", u.alias("u"), F.col("text").cast("string").alias("text"))
-    rows = sample.mapInArrow(_presence_rows, "lang string, u long, grams array<int>").collect()
-    found = sorted(((r["lang"], r["u"], np.array(r["grams"], np.int32)) for r in rows if r["grams"]), key=lambda r: r[:2])
-    langs = tuple(sorted({r[0] for r in found}))
-    if not langs:
-        return KernelModel((), np.zeros((1, 0), np.float32))
-    marks, seen = [], dict.fromkeys(langs, 0)
-    for lang, _, grams in found:
-        if seen[lang] < landmarks_per_lang:
-            seen[lang] += 1
-            marks.append(grams)
-    place = {lang: i for i, lang in enumerate(langs)}
-    of = np.array([place[r[0]] for r in found])
-    # each language weighs the same, however many texts it has
-    w = 1.0 / np.bincount(of)[of] * len(found) / len(langs)
-    k_mm = _kernel(marks, marks)
-    a = ridge * len(found) * k_mm / len(marks) + 1e-6 * np.eye(len(marks))
-    b = np.zeros((len(marks), len(langs)))
-    for at in range(0, len(found), ROW_BLOCK):  # bounds the kernel matrix
-        k_nm = _kernel([r[2] for r in found[at:at + ROW_BLOCK]], marks)
-        y = np.where(of[at:at + ROW_BLOCK, None] == np.arange(len(langs)), 1.0, -1.0)
-        weighted = w[at:at + ROW_BLOCK, None]
-        a += k_nm.T @ (k_nm * weighted)
-        b += k_nm.T @ (y * weighted)
-    alpha = np.linalg.solve(a, b)
-    weights = np.zeros((1 << BITS, len(langs)), np.float32)
-    for grams, row in zip(marks, alpha):
-        weights[grams] += row / np.sqrt(len(grams))
-    return KernelModel(langs, weights)
+    """Model from doc_id, text and lang of ``docs``; each language weighs the same, however many texts it has."""
+    spark = docs.sparkSession
+    sample = _sample(docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL"), per_lang)
+    chosen = sample.where(F.col("place") <= landmarks_per_lang).orderBy("place", "lang").limit(LANDMARKS).collect()
+    if not chosen:
+        return KernelModel((), [], np.zeros((0, 0), np.float32))
+    chosen.sort(key=lambda r: (r["lang"], r["u"]))
+    marks = [np.array(r["grams"], np.int32) for r in chosen]
+    shared = spark.sparkContext.broadcast(marks)  # at most LANDMARKS presence vectors
+    parts = sample.select("lang", "grams", "n").repartition(16, "lang").mapInArrow(_sums(shared), _SUMS)
+    found = parts.repartition("lang", "i").mapInArrow(_add, _SUMS).collect()  # LANDMARKS rows, and one per language
+    means = {r["lang"]: np.array(r["sums"]) for r in found if r["i"] < 0}
+    products = np.array([r["sums"] for r in sorted((r for r in found if r["i"] >= 0), key=lambda r: r["i"])])
+    langs = tuple(sorted(means))
+    # every language has the weight of one row: sums of a language's rows are its mean
+    own = np.array([means[lang] for lang in langs]).T
+    a = products + ridge * len(langs) * _kernel(marks, marks) / len(marks) + 1e-6 * np.eye(len(marks))
+    b = 2 * own - own.sum(axis=1, keepdims=True)  # 1 for the language, -1 for all others
+    return KernelModel(langs, marks, np.linalg.solve(a, b).astype(np.float32))
 
 
 def predict(docs: DataFrame, model: KernelModel) -> DataFrame:
     """doc_id, lang_pred, score for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS floats per language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks, and one weight for each per language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pickle
+import random
 import zlib
 
 import numpy as np
@@ -37,7 +39,7 @@ def test_language_odd_rows(spark, documents, odd_rows):  # noqa: F811
     assert {r.lang_pred for r in language.predict(documents(rows), none).collect()} == {"und"}
 
 
-def test_language_scores_are_the_kernel_s(spark):
+def test_language_scores_are_the_kernel_s(monkeypatch):
     """The weights per n-gram give the same outputs as the kernel against the landmarks."""
     rows = [language.presence(prose(i, 50)) for i in range(6)]
     marks = rows[:3]
@@ -47,9 +49,13 @@ def test_language_scores_are_the_kernel_s(spark):
         weights[grams] += row / np.sqrt(len(grams))
     direct = language._kernel(rows, marks) @ alpha
     assert np.allclose(direct, [weights[r].sum(axis=0) / np.sqrt(len(r)) for r in rows], atol=1e-4)
-    one = language.KernelModel(("x", "y"), weights)
-    names, _ = one.predict([prose(0, 50), None])
+    one = language.KernelModel(("x", "y"), marks, alpha)
+    names, score = one.predict([prose(0, 50), None])
     assert names == [("x", "y")[int(direct[0].argmax())], "und"]
+    assert np.allclose(one._scores(rows), direct, atol=1e-4)
+    monkeypatch.setattr(language, "LANG_BLOCK", 1)  # the product with the kernel matrix
+    again, by_kernel = one.predict([prose(0, 50), None])
+    assert again == names and np.allclose(score, by_kernel, atol=1e-4)
 
 
 def test_many_languages_are_all_learned(spark):
@@ -63,6 +69,28 @@ def test_many_languages_are_all_learned(spark):
     assert got == {d: lang for d, _, lang in rows}
 
 
+def test_two_thousand_languages(spark):
+    """The model grows by one weight per landmark for each language; none is left out."""
+    rows = []
+    for i in range(2000):
+        rng = random.Random(i)
+        syllables = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+        rows += [(3 * i + j, " ".join(rng.choice(syllables) + rng.choice(syllables) for _ in range(30)), f"l{i:04d}") for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs)
+    assert len(model.langs) == 2000 and len(model.marks) == language.LANDMARKS
+    assert len(pickle.dumps(model)) < 2000 * 4 * language.LANDMARKS + 4_000_000
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs.where("doc_id < 600"), model).collect()}
+    assert np.mean([got[d] == lang for d, _, lang in rows[:600]]) > 0.8
+
+
+def test_one_language_holds_most_rows(spark):
+    """Weights per language, not per row: a rare language is told apart from one with most of the rows."""
+    rows = [(i, prose(i, 40), "xx") for i in range(400)] + [(1000 + i, "zzq wwv kkj " * (3 + i), "yy") for i in range(4)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict(["kkj zzq wwv", prose(9999, 30)])[0] == ["yy", "xx"]
+
+
 def test_presence_of_a_long_text_is_the_union():
     text = prose(9, 400)
     assert np.array_equal(language.presence(" ".join([text] * 900)), language.presence(text + " " + text))
