@@ -37,5 +37,6 @@ ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op6_quality_rules": quality_rules.SQL,
     "op10_jaccard_join": signature_trees.SQL,
+    "op12_license_scan": licenses.SQL,
     "op13_hard_negatives": hard_negatives.SQL,
 }

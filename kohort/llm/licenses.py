@@ -27,6 +27,7 @@ ignored, whatever their names.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from string import ascii_lowercase, ascii_uppercase
 
@@ -220,3 +221,60 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
         # half for a phrase, half for the share of the best notice
         (F.when(F.size("places") > 0, 0.5).otherwise(0.0) + share / 2).alias("score"))
+
+
+def _sql() -> str:
+    """The same rules in DuckDB SQL, one text word a row."""
+    plain = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    own = [plain.findall(n.text.translate(str.maketrans(ascii_uppercase, ascii_lowercase))) for n in NOTICES]
+    asked = [min(LOOK_UP, len(set(t))) for t in own]
+    values = lambda rows: "VALUES " + ", ".join("(" + ", ".join(map(repr, r)) + ")" for r in rows)
+    notices = values((t, n.label, asked[t], max(2, -int(-MEET * asked[t] // 1))) for t, n in enumerate(NOTICES))
+    places = values((t, p, w) for t, words_ in enumerate(own) for p, w in enumerate(words_))
+    keys = values((t, f" {k} ") for t, n in enumerate(NOTICES) for k in n.keys)
+    phrases = values((p, label, len(p.split()), p.split()[0]) for p, label in PHRASES.items())
+    return f"""
+WITH notice(t, label, asked, needed) AS ({notices}),
+place(t, position, word) AS ({places}),
+must(t, phrase) AS ({keys}),
+phrase(words, label, n, head) AS ({phrases}),
+doc AS (
+  SELECT row_number() OVER () AS file, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents),
+word AS (SELECT file, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM doc),
+base AS (
+  SELECT w.file, w.pos, p.label FROM word w JOIN phrase p ON w.word = p.head JOIN doc d ON d.file = w.file
+  WHERE array_to_string(d.ws[w.pos + 1:w.pos + p.n], ' ') = p.words),
+have AS (SELECT DISTINCT file, word FROM word WHERE word IN (SELECT word FROM place)),
+seen AS (SELECT word, count(*) AS n FROM have GROUP BY word),
+chosen AS (
+  SELECT h.file, x.t, x.word FROM have h JOIN (SELECT DISTINCT t, word FROM place) x ON x.word = h.word
+    JOIN seen s ON s.word = x.word JOIN notice o ON o.t = x.t
+  QUALIFY row_number() OVER (PARTITION BY h.file, x.t ORDER BY s.n, x.word) <= any_value(o.asked) OVER (PARTITION BY h.file, x.t)),
+verified AS (
+  SELECT DISTINCT c.file, c.t FROM (SELECT file, t FROM chosen GROUP BY ALL HAVING count(*) >= (SELECT min(needed) FROM notice)) c
+    JOIN doc d ON d.file = c.file JOIN must k ON k.t = c.t
+  WHERE contains(' ' || array_to_string(d.ws, ' ') || ' ', k.phrase)),
+vote AS (
+  SELECT DISTINCT c.file, c.t, c.word, w.pos - p.position AS origin
+  FROM verified v JOIN chosen c ON c.file = v.file AND c.t = v.t JOIN word w ON w.file = c.file AND w.word = c.word
+    JOIN place p ON p.t = c.t AND p.word = c.word),
+met AS (
+  SELECT a.file, a.t, a.origin, count(DISTINCT b.word) AS met
+  FROM (SELECT DISTINCT file, t, origin FROM vote) a JOIN vote b ON b.file = a.file AND b.t = a.t AND abs(a.origin - b.origin) <= {SLACK}
+  GROUP BY ALL),
+found AS (
+  SELECT m.file, o.label, max(m.met / CAST(o.asked AS DOUBLE)) AS share FROM met m JOIN notice o ON o.t = m.t WHERE m.met >= o.needed GROUP BY ALL),
+based AS (
+  SELECT file, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM base GROUP BY file),
+noticed AS (SELECT file, list(DISTINCT label) AS labels, max(share) AS share FROM found GROUP BY file)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+       array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(n.labels, [])))), ',') AS labels,
+       CASE WHEN b.n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END + coalesce(n.share, 0.0) / 2 AS score
+FROM doc d LEFT JOIN based b ON b.file = d.file LEFT JOIN noticed n ON n.file = d.file
+"""
+
+
+SQL = _sql()

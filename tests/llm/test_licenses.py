@@ -123,3 +123,16 @@ def test_general_interface(spark, documents):
 def test_no_python_in_the_plan(spark):
     plan = licenses.scan(spark.createDataFrame([(1, "mit license")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_sql_gives_the_same(odd_rows):  # noqa: F811
+    import duckdb
+    import pandas as pd
+
+    rows = [(i + 1000 * k, t) for k, some in enumerate((corpus(), [r for r in odd_rows if "\x00" not in (r[1] or "")])) for i, t in some]
+    rows += [(90_000, notice("mit") * 5), (90_001, "mit license " * 50), (90_002, "GNU General\tPublic License; mit license")]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    none = lambda x: None if x is None or x != x else x
+    got = [tuple(none(x) for x in r) for r in con.execute(licenses.SQL).fetchall()]
+    assert rank(got) == rank(brute(rows))
