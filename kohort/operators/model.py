@@ -28,6 +28,7 @@ from .. import config
 from ..sources.files import shared_table
 from .aggregates import attach_scalars
 from .deep_forest import DeepForest, DeepForestModel
+from .features import apply_ordinal, fit_ordinal
 
 LABEL = config.TARGET_COLUMN
 WEIGHT = "class_weight"
@@ -74,15 +75,15 @@ def build_estimator(kind: str = "random_forest", rows: int | None = None, **para
     raise ValueError(f"unknown estimator {kind!r}")
 
 
-def preparation(numeric: list[str] | None = None, categorical: list[str] | None = None) -> list:
+def preparation(numeric: list[str] | None = None, categorical: list[str] | None = None, encoder: bool = True) -> list:
     """M4: encoder, scaler and assemblers; columns not listed (``gender``,
-    the id) never enter the feature vector (P11)."""
+    the id) never enter the feature vector (P11).  Without ``encoder`` the
+    code columns are there already (:class:`Preparation`)."""
     numeric = numeric or config.NUMERICAL_FEATURES
     categorical = categorical or config.ORDINAL_FEATURES
     codes = [f"{c}__code" for c in categorical]
-    return [
-        StringIndexer(inputCols=categorical, outputCols=codes,
-                      stringOrderType="alphabetAsc", handleInvalid="keep"),
+    first = [StringIndexer(inputCols=categorical, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep")]
+    return (first if encoder else []) + [
         VectorAssembler(inputCols=numeric, outputCol="numeric_vec", handleInvalid="keep"),
         StandardScaler(inputCol="numeric_vec", outputCol="numeric_scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=codes + ["numeric_scaled"], outputCol="features"),
@@ -96,12 +97,54 @@ def build_pipeline(estimator=None, numeric: list[str] | None = None,
                             estimator if estimator is not None else build_estimator("search_forest")])
 
 
+class Preparation:
+    """The fitted preparation with a category dictionary in place of MLlib's encoder.
+
+    The dictionary is a table (:mod:`.categories`): nothing of it is collected
+    but the number of categories per column, the code of unseen values (as
+    MLlib's encoder gives them).
+    """
+
+    def __init__(self, dictionary: DataFrame, scaled: PipelineModel, categorical: list[str]) -> None:
+        self.dictionary, self.scaled, self.categorical = dictionary, scaled, categorical
+        found = dictionary.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per column
+        self.sizes = {c: 0 for c in categorical} | {r.column_name: r.n for r in found}
+
+    @classmethod
+    def fit(cls, train: DataFrame, numeric: list[str] | None = None, categorical: list[str] | None = None) -> Preparation:
+        categorical = categorical or config.ORDINAL_FEATURES
+        own = cls(fit_ordinal(train, categorical), None, categorical)
+        own.scaled = Pipeline(stages=preparation(numeric, categorical, encoder=False)).fit(own.coded(train))
+        return own
+
+    def coded(self, df: DataFrame) -> DataFrame:
+        out = apply_ordinal(df, self.dictionary, self.categorical)
+        code = {c: F.when(F.col(f"{c}_code") < 0, self.sizes[c]).otherwise(F.col(f"{c}_code")) for c in self.categorical}
+        return out.withColumns({f"{c}__code": v.cast("double") for c, v in code.items()}).drop(*[f"{c}_code" for c in self.categorical])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.scaled.transform(self.coded(df))
+
+    def feature_names(self) -> list[str]:
+        return self.categorical + list(self.scaled.stages[0].getInputCols())
+
+    def save(self, path: str) -> None:
+        self.dictionary.write.mode("overwrite").parquet(os.path.join(path, "dictionary"))
+        self.scaled.write().overwrite().save(os.path.join(path, "scaled"))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Preparation:
+        scaled = PipelineModel.load(os.path.join(path, "scaled"))
+        columns = [c.removesuffix("__code") for c in scaled.stages[-1].getInputCols()[:-1]]
+        return cls(spark.read.parquet(os.path.join(path, "dictionary")), scaled, columns)
+
+
 class ForestPipelineModel:
     """The fitted preparation with a fitted :class:`DeepForestModel`."""
 
-    def __init__(self, prepared: PipelineModel, forest: DeepForestModel) -> None:
+    def __init__(self, prepared: Preparation, forest: DeepForestModel) -> None:
         self.prepared, self.forest = prepared, forest
-        self.stages = [*prepared.stages, forest]
+        self.stages = [prepared, forest]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with churn_probability and prediction (p > 0.5)."""
@@ -110,16 +153,18 @@ class ForestPipelineModel:
         return scored.withColumn("prediction", (F.col("churn_probability") > 0.5).cast("double"))
 
     def save(self, path: str) -> None:
-        self.prepared.write().overwrite().save(os.path.join(path, "prepared"))
+        self.prepared.save(os.path.join(path, "prepared"))
         self.forest.save(os.path.join(path, "forest"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ForestPipelineModel:
-        return cls(PipelineModel.load(os.path.join(path, "prepared")), DeepForestModel.load(spark, os.path.join(path, "forest")))
+        return cls(Preparation.load(spark, os.path.join(path, "prepared")), DeepForestModel.load(spark, os.path.join(path, "forest")))
 
 
 def feature_names(model) -> list[str]:
     """Names of a fitted pipeline's feature vector slots, in order."""
+    if isinstance(model, ForestPipelineModel):
+        return model.prepared.feature_names()
     indexer, numeric = model.stages[0], model.stages[1]
     return list(indexer.getInputCols()) + list(numeric.getInputCols())
 
@@ -254,7 +299,7 @@ def fit(train: DataFrame, estimator=None):
     estimator = estimator if estimator is not None else build_estimator()
     if not isinstance(estimator, DeepForest):
         return build_pipeline(estimator).fit(train)
-    prepared = Pipeline(stages=preparation()).fit(train)
+    prepared = Preparation.fit(train)
     return ForestPipelineModel(prepared, estimator.fit(prepared.transform(train), LABEL, config.CUSTOMER_ID_COLUMN))
 
 

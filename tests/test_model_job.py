@@ -33,6 +33,22 @@ def test_save_load_equal_predictions(spark, tmpdir_session):
     assert all(0.0 <= p <= 1.0 for p in probs)
 
 
+def test_dictionary_prepares_as_the_encoder_does(spark, tmpdir_session):
+    """Same feature vectors as with MLlib's encoder, unseen and null categories too; saved and loaded."""
+    train, test = _frames(spark)
+    plan, contract = config.ORDINAL_FEATURES
+    odd = test.limit(4).withColumn(plan, F.when(F.col("customerid") % 2 == 0, F.lit("nowhere"))).withColumn(contract, F.lit(None).cast("string"))
+    rows = test.unionByName(odd.withColumn("customerid", -F.col("customerid")))
+    vectors = lambda df: {r.customerid: r.features.toArray().tolist() for r in df.select("customerid", "features").collect()}
+    own = M.Preparation.fit(train)
+    want = vectors(M.Pipeline(stages=M.preparation()).fit(train).transform(rows))
+    assert vectors(own.transform(rows)) == want
+    path = os.path.join(tmpdir_session, "prepared")
+    own.save(path)
+    again = M.Preparation.load(spark, path)
+    assert vectors(again.transform(rows)) == want and again.feature_names() == own.feature_names() == config.ORDINAL_FEATURES + config.NUMERICAL_FEATURES
+
+
 def test_seed_stability(spark):
     train, test = _frames(spark)
     s1 = M.score(M.fit(train, M.build_estimator(trees=10)), test).orderBy("customerid").collect()
