@@ -50,6 +50,16 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _plain(spec: dict) -> bool:
+    """Whether a vocabulary file asks for nothing that is not done here."""
+    cut, model, decoder = spec["pre_tokenizer"] or {}, spec["model"], spec.get("decoder") or {}
+    flags = ("single_word", "lstrip", "rstrip", "normalized")
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    return (not spec.get("normalizer") and not spec.get("post_processor") and model.get("type") == "BPE"
+            and cut.get("type") == decoder.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+            and not any(model.get(x) for x in options) and not any(t.get(x) for t in spec["added_tokens"] for x in flags))
+
+
 class Encoder:
     """Encoder and decoder for one vocabulary file."""
 
@@ -59,8 +69,7 @@ class Encoder:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         plain = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        if spec.get("normalizer") or spec["pre_tokenizer"].get("type") != "ByteLevel" \
-                or spec["pre_tokenizer"].get("add_prefix_space") or len(plain) != 256 + len(merges) \
+        if not _plain(spec) or len(plain) != 256 + len(merges) \
                 or any(plain[a + b] != 256 + i for i, (a, b) in enumerate(merges)):
             raise ValueError(f"{path}: not a byte-level vocabulary whose ids follow its merges")
         byte = _byte_of_char()

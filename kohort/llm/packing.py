@@ -169,6 +169,5 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """The contract's columns for every piece of ``docs``."""
-    pieces = shared_table(cut_pieces(docs), "pieces")
-    narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return place(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    narrow = cut_pieces(docs).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return place(shared_table(narrow, "pieces")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

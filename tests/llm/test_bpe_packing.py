@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import os
 import random
 import zlib
@@ -166,3 +167,22 @@ def test_odd_rows_and_sequences(documents, odd_rows, reference):  # noqa: F811
     again = cut_pieces(documents([(4, "one two")] * 3))
     assert place(again).count() == 3
     assert place(cut_pieces(documents([]))).count() == 0
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "NFC"}}, {"post_processor": {"type": "ByteLevel"}}, {"decoder": {"type": "WordPiece"}}, {"pre_tokenizer": None},
+    {"model": {"ignore_merges": True}}, {"model": {"dropout": 0.1}}, {"model": {"type": "WordPiece"}}, {"model": {"end_of_word_suffix": "</w>"}},
+    {"added_tokens": {"lstrip": True}}, {"added_tokens": {"rstrip": True}}, {"added_tokens": {"single_word": True}}, {"added_tokens": {"normalized": True}}])
+def test_other_kinds_of_files_are_refused(tmp_path, change):
+    spec = json.loads(open(tokenizer_path(), encoding="utf-8").read())
+    for key, value in change.items():
+        if key == "model":
+            spec["model"] |= value
+        elif key == "added_tokens":
+            spec["added_tokens"] = [t | value for t in spec["added_tokens"]]
+        else:
+            spec[key] = value
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        Encoder(str(path))
