@@ -73,6 +73,7 @@ _BOX_WORDS = {
 #: parts that are cut inside the main text too, however long they are
 _NEVER = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "advert", "adverts", "advertisement", "adsense", "adbox",
           "cookie", "cookies", "consent", "gdpr", "newsletter", "sidebar", "paywall"}
+_NEVER_WORDS = {"ad", "ads", "sponsor", "promo", "promotion", "notice", "notices", "nav", "menu", "footer"}  # as whole names
 #: inside the main text, other parts so named are cut when they are mostly links or shorter than that
 _SHORT_PART = 250
 _NAME_PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -134,8 +135,9 @@ def _is_named(tag: str, attrs: str) -> tuple[bool, bool]:
         if name in ("class", "id"):
             for one in value.split():
                 parts = {x.lower() for x in _NAME_PART.findall(one)}
-                named = named or bool(parts & _CUT_NAMES) or bool(parts & _CUT_WORDS) and parts <= _CUT_WORDS | _BOX_WORDS
-                never = never or bool(parts & _NEVER)
+                whole = parts <= _CUT_WORDS | _BOX_WORDS
+                named = named or bool(parts & _CUT_NAMES) or bool(parts & _CUT_WORDS) and whole
+                never = never or bool(parts & _NEVER) or bool(parts & _NEVER_WORDS) and whole
     return named, never
 
 
@@ -264,17 +266,17 @@ def _points(n: _Node, chars: int, commas: int, linked: int) -> float:
     return (1 + commas + min(chars / 100, 3)) * (1 - min(1.0, linked / chars))
 
 
-def _cut_named(root: _Node) -> None:
+def _cut_named(root: _Node) -> bool:
     """Cut elements by their names, except those around the main text: their score is discounted.
 
     Such an element holds a main element, an article that is no comment or
     teaser, or, on a page without these, most of the points.  Inside a main
     element or such an article a name alone cuts only what never is main text;
-    else the part must also be short or mostly links.
+    else the part must also be short or mostly links.  Whether any was cut.
     """
     nodes = _walk(root)
     if not any(n.named and n.tag != "article" for n in nodes):
-        return
+        return False
     points = {id(n): _points(n, n.chars, n.commas, n.link_chars) for n in nodes}
     for n in reversed(nodes):
         if n.parent is not None:
@@ -308,14 +310,19 @@ def _cut_named(root: _Node) -> None:
             n.weight *= _DISCOUNT
         else:
             n.cut = True
+    return any(n.named and n.cut for n in nodes)
 
 
 def extract_text(page: str | None) -> str:
-    """The main text of one page."""
+    """The main text of one page.  Names are left aside where nothing would remain."""
     if not page:
         return ""
     root = _tree(page)
-    _cut_named(root)
+    named = _cut_named(root)
+    return _main_text(root) or (_main_text(_tree(page)) if named else "")
+
+
+def _main_text(root: _Node) -> str:
     nodes = _walk(root)
     own = {id(n): (n.chars, n.commas, n.link_chars) for n in nodes}
     for n in reversed(nodes):  # children first: totals of the subtrees

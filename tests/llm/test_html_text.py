@@ -59,10 +59,17 @@ def test_names_inside_the_article_are_no_verdict():
         assert extract_text(page(f"<article><p>{P2}</p>{part}<p>{long}</p></{end}></article>")) == f"{html.unescape(P2)}\n{long}", part
     assert extract_text(page(f'<article><h2 id="menu">The menu</h2><p>{P1}</p></article>')) == f"The menu\n{P1}"
     for part in ('<div class="share-buttons">Share this</div>', '<div class="related-posts"><a href="a">' + P1 + "</a><p>" + P1 + "</p></div>",
-                 f'<div class="comments"><p>{long}</p></div>', f'<div class="cookie-notice"><p>{long}</p></div>', f'<div class="newsletter-box"><p>{long}</p></div>'):
+                 f'<div class="comments"><p>{long}</p></div>', f'<div class="cookie-notice"><p>{long}</p></div>', f'<div class="newsletter-box"><p>{long}</p></div>',
+                 f'<div class="ad"><p>{long}</p></div>', f'<section class="notice-box"><p>{long}</p></section>'):
         assert extract_text(page(f"<article><p>{P2}</p>{part}</article>")) == html.unescape(P2), part
 
 
+def test_names_are_left_aside_where_nothing_remains():
+    assert extract_text(page(f'<article><div class="notice"><p>{P1}</p></div></article>')) == P1
+    assert extract_text(page(f'<div class="sidebar"><p>{P1}</p></div><div class="ads"><p>{P1}</p></div>')) == f"{P1}\n{P1}"
+    assert extract_text(page(f"<nav><p>{P1}</p></nav>")) == ""
+
+
 def test_sections_in_separate_wrappers():
     first, second = f"<p>{P1}</p>" * 4, f"<p>{P2}</p>" * 3
     want = [P1] * 4 + [html.unescape(P2)] * 3
