@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from llm_fixtures import documents, odd_rows  # noqa: F401
 
@@ -54,3 +56,21 @@ def test_odd_rows(documents, odd_rows, spark, tmp_path):
 def test_bad_weights(spark):
     with pytest.raises(ValueError):
         shard_documents(spark.range(1), "id", [1.0, 0.0])
+
+
+def plain_shard(key, weights):
+    """Rendezvous hashing with the xxhash library: the hash of the key seeds that of the shard number."""
+    best = []
+    for s, w in enumerate(weights):
+        seed = xxhash.xxh64_intdigest(str(key).encode() if key is not None else b"", 42)
+        h = xxhash.xxh64_intdigest(s.to_bytes(4, "little"), seed)
+        u = ((h >> 11) + 0.5) / (1 << 53)
+        best.append(-w / math.log(u))
+    return best.index(max(best))
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 8, [1.0] * 9, [0.5, 3.0, 1.25], [2.0]])
+def test_shards_against_another_hash_library(spark, weights):
+    keys = [*range(-50, 400), 9_000_000_000, -(1 << 63), (1 << 63) - 1, None]
+    got = shard_documents(spark.createDataFrame([(k,) for k in keys], "doc_id long"), "doc_id", weights).collect()
+    assert {r.doc_id: r.shard for r in got} == {k: plain_shard(k, weights) for k in keys}
