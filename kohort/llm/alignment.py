@@ -124,7 +124,8 @@ class Aligner:
         a = self.core.encode_to_numpy(" " + text, allowed_special=set(), disallowed_special=()).astype(np.uint32)
         b = np.array(self.pieces.encode(text), np.uint32)
         raw = np.frombuffer((" " + text).encode(), np.uint8)
-        if not self.a.spells(a, raw) or not self.b.spells(b, raw):
+        # A's tokens are stretches of the text's bytes, one after the other: their number tells whether any is missing
+        if self.a.length[a].sum() != len(raw) or not self.b.spells(b, raw):
             return none, none
         return a, b
 
