@@ -137,11 +137,15 @@ def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _sample(known: DataFrame, per_lang: int) -> DataFrame:
     """lang, u, grams, place, n: up to ``per_lang`` texts of each language with a letter, by rising hash of the id."""
     u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11).cast("double") / float(1 << 53)
-    sizes = known.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    # written: their sizes are known, so that Spark sends them to the rows where they are small
+    sizes = shared_table(known.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "language-sizes")
     # a limit that some 2 per_lang rows of a language pass: no task ranks more
-    near = known.join(sizes, F.col("lang") == F.col("_lang")).withColumn("u", u).where(F.col("u") * F.col("_n") < 2 * per_lang + 20)
+    near = (known.select("doc_id", "lang").join(sizes, F.col("lang") == F.col("_lang")).withColumn("u", u)
+            .where(F.col("u") * F.col("_n") < 2 * per_lang + 20).dropDuplicates(["doc_id", "lang"]))
     order = Window.partitionBy("lang").orderBy("u", "doc_id")
-    some = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_lang)
+    ids = near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_lang)
+    ids = shared_table(ids.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "u"), "language-ids")
+    some = known.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
     rows = some.select("lang", "u", F.col("text").cast("string").alias("text")).mapInArrow(_presence_rows, "lang string, u double, grams array<int>")
     of = Window.partitionBy("lang")
     return shared_table(rows.withColumn("place", F.row_number().over(of.orderBy("u"))).withColumn("n", F.count(F.lit(1)).over(of)),
