@@ -42,7 +42,7 @@ from .common import shared_table, sliced, table, tokenizer_path
 
 PIECE_FILE = "piece_bpe_32k.model"
 #: tokens of remembered windows in one worker
-MEMO_TOKENS = 1_500_000
+MEMO_TOKENS = 4_000_000
 #: folded links of a block of documents
 BLOCK_LINKS = 1 << 18
 _SHIFT = 32
