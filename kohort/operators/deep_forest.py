@@ -502,7 +502,7 @@ class DeepForest:
             for t, node in sorted(active):
                 nodes.setdefault(t, []).append(node)
             best = _splits(_binned(rows, self.trees, top, nodes, cuts), model.width, self.seed, k, self.min_leaf,
-                           min(200, len(active))).collect()
+                           min(len(active), 2 * rows.sparkSession.sparkContext.defaultParallelism)).collect()
             following, stuck, made = {}, {}, {}
             for r in sorted(best, key=lambda r: (r.tree, r.node)):
                 at, depth = (r.tree, r.node), active[r.tree, r.node]
